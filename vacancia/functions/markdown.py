@@ -164,3 +164,15 @@ def formatted(text: Column, description_format: str) -> Column:
     if description_format == "markdown":
         return markdown(text)
     return html_to_text(text) if description_format == "plain" else text
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def html_list_to_markdown(pieces: pa.Array) -> pa.Array:
+    """Markdown of every text of an array."""
+    return pa.array(
+        [
+            None if row is None else [None if h is None else to_markdown(h) for h in row]
+            for row in pieces.to_pylist()
+        ],
+        pa.list_(pa.string()),
+    )

@@ -1,0 +1 @@
+"""DataFrame operators: every function takes and returns ``DataFrame``."""
