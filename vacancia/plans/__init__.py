@@ -1,0 +1 @@
+"""Whole jobs: landed payloads to the output table."""

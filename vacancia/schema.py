@@ -44,6 +44,7 @@ POSTING_FIELDS: dict[str, str] = {
     "company_reviews_count": "bigint",
     "vacancy_count": "bigint",
     "work_from_home_type": "string",
+    "source_url": "string",  # page the record was read from
 }
 POSTING_DDL = ", ".join(f"{name} {kind}" for name, kind in POSTING_FIELDS.items())
 

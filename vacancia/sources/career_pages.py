@@ -78,6 +78,7 @@ def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
             seq=F.col("seq"),
             pos=F.col("pos"),
             site=F.lit("custom"),
+            source_url=F.col("url"),
             id=F.concat(F.lit("custom:jsonld:"), native),
             title=get("$.title"),
             company_name=F.coalesce(non_empty(get("$.hiringOrganization.name")), F.col("company")),
@@ -99,12 +100,12 @@ def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
 
 
 def page_description(pages: DataFrame) -> DataFrame:
-    """``seq, description`` of single-posting pages: linked data, then the two meta tags."""
+    """``seq, url, description`` of single-posting pages: linked data, then the two meta tags."""
     texts = F.transform(
         jsonld_postings(script_bodies(F.col("payload"), LD_JSON)),
         lambda p: F.get_json_object(p, "$.description"),
     )
-    read = pages.select("seq", "payload", texts.alias("texts"))
+    read = pages.select("seq", "url", "payload", texts.alias("texts"))
     marked = F.exists("texts", lambda t: F.contains(t, F.lit("<")))
     converted = F.when(
         marked,
@@ -120,7 +121,7 @@ def page_description(pages: DataFrame) -> DataFrame:
     )
     html = F.col("payload")
     return read.select(
-        "seq",
+        "seq", "url",
         F.coalesce(
             linked,
             meta_content(html, "property", "og:description", 50),
@@ -210,6 +211,7 @@ def parse_loose_job(items: DataFrame) -> DataFrame:
             seq=F.col("seq"),
             pos=F.col("pos"),
             site=F.lit("custom"),
+            source_url=F.col("url"),
             id=F.concat(F.lit("custom:xhr:"), native),
             title=F.col("title"),
             company_name=F.col("company"),
@@ -266,6 +268,7 @@ def extract_job_links(pages: DataFrame, at_least: int = 2, **options) -> DataFra
             seq=F.col("seq"),
             pos=F.col("pos"),
             site=F.lit("custom"),
+            source_url=F.col("url"),
             id=F.concat(F.lit("custom:link:"), urls.url_hash(F.col("href"))),
             title=F.col("text"),
             company_name=F.col("company"),
@@ -370,6 +373,7 @@ def sitemap_postings(raw: DataFrame, at_least: int = 2, **options) -> DataFrame:
             seq=F.col("seq"),
             pos=F.col("pos"),
             site=F.lit("custom"),
+            source_url=F.col("url"),
             id=F.concat(F.lit("custom:sitemap:"), urls.url_hash(loc)),
             title=F.col("title"),
             company_name=F.col("company"),

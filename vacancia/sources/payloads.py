@@ -81,6 +81,7 @@ class JsonSource:
                     "pos": F.col("pos"),
                     "site": F.lit(self.site),
                     "description": F.col("description"),
+                    "source_url": F.col("url"),
                     **given,
                 }
             )
