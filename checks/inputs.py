@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vacancia.operators.spread import spread
+
 AS_OF = "2024-02-15"
 
 PST_SQL = """
@@ -69,6 +71,9 @@ def _project(spark: SparkSession, sf: str, sql: str) -> DataFrame:
         ).replace(f"FROM {name}\n", f"FROM {{{name}}}\n")
         if marked != sql:
             sql, frames[name] = marked, table(spark, sf, name)
+    for name in ("orders", "lineitem"):
+        if name in frames:
+            frames[name] = spread(frames[name])
     return spark.sql(sql, **frames)
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
 from functools import reduce
 from html.entities import html5, name2codepoint
 
@@ -37,13 +38,29 @@ def strip(text: Column) -> Column:
 
 
 def non_empty(text: Column) -> Column:
-    """Null for the empty string."""
-    return F.nullif(text, F.lit(""))
+    """Null for the empty string. For cheap expressions: it reads its argument twice."""
+    return F.when(text != "", text)
 
 
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """A group of the leftmost match, null when there is none (or the group is empty)."""
-    return non_empty(F.regexp_extract(text, pattern, group))
+    return let(F.regexp_extract(text, pattern, group), non_empty)
+
+
+def any_of(words: Iterable[str]) -> str:
+    """A regex for one of many words, the longest that fits.
+
+    Common beginnings are shared, so a position costs a few comparisons instead of one per word.
+    """
+    words = set(words)
+    endings: dict[str, list[str]] = {}
+    for word in sorted(words - {""}):
+        endings.setdefault(word[0], []).append(word[1:])
+    branches = [re.escape(first) + any_of(rest) for first, rest in endings.items()]
+    if not branches:
+        return ""
+    optional = "?" if "" in words else ""
+    return branches[0] if len(branches) == 1 and not optional else f"(?:{'|'.join(branches)}){optional}"
 
 
 def contains_any(text: Column, words: tuple[str, ...]) -> Column:

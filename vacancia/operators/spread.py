@@ -1,0 +1,14 @@
+"""Enough tasks for work that is heavy per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input came in fewer files than there are cores.
+
+    Parsing costs far more than moving a narrow row once. Inputs with many splits stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.functions import dates, job_types, remote, social
+from vacancia.functions.arrays import with_once
 from vacancia.functions.country import detect_country
 from vacancia.functions.text import let, non_empty, strip
 from vacancia.schema import location, posting_columns
 from vacancia.sources.payloads import ParseOptions
 
 # Line rules of a post's inner text.
-HEADER_LINES = r"(?iu)^(?:Публикация в ленте|Feed post|Promoted|Рекламируется)"
-FOLLOW_LINES = r"(?iu)^(?:Отслеживать|Follow|\+\s*Отслеживать|\+\s*Follow)"
-DEGREE_LINES = r"(?iu)^(?:[•·]|\d-(?:й|nd|rd|th|st))"
+HEADER_LINES = r"^(?:Публикация в ленте|Feed post|Promoted|Рекламируется)"
+FOLLOW_LINES = r"^(?:Отслеживать|Follow|\+\s*Отслеживать|\+\s*Follow)"
+DEGREE_LINES = r"^(?:[•·]|\d-(?:й|nd|rd|th|st))"
 PAGE_TEXTS = (
     r"(?iu)^(?:О компании|About|Справочный|Help Center|Условия|Terms|© LinkedIn|Messaging|Сообщения)"
 )
@@ -31,56 +32,71 @@ SKIPPED_LINES = (
 HEAD_LINES, SUBTITLE_LINES, MIN_TEXT, MIN_BODY = 12, 8, 50, 20
 
 
+def _no_bullets(line: Column) -> Column:
+    return strip(F.regexp_replace(line, "[•·]", ""))
+
+
+def _body(lines: Column) -> Column:
+    """Lines up to the first button, without the unfold and follow links."""
+    stop = F.get(
+        F.filter(
+            F.transform(lines, lambda x, i: F.when(x.rlike(STOP_LINES), i)),
+            lambda i: i.isNotNull(),
+        ),
+        F.lit(0),
+    )
+    kept = F.slice(lines, F.lit(1), F.coalesce(stop, F.size(lines)))
+    return F.array_join(F.filter(kept, lambda x: ~x.rlike(SKIPPED_LINES)), "\n")
+
+
 def split_post_lines(text: Column) -> Column:
-    """``struct<author, subtitle, time, text>`` of a post's inner text, null when it is no post."""
-    no_bullets = lambda line: strip(F.regexp_replace(line, "[•·]", ""))
-
-    def parts(lines: Column) -> Column:
-        numbered = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("line")))
-        head = F.filter(
-            F.slice(numbered, 1, HEAD_LINES),
-            lambda e: ~e["line"].rlike(HEADER_LINES)
-            & ~e["line"].rlike(FOLLOW_LINES)
-            & ~e["line"].rlike(DEGREE_LINES)
-            & (F.length(e["line"]) > 2),
+    """``struct<author, subtitle, time, text>`` of a post's inner text, null when it is no post.
+
+    The author is the first line of the head that is no header, button or degree; the time line ends
+    the head; the first other line before it is the subtitle; the body follows.
+    """
+
+    def head_lines(lines: Column) -> Column:
+        numbered = F.transform(
+            F.slice(lines, 1, HEAD_LINES), lambda x, i: F.struct(i.alias("i"), x.alias("line"))
+        )
+        skipped = f"(?iu){HEADER_LINES}|{FOLLOW_LINES}|{DEGREE_LINES}"
+        return F.filter(
+            numbered, lambda e: ~e["line"].rlike(skipped) & (F.length(e["line"]) > 2)
         )
+
+    def time_line(head: Column) -> Column:
         rest = F.slice(head, 2, HEAD_LINES)
-        time = F.get(F.filter(rest, lambda e: no_bullets(e["line"]).rlike(TIME_LINES)), F.lit(0))
+        return F.get(F.filter(rest, lambda e: _no_bullets(e["line"]).rlike(TIME_LINES)), F.lit(0))
+
+    def assemble(lines: Column, head: Column, time: Column) -> Column:
         limit = F.least(F.lit(SUBTITLE_LINES), F.coalesce(time["i"], F.lit(SUBTITLE_LINES)))
-        subtitle = F.get(F.filter(rest, lambda e: e["i"] < limit), F.lit(0))
-        after = F.slice(lines, F.coalesce(time["i"] + 2, F.lit(1)), F.size(lines))
-        stop = F.get(
-            F.filter(
-                F.transform(after, lambda x, i: F.when(x.rlike(STOP_LINES), i)),
-                lambda i: i.isNotNull(),
-            ),
-            F.lit(0),
-        )
-        body = F.filter(
-            F.slice(after, F.lit(1), F.coalesce(stop, F.size(after))),
-            lambda x: ~x.rlike(SKIPPED_LINES),
+        subtitle = F.get(
+            F.filter(F.slice(head, 2, HEAD_LINES), lambda e: e["i"] < limit), F.lit(0)
         )
+        after = F.slice(lines, F.coalesce(time["i"] + 2, F.lit(1)), F.size(lines))
         return F.struct(
             F.coalesce(F.get(head, F.lit(0))["line"], F.lit("")).alias("author"),
             F.coalesce(subtitle["line"], F.lit("")).alias("subtitle"),
-            F.coalesce(no_bullets(time["line"]), F.lit("")).alias("time"),
-            F.array_join(body, "\n").alias("text"),
+            F.coalesce(_no_bullets(time["line"]), F.lit("")).alias("time"),
+            let(after, _body).alias("text"),
         )
 
     lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != "")
-    is_post = (F.length(text) >= MIN_TEXT) & ~strip(text).rlike(PAGE_TEXTS)
-    return F.when(
-        is_post, let(let(lines, parts), lambda p: F.when(F.length(p["text"]) >= MIN_BODY, p))
+    parts = let(
+        lines,
+        lambda ls: let(
+            head_lines(ls), lambda head: let(time_line(head), lambda t: assemble(ls, head, t))
+        ),
     )
+    is_post = (F.length(text) >= MIN_TEXT) & ~strip(text).rlike(PAGE_TEXTS)
+    return F.when(is_post, let(parts, lambda p: F.when(F.length(p["text"]) >= MIN_BODY, p)))
 
 
 def split_social_post_lines(raw: DataFrame) -> DataFrame:
     """``seq, author, subtitle, time, text, url`` of landed inner texts (``seq, url, payload``)."""
-    return (
-        raw.select("seq", "url", split_post_lines(F.col("payload")).alias("post"))
-        .where(F.col("post").isNotNull())
-        .select("seq", "post.*", "url")
-    )
+    posts = F.filter(F.array(split_post_lines(F.col("payload"))), lambda p: p.isNotNull())
+    return raw.select("seq", "url", F.inline(posts))
 
 
 def _place(city: Column, country: Column) -> Column:
@@ -96,10 +112,9 @@ def parse_tweets(posts: DataFrame) -> DataFrame:
         F.concat(F.lit("https://x.com/"), non_empty(F.col("handle")), F.lit("/status/"), F.col("id")),
         F.lit(""),
     )
-    city = social.tweet_location(text)
-    kept = posts.where(F.length("text") >= social.MIN_TWEET_LENGTH).select(
-        "*", social.tweet_title(text).alias("title"), detect_country(text).alias("code"),
-        city.alias("city"),
+    kept = with_once(
+        posts.where(F.length("text") >= social.MIN_TWEET_LENGTH),
+        title=social.tweet_title(text), code=detect_country(text), city=social.tweet_location(text),
     )
     return kept.where(F.length("title") > 0).select(
         *posting_columns(
@@ -122,9 +137,10 @@ def parse_linkedin_posts(posts: DataFrame, options: ParseOptions | None = None)
     """``seq, author, subtitle, time, text, url`` to postings."""
     o = options or ParseOptions()
     text = F.col("text")
-    kept = posts.where(F.length("text") >= social.MIN_POST_LENGTH).select(
-        "*", social.post_title(text).alias("title"), social.post_location(text).alias("city"),
-        detect_country(text, F.col("subtitle")).alias("code"),
+    kept = with_once(
+        posts.where(F.length("text") >= social.MIN_POST_LENGTH),
+        title=social.post_title(text), city=social.post_location(text),
+        code=detect_country(text, F.col("subtitle")),
     )
     return kept.where(F.length("title") > 0).select(
         *posting_columns(
