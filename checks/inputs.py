@@ -86,15 +86,16 @@ def soc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw(df: DataFrame, payload, site="x", url=None, company="company_name", seq="seq") -> DataFrame:
-    """A payload table from any frame."""
-    return df.select(
-        F.col(seq).alias("seq"),
-        F.lit(site).alias("site"),
-        F.lit(None).cast("timestamp").alias("fetched_at"),
-        (F.lit(None).cast("string") if url is None else url).alias("url"),
-        (F.col(company) if company in df.columns else F.lit(None).cast("string")).alias("company"),
-        payload.alias("payload"),
-    )
+    """A payload table from any frame. The payload is built once, as if it had been read."""
+    columns = {
+        "seq": F.col(seq),
+        "site": F.lit(site),
+        "fetched_at": F.lit(None).cast("timestamp"),
+        "url": F.lit(None).cast("string") if url is None else url,
+        "company": F.col(company) if company in df.columns else F.lit(None).cast("string"),
+        "payload": payload,
+    }
+    return df.select(F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from vacancia.functions.urls import detect_platform
 from vacancia.operators.aggregates import strategy_cascade
 from vacancia.operators.assemble import union_sites
 from vacancia.operators.enrich import enrich_with_details
+from vacancia.session import cut_lineage
 from vacancia.sources import career_pages, careers_json
 from vacancia.sources.payloads import ParseOptions
 
@@ -60,9 +61,9 @@ def career_postings(pages: DataFrame, detail_pages: DataFrame | None = None, **i
 
     Link and sitemap rows have no text; ``detail_pages`` (posting URL as ``url``) supply it.
     """
-    best = strategy_cascade(
-        page_strategies(pages, **inputs), ["source_url"], spread=("seq", "pos")
-    ).drop("strategy_rank")
+    # Parsing is the costly part and the choice reads its result more than once.
+    found = cut_lineage(page_strategies(pages, **inputs), "career-strategies")
+    best = strategy_cascade(found, ["source_url"], spread=("seq", "pos")).drop("strategy_rank")
     if detail_pages is None:
         return best
     # One page per URL: the first that arrived.

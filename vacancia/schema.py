@@ -94,7 +94,9 @@ def posting_columns(**given: Column) -> list[Column]:
     if unknown:
         raise ValueError(f"not posting fields: {sorted(unknown)}")
     return [
-        (given[name] if name in given else F.lit(None)).cast(kind).alias(name)
+        given[name].cast(kind).alias(name)
+        if name in given
+        else F.expr(f"CAST(NULL AS {kind}) AS {name}")
         for name, kind in POSTING_FIELDS.items()
     ]
 

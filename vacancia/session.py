@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "vacancia", master: str | None = None, **conf: str) -> SparkSession:
@@ -21,6 +22,8 @@ def build_session(app: str = "vacancia", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Plans are built from many small expressions; recording a call site for each is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -40,3 +43,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return os.path.join(tempfile.mkdtemp(prefix="run-"), name)
+
+
+def cut_lineage(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For results that several later steps read: they are computed once, and a lost executor costs a
+    read instead of the computation.
+    """
+    path = work_folder(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

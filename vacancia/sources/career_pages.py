@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.functions import dates, job_types, locations, salary, urls
+from vacancia.functions.arrays import distinct_by, with_once
 from vacancia.functions.json_tree import (
     any_remote, first_field, first_text_entry, job_arrays, jsonld_postings,
 )
@@ -19,10 +20,10 @@ from vacancia.functions.text import extract_emails, first_match, let, non_empty,
 from vacancia.lookups import (
     DATE_KEYS, DESCRIPTION_KEYS, ID_KEYS, LOCATION_KEYS, REMOTE_KEYS, TITLE_KEYS, URL_KEYS,
 )
-from vacancia.operators.aggregates import largest_array_wins, min_support
-from vacancia.operators.dedup import dedup_by_normalized_url
+from vacancia.operators.aggregates import largest_array_wins
 from vacancia.operators.filters import MIN_JSON, MIN_PAGE_DESCRIPTION
 from vacancia.schema import location, posting_columns
+from vacancia.session import cut_lineage
 from vacancia.sources.payloads import has_text
 
 LD_JSON = "application/ld+json"
@@ -196,9 +197,8 @@ def parse_loose_job(items: DataFrame) -> DataFrame:
     full = F.when(F.startswith(link, F.lit("http")), link).otherwise(
         F.concat(urls.origin(F.col("url")), link)
     )
-    read = items.select(
-        "*", title.alias("title"), full.alias("job_url"),
-        first_field(item, DESCRIPTION_KEYS).alias("raw_text"),
+    read = with_once(
+        items, title=title, job_url=full, raw_text=first_field(item, DESCRIPTION_KEYS)
     ).where(urls.is_loose_title(F.col("title")))
     read = read.withColumn("description", convert_if_html(F.col("raw_text")))
     text = F.col("description")
@@ -232,37 +232,61 @@ def parse_next_data(pages: DataFrame) -> DataFrame:
 
 def parse_captured(responses: DataFrame, **options) -> DataFrame:
     """Captured responses of a page: the one with most usable rows stands for the page."""
-    items = best_job_array(captured_bodies(responses)).withColumn("candidate", F.col("seq"))
+    items = cut_lineage(
+        best_job_array(captured_bodies(responses)).withColumn("candidate", F.col("seq")), "captured"
+    )
     best = largest_array_wins(items, ["url"], "candidate", spread=("seq", "pos"), **options)
     return parse_loose_job(best.drop("candidate"))
 
 
 # ---- links ------------------------------------------------------------------------------------
 
+def _own_links(html: Column, page: Column) -> Column:
+    """``array<struct<pos, href, text>>`` of links that stay on the page's site, made absolute."""
+
+    def on_site(name: Column) -> Column:
+        full = F.transform(
+            page_links(html),
+            lambda x: F.struct(
+                x["pos"], urls.absolute_url(x["href"], page).alias("href"), x["text"]
+            ),
+        )
+        return F.filter(
+            full,
+            lambda x: F.startswith(x["href"], F.lit("http"))
+            & urls.same_site(urls.host(x["href"]), name),
+        )
+
+    return let(urls.host(page), on_site)
+
+
 def site_links(pages: DataFrame) -> DataFrame:
-    """``seq, url, company, pos, href, text``: links that stay on the page's site, made absolute."""
-    links = pages.select(
-        "seq", "url", "company", F.explode(page_links(F.col("payload"))).alias("link")
-    )
-    full = urls.absolute_url(F.col("link.href"), F.col("url"))
-    return links.select(
-        "seq", "url", "company", F.col("link.pos").alias("pos"), full.alias("href"),
-        F.col("link.text").alias("text"),
-    ).where(
-        F.startswith("href", F.lit("http")) & urls.same_site(urls.host(F.col("href")), urls.host(F.col("url")))
+    """``seq, url, company, pos, href, text`` of links that stay on the page's site."""
+    return pages.select(
+        "seq", "url", "company", F.inline(_own_links(F.col("payload"), F.col("url")))
     )
 
 
-def extract_job_links(pages: DataFrame, at_least: int = 2, **options) -> DataFrame:
-    """Postings from links alone; only for pages that have enough of them."""
-    found = site_links(pages).where(
-        F.length("text").between(5, 150)
-        & urls.is_job_url(F.col("href"))
-        & ~urls.is_category_url(F.col("href"))
+def extract_job_links(pages: DataFrame, at_least: int = 2) -> DataFrame:
+    """Postings from links alone; only for pages that have enough of them.
+
+    A page's links are judged, freed of repeats and counted inside its row: no shuffle.
+    """
+
+    def judged(links: Column) -> Column:
+        found = F.filter(
+            links,
+            lambda x: F.length(x["text"]).between(5, 150)
+            & urls.is_job_url(x["href"])
+            & ~urls.is_category_url(x["href"]),
+        )
+        once = distinct_by(found, lambda x: urls.normalized_url(x["href"]))
+        titled = F.filter(once, lambda x: urls.is_link_title(x["text"]))
+        return let(titled, lambda t: F.when(F.size(t) >= at_least, t))
+
+    rows = pages.select(
+        "seq", "url", "company", F.inline(judged(_own_links(F.col("payload"), F.col("url"))))
     )
-    once = dedup_by_normalized_url(found, "href", ["seq"])
-    titled = once.where(urls.is_link_title(F.col("text")))
-    rows = min_support(titled, ["seq"], at_least, spread=("pos",), **options)
     return rows.select(
         *posting_columns(
             seq=F.col("seq"),
@@ -282,19 +306,17 @@ def extract_job_links(pages: DataFrame, at_least: int = 2, **options) -> DataFra
 def find_listing_link(pages: DataFrame) -> DataFrame:
     """``seq, url, listing_url``: the first link to a list of all postings, chosen inside the row."""
 
+    page = F.col("url")
+
     def good(link: Column) -> Column:
-        full = urls.absolute_url(link["href"], F.col("url"))
-        return (
-            F.startswith(full, F.lit("http"))
-            & urls.same_site(urls.host(full), urls.host(F.col("url")))
-            & (F.rtrim(full, F.lit("/")) != F.rtrim(F.col("url"), F.lit("/")))
-            & urls.is_listing_link(full, link["text"])
+        return (F.rtrim(link["href"], F.lit("/")) != F.rtrim(page, F.lit("/"))) & (
+            urls.is_listing_link(link["href"], link["text"])
         )
 
-    first = F.get(F.filter(page_links(F.col("payload")), good), F.lit(0))
-    return pages.select(
-        "seq", "url", urls.absolute_url(first["href"], F.col("url")).alias("listing_url")
-    ).where(F.col("listing_url").isNotNull())
+    first = F.filter(_own_links(F.col("payload"), page), good)
+    return pages.select("seq", "url", F.inline(F.slice(first, 1, 1))).select(
+        "seq", "url", F.col("href").alias("listing_url")
+    )
 
 
 def detect_embedded_ats(pages: DataFrame) -> DataFrame:
@@ -358,16 +380,29 @@ def sitemap_children(raw: DataFrame) -> DataFrame:
     )
 
 
-def sitemap_postings(raw: DataFrame, at_least: int = 2, **options) -> DataFrame:
-    """Postings from sitemap entries: titles come from the URL."""
-    once = dedup_by_normalized_url(parse_sitemap(raw), "loc", ["seq"])
-    loc = F.col("loc")
-    titled = (
-        once.where(~urls.is_apply_url(loc) & ~urls.is_category_url(loc))
-        .withColumn("title", urls.title_from_slug(loc))
-        .where(urls.is_sitemap_title(F.col("title")))
+def sitemap_postings(raw: DataFrame, at_least: int = 2) -> DataFrame:
+    """Postings from the entries of a sitemap: titles come from the URLs."""
+
+    def judged(entries: Column) -> Column:
+        found = F.filter(entries, lambda e: urls.is_job_url(e["loc"]))
+        once = distinct_by(found, lambda e: urls.normalized_url(e["loc"]))
+        kept = F.filter(
+            once, lambda e: ~urls.is_apply_url(e["loc"]) & ~urls.is_category_url(e["loc"])
+        )
+        titled = F.filter(
+            F.transform(kept, lambda e: e.withField("title", urls.title_from_slug(e["loc"]))),
+            lambda e: urls.is_sitemap_title(e["title"]),
+        )
+        return let(titled, lambda t: F.when(F.size(t) >= at_least, t))
+
+    entries = F.transform(
+        "map.url",
+        lambda e, i: F.struct(
+            i.alias("pos"), strip(e["loc"]).alias("loc"), strip(e["lastmod"]).alias("lastmod")
+        ),
     )
-    rows = min_support(titled, ["seq"], at_least, spread=("pos",), **options)
+    rows = _read_sitemaps(raw).select("seq", "url", "company", F.inline(judged(entries)))
+    loc = F.col("loc")
     return rows.select(
         *posting_columns(
             seq=F.col("seq"),
