@@ -10,7 +10,7 @@ from checks.registry import query
 from vacancia.functions import job_types, locations, remote, salary, text, urls
 from vacancia.operators import assemble
 from vacancia.plans.collect import SearchSpec, collect_postings
-from vacancia.schema import OUTPUT_COLUMNS, compensation, posting_columns
+from vacancia.schema import OUTPUT_FIELDS, compensation, posting_columns
 
 
 def postings(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,10 +173,18 @@ def annualize(spark, sf):
     return df.select("seq", "comp.interval", "comp.min_amount", "comp.max_amount")
 
 
-NULL_TEXT = "CAST(NULL AS VARCHAR)"
-ALIGNED = ", ".join(
-    {"id": "id", "site": "site", "title": "title"}.get(c, "NULL") + f" AS {c}" for c in OUTPUT_COLUMNS
-)
+SQL_TYPES = {"double": "DOUBLE", "bigint": "BIGINT", "boolean": "BOOLEAN"}
+
+
+def aligned(known: dict[str, str]) -> str:
+    """The output columns: known expressions, typed nulls for the rest (dates are written as text)."""
+    return ", ".join(
+        (known[c] if c in known else f"CAST(NULL AS {SQL_TYPES.get(t, 'VARCHAR')})") + f" AS {c}"
+        for c, t in OUTPUT_FIELDS.items()
+    )
+
+
+ALIGNED = aligned({"id": "id", "site": "site", "title": "title"})
 
 
 @query("align_schema", pst_sql(f"SELECT {ALIGNED} FROM pst"))
@@ -235,8 +243,7 @@ FULL = {
 
 
 def full_sql(source: str = "rec JOIN resolved USING (seq)", where: str = "") -> str:
-    cols = ", ".join(f"{FULL.get(c, 'NULL')} AS {c}" for c in OUTPUT_COLUMNS)
-    return f"SELECT {cols} FROM {source} {where}"
+    return f"SELECT {aligned(FULL)} FROM {source} {where}"
 
 
 @query("normalize_posting", pay_sql(full_sql(), resolved=RESOLVED))

@@ -548,7 +548,7 @@ def _loose_out(df):
 
 
 _LOOSE_OUT = """SELECT seq, 'custom:xhr:' || uid AS id, title, job_url, country AS city, site AS country, CAST(date_posted AS VARCHAR) AS date_posted,
-  true AS is_remote, NULL AS job_type FROM loose"""
+  true AS is_remote, CAST(NULL AS VARCHAR) AS job_type FROM loose"""
 
 
 @query("parse_next_data", pst_sql(_LOOSE_OUT, loose=_LOOSE))

@@ -67,7 +67,7 @@ def parse_currency_number(spark, sf):
 
 @query(
     "linkedin_salary",
-    pst_sql("""SELECT seq, NULL AS interval, CAST(a AS DOUBLE) AS min_amount, CAST(b AS DOUBLE) AS max_amount, 'USD' AS currency
+    pst_sql("""SELECT seq, CAST(NULL AS VARCHAR) AS interval, CAST(a AS DOUBLE) AS min_amount, CAST(b AS DOUBLE) AS max_amount, 'USD' AS currency
       FROM (SELECT seq, 30000 + seq % 40 * 1000 AS a, 80000 + seq % 9 * 1000 AS b FROM pst WHERE seq % 3 = 0)
       UNION ALL SELECT seq, NULL, NULL, NULL, NULL FROM pst WHERE seq % 3 <> 0"""),
 )
@@ -83,7 +83,7 @@ def linkedin_salary(spark, sf):
 
 @query(
     "indian_salary",
-    pst_sql("""SELECT seq, NULL AS interval, CASE WHEN hit THEN trunc(CAST(a AS DOUBLE) * u) END AS min_amount,
+    pst_sql("""SELECT seq, CAST(NULL AS VARCHAR) AS interval, CASE WHEN hit THEN trunc(CAST(a AS DOUBLE) * u) END AS min_amount,
       CASE WHEN hit THEN trunc(CAST(b AS DOUBLE) * u) END AS max_amount, CASE WHEN hit THEN 'INR' END AS currency
       FROM (SELECT seq, regexp_matches(salary_label, '^(\\d+(?:\\.\\d+)?)\\s*-\\s*(\\d+(?:\\.\\d+)?)\\s*(Lacs|Lakh|Cr)') AS hit,
         regexp_extract(salary_label, '^(\\d+(?:\\.\\d+)?)', 1) AS a, regexp_extract(salary_label, '-\\s*(\\d+(?:\\.\\d+)?)', 1) AS b,
@@ -266,7 +266,7 @@ _PARTS = "SELECT seq, location_text AS t, [trim(x) FOR x IN string_split(locatio
 _PLACE = "SELECT seq, {city} AS city, {state} AS state, {country} AS country FROM p"
 
 
-def place_sql(city="p[1]", state="NULL", country="NULL", where=""):
+def place_sql(city="p[1]", state="CAST(NULL AS VARCHAR)", country="CAST(NULL AS VARCHAR)", where=""):
     return pst_sql(_PLACE.format(city=city, state=state, country=country) + where, p=_PARTS)
 
 
@@ -332,7 +332,7 @@ def loc_lever(spark, sf):
     return _place(pst(spark, sf), locations.loc_lever(F.col("location_text")), "seq")
 
 
-@query("loc_ashby_bamboo", place_sql("p[1]", "NULL", "CASE WHEN len(p) >= 2 THEN p[-1] END"))
+@query("loc_ashby_bamboo", place_sql("p[1]", "CAST(NULL AS VARCHAR)", "CASE WHEN len(p) >= 2 THEN p[-1] END"))
 def loc_ashby_bamboo(spark, sf):
     return _place(pst(spark, sf), locations.loc_ashby_bamboo(F.col("location_text")), "seq")
 

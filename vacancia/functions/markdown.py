@@ -55,10 +55,12 @@ def to_markdown(html: str) -> str:
     nodes = scan_html(html)
     children: list[list[str]] = [[] for _ in range(len(nodes) + 1)]
     ordinal, depth, fixed = {}, [0] * len(nodes), [False] * len(nodes)
+    in_item = [False] * len(nodes)
     seen_items: dict[int, int] = {}
     for i, (_, parent, tag, *_rest) in enumerate(nodes):
         above = nodes[parent][2] if parent >= 0 else ""
-        depth[i] = (depth[parent] if parent >= 0 else 0) + (tag in ("ul", "ol"))
+        depth[i] = (depth[parent] if parent >= 0 else 0) + (tag == "ul")
+        in_item[i] = parent >= 0 and (above == "li" or in_item[parent])
         fixed[i] = tag == "pre" or (parent >= 0 and fixed[parent])
         if tag == "li":
             seen_items[parent] = seen_items.get(parent, 0) + 1
@@ -106,8 +108,7 @@ def to_markdown(html: str) -> str:
             bullet = f"{ordinal[i]}." if ordinal[i] else _BULLETS[(depth[i] - 1) % 3]
             out = f"{bullet} {_indent(inner.strip(), len(bullet) + 1)}\n"
         elif tag in ("ul", "ol"):
-            nested = depth[i] > 1
-            out = "\n" + inner.rstrip() if nested else f"\n\n{inner}\n"
+            out = "\n" + inner.rstrip() if in_item[i] else f"\n\n{inner}\n"
         elif tag == "blockquote":
             quoted = "\n".join(f"> {line}".rstrip() for line in inner.strip().split("\n"))
             out = f"\n\n{quoted}\n\n" if inner.strip() else ""

@@ -194,35 +194,44 @@ def find(nodes: Column, match: Match) -> Column:
     return F.get(F.filter(nodes, match), F.lit(0))
 
 
+# Nodes are passed as expressions, so each helper binds its node once: inside a lambda it would
+# otherwise be searched again for every element.
+
 def inside(nodes: Column, node: Column) -> Column:
     """Descendants of a node. Only valid on the full array of a page."""
-    return F.slice(nodes, node["pos"] + 2, node["stop"] - node["pos"] - 1)
+    return let(node, lambda n: F.slice(nodes, n["pos"] + 2, n["stop"] - n["pos"] - 1))
 
 
 def following(nodes: Column, node: Column) -> Column:
     """Everything after a node's start, descendants included."""
-    return F.filter(nodes, lambda n: n["pos"] > node["pos"])
+    return let(node, lambda n: F.slice(nodes, n["pos"] + 2, F.size(nodes)))
 
 
 def siblings_after(nodes: Column, node: Column) -> Column:
-    return F.filter(nodes, lambda n: (n["pos"] > node["pos"]) & (n["parent"] == node["parent"]))
+    return let(
+        node,
+        lambda n: F.filter(
+            F.slice(nodes, n["stop"] + 1, F.size(nodes)), lambda x: x["parent"] == n["parent"]
+        ),
+    )
 
 
 def text_of(nodes: Column, node: Column, separator: str = "") -> Column:
     """Stripped text pieces below a node, joined; null for no node."""
-    pieces = F.transform(
-        F.filter(inside(nodes, node), lambda n: n["tag"] == "#text"), lambda n: strip(n["text"])
-    )
-    return F.when(
-        node.isNotNull(), F.array_join(F.filter(pieces, lambda t: t != ""), separator)
-    )
+
+    def joined(n: Column) -> Column:
+        texts = F.filter(
+            F.slice(nodes, n["pos"] + 2, n["stop"] - n["pos"] - 1), lambda x: x["tag"] == "#text"
+        )
+        pieces = F.transform(texts, lambda x: strip(x["text"]))
+        return F.array_join(F.filter(pieces, lambda t: t != ""), separator)
+
+    return let(node, joined)
 
 
 def outer_html(html: Column, node: Column) -> Column:
     """Source text of a node."""
-    return F.when(
-        node.isNotNull(), F.substr(html, node["start"] + 1, node["end"] - node["start"])
-    )
+    return let(node, lambda n: F.substr(html, n["start"] + 1, n["end"] - n["start"]))
 
 
 # ---- links and scripts, without the node array ------------------------------------------------

@@ -42,9 +42,14 @@ def non_empty(text: Column) -> Column:
     return F.when(text != "", text)
 
 
+def filled(text: Column) -> Column:
+    """Null for the empty string, for expressions that are worth evaluating once."""
+    return let(text, non_empty)
+
+
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """A group of the leftmost match, null when there is none (or the group is empty)."""
-    return let(F.regexp_extract(text, pattern, group), non_empty)
+    return filled(F.regexp_extract(text, pattern, group))
 
 
 def any_of(words: Iterable[str]) -> str:

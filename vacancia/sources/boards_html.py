@@ -12,12 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.functions import dates, job_types, locations, remote, salary, urls
+from vacancia.functions.arrays import with_once
 from vacancia.functions.markdown import convert_if_html, formatted
 from vacancia.functions.markup import (
-    attr, attr_like, attr_of, both, class_like, find, find_all, following, has_class, html_nodes,
+    Match, attr, attr_like, attr_of, both, class_like, find, find_all, following, has_class, html_nodes,
     inside, outer_html, script_bodies, siblings_after, tag, text_of,
 )
-from vacancia.functions.text import extract_emails, first_match, let, non_empty, rx, strip
+from vacancia.functions.text import (
+    extract_emails, filled, first_match, let, non_empty, rx, strip,
+)
 from vacancia.lookups import POSTING_URL
 from vacancia.schema import location, posting_columns
 from vacancia.sources.payloads import ParseOptions, has_text
@@ -98,21 +101,25 @@ def parse_linkedin_cards(raw: DataFrame, options: ParseOptions | None = None) ->
     )
 
 
-def _criterion(nodes: Column, label: str) -> Column:
-    """Text of the criterion that follows a heading with the label."""
-    head = find(
+def _heading(nodes: Column, match: Match, label: str) -> Column:
+    """First matching node whose text contains the label."""
+    return find(
         nodes,
-        lambda n: both(tag("h3"), has_class("description__job-criteria-subheader"))(n)
-        & F.contains(F.coalesce(text_of(nodes, n), F.lit("")), F.lit(label)),
+        lambda n: match(n) & F.contains(F.coalesce(text_of(nodes, n), F.lit("")), F.lit(label)),
     )
+
+
+def _criterion(nodes: Column, label: str) -> Column:
+    """Text of the criterion that follows a heading with the label."""
+    heading = both(tag("h3"), has_class("description__job-criteria-subheader"))
     value = find(
-        siblings_after(nodes, head),
+        siblings_after(nodes, _heading(nodes, heading, label)),
         both(
             tag("span"),
             has_class("description__job-criteria-text description__job-criteria-text--criteria"),
         ),
     )
-    return non_empty(text_of(nodes, value))
+    return filled(text_of(nodes, value))
 
 
 def parse_linkedin_detail(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
@@ -121,25 +128,31 @@ def parse_linkedin_detail(raw: DataFrame, options: ParseOptions | None = None) -
     n, html = F.col("nodes"), F.col("payload")
     body = find(n, both(tag("div"), class_like("show-more-less-html__markup")))
     kind = F.lower(F.replace(_criterion(n, "Employment type"), F.lit("-"), F.lit("")))
-    head = find(
-        n,
-        lambda x: tag("h3")(x) & F.contains(F.coalesce(text_of(n, x), F.lit("")), F.lit("Job function")),
-    )
     function = find(
-        following(n, head), both(tag("span"), has_class("description__job-criteria-text"))
+        following(n, _heading(n, tag("h3"), "Job function")),
+        both(tag("span"), has_class("description__job-criteria-text")),
+    )
+    logo = find(n, both(tag("img"), has_class("artdeco-entity-image")))
+    fields = with_once(
+        raw.withColumn("nodes", html_nodes(html)),
+        body=outer_html(html, body),
+        job_level=F.lower(_criterion(n, "Seniority level")),
+        company_industry=_criterion(n, "Industries"),
+        kind=kind,
+        job_function=text_of(n, function, " "),
+        company_logo=attr_of(logo, "data-delayed-url"),
+        apply=outer_html(html, find(n, both(tag("code"), attr("id", "applyUrl")))),
     )
-    return raw.withColumn("nodes", html_nodes(F.col("payload"))).select(
+    return fields.select(
         "seq",
         F.concat(F.lit("li-"), F.element_at(F.split("url", "/"), -1)).alias("id"),
-        formatted(outer_html(html, body), o.description_format).alias("description"),
-        F.lower(_criterion(n, "Seniority level")).alias("job_level"),
-        _criterion(n, "Industries").alias("company_industry"),
-        F.filter(F.array(job_types.job_type_of(kind)), lambda t: t.isNotNull()).alias("job_type"),
-        text_of(n, function, " ").alias("job_function"),
-        attr_of(find(n, both(tag("img"), has_class("artdeco-entity-image"))), "data-delayed-url")
-        .alias("company_logo"),
-        urls.unquote_direct_url(outer_html(html, find(n, both(tag("code"), attr("id", "applyUrl")))))
-        .alias("job_url_direct"),
+        formatted(F.col("body"), o.description_format).alias("description"),
+        "job_level",
+        "company_industry",
+        F.filter(F.array(job_types.job_type_of(F.col("kind"))), lambda t: t.isNotNull()).alias("job_type"),
+        "job_function",
+        "company_logo",
+        urls.unquote_direct_url(F.col("apply")).alias("job_url_direct"),
     )
 
 
@@ -154,11 +167,12 @@ def parse_ziprecruiter_detail(raw: DataFrame, options: ParseOptions | None = Non
     both_parts = F.concat(
         F.coalesce(outer_html(html, job), F.lit("")), F.coalesce(outer_html(html, firm), F.lit(""))
     )
+    fields = with_once(raw.withColumn("nodes", html_nodes(html)), body=filled(both_parts))
     state = F.get(script_bodies(html, "application/json"), F.lit(0))
-    return raw.withColumn("nodes", html_nodes(F.col("payload"))).select(
+    return fields.select(
         "seq",
         F.concat(F.lit("zr-"), first_match(F.col("url"), r"lvk=([^&#]+)")).alias("id"),
-        formatted(non_empty(both_parts), o.description_format).alias("description"),
+        formatted(F.col("body"), o.description_format).alias("description"),
         first_match(F.get_json_object(state, "$.model.saveJobURL"), r"job_url=(.+)")
         .alias("job_url_direct"),
     )
@@ -167,13 +181,14 @@ def parse_ziprecruiter_detail(raw: DataFrame, options: ParseOptions | None = Non
 def parse_seek_detail(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
     """Full description by id (last path part of the payload's URL)."""
     o = options or ParseOptions()
-    n = F.col("nodes")
+    n, html = F.col("nodes"), F.col("payload")
     marked = attr("data-automation", "jobAdDetails")
     body = F.coalesce(find(n, both(tag("span"), marked)), find(n, both(tag("div"), marked)))
-    return raw.withColumn("nodes", html_nodes(F.col("payload"))).select(
+    fields = with_once(raw.withColumn("nodes", html_nodes(html)), body=outer_html(html, body))
+    return fields.select(
         "seq",
         F.element_at(F.split("url", "/"), -1).alias("id"),
-        formatted(outer_html(F.col("payload"), body), o.description_format).alias("description"),
+        formatted(F.col("body"), o.description_format).alias("description"),
     )
 
 
@@ -252,7 +267,7 @@ def parse_bdjobs_cards(raw: DataFrame, options: ParseOptions | None = None) -> D
             return _struct(
                 href=attr_of(link, "href"),
                 title=F.coalesce(
-                    non_empty(text_of(nodes, link)), text_of(nodes, heading), F.lit("N/A")
+                    filled(text_of(nodes, link)), text_of(nodes, heading), F.lit("N/A")
                 ),
                 company=F.coalesce(
                     by_class("comp-name-text"), by_class("company", "org", "comp-name"), F.lit("N/A")
@@ -307,7 +322,7 @@ def _labelled(nodes: Column, *labels: str) -> Column:
         lambda n: box(n)
         & F.coalesce(F.lower(_single_string(nodes, n)).rlike("|".join(labels)), F.lit(False)),
     )
-    return non_empty(text_of(nodes, find(following(nodes, label), box)))
+    return filled(text_of(nodes, find(following(nodes, label), box)))
 
 
 def parse_bdjobs_detail(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
@@ -334,24 +349,27 @@ def parse_bdjobs_detail(raw: DataFrame, options: ParseOptions | None = None) ->
         )
         return F.array_join(F.flatten(lines), "\n")
 
-    listed = non_empty(let(siblings_after(n, head), duties))
+    listed = filled(let(siblings_after(n, head), duties))
     block = find(
         n, both(tag("div", "section"), class_like("job-description", "details", "requirements"))
     )
-    described = raw.withColumn("nodes", html_nodes(F.col("payload"))).withColumn(
-        "listed", listed
+    fields = with_once(
+        raw.withColumn("nodes", html_nodes(html)),
+        listed=listed,
+        block=outer_html(html, block),
+        kind=_labelled(n, "job type", "employment type"),
+        company_industry=_labelled(n, "industry"),
     )
-    wanted = F.when(F.col("listed").isNull(), outer_html(html, block))
+    wanted = F.when(F.col("listed").isNull(), F.col("block"))
     style = "markdown" if o.description_format == "markdown" else "html"
-    return described.select(
+    return fields.select(
         "seq",
         first_match(F.col("url"), r"jobid=([^&]*)").alias("id"),
         F.coalesce(F.col("listed"), formatted(wanted, style), F.lit("")).alias("description"),
         F.filter(
-            F.array(job_types.normalize_job_type(_labelled(n, "job type", "employment type"))),
-            lambda t: t.isNotNull(),
+            F.array(job_types.normalize_job_type(F.col("kind"))), lambda t: t.isNotNull()
         ).alias("job_type"),
-        _labelled(n, "industry").alias("company_industry"),
+        "company_industry",
     )
 
 
@@ -541,11 +559,13 @@ def parse_jazzhr(raw: DataFrame, options: ParseOptions | None = None) -> DataFra
 
 def parse_jazzhr_detail(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
     """Description by posting URL."""
+    html = F.col("payload")
     body = find(F.col("nodes"), attr("id", "job-description"))
-    return raw.withColumn("nodes", html_nodes(F.col("payload"))).select(
+    fields = with_once(raw.withColumn("nodes", html_nodes(html)), body=outer_html(html, body))
+    return fields.select(
         "seq",
         F.col("url").alias("job_url"),
-        formatted(outer_html(F.col("payload"), body), "markdown").alias("description"),
+        formatted(F.col("body"), "markdown").alias("description"),
     )
 
 

@@ -396,7 +396,7 @@ def google_positional_job(records: DataFrame, options: ParseOptions | None = Non
 
 def google_initial_records(raw: DataFrame) -> DataFrame:
     """Record texts embedded in the first result page."""
-    pattern = r"520084652\":(\[.*?\]\s*])\s*}\s*]\s*]\s*]\s*]\s*]"
+    pattern = r"(?d)520084652\":(\[.*?\]\s*])\s*}\s*]\s*]\s*]\s*]\s*]"
     return raw.select(
         "seq",
         F.posexplode(F.regexp_extract_all("payload", F.lit(pattern), F.lit(1))).alias("pos", "record"),
