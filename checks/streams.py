@@ -1 +1,66 @@
+"""Streaming forms, run to completion over the files of a folder."""
 
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from checks.assembly import aligned
+from checks.inputs import AS_OF, plain, pst, pst_sql, table
+from checks.payloads_json import day_text, key, s
+from checks.registry import query
+from vacancia.session import work_folder
+from vacancia.sources import RAW_DDL, careers_json
+from vacancia.sources.payloads import ParseOptions
+from vacancia.streaming.postings import read_landed, stream_dedup, stream_normalize, write_available
+
+
+def _folder(spark, name):
+    return work_folder(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup_query(spark, sf):
+    """Events as a stream; one row per user and kind of event within the delay."""
+    schema = table(spark, sf, "events").schema
+    stream = read_landed(spark, sf, schema, "events.parquet")
+    once = stream_dedup(stream.select("user_id", "event_type", "ts"), ["user_id", "event_type"], "60 days")
+    path = _folder(spark, "stream-dedup")
+    write_available(once, path, f"{path}-checkpoint")
+    return spark.read.parquet(path).select("user_id", "event_type")
+
+
+@query(
+    "stream_normalize",
+    pst_sql(
+        "SELECT "
+        + aligned(
+            {
+                "id": "'greenhouse:acme:' || CAST(seq AS VARCHAR)", "site": "'greenhouse'", "job_url": "job_url", "title": "title",
+                "company": "company_name", "location": "'Cork, Ireland'", "date_posted": "CAST(date_posted AS VARCHAR)", "is_remote": "false",
+                "description": "'plain'",
+            }
+        )
+        + " FROM pst"
+    ),
+)
+def stream_normalize_query(spark, sf):
+    """Landed payloads written as files, then read, parsed and normalised as a stream."""
+    job = s(
+        id=key(), title=F.col("title"), absolute_url=F.col("job_url"), location=s(name="Cork, Ireland"), content="plain", updated_at=day_text(),
+    )
+    landed = pst(spark, sf).select(
+        "seq", F.lit("greenhouse").alias("site"), F.lit(None).cast("timestamp").alias("fetched_at"),
+        F.lit("https://boards.greenhouse.io/acme").alias("url"), F.col("company_name").alias("company"),
+        F.to_json(s(jobs=F.array(job))).alias("payload"),
+    )
+    folder = _folder(spark, "landed")
+    landed.write.parquet(folder)
+    stream = read_landed(spark, folder, RAW_DDL)
+    options = ParseOptions(as_of=AS_OF)
+    flat = stream_normalize(stream, lambda raw: careers_json.GREENHOUSE.parse(raw, options))
+    path = _folder(spark, "stream-postings")
+    write_available(flat, path, f"{path}-checkpoint", ["site"])
+    back = spark.read.schema(flat.schema).parquet(path)
+    return plain(back.select(*flat.columns))
