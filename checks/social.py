@@ -106,7 +106,7 @@ def _untag(expr: str) -> str:
 
 def _first_good(patterns, min_length: int, cut: int, clean=_untag) -> str:
     tries = []
-    for p in patterns:
+    for p, _ in patterns:
         found = clean(f"trim(regexp_extract(text, '{_sql_rx(p)}', 1))")
         tries.append(f"CASE WHEN length({found}) > {min_length} THEN left({found}, {cut}) END")
     return f"coalesce({', '.join(tries)})"

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vacancia.functions.text import contains_any, rx, strip
+from vacancia.functions.text import contains_any, let, rx, strip
 from vacancia.lookups import SYNONYM_TO_JOB_TYPE, lookup
 
-# Wording in running text.
-TEXT_PATTERNS = {
-    "fulltime": r"full\s?time",
-    "parttime": r"part\s?time",
-    "internship": r"internship",
-    "contract": r"contract",
+# Wording in running text. Two words may be written with one blank or none between.
+TEXT_WORDS = {
+    "fulltime": ("full", "time"),
+    "parttime": ("part", "time"),
+    "internship": ("internship",),
+    "contract": ("contract",),
 }
 # Board vocabularies.
 SEEK_WORK_TYPES = {
@@ -37,10 +37,17 @@ def or_null(types: Column) -> Column:
 
 def extract_job_type(text: Column) -> Column:
     """Types named in running text: ``[]`` for no text, null for text that names none."""
-    hits = _present(
-        *[F.when(text.rlike(rx(p, ignore_case=True)), name) for name, p in TEXT_PATTERNS.items()]
-    )
-    return F.when(F.length(text) > 0, or_null(hits)).otherwise(F.array().cast(NO_TYPES))
+
+    def hits(low: Column) -> Column:
+        def named(words: tuple[str, ...]) -> Column:
+            # Plain searches settle nearly all texts without a regex.
+            there = F.contains(low, F.lit(words[-1]))
+            return there & low.rlike(rx(r"\s?".join(words))) if len(words) > 1 else there
+
+        return or_null(_present(*[F.when(named(w), name) for name, w in TEXT_WORDS.items()]))
+
+    none = F.array().cast(NO_TYPES)
+    return F.when(F.length(text) > 0, let(F.lower(text), hits)).otherwise(none)
 
 
 def job_type_of(spelling: Column) -> Column:

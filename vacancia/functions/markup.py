@@ -22,7 +22,8 @@ from vacancia.functions.text import let, strip
 # Helpers travel to the executors with the job, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# ``stop`` is one past the last descendant's position; text nodes have the tag ``#text``.
+# ``stop`` is one past the last descendant's position; text nodes have the tag ``#text``; ``cls``
+# holds the class names with one blank around each, so that a name is found by a plain search.
 # ``start``/``end`` are character offsets of the element in the page.
 NODE_TYPE = T.ArrayType(
     T.StructType(
@@ -125,7 +126,7 @@ def html_nodes(pages: pa.Array) -> pa.Array:
             pa.array(stop, pa.int32()),
             pa.array(parent, pa.int32()),
             pa.array(tag, pa.string()),
-            pa.array([a.get("class") for a in attrs], pa.string()),
+            pa.array([f" {' '.join(a['class'].split())} " if "class" in a else None for a in attrs], pa.string()),
             pa.MapArray.from_arrays(
                 pa.array(map_ends, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string())
             ),
@@ -144,16 +145,15 @@ Match = Callable[[Column], Column]
 
 
 def tag(*names: str) -> Match:
-    return lambda n: n["tag"].isin(*names)
+    return (lambda n: n["tag"] == names[0]) if len(names) == 1 else lambda n: n["tag"].isin(*names)
 
 
 def has_class(name: str) -> Match:
     """One of the class names, or the whole attribute when ``name`` has blanks."""
+    padded = F.lit(f" {name} ")
     if " " in name:
-        return lambda n: F.coalesce(n["cls"] == name, F.lit(False))
-    return lambda n: F.coalesce(
-        F.array_contains(F.split(n["cls"], r"\s+"), name), F.lit(False)
-    )
+        return lambda n: F.coalesce(n["cls"] == padded, F.lit(False))
+    return lambda n: F.coalesce(F.contains(n["cls"], padded), F.lit(False))
 
 
 def class_like(*parts: str) -> Match:

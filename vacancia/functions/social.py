@@ -5,37 +5,58 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vacancia.functions.text import first_match, let, non_empty, rx, strip
+from vacancia.functions.text import contains_any, first_match, let, non_empty, rx, strip
 from vacancia.functions.urls import host
 
-# Patterns, in order of preference.
+# Patterns in order of preference, each with texts of which one must be present.
 TWEET_TITLES = (
-    r"(?:hiring|looking for|we need|open position|job opening|now hiring)[:\s]+(.+?)(?:\n|$)",
-    r"^(.+?)\s+(?:needed|wanted|required)",
-    r"(?:role|position)[:\s]+(.+?)(?:\n|$)",
-    r"#hiring\s+(.+?)(?:\n|$|#)",
+    (
+        r"(?:hiring|looking for|we need|open position|job opening|now hiring)[:\s]+(.+?)(?:\n|$)",
+        ("hiring", "looking for", "we need", "open position", "job opening"),
+    ),
+    (r"^(.+?)\s+(?:needed|wanted|required)", ("needed", "wanted", "required")),
+    (r"(?:role|position)[:\s]+(.+?)(?:\n|$)", ("role", "position")),
+    (r"#hiring\s+(.+?)(?:\n|$|#)", ("#hiring",)),
 )
 POST_TITLES = (
-    r"\*{0,2}(?:hiring|looking for|we need|now hiring|ищем|ищу|набираем|вакансия|vacancy)[:\s*]+"
-    r"(.+?)(?:\*{2}|\n|[.!](?:\s|$)|🏢|📍|💰|Employment|$)",
-    r"(?:open position|job opening|hot job|job alert|job opportunity)[:\s]+(.+?)(?:\n|$)",
-    r"(?:role|position)[:\s]+(.+?)(?:\n|$)",
-    r"[\x{1F300}-\x{1FAFF}\s]*([A-Z][A-Za-z\s]+(?:Developer|Engineer|Designer|Manager|Lead"
-    r"|Architect|Analyst|Consultant|Specialist|Intern|Coordinator|Director|VP|CTO|CEO)"
-    r"[\w\s–\-/]*?)(?:\n|[.!](?:\s|$)|$)",
+    (
+        r"\*{0,2}(?:hiring|looking for|we need|now hiring|ищем|ищу|набираем|вакансия|vacancy)[:\s*]+"
+        r"(.+?)(?:\*{2}|\n|[.!](?:\s|$)|🏢|📍|💰|Employment|$)",
+        ("hiring", "looking for", "we need", "ищем", "ищу", "набираем", "вакансия", "vacancy"),
+    ),
+    (
+        r"(?:open position|job opening|hot job|job alert|job opportunity)[:\s]+(.+?)(?:\n|$)",
+        ("open position", "job opening", "hot job", "job alert", "job opportunity"),
+    ),
+    (r"(?:role|position)[:\s]+(.+?)(?:\n|$)", ("role", "position")),
+    (
+        r"[\x{1F300}-\x{1FAFF}\s]*([A-Z][A-Za-z\s]+(?:Developer|Engineer|Designer|Manager|Lead"
+        r"|Architect|Analyst|Consultant|Specialist|Intern|Coordinator|Director|VP|CTO|CEO)"
+        r"[\w\s–\-/]*?)(?:\n|[.!](?:\s|$)|$)",
+        (
+            "developer", "engineer", "designer", "manager", "lead", "architect", "analyst",
+            "consultant", "specialist", "intern", "coordinator", "director", "vp", "cto", "ceo",
+        ),
+    ),
 )
 TWEET_LOCATIONS = (
-    r"(?:location|based in|located in|office in)[:\s]+(.+?)(?:\n|$|\|)",
-    r"\x{1F4CD}\s*(.+?)(?:\n|$)",
-    r"\x{1F30D}\s*(.+?)(?:\n|$)",
+    (
+        r"(?:location|based in|located in|office in)[:\s]+(.+?)(?:\n|$|\|)",
+        ("location", "based in", "located in", "office in"),
+    ),
+    (r"\x{1F4CD}\s*(.+?)(?:\n|$)", ("\U0001F4CD",)),
+    (r"\x{1F30D}\s*(.+?)(?:\n|$)", ("\U0001F30D",)),
 )
 POST_LOCATIONS = (
-    r"(?:location|based in|located in|office in|remote locations?)[:\s]+(.+?)(?:\n|$|\||🏢|💰|💻)",
-    r"\x{1F4CD}\s*(.+?)(?:\n|$)",
+    (
+        r"(?:location|based in|located in|office in|remote locations?)[:\s]+(.+?)(?:\n|$|\||🏢|💰|💻)",
+        ("location", "based in", "located in", "office in"),
+    ),
+    (r"\x{1F4CD}\s*(.+?)(?:\n|$)", ("\U0001F4CD",)),
 )
 COMPANIES = (
-    r"(?:at|@|company)[:\s]+(.+?)(?:\n|$|\||#)",
-    r"(?:join|work (?:at|for))\s+(.+?)(?:\n|$|\||#|!)",
+    (r"(?:at|@|company)[:\s]+(.+?)(?:\n|$|\||#)", ("at", "@", "company")),
+    (r"(?:join|work (?:at|for))\s+(.+?)(?:\n|$|\||#|!)", ("join", "work at", "work for")),
 )
 SUBTITLE_COMPANY = r"\bat\s+(.+?)(?:\s*[|·•]|$)"
 OWN_HOSTS = ("twitter.com", "x.com", "t.co")
@@ -47,14 +68,15 @@ def _without_hashtags(text: Column) -> Column:
     return strip(F.regexp_replace(text, rx(r"\s*#\S+"), ""))
 
 
-def _first_good(text: Column, patterns, clean, min_length: int, cut: int) -> Column:
+def _first_good(text: Column, rules, clean, min_length: int, cut: int) -> Column:
     """Cleaned group of the first pattern whose result is long enough."""
 
-    def candidate(pattern: str) -> Column:
+    def candidate(low: Column, pattern: str, hints: tuple[str, ...]) -> Column:
         found = clean(strip(first_match(text, rx(pattern, ignore_case=True))))
-        return let(found, lambda f: F.when(F.length(f) > min_length, F.left(f, F.lit(cut))))
+        good = let(found, lambda f: F.when(F.length(f) > min_length, F.left(f, F.lit(cut))))
+        return F.when(contains_any(low, hints), good)
 
-    return F.coalesce(*[candidate(p) for p in patterns])
+    return let(F.lower(text), lambda low: F.coalesce(*[candidate(low, *r) for r in rules]))
 
 
 def _first_line(text: Column, leading: str, min_length: int) -> Column:

@@ -84,7 +84,9 @@ def flatten_postings(df: DataFrame, country: str = "usa", annual: bool = False)
 def normalize_postings(
     df: DataFrame, country: str = "usa", annual: bool = False, sort: bool = True
 ) -> DataFrame:
-    """The output table: flat, aligned and sorted."""
-    flat = flatten_postings(df, country, annual)
-    return final_sort(flat) if sort else flat
+    """The output table: flat, aligned and sorted.
 
+    Sorting comes first: the sampling of a global sort runs its input, and the text rules should run
+    only once. The projection keeps the order.
+    """
+    return flatten_postings(final_sort(df) if sort else df, country, annual)

@@ -40,6 +40,17 @@ def enrich_with_details(
     kinds = dict(details.dtypes)
     wanted = [c for c in (*override, *fill) if c in kinds]
     prefixed = details.select(*on, *[F.col(c).alias(f"__d_{c}") for c in wanted])
+    renew = "description" in override
+    if renew:
+        # Read once per detail record, not once per listing that shares it.
+        fresh = _present(F.col("__d_description"), "string")
+        prefixed = prefixed.withColumns(
+            {
+                "__new": fresh.isNotNull(),
+                "__new_emails": extract_emails(fresh),
+                "__new_types": extract_job_type(fresh),
+            }
+        )
     joined = salted_join(listing, prefixed, on, "left", **options)
 
     new: dict[str, Column] = {}
@@ -47,15 +58,13 @@ def enrich_with_details(
         given = _present(F.col(f"__d_{name}"), kinds[name])
         mine = F.col(name)
         new[name] = F.coalesce(given, mine) if name in override else F.coalesce(mine, given)
-    if "description" in override:
-        fresh = _present(F.col("__d_description"), "string")
-        if "emails" in listing.columns:
-            new["emails"] = F.when(fresh.isNotNull(), extract_emails(fresh)).otherwise(F.col("emails"))
-        if "job_type" in listing.columns and job_type != "keep":
-            renew = fresh.isNotNull()
-            if job_type == "fill":
-                renew = renew & F.coalesce(F.size("job_type") <= 0, F.lit(True))
-            new["job_type"] = F.when(renew, extract_job_type(fresh)).otherwise(F.col("job_type"))
+    if renew and "emails" in listing.columns:
+        new["emails"] = F.when(F.col("__new"), F.col("__new_emails")).otherwise(F.col("emails"))
+    if renew and "job_type" in listing.columns and job_type != "keep":
+        due = F.col("__new")
+        if job_type == "fill":
+            due = due & F.coalesce(F.size("job_type") <= 0, F.lit(True))
+        new["job_type"] = F.when(due, F.col("__new_types")).otherwise(F.col("job_type"))
     return joined.select(
         *[(new[c] if c in new else F.col(c)).alias(c) for c in listing.columns]
     )

@@ -31,19 +31,24 @@ LD_JSON = "application/ld+json"
 
 # ---- linked data ------------------------------------------------------------------------------
 
-def _first_of(path: str) -> Column:
-    """An object, or the first of a list of objects."""
-    text = F.get_json_object("posting", path)
-    return F.when(
-        F.startswith(text, F.lit("[")), F.get_json_object(text, "$[0]")
-    ).otherwise(text)
+# Fields whose shape varies (object, list or text) are kept as JSON text and read in a second step.
+LD_POSTING = (
+    "struct<title:string,url:string,description:string,jobLocation:string,baseSalary:string,"
+    "datePosted:string,jobLocationType:string,employmentType:string,hiringOrganization:string,"
+    "identifier:string>"
+)
+LD_PLACE = "struct<address:struct<addressLocality:string,addressRegion:string,addressCountry:string>>"
+LD_PAY = "struct<currency:string,value:struct<minValue:string,maxValue:string,unitText:string>>"
 
 
-def _words(path: str) -> Column:
+def _is_list(text: Column) -> Column:
+    return F.startswith(text, F.lit("["))
+
+
+def _words(text: Column) -> Column:
     """A text, or a list of texts joined by blanks."""
-    text = F.get_json_object("posting", path)
     return F.when(
-        F.startswith(text, F.lit("[")), F.array_join(F.from_json(text, "array<string>"), " ")
+        _is_list(text), F.array_join(F.from_json(text, "array<string>"), " ")
     ).otherwise(text)
 
 
@@ -53,36 +58,37 @@ def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
         "seq", "url", "company",
         F.posexplode(jsonld_postings(script_bodies(F.col("payload"), LD_JSON))).alias("pos", "posting"),
     )
-
-    def get(path: str) -> Column:
-        return F.get_json_object(F.col("posting"), path)
-
-    address = F.from_json(
-        F.get_json_object(_first_of("$.jobLocation"), "$.address"),
-        "struct<addressLocality:string,addressRegion:string,addressCountry:string>",
-    )
-    pay = F.from_json(
-        get("$.baseSalary"),
-        "struct<currency:string,value:struct<minValue:string,maxValue:string,unitText:string>>",
-    )
-    page = F.coalesce(non_empty(get("$.url")), F.col("url"))
+    read = with_once(found, p=F.from_json("posting", LD_POSTING)).where(has_text(F.col("p.title")))
+    place = F.col("p.jobLocation")
+    first_place = F.when(
+        _is_list(place), F.get(F.from_json(place, "array<string>"), F.lit(0))
+    ).otherwise(place)
+    organization, identifier = F.col("p.hiringOrganization"), F.col("p.identifier")
+    page = F.coalesce(non_empty(F.col("p.url")), F.col("url"))
     native = F.when(
-        F.startswith(get("$.identifier"), F.lit("{")), F.coalesce(get("$.identifier.value"), F.lit(""))
+        F.startswith(identifier, F.lit("{")),
+        F.coalesce(F.get_json_object(identifier, "$.value"), F.lit("")),
     ).otherwise(urls.url_hash(page))
-    read = found.withColumn("description", convert_if_html(get("$.description"))).select(
-        "*", address.alias("address"), pay.alias("pay")
+    name = F.when(
+        F.startswith(organization, F.lit("{")), F.get_json_object(organization, "$.name")
     )
-    text = F.col("description")
-    types = _words("$.employmentType")
-    return read.where(has_text(get("$.title"))).select(
+    parts = with_once(
+        read.withColumn("description", convert_if_html(F.col("p.description"))),
+        address=F.from_json(first_place, LD_PLACE)["address"],
+        pay=F.from_json(F.col("p.baseSalary"), LD_PAY),
+        name=name,
+        types=_words(F.col("p.employmentType")),
+    )
+    text, types = F.col("description"), F.col("types")
+    return parts.select(
         *posting_columns(
             seq=F.col("seq"),
             pos=F.col("pos"),
             site=F.lit("custom"),
             source_url=F.col("url"),
             id=F.concat(F.lit("custom:jsonld:"), native),
-            title=get("$.title"),
-            company_name=F.coalesce(non_empty(get("$.hiringOrganization.name")), F.col("company")),
+            title=F.col("p.title"),
+            company_name=F.coalesce(non_empty(F.col("name")), F.col("company")),
             job_url=page,
             location=location(
                 F.col("address.addressLocality"), F.col("address.addressRegion"),
@@ -90,9 +96,10 @@ def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
             ),
             description=text,
             is_remote=F.contains(
-                F.upper(F.coalesce(_words("$.jobLocationType"), F.lit(""))), F.lit("TELECOMMUTE")
+                F.upper(F.coalesce(_words(F.col("p.jobLocationType")), F.lit(""))),
+                F.lit("TELECOMMUTE"),
             ),
-            date_posted=dates.iso_date(get("$.datePosted")),
+            date_posted=dates.iso_date(F.col("p.datePosted")),
             compensation=salary.jsonld_compensation(F.col("pay")),
             job_type=F.when(F.length(types) > 0, job_types.extract_job_type(types)),
             emails=F.when(F.length(text) > 0, extract_emails(text)),
