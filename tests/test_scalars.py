@@ -257,7 +257,7 @@ def test_text(values):
     assert values(text.html_to_text, "<p>a &amp; b&#8217;s &copy; &euro; &amp;lt;</p><script>x<y</script>b<!-- c -->", "<a title='>'>t</a>") == [
         "a & b’s © € &lt; b", "t"
     ]
-    assert values(text.strip_attributes, '<div class="a" id=b><p x=1>q</p></div>', "<br/>") == ["<div><p x=1>q</p></div>", "<br/>"]
+    assert values(text.strip_attributes, '<div class="a>" id=b><p x=1>q</p></div>', "<br/>", "<p>x</p>") == ["<div><p x=1>q</p></div>", "<br/>", "<p>x</p>"]
 
 
 def test_any_of_prefers_the_longest():
@@ -289,11 +289,12 @@ def test_urls(values):
 
 
 def test_html_scan():
-    nodes = markup.scan_html("<p>un<br>closed<p>two</x><script>a<b</script><div/>t &amp; u")
-    tags = [n[2] for n in nodes]
-    assert tags == ["p", "#text", "br", "#text", "p", "#text", "script", "div", "#text"]
-    assert nodes[0][0] == len(nodes) and nodes[4][1] == 0
-    assert nodes[6][4] == "a<b" and nodes[8][4] == "t & u"
+    stops, parents, tags, attrs, texts, _, _ = markup.scan_html(
+        "<p>un<br>closed<p>two</x><script>a<b</script><div/>t &amp; u<i title='a>b' don't>x</i>"
+    )
+    assert tags == ["p", "#text", "br", "#text", "p", "#text", "script", "div", "#text", "i", "#text"]
+    assert stops[0] == len(tags) and parents[4] == 0
+    assert texts[6] == "a<b" and texts[8] == "t & u" and attrs[9]["title"] == "a>b" and texts[10] == "x"
 
 
 def test_page_links(values):

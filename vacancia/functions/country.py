@@ -18,13 +18,18 @@ def country_by_flag(text: Column) -> Column:
     chain = F.when(F.contains(text, F.lit(flag(FLAG_CODES[0]))), FLAG_CODES[0])
     for code in FLAG_CODES[1:]:
         chain = chain.when(F.contains(text, F.lit(flag(code))), code)
-    # Nearly all texts have no regional indicator at all: one cheap scan settles them.
-    return F.when(text.rlike(r"[\x{1F1E6}-\x{1F1FF}]"), chain)
+    # Flags are pairs of regional indicators; plain ASCII text, where bytes and characters are as
+    # many, has none and is settled without a scan.
+    indicators = (F.octet_length(text) > F.length(text)) & text.rlike(r"[\x{1F1E6}-\x{1F1FF}]")
+    return F.when(indicators, chain)
 
 
 def _by_word(text: Column, table: dict[str, str]) -> Column:
-    # Matching lower-cased text is much cheaper than ignoring case at every comparison.
-    return lookup(table, first_match(F.lower(text), rx(rf"\b({any_of(table)})\b")))
+    # Matching lower-cased text is much cheaper than ignoring case at every comparison, and looking
+    # at the first letter is cheaper than deciding whether a word starts here.
+    first = "".join(sorted({word[0] for word in table}))
+    pattern = rx(rf"(?=[{first}])\b({any_of(table)})\b")
+    return lookup(table, first_match(F.lower(text), pattern))
 
 
 def country_by_name(text: Column) -> Column:

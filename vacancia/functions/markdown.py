@@ -52,7 +52,7 @@ def _indent(text: str, width: int) -> str:
 
 def to_markdown(html: str) -> str:
     """Headings, paragraphs, lists, links, emphasis, quotes, code, rules, images and tables."""
-    nodes = scan_html(html)
+    nodes = list(zip(*scan_html(html)))
     children: list[list[str]] = [[] for _ in range(len(nodes) + 1)]
     ordinal, depth, fixed = {}, [0] * len(nodes), [False] * len(nodes)
     in_item = [False] * len(nodes)
@@ -69,6 +69,7 @@ def to_markdown(html: str) -> str:
     # Children come after their parents, so a backward walk has them ready.
     for i in range(len(nodes) - 1, -1, -1):
         _, parent, tag, attrs, text, *_rest = nodes[i]
+        attrs = attrs or {}
         inner = _join(children[i][::-1])
         if tag == "#text":
             if not fixed[i]:

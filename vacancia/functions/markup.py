@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vacancia.functions.text import let, strip
+from vacancia.functions.text import TAG_TAIL, let, strip
 
 # Helpers travel to the executors with the job, so the package need not be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,102 +41,115 @@ NODE_TYPE = T.ArrayType(
     )
 )
 
-_TOKEN = re.compile(
-    r"<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+_TOKEN = re.compile(rf"<!--.*?-->|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)({TAG_TAIL})>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-_RAW = frozenset(("script", "style"))
+_RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style")}
 
 
-def scan_html(html: str) -> list[list]:
-    """Pre-order nodes ``[stop, parent, tag, attrs, text, start, end]`` of a page.
+def scan_html(html: str) -> tuple[list, ...]:
+    """Pre-order nodes of a page as parallel lists: stop, parent, tag, attrs, text, start, end.
 
     An end tag closes everything opened since its start tag and is ignored when there is none.
     """
-    nodes: list[list] = []
+    stops, parents, tags, attributes, texts, starts, ends = ([] for _ in range(7))
     stack: list[int] = []
 
+    def add(tag: str, attrs: dict | None, text: str | None, start: int, end: int) -> int:
+        index = len(tags)
+        stops.append(index + 1)
+        parents.append(stack[-1] if stack else -1)
+        tags.append(tag)
+        attributes.append(attrs)
+        texts.append(text)
+        starts.append(start)
+        ends.append(end)
+        return index
+
     def close(index: int, end: int) -> None:
         while stack:
             top = stack.pop()
-            nodes[top][0], nodes[top][6] = len(nodes), end
+            stops[top], ends[top] = len(tags), end
             if top == index:
                 return
 
-    def add(tag: str, attrs: dict, text: str | None, start: int, end: int) -> int:
-        nodes.append([len(nodes) + 1, stack[-1] if stack else -1, tag, attrs, text, start, end])
-        return len(nodes) - 1
-
     at, size = 0, len(html)
     while at < size:
         token = _TOKEN.search(html, at)
         text_end = token.start() if token else size
         if text_end > at:
-            add("#text", {}, unescape(html[at:text_end]), at, text_end)
+            add("#text", None, unescape(html[at:text_end]), at, text_end)
         if not token:
             break
         at = token.end()
-        name = (token.group(2) or "").lower()
+        closing, name, tail = token.groups()
         if not name:
             continue
-        if token.group(1):
-            opened = next((i for i in reversed(stack) if nodes[i][2] == name), None)
+        name = name.lower()
+        if closing:
+            opened = next((i for i in reversed(stack) if tags[i] == name), None)
             if opened is not None:
                 close(opened, at)
             continue
         attrs = {
             k.lower(): unescape(v[1:-1] if v[:1] in ("'", '"') else v)
-            for k, v in _ATTRIBUTE.findall(token.group(3))
-        }
+            for k, v in _ATTRIBUTE.findall(tail)
+        } if tail else None
         index = add(name, attrs, None, token.start(), at)
-        if name in _VOID or token.group(3).endswith("/"):
+        if name in _VOID or tail.endswith("/"):
             continue
-        if name in _RAW:
-            ending = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-            nodes[index][4] = html[at : ending.start() if ending else size]
-            at = nodes[index][6] = ending.end() if ending else size
+        if name in _RAW_END:
+            ending = _RAW_END[name].search(html, at)
+            texts[index] = html[at : ending.start() if ending else size]
+            at = ends[index] = ending.end() if ending else size
             continue
         stack.append(index)
     if stack:
         close(stack[0], size)
-    return nodes
+    return stops, parents, tags, attributes, texts, starts, ends
 
 
 @F.arrow_udf(NODE_TYPE)
 def html_nodes(pages: pa.Array) -> pa.Array:
     """Nodes of each page, built column by column for Arrow."""
-    row_ends, flat, keys, values, map_ends = [0], [], [], [], [0]
+    columns: tuple[list, ...] = tuple([] for _ in range(7))
     positions: list[int] = []
+    row_ends = [0]
     for page in pages.to_pylist():
-        nodes = scan_html(page) if page else []
-        positions.extend(range(len(nodes)))
-        flat.extend(nodes)
-        for node in nodes:
-            keys.extend(node[3].keys())
-            values.extend(node[3].values())
-            map_ends.append(len(keys))
-        row_ends.append(len(flat))
-    stop, parent, tag, attrs, text, start, end = zip(*flat) if flat else ((),) * 7
+        if page:
+            for column, part in zip(columns, scan_html(page)):
+                column.extend(part)
+            positions.extend(range(len(columns[0]) - row_ends[-1]))
+        row_ends.append(len(positions))
+    stops, parents, tags, attributes, texts, starts, ends = columns
+    keys, values, map_ends, classes = [], [], [0], []
+    for attrs in attributes:
+        if attrs:
+            keys.extend(attrs.keys())
+            values.extend(attrs.values())
+            names = attrs.get("class")
+            classes.append(None if names is None else f" {' '.join(names.split())} ")
+        else:
+            classes.append(None)
+        map_ends.append(len(keys))
+
+    def numbers(items: list[int]) -> pa.Array:
+        return pa.array(items, pa.int32())
+
+    def words(items: list) -> pa.Array:
+        return pa.array(items, pa.string())
+
     struct = pa.StructArray.from_arrays(
         [
-            pa.array(positions, pa.int32()),
-            pa.array(stop, pa.int32()),
-            pa.array(parent, pa.int32()),
-            pa.array(tag, pa.string()),
-            pa.array([f" {' '.join(a['class'].split())} " if "class" in a else None for a in attrs], pa.string()),
-            pa.MapArray.from_arrays(
-                pa.array(map_ends, pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string())
-            ),
-            pa.array(text, pa.string()),
-            pa.array(start, pa.int32()),
-            pa.array(end, pa.int32()),
+            numbers(positions), numbers(stops), numbers(parents), words(tags), words(classes),
+            pa.MapArray.from_arrays(numbers(map_ends), words(keys), words(values)),
+            words(texts), numbers(starts), numbers(ends),
         ],
         names=["pos", "stop", "parent", "tag", "cls", "attrs", "text", "start", "end"],
     )
-    return pa.ListArray.from_arrays(pa.array(row_ends, pa.int32()), struct)
+    return pa.ListArray.from_arrays(numbers(row_ends), struct)
 
 
 # ---- queries over the node array --------------------------------------------------------------
@@ -243,7 +256,7 @@ def visible_html(html: Column) -> Column:
 
 def page_links(html: Column) -> Column:
     """``array<struct<pos, href, text>>`` of a page's anchors, in order."""
-    anchor = r"(?is)<a(?=\s)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>(.*?)(?:</a\s*>|(?=<a\s)|$)"
+    anchor = rf"(?is)<a(?=\s)({TAG_TAIL})>(.*?)(?:</a\s*>|(?=<a\s)|$)"
     target = r"(?is)(?:^|\s)href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
 
     def links(page: Column) -> Column:

@@ -113,6 +113,10 @@ def extract_emails(text: Column) -> Column:
 
 # ---- HTML to plain text -----------------------------------------------------------------------
 
+# What may stand in a tag after its name. Quotes count after an equals sign only, and nothing is tried
+# twice (all quantifiers are possessive), so odd markup costs no more than clean markup.
+TAG_TAIL = r"[^>=]*+(?:=\s*+(?:\"[^\"]*+\"|'[^']*+')?+[^>=]*+)*+"
+
 def _entity_table() -> dict[str, str]:
     """The classic named entities, with the trailing semicolon where it is required."""
     return {"&" + k: v for k, v in html5.items() if k.rstrip(";") in name2codepoint}
@@ -160,7 +164,7 @@ def html_to_text(html: Column) -> Column:
     """
     hidden = (
         r"(?is)<!--.*?-->|<(script|style|template)\b[^>]*>.*?</\1\s*>|<[!?][^>]*>"
-        r"|</?[a-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+        rf"|</?[a-z]{TAG_TAIL}>"
     )
     spaced = F.regexp_replace(html, hidden, " ")
     return strip(F.regexp_replace(unescape_html(spaced), r"(?U)\s+", " "))
@@ -169,5 +173,5 @@ def html_to_text(html: Column) -> Column:
 def strip_attributes(html: Column) -> Column:
     """Drop the attributes of the outermost tag."""
     return F.regexp_replace(
-        html, r"^(\s*<[A-Za-z][A-Za-z0-9-]*)(?:\s+(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?>)", "$1$2"
+        html, rf"^(\s*<[A-Za-z][A-Za-z0-9-]*+)(?=[\s/])(?!\s*/?>){TAG_TAIL}>", "$1>"
     )
