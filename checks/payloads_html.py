@@ -111,9 +111,11 @@ def parse_linkedin_detail(spark, sf):
       UNION ALL SELECT 'li-/jobs/view/9' || {_KS}, 'N/A', NULL, '', NULL, NULL FROM pst"""),
 )
 def enrich_linkedin(spark, sf):
-    """Cards completed with their detail pages."""
+    """Cards completed with their detail pages; a later copy of a page does not count."""
     cards = boards_html.parse_linkedin_cards(linkedin_raw(spark, sf), OPTIONS)
-    details = boards_html.parse_linkedin_detail(linkedin_detail_raw(spark, sf), OPTIONS).drop("seq")
+    pages = linkedin_detail_raw(spark, sf)
+    again = pages.withColumn("seq", C("seq") + 1_000_000_000).withColumn("payload", F.lit("<p>later copy</p>"))
+    details = boards_html.parse_linkedin_detail(pages.unionByName(again), OPTIONS)
     done = enrich_with_details(
         cards, details, override=("description", "job_level", "job_function", "job_type", "company_industry", "company_logo", "job_url_direct"),
         job_type="keep",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vacancia.functions.arrays import distinct_by
 from vacancia.operators import aggregates, assemble, dedup, filters, ranking
 from vacancia.operators.enrich import enrich_with_details
-from vacancia.operators.skew import salted_join
+from vacancia.operators.skew import hot_keys, salted_join
 from vacancia.plans import careers
 from vacancia.plans.collect import SearchSpec, collect_postings
 from vacancia.schema import OUTPUT_COLUMNS, POSTING_DDL, as_postings
@@ -47,10 +47,17 @@ def test_salted_join_equals_plain_join(skewed, how):
     assert sorted(map(str, salted.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
 
 
-def test_salted_join_spreads_the_hot_key(skewed):
-    right = skewed.select("key").distinct()
-    plan = salted_join(skewed, right, ["key"], "left", **HOT)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__salt" in plan
+def test_hot_keys_are_found_and_bounded(skewed):
+    hot = hot_keys(skewed, ["key"], min_rows=50)
+    assert skewed.select(F.xxhash64(F.lit("hot")).alias("h")).first()["h"] in hot and len(hot) <= 2
+    assert hot_keys(skewed, ["key"], min_rows=10_000) == []
+    assert len(hot_keys(skewed, ["key"], min_rows=1, top=5)) == 5
+
+
+def test_salted_join_refuses_unlike_keys(skewed):
+    right = skewed.select(F.col("seq").cast("int").alias("seq"))
+    with pytest.raises(ValueError):
+        salted_join(skewed, right, ["seq"])
 
 
 def test_min_support_and_cascade_and_largest(skewed):

@@ -31,7 +31,7 @@ def distinct_postings_count(df: DataFrame, key: str = "id", approximate: bool =
 def min_support(df: DataFrame, keys: Sequence[str], at_least: int = 2, **options) -> DataFrame:
     """Rows of the groups that have enough of them."""
     counts = count_keys(df, keys)
-    return keep_groups(df, counts.where(F.col("n") >= at_least), keys, counts, **options)
+    return keep_groups(df, counts.where(F.col("n") >= at_least), keys, **options)
 
 
 def strategy_cascade(
@@ -40,8 +40,7 @@ def strategy_cascade(
     """Rows of the best strategy that found anything, per group."""
     keys = list(keys)
     best = df.groupBy(*keys).agg(F.min(rank).alias(rank))
-    counts = count_keys(df, [*keys, rank])
-    return keep_groups(df, best, [*keys, rank], counts, **options)
+    return keep_groups(df, best, [*keys, rank], **options)
 
 
 def largest_array_wins(
@@ -53,4 +52,4 @@ def largest_array_wins(
     best = counts.groupBy(*keys).agg(
         F.max_by(candidate, F.struct(F.col("n"), -F.col(candidate))).alias(candidate)
     )
-    return keep_groups(df, best, [*keys, candidate], counts, **options)
+    return keep_groups(df, best, [*keys, candidate], **options)

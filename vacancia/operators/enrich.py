@@ -11,6 +11,7 @@ from vacancia.functions.job_types import extract_job_type
 from vacancia.functions.locations import country_of
 from vacancia.functions.text import extract_emails
 from vacancia.functions.urls import board_domains, detect_platform, seek_site
+from vacancia.operators.ranking import first_per_key
 from vacancia.operators.skew import salted_join
 
 
@@ -33,10 +34,13 @@ def enrich_with_details(
     """Left join of the detail record of each posting.
 
     ``override`` columns take the detail's value where it has one, ``fill`` columns only where the
-    listing has none. A new description renews the e-mails; it renews the job types too
+    listing has none. Details that carry ``seq`` may hold a key more than once: the first arrival
+    counts. A new description renews the e-mails; it renews the job types too
     (``replace``), or only where there are none (``fill``), or never (``keep``).
     """
     on = list(on)
+    if "seq" in details.columns:
+        details = first_per_key(details, on, ("seq",))
     kinds = dict(details.dtypes)
     wanted = [c for c in (*override, *fill) if c in kinds]
     prefixed = details.select(*on, *[F.col(c).alias(f"__d_{c}") for c in wanted])

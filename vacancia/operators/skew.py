@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # rows of one key that are worth splitting
-HOT_KEYS = 1_000  # most keys ever treated as hot, which bounds the broadcast list
+HOT_KEYS = 1_000  # most keys ever treated as hot, which bounds the list
 SALTS = 64
 
-_SALT = "__salt"
-_HOT = "__hot"
+# The sketch is kept per hash group, so that its partial results merge in parallel.
+_GROUPS, _PER_GROUP, _TRACKED = 64, 32, 512
+_SALT, _HASH = "__salt", "__key_hash"
+
+
+def _key_hash(on: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in on])
 
 
 def count_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -20,16 +25,23 @@ def count_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def hot_keys(
-    counts: DataFrame, on: Sequence[str], min_rows: int = HOT_ROWS, top: int = HOT_KEYS
-) -> DataFrame:
-    """The heaviest keys. At most ``top`` rows whatever the data, so the list can be broadcast."""
-    return (
-        counts.where(F.col("n") >= min_rows)
-        .orderBy(F.desc("n"), *on)
-        .limit(top)
-        .select(*on)
-        .withColumn(_HOT, F.lit(True))
+    df: DataFrame, on: Sequence[str], min_rows: int = HOT_ROWS, top: int = HOT_KEYS
+) -> list[int]:
+    """Hashes of the heaviest keys, from a frequent-items sketch.
+
+    Each task keeps a sketch of fixed size and passes on only that, so millions of rare keys cost no
+    shuffle. At most ``top`` numbers reach the driver whatever the data. The list is fixed before the
+    join is planned: both sides must use the very same one, and the sketch's counts are estimates. A
+    key that is missed or listed in vain changes how rows are spread, never the result.
+    """
+    sketched = (
+        df.select(_key_hash(on).alias(_HASH))
+        .groupBy(F.pmod(F.col(_HASH), F.lit(_GROUPS)).alias("part"))
+        .agg(F.expr(f"approx_top_k({_HASH}, {_PER_GROUP}, {_TRACKED})").alias("found"))
+        .select(F.inline("found").alias(_HASH, "n"))
     )
+    heaviest = sketched.where(F.col("n") >= min_rows).orderBy(F.desc("n"), _HASH).limit(top)
+    return [row[_HASH] for row in heaviest.collect()]
 
 
 def salted_join(
@@ -38,7 +50,6 @@ def salted_join(
     on: Sequence[str],
     how: str = "inner",
     spread: Sequence[str] = ("seq",),
-    counts: DataFrame | None = None,
     min_rows: int = HOT_ROWS,
     top: int = HOT_KEYS,
     salts: int = SALTS,
@@ -47,35 +58,34 @@ def salted_join(
 
     ``right`` should be reduced to few rows per key. Which rows go to which split follows from the
     ``spread`` columns, so a task that is run again puts them in the same place. Rows with a null
-    key are spread too: they match nothing but must not all meet in one task.
+    key are spread too: they match nothing but must not all meet in one task. ``left`` is read a
+    second time for its key columns; cut its lineage first where computing it is costly.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    hot = F.broadcast(
-        hot_keys(count_keys(left, on) if counts is None else counts, on, min_rows, top)
-    )
+    left_types, right_types = dict(left.dtypes), dict(right.dtypes)
+    for name in on:
+        # Both sides must hash a key alike; floats compare equal with different bits.
+        if left_types[name] != right_types[name] or left_types[name] in ("float", "double"):
+            raise ValueError(f"join key {name}: {left_types[name]} and {right_types[name]}")
+    hot = hot_keys(left, on, min_rows, top)
+    is_hot = _key_hash(on).isin(hot) if hot else F.lit(False)
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | F.col(name).isNull()
     picked = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(salts)).cast("int")
-    big = (
-        left.join(hot, on, "left")
-        .withColumn(_SALT, F.when(F.col(_HOT) | no_key, picked).otherwise(F.lit(0)))
-        .drop(_HOT)
-    )
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    small = (
-        right.join(hot, on, "left")
-        .withColumn(_SALT, F.explode(F.when(F.col(_HOT), every).otherwise(F.array(F.lit(0)))))
-        .drop(_HOT)
-    )
-    return big.join(small, on + [_SALT], how).drop(_SALT)
+    big = left.withColumn(_SALT, F.when(is_hot | no_key, picked).otherwise(F.lit(0)))
+    if hot:
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        copies = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
+    else:
+        copies = F.lit(0)
+    return big.join(right.withColumn(_SALT, copies), on + [_SALT], how).drop(_SALT)
 
 
 def keep_groups(
-    df: DataFrame, groups: DataFrame, on: Sequence[str], counts: DataFrame, **options
+    df: DataFrame, groups: DataFrame, on: Sequence[str], **options
 ) -> DataFrame:
     """Rows whose key is in ``groups`` (one row per key)."""
-    return salted_join(df, groups.select(*on), on, "left_semi", counts=counts, **options)
-
+    return salted_join(df, groups.select(*on), on, "left_semi", **options)
