@@ -614,5 +614,9 @@ def career_strategies(spark, sf):
 )
 def career_postings(spark, sf):
     """Even pages have both embedded state and linked data: the state wins."""
-    state = state_pages(spark, sf).where(F.col("seq") % 2 == 0)
+    state = state_pages(spark, sf)
+    bare = F.replace("payload", F.lit("__NEXT_DATA__"), F.lit("other"))
+    state = state.withColumn(
+        "payload", F.when(F.col("seq") % 2 == 0, F.col("payload")).otherwise(bare)
+    )
     return careers.career_postings(state.unionByName(jsonld_pages(spark, sf))).select("seq", "title")

@@ -321,11 +321,11 @@ def reed_raw(spark, sf):
 
 
 def reed_details_raw(spark, sf):
-    """Details for every third posting."""
-    df = pst(spark, sf).where(k() % 3 == 0)
+    """Details of all postings; two thirds of them belong to postings that are not listed."""
+    df = pst(spark, sf)
     detail = F.to_json(
         s(
-            jobId=k(), locationName=F.when(k() % 2 == 0, "Leeds, West Yorkshire"), minimumSalary=C("comp_min") * 100, maximumSalary=0,
+            jobId=F.when(k() % 3 == 0, k()).otherwise(-k() - 1), locationName=F.when(k() % 2 == 0, "Leeds, West Yorkshire"), minimumSalary=C("comp_min") * 100, maximumSalary=0,
             salaryType=F.when(k() % 4 == 0, "Per Month").otherwise("other"), currency=F.when(k() % 2 == 1, "CHF"), jobType="Full Time",
             contractType=F.when(k() % 2 == 0, "permanent").otherwise("Contract"), jobUrl=C("job_url"), externalUrl="",
             jobDescription=F.concat(F.lit("<b>wfh</b> "), "company_name"),
@@ -360,13 +360,13 @@ def parse_reed(spark, sf):
 @query(
     "reed_salary_details",
     oracle(
-        where="seq % 3 = 0", seq="seq", interval="CASE WHEN comp_min IS NOT NULL THEN CASE WHEN seq % 4 = 0 THEN 'monthly' ELSE 'yearly' END END",
+        where="true", seq="seq", interval="CASE WHEN comp_min IS NOT NULL THEN CASE WHEN seq % 4 = 0 THEN 'monthly' ELSE 'yearly' END END",
         min_amount="comp_min * 100", max_amount="CAST(NULL AS DOUBLE)",
         currency="CASE WHEN comp_min IS NOT NULL THEN CASE WHEN seq % 2 = 1 THEN 'CHF' ELSE 'GBP' END END",
     ),
 )
 def reed_salary_details(spark, sf):
-    df = pst(spark, sf).where(k() % 3 == 0)
+    df = pst(spark, sf)
     comp = salary.reed_salary_details(
         C("comp_min") * 100, F.lit(0.0), F.when(k() % 4 == 0, "Per Month").otherwise("other"), F.when(k() % 2 == 1, "CHF")
     )
@@ -604,15 +604,15 @@ def smartrecruiters_compensation(spark, sf):
     ),
 )
 def enrich_smartrecruiters(spark, sf):
-    """Listings joined with the details of every second posting; types are only filled in."""
+    """Listings joined with details, half of which are of other postings; types are only filled in."""
     listing = careers_json.SMARTRECRUITERS.parse(smartrecruiters_raw(spark, sf), OPTIONS)
-    df = pst(spark, sf).where(k() % 2 == 0)
+    df = pst(spark, sf)
     sections = s(
         jobDescription=s(text=F.concat(F.lit("<b>"), "company_name", F.lit("</b>"))), qualifications=s(text=""),
         additionalInformation=s(text="<p>mail a@b.co, contract</p>"),
     )
     detail = F.to_json(s(postingUrl=F.when(k() % 3 == 0, C("job_url")), jobAd=s(sections=sections)))
-    url = F.concat(F.lit("https://api.test/v1/companies/"), C("site"), F.lit("/postings/"), key())
+    url = F.concat(F.lit("https://api.test/v1/companies/"), C("site"), F.lit("/postings/"), F.when(k() % 2 == 0, "").otherwise("other-"), key())
     details = careers_json.smartrecruiters_details(raw(df, detail, "smartrecruiters", url))
     done = enrich_with_details(listing, details, override=("description", "job_url"), job_type="fill")
     return out(done, "id job_url description types mails")
