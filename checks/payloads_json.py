@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -744,8 +745,8 @@ def collect_landed_query(spark, sf):
 @query("sink_csv", pst_sql("SELECT CAST(seq AS VARCHAR) AS seq, title, nullif(description, '') AS description, salary_label FROM pst"))
 def sink_csv(spark, sf):
     """Written and read back with the same options."""
-    path = work_folder(spark, "postings-csv")
-    sinks.sink_csv(pst(spark, sf).select("seq", "title", "description", "salary_label"), path, "overwrite")
+    path = work_folder(spark, f"postings-csv-{uuid.uuid4().hex}")
+    sinks.sink_csv(pst(spark, sf).select("seq", "title", "description", "salary_label"), path)
     return (
         spark.read.option("header", True).option("escape", "\\").schema("seq string, title string, description string, salary_label string").csv(path)
         .withColumn("description", F.when(F.length("description") > 0, C("description")))
@@ -755,7 +756,7 @@ def sink_csv(spark, sf):
 @query("sink_table", pst_sql("SELECT site, count(*) AS n FROM pst WHERE site IN ('indeed', 'naukri') GROUP BY site"))
 def sink_table(spark, sf):
     """Written by site, read for two sites only."""
-    path = work_folder(spark, "postings-table")
-    sinks.sink_table(pst(spark, sf), path, "overwrite")
+    path = work_folder(spark, f"postings-table-{uuid.uuid4().hex}")
+    sinks.sink_table(pst(spark, sf), path)
     back = spark.read.parquet(path).where(C("site").isin("indeed", "naukri"))
     return back.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
