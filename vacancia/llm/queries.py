@@ -5,12 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import quality, simhash
+from vacancia.llm import lines, mixing, quality, simhash
 from vacancia.llm.common import table
 from vacancia.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
+#: Sources by code point weigh 5, 2, 1 in turn; the mix has 150% of all words, a source twice its own at most.
+MIX = {"weights": (5, 2, 1), "share": 1.5, "most_copies": 2.0, "seed": 1}
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+    (('0x' || substr(md5(concat_ws('|', '1', doc_id, text)), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS z FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w FROM s),
+r AS (SELECT *, 2.0::DOUBLE * z AS lim, 2.0::DOUBLE * z / w AS r FROM w),
+p AS (SELECT *, (1.5::DOUBLE * sum(z) OVER () - coalesce(sum(lim) OVER (ORDER BY r, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY r, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS mu FROM r),
+t AS (SELECT source, z, least(lim, (SELECT max(mu) FROM p WHERE mu <= r) * w) AS target FROM p),
+c AS (SELECT *, CASE WHEN z > 0 THEN floor(target / z) ELSE 0 END::BIGINT AS copies FROM t),
+f AS (SELECT *, target - copies * z AS rest, CASE WHEN z > 0 THEN (target - copies * z) / z ELSE 0 END AS chance FROM c),
+units AS (SELECT d.source, u, sum(size)::BIGINT AS size, rest, (u / (1 - u)) / (chance / (1 - chance)) AS q
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source WHERE chance > 0 GROUP BY ALL),
+o AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q) AS upto FROM units),
+g AS (SELECT source, coalesce(max(q) FILTER (upto <= rest), -1) AS cut,
+    any_value(rest) - coalesce(max(upto) FILTER (upto <= rest), 0) AS gap FROM o GROUP BY source),
+x AS (SELECT o.source, arg_min(o.u, (abs(o.size - gap), o.q)) AS extra
+  FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source WHERE o.q > cut AND abs(o.size - gap) < gap GROUP BY o.source)
+SELECT d.doc_id, d.source, d.size, f.z AS source_size, f.target, f.copies + (coalesce(
+    (chance > 0 AND (u / (1 - u)) / (chance / (1 - chance)) <= cut) OR u = extra, false))::BIGINT AS copies,
+  d.size * (f.copies + (coalesce((chance > 0 AND (u / (1 - u)) / (chance / (1 - chance)) <= cut) OR u = extra, false))::BIGINT)
+    AS taken
+FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+LEFT JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source
+"""
+
+
+@query("op1_pareto_mix", OP1_SQL)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix_sizes(table(spark, sf, "documents"), **MIX)
+
 
 @query("op2_simhash_pivots")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
@@ -25,3 +62,24 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select(
         "doc_id", *quality.FEATURES, failed.alias("base_failed"), F.isnull("rejected_by").alias("kept")
     )
+
+
+OP9_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+l AS (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+m AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM l),
+n AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
+b AS (SELECT m.source, bare FROM m JOIN n ON m.source = n.source WHERE bare <> ''
+  GROUP BY m.source, bare, pages HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > 0.05 * pages),
+j AS (SELECT m.*, b.bare IS NOT NULL AS gone FROM m LEFT JOIN b ON m.source = b.source AND m.bare = b.bare),
+a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM j GROUP BY r)
+SELECT d.doc_id, coalesce(a.n_lines, 0)::BIGINT AS n_lines, coalesce(a.n_dropped, 0)::BIGINT AS n_dropped, a.text
+FROM d LEFT JOIN a ON d.r = a.r
+"""
+
+
+@query("op9_site_line_frequency", OP9_SQL)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.line_report(table(spark, sf, "documents"), host="source", ratio=0.05, least_pages=5)
