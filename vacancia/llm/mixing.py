@@ -72,9 +72,10 @@ def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -
     ``sized`` has (source, size, u); ``targets`` is from ``source_targets``. Every document gets the
     whole copies of target / source_size for certain; the fraction left is its inclusion probability.
     Documents are ranked by the odds of ``u`` divided by the odds of inclusion, and taken in that order
-    as long as their words fit what is left of the target. The last place goes to the document whose
-    size is nearest to the words still missing, if that brings the source nearer to its target.
-    Documents with equal ``u`` (repeated rows) are taken together.
+    as long as their words fit what is left of the target; the bucket in which it is used up is gone
+    through to its end for what still fits. A last place goes to the document whose size is nearest to
+    the words still missing, if that brings the source nearer to its target. The sample's size is thus
+    fixed in words. Documents with equal ``u`` (repeated rows) are taken together.
 
     No source is ordered in one task: ranks fall into buckets of about ``bucket_rows`` documents,
     whose sums show in which bucket the sample ends, and only that bucket is ordered.
@@ -104,24 +105,49 @@ def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -
     rows = ends.count()
     last = units.join(small_side(ends.withColumnRenamed("source", "s"), rows),
                       F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    inside = last.where("bucket = end").withColumn(
-        "upto", F.col("before") + F.sum("size").over(Window.partitionBy("source").orderBy("rank"))
+    place = F.struct("rank", "u", F.col("size").cast("double").alias("size"))
+    inside = last.where("bucket = end").groupBy("source", "end", "before", "rest").agg(
+        F.array_sort(F.collect_list(place)).alias("places")
     )
-    cuts = inside.groupBy("source", "end", "before", "rest").agg(
-        F.max(F.when(F.col("upto") <= F.col("rest"), F.struct("rank", "upto"))).alias("c")
-    ).select("source", "end", "rest", F.coalesce("c.rank", F.lit(-1.0)).alias("cut"),
-             F.coalesce("c.upto", "before").alias("sure"))
-    cuts = keep(cuts, "cuts")
-    gap = F.col("rest") - F.col("sure")
+    cuts = keep(inside.select("source", "end", _filled(F.col("places"), F.col("rest") - F.col("before")).alias("f"))
+                .select("source", "end", "f.cut", "f.extras", F.col("f.left").alias("gap")), "cuts")
     open_places = units.select("source", "u", "size", "rank", "bucket").join(
         small_side(cuts.withColumnRenamed("source", "s"), rows), F.col("source").eqNullSafe(F.col("s"))
-    ).where("bucket > end or (bucket = end and rank > cut)").where(F.abs(F.col("size") - gap) < gap)
-    extra = open_places.groupBy("source").agg(
-        F.min(F.struct(F.abs(F.col("size") - gap).alias("off"), "rank", "u")).alias("x")
-    ).select(F.col("source").alias("xs"), F.col("x.u").alias("extra"))
-    return shares.join(cuts.select(F.col("source").alias("cs"), "end", "cut"), F.col("source").eqNullSafe(F.col("cs")), "left") \
-        .join(extra, F.col("source").eqNullSafe(F.col("xs")), "left") \
-        .select("source", "source_size", "target", "copies", "chance", "buckets", "end", "cut", "extra")
+    ).where("bucket > end or (bucket = end and rank > cut and not array_contains(extras, u))")
+    off = F.abs(F.col("size") - F.col("gap"))
+    nearest = open_places.where(off < F.col("gap")).groupBy("source").agg(
+        F.min(F.struct(off.alias("off"), "rank", "u")).alias("x")
+    ).select(F.col("source").alias("ns"), F.col("x.u").alias("nearest"))
+    cuts = cuts.join(nearest, F.col("source").eqNullSafe(F.col("ns")), "left").select(
+        F.col("source").alias("cs"), "end", "cut",
+        F.when(F.col("nearest").isNull(), F.col("extras")).otherwise(F.array_append("extras", F.col("nearest"))).alias("extras"),
+    )
+    return shares.join(cuts, F.col("source").eqNullSafe(F.col("cs")), "left").select(
+        "source", "source_size", "target", "copies", "chance", "buckets", "end", "cut", "extras"
+    )
+
+
+def _filled(places: Column, room: Column) -> Column:
+    """Go through ranked places and take what still fits: the rank up to which all did, and the rest.
+
+    ``extras`` holds only what was taken after the first document that didn't fit, so its words are
+    fewer than that document's.
+    """
+    state = "struct<left:double,full:boolean,cut:double,extras:array<double>>"
+
+    def step(acc, x):
+        fits = x["size"] <= acc["left"]
+        return F.when(fits, F.struct(
+            (acc["left"] - x["size"]).alias("left"), acc["full"].alias("full"),
+            F.when(acc["full"], acc["cut"]).otherwise(x["rank"]).alias("cut"),
+            F.when(acc["full"], F.array_append(acc["extras"], x["u"])).otherwise(acc["extras"]).alias("extras"),
+        )).otherwise(F.struct(
+            acc["left"].alias("left"), F.lit(True).alias("full"), acc["cut"].alias("cut"), acc["extras"].alias("extras")
+        )).cast(state)
+
+    start = F.struct(room.alias("left"), F.lit(False).alias("full"), F.lit(-1.0).alias("cut"),
+                     F.array().cast("array<double>").alias("extras")).cast(state)
+    return F.aggregate(places, start, step)
 
 
 def rank(u: str, chance: str) -> Column:
@@ -138,8 +164,8 @@ def copies_taken() -> Column:
     """How often a document is taken, from its ``u`` and the columns of ``plan``."""
     place = bucket("u", "buckets")
     drawn = (place < F.col("end")) | ((place == F.col("end")) & (rank("u", "chance") <= F.col("cut")))
-    drawn = F.when(F.col("chance") > 0, F.coalesce(drawn, F.lit(False)) | F.coalesce(F.col("u") == F.col("extra"), F.lit(False)))
-    return F.col("copies") + F.coalesce(drawn, F.lit(False)).cast("long")
+    drawn = F.coalesce(drawn, F.lit(False)) | F.coalesce(F.array_contains("extras", F.col("u")), F.lit(False))
+    return F.col("copies") + ((F.col("chance") > 0) & drawn).cast("long")
 
 
 def _with_plan(sized: DataFrame, weights: DataFrame | Sequence[float], share: float, most_copies: float) -> DataFrame:

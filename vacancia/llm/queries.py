@@ -15,7 +15,7 @@ __all__ = ["ORACLES", "QUERIES"]
 MIX = {"weights": (5, 2, 1), "share": 1.5, "most_copies": 2.0, "seed": 1}
 
 OP1_SQL = r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
     (('0x' || substr(md5(concat_ws('|', '1', doc_id, text)), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE AS u
   FROM documents),
@@ -28,19 +28,34 @@ p AS (SELECT *, (1.5::DOUBLE * sum(z) OVER () - coalesce(sum(lim) OVER (ORDER BY
 t AS (SELECT source, z, least(lim, (SELECT max(mu) FROM p WHERE mu <= r) * w) AS target FROM p),
 c AS (SELECT *, CASE WHEN z > 0 THEN floor(target / z) ELSE 0 END::BIGINT AS copies FROM t),
 f AS (SELECT *, target - copies * z AS rest, CASE WHEN z > 0 THEN (target - copies * z) / z ELSE 0 END AS chance FROM c),
-units AS (SELECT d.source, u, sum(size)::BIGINT AS size, rest, (u / (1 - u)) / (chance / (1 - chance)) AS q
-  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source WHERE chance > 0 GROUP BY ALL),
-o AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q) AS upto FROM units),
-g AS (SELECT source, coalesce(max(q) FILTER (upto <= rest), -1) AS cut,
-    any_value(rest) - coalesce(max(upto) FILTER (upto <= rest), 0) AS gap FROM o GROUP BY source),
-x AS (SELECT o.source, arg_min(o.u, (abs(o.size - gap), o.q)) AS extra
-  FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source WHERE o.q > cut AND abs(o.size - gap) < gap GROUP BY o.source)
-SELECT d.doc_id, d.source, d.size, f.z AS source_size, f.target, f.copies + (coalesce(
-    (chance > 0 AND (u / (1 - u)) / (chance / (1 - chance)) <= cut) OR u = extra, false))::BIGINT AS copies,
-  d.size * (f.copies + (coalesce((chance > 0 AND (u / (1 - u)) / (chance / (1 - chance)) <= cut) OR u = extra, false))::BIGINT)
-    AS taken
-FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
-LEFT JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source
+k AS (SELECT source, greatest(ceil(count(*) / 10000.0), 1)::BIGINT AS buckets FROM d GROUP BY source),
+units AS (SELECT d.source, u, floor(u * buckets)::BIGINT AS b, sum(size)::DOUBLE AS size, rest,
+    (u / (1 - u)) / (chance / (1 - chance)) AS q
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source JOIN k ON d.source IS NOT DISTINCT FROM k.source
+  WHERE chance > 0 GROUP BY ALL),
+sums AS (SELECT source, b, rest, sum(sum(size)) OVER (PARTITION BY source ORDER BY b) - sum(size) AS before
+  FROM units GROUP BY source, b, rest),
+ends AS (SELECT source, max(b) AS fin, max(before) AS before, any_value(rest) AS rest FROM sums
+  WHERE before <= rest GROUP BY source),
+o AS (SELECT u.source, u.u, u.size, u.q, row_number() OVER (PARTITION BY u.source ORDER BY u.q) AS i
+  FROM units u JOIN ends e ON u.source IS NOT DISTINCT FROM e.source AND u.b = e.fin),
+g AS (SELECT source, rest - before AS room, 0::BIGINT AS i, NULL::DOUBLE AS u FROM ends
+  UNION ALL
+  SELECT o.source, CASE WHEN o.size <= g.room THEN g.room - o.size ELSE g.room END, o.i,
+    CASE WHEN o.size <= g.room THEN o.u END
+  FROM g JOIN o ON o.source IS NOT DISTINCT FROM g.source AND o.i = g.i + 1),
+z AS (SELECT source, arg_min(room, -i) AS gap FROM g GROUP BY source),
+taken AS (SELECT source, u FROM g WHERE u IS NOT NULL UNION ALL
+  SELECT n.source, n.u FROM units n JOIN ends e ON n.source IS NOT DISTINCT FROM e.source AND n.b < e.fin),
+x AS (SELECT n.source, arg_min(n.u, (abs(n.size - gap), n.q)) AS u
+  FROM units n JOIN z ON n.source IS NOT DISTINCT FROM z.source WHERE abs(n.size - gap) < gap
+  AND NOT EXISTS (SELECT 1 FROM taken y WHERE y.source IS NOT DISTINCT FROM n.source AND y.u = n.u)
+  GROUP BY n.source),
+yes AS (SELECT source, u FROM taken UNION ALL SELECT source, u FROM x),
+n AS (SELECT d.doc_id, d.source, d.size, f.z AS source_size, f.target, f.copies + (y.u IS NOT NULL)::BIGINT AS copies
+  FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+  LEFT JOIN yes y ON d.source IS NOT DISTINCT FROM y.source AND d.u = y.u)
+SELECT *, size * copies AS taken FROM n
 """
 
 
