@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.session import cut_lineage, work_folder
-
-__all__ = ["chunks", "hidden", "keep", "pick", "shown", "small_side", "table", "work_folder"]
+from vacancia.session import cut_lineage
 
 #: Rows of a batch that are turned into Python values at once.
 CHUNK_ROWS = 256
@@ -41,6 +39,11 @@ def shown(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[F.col(f"in_{i}") for i in range(len(names))]).toDF(*names)
 
 
+def never_null(column: str) -> Column:
+    """A key as text that can be compared with = whether it is null or not."""
+    return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """A frame that several later steps read, written to the shared folder and read back.
 

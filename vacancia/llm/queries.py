@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import lines, mixing, quality, simhash
+from vacancia.llm import lines, mixing, quality, simhash, winnow
 from vacancia.llm.common import table
 from vacancia.llm.registry import ORACLES, QUERIES, query
 
@@ -70,6 +70,36 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+OP7_SQL = r"""
+WITH i AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT item_id, w, least(10, len(w)) AS t FROM i WHERE len(w) > 0),
+ig AS (SELECT DISTINCT item_id, t, array_to_string(w[s:s + t - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(w) - t + 2)) AS s FROM iw)),
+d AS (SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+dg AS (SELECT r, t, s, array_to_string(w[s:s + t - 1], ' ') AS g
+  FROM (SELECT d.*, t, unnest(range(1, len(w) - t + 2)) AS s FROM d, (SELECT DISTINCT t FROM ig))),
+h AS (SELECT r, s, dg.t, item_id FROM dg JOIN ig ON dg.t = ig.t AND dg.g = ig.g),
+p AS (SELECT r, count(DISTINCT q) AS n FROM (SELECT r, unnest(range(s, s + t)) AS q FROM h) GROUP BY r),
+n AS (SELECT r, count(DISTINCT item_id) AS n, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids
+  FROM h GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(p.n, 0)::BIGINT AS n_hit, coalesce(n.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(n.ids, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN p ON d.r = p.r LEFT JOIN n ON d.r = n.r
+"""
+
+
+@query("op7_winnowing", OP7_SQL)
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    found = winnow.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query("op8_rule_cascade")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.judge(table(spark, sf, "documents"), features=quality.FEATURES)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import chunks, hidden, keep, pick, shown
+from vacancia.llm.common import chunks, hidden, keep, never_null, pick, shown
 from vacancia.llm.components import components
 
 BITS = 64
@@ -276,15 +276,10 @@ def drop_near_duplicates(
     order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("k"), F.col("text_hash").alias("h"))
     chosen = (
         prints.groupBy("fp").agg(F.min(order).alias("o")).join(near_groups(prints, pivots), "fp")
-        .groupBy("root").agg(F.min("o").alias("o")).select(_never_null("o.k").alias("k"), F.col("o.h").alias("h"))
+        .groupBy("root").agg(F.min("o").alias("o")).select(never_null("o.k").alias("k"), F.col("o.h").alias("h"))
     )
     df = hidden(docs)
-    df = df.withColumn("k", _never_null(f"in_{names.index(key)}")).withColumn("h", F.xxhash64(f"in_{names.index(text)}"))
+    df = df.withColumn("k", never_null(f"in_{names.index(key)}")).withColumn("h", F.xxhash64(f"in_{names.index(text)}"))
     once = Window.partitionBy("k", "h").orderBy(F.lit(1))  # as the join deals them
     kept = df.join(chosen, ["k", "h"], "left_semi").withColumn("r", F.row_number().over(once))
     return shown(kept.where("r = 1"), names)
-
-
-def _never_null(column: str):
-    """A key as text that can be compared with = whether it is null or not."""
-    return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
