@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import lines, mixing, quality, simhash, winnow
+from vacancia.llm import lines, mixing, quality, simhash, urls, winnow
 from vacancia.llm.common import table
 from vacancia.llm.registry import ORACLES, QUERIES, query
 
@@ -128,3 +128,34 @@ FROM d LEFT JOIN a ON d.r = a.r
 @query("op9_site_line_frequency", OP9_SQL)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return lines.line_report(table(spark, sf, "documents"), host="source", ratio=0.05, least_pages=5)
+
+
+URL_RULES = (
+    urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
+)
+#: Hosts that the method blocks where no rule fits.
+BLOCKED_HOSTS = (
+    "spam-farm.example.org", "casino-win.example.org", "ads-track.example.org", "cheap-pills.example.com", "free-bets.example.com",
+)
+
+OP10_SQL = r"""
+WITH p AS (SELECT row_number() OVER () AS i, page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+r(verdict, h, t) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+l(h) AS (VALUES ('spam-farm.example.org'), ('casino-win.example.org'), ('ads-track.example.org'),
+  ('cheap-pills.example.com'), ('free-bets.example.com')),
+f AS (SELECT i, arg_max(h || t, (length(h || t), length(h))) AS rule, arg_max(verdict, (length(h || t), length(h))) AS verdict
+  FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, t) GROUP BY i),
+b AS (SELECT DISTINCT i FROM p JOIN l ON host = h OR ends_with(host, '.' || h))
+SELECT page_id, host, path, f.rule, coalesce(f.verdict, CASE WHEN b.i IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN f ON p.i = f.i LEFT JOIN b ON p.i = b.i
+"""
+
+
+@query("op10_bloom_cascade", OP10_SQL)
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf, "pages"), URL_RULES, BLOCKED_HOSTS)
