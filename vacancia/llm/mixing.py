@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from vacancia.llm.common import hidden, keep, pick, shown, small_side
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Documents of a source that are ordered at once to find where its sample ends.
-BUCKET_ROWS = 10_000
+#: Documents of a source that are gone through one by one to find where its sample ends, about.
+BUCKET_ROWS = 100
 SEED = 1
 
 
@@ -77,39 +77,36 @@ def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -
     the words still missing, if that brings the source nearer to its target. The sample's size is thus
     fixed in words. Documents with equal ``u`` (repeated rows) are taken together.
 
-    No source is ordered in one task: ranks fall into buckets of about ``bucket_rows`` documents,
-    whose sums show in which bucket the sample ends, and only that bucket is ordered.
+    No source is ordered in one task: ranks fall into buckets of about ``bucket_rows`` documents, and
+    as many neighbouring buckets form a group as there are groups. Sums of the groups show in which
+    group the sample ends, sums of its buckets in which bucket, and only that bucket is ordered. No
+    window holds more than the square root of a source's number of buckets.
     """
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     shares = targets.select(
         "source", "source_size", "target", copies.cast("long").alias("copies"),
-        F.greatest(F.ceil(F.col("n") / bucket_rows), F.lit(1)).cast("long").alias("buckets"),
-    ).withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).withColumn(
+        F.greatest(F.ceil(F.sqrt(F.col("n") / bucket_rows)), F.lit(1)).cast("long").alias("side"),
+    ).withColumn("buckets", F.col("side") * F.col("side")).withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).withColumn(
         "chance", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)
     )
     shares = keep(shares, "shares")
-    drawn = shares.where("chance > 0").select("source", "rest", "chance", "buckets")
+    drawn = shares.where("chance > 0").select("source", "rest", "chance", "side", "buckets")
     units = sized.groupBy("source", "u").agg(F.sum("size").alias("size"))
     units = units.withColumnRenamed("source", "s").join(
         small_side(drawn, shares.count()), F.col("s").eqNullSafe(F.col("source"))
     ).withColumn("rank", rank("u", "chance")).withColumn("bucket", bucket("u", "buckets"))
-    units = keep(units.select("source", "u", "size", "rank", "bucket", "rest"), "units")
+    units = units.withColumn("part", F.floor(F.col("bucket") / F.col("side")).cast("long"))
+    units = keep(units.select("source", "u", "size", "rank", "part", "bucket", "rest"), "units")
 
-    sums = units.groupBy("source", "bucket", "rest").agg(F.sum("size").alias("size"))
-    before = F.sum("size").over(Window.partitionBy("source").orderBy("bucket")) - F.col("size")
-    ends = (
-        sums.withColumn("before", before).where("before <= rest").groupBy("source")
-        .agg(F.max(F.struct("bucket", "before")).alias("e")).select("source", F.col("e.bucket").alias("end"), "e.before")
-    )
-    ends = keep(ends, "ends")
-    rows = ends.count()
-    last = units.join(small_side(ends.withColumnRenamed("source", "s"), rows),
-                      F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    parts = keep(_ends(units.withColumn("start", F.lit(0.0)), "part"), "parts")
+    rows = parts.count()
+    ends = keep(_ends(_within(units, parts, rows, "part"), "bucket"), "ends")
+    last = _within(units, ends, rows, "bucket")
     place = F.struct("rank", "u", F.col("size").cast("double").alias("size"))
-    inside = last.where("bucket = end").groupBy("source", "end", "before", "rest").agg(
+    inside = last.groupBy("source", F.col("bucket").alias("end"), "start", "rest").agg(
         F.array_sort(F.collect_list(place)).alias("places")
     )
-    cuts = keep(inside.select("source", "end", _filled(F.col("places"), F.col("rest") - F.col("before")).alias("f"))
+    cuts = keep(inside.select("source", "end", _filled(F.col("places"), F.col("rest") - F.col("start")).alias("f"))
                 .select("source", "end", "f.cut", "f.extras", F.col("f.left").alias("gap")), "cuts")
     open_places = units.select("source", "u", "size", "rank", "bucket").join(
         small_side(cuts.withColumnRenamed("source", "s"), rows), F.col("source").eqNullSafe(F.col("s"))
@@ -127,6 +124,20 @@ def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -
     )
 
 
+def _ends(units: DataFrame, by: str) -> DataFrame:
+    """(source, <by>, start): the last value of ``by`` that begins within the rest, and where it begins."""
+    sums = units.groupBy("source", by, "rest", "start").agg(F.sum("size").alias("size"))
+    before = F.col("start") + F.sum("size").over(Window.partitionBy("source").orderBy(by)) - F.col("size")
+    return sums.withColumn("before", before).where("before <= rest").groupBy("source").agg(
+        F.max(F.struct(by, "before")).alias("e")
+    ).select("source", f"e.{by}", F.col("e.before").alias("start"))
+
+
+def _within(units: DataFrame, ends: DataFrame, rows: int, by: str) -> DataFrame:
+    ends = ends.withColumnsRenamed({"source": "s", by: "end"})
+    return units.join(small_side(ends, rows), F.col("source").eqNullSafe(F.col("s")) & (F.col(by) == F.col("end"))).drop("s", "end")
+
+
 def _filled(places: Column, room: Column) -> Column:
     """Go through ranked places and take what still fits: the rank up to which all did, and the rest.
 
