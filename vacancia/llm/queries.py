@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import lines, mixing, quality, simhash, urls, winnow
+from vacancia.llm import lines, mixing, pii, quality, secrets, simhash, urls, winnow
 from vacancia.llm.common import table
 from vacancia.llm.registry import ORACLES, QUERIES, query
+from vacancia.llm.spans import text_of
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -70,6 +71,31 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op4_bootstrapped_pii")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", *[_count("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(text_of(F.col("base")), 256).alias("base_sha256"), text_of(F.col("spans")).alias("spans"),
+        _count("spans", "id").alias("n_id"),
+    )
+
+
+@query("op5_secret_ownership")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.secrets(table(spark, sf, "documents"), owner="source", repository="doc_id")
+    return found.select(
+        "doc_id", *[_count("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(text_of(F.col("base")), 256).alias("base_sha256"), text_of(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: ~s["copied"])).cast("long").alias("n_live"),
+        F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"),
+    )
+
+
 OP7_SQL = r"""
 WITH i AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
