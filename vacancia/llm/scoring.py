@@ -181,10 +181,14 @@ def cross_entropy_difference(docs: DataFrame, models: Models, key: str = "doc_id
 
 
 def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(text, is_target): whether each document's key is among ``labels`` (key)."""
+    """(text, is_target): whether each document's key is among ``labels`` (key).
+
+    Labels grow with the documents, so the join deals both by key at every size; it's the one time
+    that texts are shuffled.
+    """
     wanted = pick(labels, label=key).where("label is not null").distinct().withColumn("is_target", F.lit(True))
     own = pick(docs, key=key, text=text)
-    joined = own.join(wanted, F.col("key") == F.col("label"), "left")
+    joined = own.join(wanted.hint("merge"), F.col("key") == F.col("label"), "left")
     return joined.select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
 
 
