@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from vacancia.session import cut_lineage
 
+#: Rows of a file that ``keep`` writes for a narrow frame.
+FILE_ROWS = 500_000
 #: Rows of a batch that are turned into Python values at once.
 CHUNK_ROWS = 256
 
@@ -44,12 +46,16 @@ def never_null(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("v"), F.col(column).cast("string")), F.lit("n"))
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """A frame that several later steps read, written to the shared folder and read back.
 
     Rows get fixed by this: a lost executor costs a read of the files, and a row number given before
-    stays the same.
+    stays the same. Where the number of ``rows`` is known (or a bound), there are as many files as
+    they fill, instead of one for each partition of the last shuffle.
     """
+    if rows is not None:
+        least = df.sparkSession.sparkContext.defaultParallelism
+        df = df.coalesce(max(least, -(-rows // FILE_ROWS)))
     return cut_lineage(df, f"llm-{name}")
 
 

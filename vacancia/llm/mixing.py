@@ -47,7 +47,7 @@ def source_targets(totals: DataFrame, weights: DataFrame, share: float, most_cop
         totals.join(weights.withColumnRenamed("source", "ws"), F.col("source").eqNullSafe(F.col("ws")), "left")
         .select("source", "n", "source_size", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)).alias("weight"),
                 (F.lit(float(most_copies)) * F.col("source_size")).alias("limit")),
-        "targets",
+        "targets", totals.count(),
     )
     whole = share * float(known.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
     level, full = 0.0, -1
@@ -89,27 +89,27 @@ def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -
     ).withColumn("buckets", F.col("side") * F.col("side")).withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).withColumn(
         "chance", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)
     )
-    shares = keep(shares, "shares")
+    sources = targets.count()
+    shares = keep(shares, "shares", sources)
     drawn = shares.where("chance > 0").select("source", "rest", "chance", "side", "buckets")
     units = sized.groupBy("source", "u").agg(F.sum("size").alias("size"))
     units = units.withColumnRenamed("source", "s").join(
-        small_side(drawn, shares.count()), F.col("s").eqNullSafe(F.col("source"))
+        small_side(drawn, sources), F.col("s").eqNullSafe(F.col("source"))
     ).withColumn("rank", rank("u", "chance")).withColumn("bucket", bucket("u", "buckets"))
     units = units.withColumn("part", F.floor(F.col("bucket") / F.col("side")).cast("long"))
-    units = keep(units.select("source", "u", "size", "rank", "part", "bucket", "rest"), "units")
+    units = keep(units.select("source", "u", "size", "rank", "part", "bucket", "rest"), "units", sized.count())
 
-    parts = keep(_ends(units.withColumn("start", F.lit(0.0)), "part"), "parts")
-    rows = parts.count()
-    ends = keep(_ends(_within(units, parts, rows, "part"), "bucket"), "ends")
-    last = _within(units, ends, rows, "bucket")
+    parts = keep(_ends(units.withColumn("start", F.lit(0.0)), "part"), "parts", sources)
+    ends = keep(_ends(_within(units, parts, sources, "part"), "bucket"), "ends", sources)
+    last = _within(units, ends, sources, "bucket")
     place = F.struct("rank", "u", F.col("size").cast("double").alias("size"))
     inside = last.groupBy("source", F.col("bucket").alias("end"), "start", "rest").agg(
         F.array_sort(F.collect_list(place)).alias("places")
     )
     cuts = keep(inside.select("source", "end", _filled(F.col("places"), F.col("rest") - F.col("start")).alias("f"))
-                .select("source", "end", "f.cut", "f.extras", F.col("f.left").alias("gap")), "cuts")
+                .select("source", "end", "f.cut", "f.extras", F.col("f.left").alias("gap")), "cuts", sources)
     open_places = units.select("source", "u", "size", "rank", "bucket").join(
-        small_side(cuts.withColumnRenamed("source", "s"), rows), F.col("source").eqNullSafe(F.col("s"))
+        small_side(cuts.withColumnRenamed("source", "s"), sources), F.col("source").eqNullSafe(F.col("s"))
     ).where("bucket > end or (bucket = end and rank > cut and not array_contains(extras, u))")
     off = F.abs(F.col("size") - F.col("gap"))
     nearest = open_places.where(off < F.col("gap")).groupBy("source").agg(
@@ -183,7 +183,7 @@ def _with_plan(sized: DataFrame, weights: DataFrame | Sequence[float], share: fl
     totals = keep(sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), "totals")
     if not isinstance(weights, DataFrame):
         weights = cyclic_weights(totals.select("source"), weights)
-    return keep(plan(sized, source_targets(totals, weights, share, most_copies)), "plan")
+    return keep(plan(sized, source_targets(totals, weights, share, most_copies)), "plan", totals.count())
 
 
 def mix_sizes(

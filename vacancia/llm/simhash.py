@@ -236,8 +236,8 @@ def near_groups(prints: DataFrame, pivots: Pivots | None = None) -> DataFrame:
     fingerprints are one before anything is compared.
     """
     pivots = pivots or Pivots()
-    first = keep(prints.groupBy("fp").agg(F.min("key").alias("least")), "fingerprints")
-    tied = components(near_links(first, pivots))
+    first = keep(prints.groupBy("fp").agg(F.min("key").alias("least")), "fingerprints", prints.count())
+    tied = components(near_links(first, pivots), first.count())
     members = tied.unionByName(tied.select(F.col("root").alias("node"), "root").distinct())
     known = members.join(first, members["node"] == first["fp"]).select("fp", "root", "least")
     lowest = known.groupBy("root").agg(F.min("least").alias("lowest"))
