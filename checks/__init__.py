@@ -4,6 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "assembly", "selection", "scalars", "social", "pages", "payloads_json", "payloads_html", "streams",
+    "jobs",
 )
 
 

@@ -197,7 +197,7 @@ def align_schema(spark, sf):
     "posting_ids",
     pst_sql("""SELECT seq, CASE site WHEN 'indeed' THEN 'in-' WHEN 'linkedin' THEN 'li-' WHEN 'zip_recruiter' THEN 'zr-'
       WHEN 'glassdoor' THEN 'gd-' WHEN 'naukri' THEN 'nk-' ELSE '' END || id AS id,
-      'custom:link:' || substr(sha256(job_url), 1, 12) AS link_id FROM pst"""),
+      'custom:link:' || sha256(job_url) AS link_id FROM pst"""),
 )
 def posting_ids(spark, sf):
     return pst(spark, sf).select(

@@ -205,12 +205,11 @@ def find_listing_link(spark, sf):
 
 @query(
     "is_job_url",
-    "SELECT page_id, href, regexp_matches(href, '(?i)/(careers|jobs|positions|openings|vacancies|job|listing|o|role|opportunity)/[a-z0-9][\\w-]{5,}') AS job FROM (SELECT page_id, '/jobs' || href AS href FROM (" + _LINKS + ")) WHERE regexp_matches(href, '^[\\x00-\\x7F]*$')",
+    "SELECT page_id, href, regexp_matches(href, '(?i)/(careers|jobs|positions|openings|vacancies|job|listing|o|role|opportunity)/[a-z0-9][\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}-]{5,}') AS job FROM (SELECT page_id, '/jobs' || href AS href FROM (" + _LINKS + "))",
 )
 def is_job_url(spark, sf):
-    """Over links put below ``/jobs``; the SQL engine's word class is ASCII, so only ASCII links."""
+    """Over links put below ``/jobs``, with letters of any script."""
     df = page_links(spark, sf).select("page_id", F.concat(F.lit("/jobs"), "href").alias("href"))
-    df = df.where(F.col("href").rlike(r"^\p{ASCII}*$"))
     return df.select("page_id", "href", urls.is_job_url(F.col("href")).alias("job"))
 
 

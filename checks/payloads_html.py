@@ -126,6 +126,14 @@ def enrich_linkedin(spark, sf):
 # ---- detail pages -----------------------------------------------------------------------------
 
 
+def zip_detail_raw(spark, sf):
+    state = F.when(k() % 3 > 0, html('{"model":{"saveJobURL":"/save?x=1&job_url=', C("job_url"), '"}}')).otherwise('{"model":{}}')
+    firm = F.when(k() % 2 == 0, html('<section class="company_description"><p>About ', C("company_name"), "</p></section>"))
+    page = html('<div class="y job_description"><b>', C("title"), "</b></div><div>other</div>", firm, '<script type="application/json">', state, "</script>")
+    url = F.concat(F.lit("https://www.ziprecruiter.com/jobs//j?lvk="), C("id"))
+    return raw(pst(spark, sf), page, "zip_recruiter", url)
+
+
 @query(
     "parse_ziprecruiter_detail",
     oracle(
@@ -134,59 +142,52 @@ def enrich_linkedin(spark, sf):
     ),
 )
 def parse_ziprecruiter_detail(spark, sf):
-    state = F.when(k() % 3 > 0, html('{"model":{"saveJobURL":"/save?x=1&job_url=', C("job_url"), '"}}')).otherwise('{"model":{}}')
-    firm = F.when(k() % 2 == 0, html('<section class="company_description"><p>About ', C("company_name"), "</p></section>"))
-    page = html('<div class="y job_description"><b>', C("title"), "</b></div><div>other</div>", firm, '<script type="application/json">', state, "</script>")
-    url = F.concat(F.lit("https://www.ziprecruiter.com/jobs//j?lvk="), C("id"))
-    return boards_html.parse_ziprecruiter_detail(raw(pst(spark, sf), page, "zip_recruiter", url), OPTIONS).drop("seq")
+    return boards_html.parse_ziprecruiter_detail(zip_detail_raw(spark, sf), OPTIONS).drop("seq")
 
 
-@query(
-    "parse_seek_detail",
-    oracle(id=_KS, description="CASE WHEN seq % 5 > 0 THEN title || CASE WHEN seq % 2 = 0 THEN chr(10) || chr(10) || '* ' || company_name ELSE '' END END"),
-)
-def parse_seek_detail(spark, sf):
+def seek_detail_raw(spark, sf):
     """A marked span wins over a marked div; every fifth page has neither."""
     inner = html(C("title"), F.when(k() % 2 == 0, html("<ul><li>", C("company_name"), "</li></ul>")))
     page = F.when(k() % 5 == 0, "<p>none</p>").when(
         k() % 3 == 0, html('<div data-automation="jobAdDetails">wrong</div><span data-automation="jobAdDetails">', inner, "</span>")
     ).otherwise(html('<div class="a" data-automation="jobAdDetails">', inner, "</div>"))
     url = F.concat(F.lit("https://www.seek.com.au/job/"), key())
-    return boards_html.parse_seek_detail(raw(pst(spark, sf), page, "seek", url), OPTIONS).drop("seq")
+    return raw(pst(spark, sf), page, "seek", url)
+
+
+@query(
+    "parse_seek_detail",
+    oracle(id=_KS, description="CASE WHEN seq % 5 > 0 THEN title || CASE WHEN seq % 2 = 0 THEN chr(10) || chr(10) || '* ' || company_name ELSE '' END END"),
+)
+def parse_seek_detail(spark, sf):
+    return boards_html.parse_seek_detail(seek_detail_raw(spark, sf), OPTIONS).drop("seq")
 
 
 # ---- Bayt, BDJobs -----------------------------------------------------------------------------
 
 
-@query(
-    "parse_bayt",
-    oracle(
-        where="seq % 7 > 0", id=f"'bayt-' || substr(sha256('https://www.bayt.com/en/job-' || {_KS}), 1, 12)", title="title",
-        company_name="CASE WHEN seq % 4 > 0 THEN company_name END", city="coalesce(location_text, '')", country="'worldwide'", job_url=f"'https://www.bayt.com/en/job-' || {_KS}",
-    ),
-)
-def parse_bayt(spark, sf):
+def bayt_raw(spark, sf):
     """Every seventh listing has no link."""
     page = html(
         '<ul><li data-js-job=""><h2 class="x"> ', F.when(k() % 7 > 0, html('<a href=" /en/job-', key(), ' ">')), C("title"), F.when(k() % 7 > 0, "</a>"), "</h2>",
         F.when(k() % 4 > 0, html('<div class="t-nowrap p10l"><span>', C("company_name"), "</span></div>")), '<div class="t-mute t-small"> ', C("location_text"),
         ' </div></li><li data-js-job="x"><h2><a href="/no">no</a></h2></li></ul>',
     )
-    return out(boards_html.parse_bayt(raw(pst(spark, sf), page, "bayt"), OPTIONS), "id title company_name city country job_url")
+    return raw(pst(spark, sf), page, "bayt")
 
 
 @query(
-    "parse_bdjobs_cards",
+    "parse_bayt",
     oracle(
-        id=f"CASE WHEN seq % 3 = 0 THEN {_KS} ELSE 'bdjobs-' || substr(sha256('https://jobs.bdjobs.com/jobdetails/' || {_KS}), 1, 12) END",
-        title="CASE WHEN seq % 2 = 0 THEN title ELSE 'Alt ' || title END", company_name="CASE WHEN seq % 5 > 0 THEN company_name ELSE 'N/A' END",
-        city="CASE WHEN location_text IS NULL THEN 'Dhaka' ELSE trim(split_part(location_text, ',', 1)) END",
-        state="CASE WHEN location_text IS NULL THEN 'Bangladesh' ELSE nullif(trim(split_part(location_text, ',', 2)), '') END", country="'bangladesh'",
-        date_posted=_DAY, is_remote="contains(lower(concat_ws(' ', title, location_text)), 'remote')",
-        job_url=f"CASE WHEN seq % 3 = 0 THEN 'https://jobs.bdjobs.com/jobdetails.asp?jobid=' || {_KS} || '&ln=1' ELSE 'https://jobs.bdjobs.com/jobdetails/' || {_KS} END",
+        where="seq % 7 > 0", id=f"'bayt-' || sha256('https://www.bayt.com/en/job-' || {_KS})", title="title",
+        company_name="CASE WHEN seq % 4 > 0 THEN company_name END", city="coalesce(location_text, '')", country="'worldwide'", job_url=f"'https://www.bayt.com/en/job-' || {_KS}",
     ),
 )
-def parse_bdjobs_cards(spark, sf):
+def parse_bayt(spark, sf):
+    return out(boards_html.parse_bayt(bayt_raw(spark, sf), OPTIONS), "id title company_name city country job_url")
+
+
+def bdjobs_raw(spark, sf):
     """Cards of three kinds; half of the links have no text, so the heading counts."""
     href = F.when(k() % 3 == 0, html("/jobdetails.asp?jobid=", key(), "&amp;ln=1")).otherwise(html("/jobdetails/", key()))
     kind = F.when(k() % 4 == 0, "job-item extra").when(k() % 4 == 1, "norm-jobs-wrapper").when(k() % 4 == 2, "featured-wrap").otherwise("plain")
@@ -196,22 +197,28 @@ def parse_bdjobs_cards(spark, sf):
         F.when(C("location_text").isNotNull(), html('<span class="', F.when(k() % 2 == 0, "locon-text-d").otherwise("job-location"), '">', C("location_text"), "</span>")),
         '<div class="published-on">Deadline: ', F.date_format("date_posted", "d MMM yyyy"), "</div></div>",
     )
-    return out(
-        boards_html.parse_bdjobs_cards(raw(pst(spark, sf), page, "bdjobs"), OPTIONS),
-        "id title company_name city state country date_posted is_remote job_url",
-    )
+    return raw(pst(spark, sf), page, "bdjobs")
 
 
 @query(
-    "parse_bdjobs_detail",
+    "parse_bdjobs_cards",
     oracle(
-        id=_KS, description="""CASE seq % 3 WHEN 0 THEN title || chr(10) || 'second item' || chr(10) || company_name
-          WHEN 1 THEN 'Do **' || title || '**' ELSE '' END""",
-        types="CASE job_type_text WHEN 'full-time' THEN 'fulltime' WHEN 'Part Time' THEN 'parttime' WHEN 'Contract' THEN 'contract' WHEN 'Praktikum' THEN 'internship' ELSE '' END",
-        company_industry="country",
+        id=f"CASE WHEN seq % 3 = 0 THEN {_KS} ELSE 'bdjobs-' || sha256('https://jobs.bdjobs.com/jobdetails/' || {_KS}) END",
+        title="CASE WHEN seq % 2 = 0 THEN title ELSE 'Alt ' || title END", company_name="CASE WHEN seq % 5 > 0 THEN company_name ELSE 'N/A' END",
+        city="CASE WHEN location_text IS NULL THEN 'Dhaka' ELSE trim(split_part(location_text, ',', 1)) END",
+        state="CASE WHEN location_text IS NULL THEN 'Bangladesh' ELSE nullif(trim(split_part(location_text, ',', 2)), '') END", country="'bangladesh'",
+        date_posted=_DAY, is_remote="contains(lower(concat_ws(' ', title, location_text)), 'remote')",
+        job_url=f"CASE WHEN seq % 3 = 0 THEN 'https://jobs.bdjobs.com/jobdetails.asp?jobid=' || {_KS} || '&ln=1' ELSE 'https://jobs.bdjobs.com/jobdetails/' || {_KS} END",
     ),
 )
-def parse_bdjobs_detail(spark, sf):
+def parse_bdjobs_cards(spark, sf):
+    return out(
+        boards_html.parse_bdjobs_cards(bdjobs_raw(spark, sf), OPTIONS),
+        "id title company_name city state country date_posted is_remote job_url",
+    )
+
+
+def bdjobs_detail_raw(spark, sf):
     listed = html(
         '<div class="jobcontent"><h5>Context</h5><p>skip</p><h4>Job Responsibilities</h4><ul><li>', C("title"), "</li><li>second <i>item</i></li></ul><p>",
         C("company_name"), "</p><h5>Other</h5><p>not this</p></div>",
@@ -222,8 +229,21 @@ def parse_bdjobs_detail(spark, sf):
         "</span></div><div>Industry:</div><div>", C("country"), "</div>",
     )
     url = F.concat(F.lit("https://jobs.bdjobs.com/jobdetails.asp?jobid="), key(), F.lit("&ln=1"))
+    return raw(pst(spark, sf), page, "bdjobs", url)
+
+
+@query(
+    "parse_bdjobs_detail",
+    oracle(
+        id=_KS, description="""CASE seq % 3 WHEN 0 THEN title || chr(10) || 'second item' || chr(10) || company_name
+          WHEN 1 THEN 'Do **' || title || '**' ELSE '' END""",
+        types="CASE job_type_text WHEN 'full-time' THEN 'fulltime' WHEN 'Part Time' THEN 'parttime' WHEN 'Contract' THEN 'contract' WHEN 'Praktikum' THEN 'internship' ELSE '' END",
+        company_industry="country",
+    ),
+)
+def parse_bdjobs_detail(spark, sf):
     return out(
-        boards_html.parse_bdjobs_detail(raw(pst(spark, sf), page, "bdjobs", url), OPTIONS), "id description types company_industry"
+        boards_html.parse_bdjobs_detail(bdjobs_detail_raw(spark, sf), OPTIONS), "id description types company_industry"
     )
 
 
@@ -278,15 +298,7 @@ def parse_irishjobs_cards(spark, sf):
     )
 
 
-@query(
-    "parse_irishjobs_jsonld",
-    oracle(
-        where="seq % 4 < 3", id=f"'ij-' || {_KS}", title="title", company_name="company_name", job_url=f"'https://www.irishjobs.ie/jobs/' || {_KS}", city="country",
-        min_amount="comp_min", max_amount="comp_max", currency="CASE WHEN comp_min IS NOT NULL THEN 'EUR' END", date_posted=_DAY, description="description",
-        types=f"CASE job_type_text WHEN 'Part Time' THEN 'parttime' WHEN 'Contract' THEN 'contract' WHEN 'full-time' THEN 'fulltime' ELSE nullif({_TYPED.format(t='description')}, 'none') END",
-    ),
-)
-def parse_irishjobs_jsonld(spark, sf):
+def irish_jsonld_raw(spark, sf):
     """Linked data as an item list or as a list; pages with cards do not use it."""
     df = pst(spark, sf)
     # One bound alone stands for both; here both are given or neither is.
@@ -303,8 +315,20 @@ def parse_irishjobs_jsonld(spark, sf):
     body = F.when(k() % 2 == 0, html('{"@type":"ItemList","itemListElement":[{"@type":"ListItem","item":', posting, "}]}")).otherwise(
         html('[{"@type":"Organization"},', posting, "]"))
     page = html('<script type="application/ld+json">', body, "</script>", F.when(k() % 4 == 3, '<p data-testid="job-item"></p>'))
+    return raw(df, page, "irish_jobs")
+
+
+@query(
+    "parse_irishjobs_jsonld",
+    oracle(
+        where="seq % 4 < 3", id=f"'ij-' || {_KS}", title="title", company_name="company_name", job_url=f"'https://www.irishjobs.ie/jobs/' || {_KS}", city="country",
+        min_amount="comp_min", max_amount="comp_max", currency="CASE WHEN comp_min IS NOT NULL THEN 'EUR' END", date_posted=_DAY, description="description",
+        types=f"CASE job_type_text WHEN 'Part Time' THEN 'parttime' WHEN 'Contract' THEN 'contract' WHEN 'full-time' THEN 'fulltime' ELSE nullif({_TYPED.format(t='description')}, 'none') END",
+    ),
+)
+def parse_irishjobs_jsonld(spark, sf):
     return plain(
-        out(boards_html.parse_irishjobs_jsonld(raw(df, page, "irish_jobs"), OPTIONS),
+        out(boards_html.parse_irishjobs_jsonld(irish_jsonld_raw(spark, sf), OPTIONS),
             "id title company_name job_url city min_amount max_amount currency date_posted description types")
         .withColumn("max_amount", F.when(C("max_amount") != C("min_amount"), C("max_amount")))
     )
@@ -313,7 +337,7 @@ def parse_irishjobs_jsonld(spark, sf):
 @query(
     "build_irishjobs_row",
     oracle(
-        id=f"CASE WHEN seq % 2 = 0 THEN 'ij-' || {_KS} ELSE 'ij-' || substr(sha256('https://x.test/r/' || {_KS}), 1, 12) END",
+        id=f"CASE WHEN seq % 2 = 0 THEN 'ij-' || {_KS} ELSE 'ij-' || sha256('https://x.test/r/' || {_KS}) END",
         job_url=f"CASE WHEN seq % 2 = 0 THEN 'https://www.irishjobs.ie/jobs/' || {_KS} ELSE 'https://x.test/r/' || {_KS} END",
         description="CASE WHEN seq % 3 = 0 THEN '**' || title || '** wfh' ELSE description END",
         types=f"coalesce({_IRISH_TYPE.format(more='')}, CASE WHEN seq % 3 > 0 THEN nullif({_TYPED.format(t='description')}, 'none') END)",
@@ -337,6 +361,16 @@ def build_irishjobs_row(spark, sf):
 # ---- JazzHR -----------------------------------------------------------------------------------
 
 
+def jazzhr_raw(spark, sf):
+    page = html(
+        '<ul><li class="list-group-item"><h3 class="list-group-item-heading"><a href="/apply/', C("id"), '/role">', C("title"),
+        '</a></h3><ul class="list-group-item-text"><li><i class="fa fa-map-marker"></i> ', C("location_text"),
+        ' </li><li><i class="fa fa-sitemap"></i> Dept</li></ul></li><li class="list-group-item"><p>empty</p></li></ul>',
+    )
+    url = F.concat(F.lit("https://"), F.replace("site", F.lit("_"), F.lit("-")), F.lit(".applytojob.com/apply"))
+    return raw(pst(spark, sf), page, "jazzhr", url)
+
+
 @query(
     "parse_jazzhr",
     oracle(
@@ -347,13 +381,7 @@ def build_irishjobs_row(spark, sf):
     ),
 )
 def parse_jazzhr(spark, sf):
-    page = html(
-        '<ul><li class="list-group-item"><h3 class="list-group-item-heading"><a href="/apply/', C("id"), '/role">', C("title"),
-        '</a></h3><ul class="list-group-item-text"><li><i class="fa fa-map-marker"></i> ', C("location_text"),
-        ' </li><li><i class="fa fa-sitemap"></i> Dept</li></ul></li><li class="list-group-item"><p>empty</p></li></ul>',
-    )
-    url = F.concat(F.lit("https://"), F.replace("site", F.lit("_"), F.lit("-")), F.lit(".applytojob.com/apply"))
-    return out(boards_html.parse_jazzhr(raw(pst(spark, sf), page, "jazzhr", url), OPTIONS), "id title job_url city state country is_remote")
+    return out(boards_html.parse_jazzhr(jazzhr_raw(spark, sf), OPTIONS), "id title job_url city state country is_remote")
 
 
 @query("jazzhr_detail", oracle(job_url="job_url", description="title || chr(10) || '=' || repeat('=', length(title) - 1) || chr(10) || chr(10) || company_name"))

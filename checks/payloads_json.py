@@ -393,7 +393,7 @@ def google_record():
 
 
 _GOOGLE = dict(
-    id="'go-' || CASE WHEN seq % 3 = 0 THEN substr(sha256(job_url), 1, 12) ELSE id END", title="title", company_name="company_name", job_url="job_url",
+    id="'go-' || CASE WHEN seq % 3 = 0 THEN sha256(job_url) ELSE id END", title="title", company_name="company_name", job_url="job_url",
     city="CASE WHEN contains(location_text, ',') THEN trim(split_part(location_text, ',', 1)) ELSE location_text END",
     state="nullif(trim(split_part(location_text, ',', 2)), '')", country="nullif(trim(split_part(location_text, ',', 3)), '')",
     date_posted=f"CAST(CASE WHEN seq % 4 > 0 THEN DATE '{AS_OF}' - CAST(nullif(regexp_extract(date_label, '\\d+'), '') AS INTEGER) END AS VARCHAR)",
@@ -641,6 +641,14 @@ def parse_workable(spark, sf):
     return out(careers_json.WORKABLE.parse(workable_raw(spark, sf), OPTIONS), "id title job_url city state country date_posted is_remote")
 
 
+def workable_detail_raw(spark, sf):
+    detail = F.to_json(
+        s(description=C("description"), requirements=F.concat(F.lit("<ul><li>"), "company_name", F.lit("</li></ul>")), benefits=F.when(k() % 2 == 0, "perks").otherwise(""))
+    )
+    url = F.concat(F.lit("https://apply.workable.com/api/v2/accounts/"), C("site"), F.lit("/jobs/"), C("id"))
+    return raw(pst(spark, sf), detail, "workable", url)
+
+
 @query(
     "workable_details",
     oracle(
@@ -649,11 +657,7 @@ def parse_workable(spark, sf):
     ),
 )
 def workable_details(spark, sf):
-    detail = F.to_json(
-        s(description=C("description"), requirements=F.concat(F.lit("<ul><li>"), "company_name", F.lit("</li></ul>")), benefits=F.when(k() % 2 == 0, "perks").otherwise(""))
-    )
-    url = F.concat(F.lit("https://apply.workable.com/api/v2/accounts/"), C("site"), F.lit("/jobs/"), C("id"))
-    return careers_json.workable_details(raw(pst(spark, sf), detail, "workable", url))
+    return careers_json.workable_details(workable_detail_raw(spark, sf)).drop("seq")
 
 
 def bamboohr_raw(spark, sf):
@@ -679,15 +683,19 @@ def parse_bamboohr(spark, sf):
     return out(careers_json.BAMBOOHR.parse(bamboohr_raw(spark, sf), OPTIONS), "id title job_url city state country is_remote")
 
 
+def bamboohr_detail_raw(spark, sf):
+    place = s(addressCountry=F.when(k() % 2 == 0, "IE").otherwise(""), country="Ireland")
+    detail = F.to_json(s(result=s(jobOpening=s(description=C("description"), datePosted=day_text(), location=place))))
+    url = F.concat(F.lit("https://"), F.replace("site", F.lit("_"), F.lit("-")), F.lit(".bamboohr.com/careers/"), key(), F.lit("/detail"))
+    return raw(pst(spark, sf), detail, "bamboohr", url)
+
+
 @query(
     "bamboohr_details",
     oracle(where="true", id=_BAMBOO_ID, description="nullif(trim(description), '')", date_posted=_DAY, country="CASE WHEN seq % 2 = 0 THEN 'IE' ELSE 'Ireland' END"),
 )
 def bamboohr_details(spark, sf):
-    place = s(addressCountry=F.when(k() % 2 == 0, "IE").otherwise(""), country="Ireland")
-    detail = F.to_json(s(result=s(jobOpening=s(description=C("description"), datePosted=day_text(), location=place))))
-    url = F.concat(F.lit("https://"), F.replace("site", F.lit("_"), F.lit("-")), F.lit(".bamboohr.com/careers/"), key(), F.lit("/detail"))
-    return plain(careers_json.bamboohr_details(raw(pst(spark, sf), detail, "bamboohr", url)))
+    return plain(careers_json.bamboohr_details(bamboohr_detail_raw(spark, sf))).drop("seq")
 
 
 @query("jsonld_compensation", pst_sql("""SELECT seq, CASE WHEN comp_min IS NOT NULL THEN coalesce(CASE WHEN seq % 2 = 0 THEN comp_interval END, 'yearly') END AS interval,
@@ -753,10 +761,9 @@ def sink_csv(spark, sf):
     )
 
 
-@query("sink_table", pst_sql("SELECT site, count(*) AS n FROM pst WHERE site IN ('indeed', 'naukri') GROUP BY site"))
+@query("sink_table", pst_sql("SELECT site, count(*) AS n FROM pst GROUP BY site"))
 def sink_table(spark, sf):
-    """Written by site, read for two sites only."""
+    """Written by site and read back."""
     path = work_folder(spark, f"postings-table-{uuid.uuid4().hex}")
     sinks.sink_table(pst(spark, sf), path)
-    back = spark.read.parquet(path).where(C("site").isin("indeed", "naukri"))
-    return back.groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).groupBy("site").agg(F.count(F.lit(1)).alias("n"))

@@ -652,14 +652,23 @@ def id_from_url(spark, sf):
 
 @query(
     "absolute_url",
-    """SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/a/b' AS rooted, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/c.html' AS bare,
-      split_part(url, '//', 1) || '//cdn.test/x' AS scheme, url AS kept FROM pages""",
+    """SELECT page_id, origin || '/a/b' AS rooted, origin || folder || 'c.html' AS bare,
+      origin || regexp_replace(folder, '[^/]+/$', '') || 'd?e/../f' AS up, origin || path || '?q=1' AS query,
+      origin || folder || 'x/z/' AS dots, CAST(NULL AS VARCHAR) AS mail, 'https://A.test/B' AS shouted,
+      split_part(url, '//', 1) || '//cdn.test/x' AS scheme, url AS kept FROM (SELECT page_id, url, origin, path,
+        coalesce(nullif(regexp_extract(path, '^(.*/)', 1), ''), '/') AS folder FROM (SELECT page_id, url,
+        regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS origin, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages))""",
 )
 def absolute_url(spark, sf):
     u = F.col("url")
     return table(spark, sf, "pages").select(
         "page_id", urls.absolute_url(F.lit("/a/b"), u).alias("rooted"),
-        urls.absolute_url(F.lit("c.html"), u).alias("bare"),
+        urls.absolute_url(F.lit(" c.html "), u).alias("bare"),
+        urls.absolute_url(F.lit("../d?e/../f"), u).alias("up"),
+        urls.absolute_url(F.lit("?q=1"), u).alias("query"),
+        urls.absolute_url(F.lit("./x/y/../z/."), u).alias("dots"),
+        urls.absolute_url(F.lit("mailto:hr@a.test"), u).alias("mail"),
+        urls.absolute_url(F.lit("HTTPS://A.test/B"), u).alias("shouted"),
         urls.absolute_url(F.lit("//cdn.test/x"), u).alias("scheme"),
         urls.absolute_url(u, F.lit("https://other.test/")).alias("kept"),
     )

@@ -12,7 +12,7 @@ from vacancia.functions import urls
 from vacancia.functions.text import join_present
 from vacancia.operators import aggregates, dedup, enrich, filters, ranking
 from vacancia.operators.assemble import union_sites
-from vacancia.operators.skew import salted_join
+from vacancia.operators.skew import hot_keys, salted_join
 
 # ---- filters ----------------------------------------------------------------------------------
 
@@ -313,12 +313,11 @@ def site_config_lookup(spark, sf):
     "SELECT e.event_id, c.c_name FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey",
 )
 def salted_join_events(spark, sf):
-    """Events to customers with the heaviest users split."""
+    """Events to customers with the heaviest users split, as a caller lists them."""
     events = table(spark, sf, "events").select("event_id", F.col("user_id").alias("c_custkey"))
     customers = table(spark, sf, "customer").select("c_custkey", "c_name")
-    joined = salted_join(
-        events, customers, ["c_custkey"], "left", spread=("event_id",), min_rows=20, salts=8
-    )
+    hot = hot_keys(events, ["c_custkey"], min_rows=20)
+    joined = salted_join(events, customers, ["c_custkey"], "left", hot, ("event_id",), salts=8)
     return joined.select("event_id", "c_name")
 
 
@@ -353,7 +352,7 @@ def distinct_postings_count(spark, sf):
 )
 def min_support(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
-    kept = aggregates.min_support(events, ["user_id", "event_type"], spread=("event_id",))
+    kept = aggregates.min_support(events, ["user_id", "event_type"])
     return kept.select("event_id")
 
 
@@ -367,6 +366,17 @@ def strategy_cascade(spark, sf):
     return aggregates.strategy_cascade(df, ["company_name"]).select("seq", "strategy_rank")
 
 
+@query(
+    "cascade_null_keys",
+    pst_sql("""SELECT seq, strategy_rank FROM (SELECT seq, seq % 4 AS strategy_rank, min(seq % 4) OVER (PARTITION BY comp_interval, comp_max IS NULL) AS best FROM pst)
+      WHERE strategy_rank = best"""),
+)
+def cascade_null_keys(spark, sf):
+    """Groups whose key is null are groups like any other."""
+    df = pst(spark, sf).withColumns({"strategy_rank": F.col("seq") % 4, "open": F.col("comp_max").isNull()})
+    return aggregates.strategy_cascade(df, ["comp_interval", "open"]).select("seq", "strategy_rank")
+
+
 @query(
     "largest_array_wins",
     pst_sql("""SELECT seq, candidate FROM (SELECT *, seq % 5 AS candidate FROM pst) p JOIN
@@ -420,14 +430,23 @@ def offset_slice(spark, sf):
 @query(
     "offset_slice_deep",
     """SELECT event_id, event_type FROM (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS rn
-      FROM events) WHERE rn BETWEEN 1101 AND 1600""",
+      FROM events) WHERE rn BETWEEN 11 AND 1600""",
 )
 def offset_slice_deep(spark, sf):
-    """A deep slice of groups that each hold a large share of the rows."""
+    """A deep slice, beyond what is cut before the shuffle, of groups that hold much of the rows."""
     events = table(spark, sf, "events").select("event_id", "event_type")
-    return ranking.rows_per_group(
-        events, 500, 1100, keys=("event_type",), order=("event_id",), bucket_width=700
-    )
+    return ranking.rows_per_group(events, 1590, 10, keys=("event_type",), order=("event_id",))
+
+
+@query(
+    "slice_null_seq",
+    pst_sql("""SELECT k, site FROM (SELECT seq AS k, site, row_number() OVER (PARTITION BY site ORDER BY CASE WHEN seq % 5 > 0 THEN seq END NULLS FIRST, seq) AS rn FROM pst)
+      WHERE rn BETWEEN 21 AND 1500"""),
+)
+def slice_null_seq(spark, sf):
+    """Rows without arrival number come first and are kept."""
+    df = pst(spark, sf).select("site", F.col("seq").alias("k"), F.when(F.col("seq") % 5 > 0, F.col("seq")).alias("seq"))
+    return ranking.rows_per_group(df, 1480, 20, order=("seq", "k")).select("k", "site")
 
 
 @query(
@@ -444,17 +463,14 @@ def first_per_key(spark, sf):
 
 @query(
     "union_sites",
-    pst_sql("""SELECT seq, title, NULL AS salary_label FROM pst WHERE site = 'indeed' UNION ALL
-      SELECT seq, NULL, salary_label FROM pst WHERE site = 'naukri'"""),
+    pst_sql("""SELECT seq, CASE WHEN site IN ('indeed', 'linkedin', 'glassdoor') THEN title END AS title,
+      CASE WHEN site IN ('zip_recruiter', 'naukri', 'reed') THEN salary_label END AS salary_label FROM pst"""),
 )
 def union_sites_query(spark, sf):
     df = pst(spark, sf)
-    return union_sites(
-        [
-            df.where(F.col("site") == "indeed").select("seq", "title"),
-            df.where(F.col("site") == "naukri").select("salary_label", "seq"),
-        ]
-    )
+    by = {"indeed": "title", "linkedin": "title", "glassdoor": "title",
+          "zip_recruiter": "salary_label", "naukri": "salary_label", "reed": "salary_label"}
+    return union_sites([df.where(F.col("site") == s).select(c, "seq") for s, c in by.items()])
 
 
 @query(
@@ -466,6 +482,18 @@ def dedup_within_site(spark, sf):
     return dedup.dedup_within_site(pst(spark, sf), ("seq",)).select("seq")
 
 
+@query(
+    "dedup_null_keys",
+    pst_sql("""SELECT seq FROM (SELECT seq, site, id, job_url, row_number() OVER (PARTITION BY site, CASE WHEN seq % 3 > 0 THEN
+      CASE WHEN site IN ('indeed', 'glassdoor', 'zip_recruiter') THEN job_url ELSE id END END, CASE WHEN seq % 3 = 0 THEN seq END ORDER BY seq) AS rn FROM pst) WHERE rn = 1"""),
+)
+def dedup_null_keys(spark, sf):
+    """A third of the postings has neither id nor URL: all of them stay."""
+    known = F.col("seq") % 3 > 0
+    df = pst(spark, sf).withColumns({"id": F.when(known, F.col("id")), "job_url": F.when(known, F.col("job_url"))})
+    return dedup.dedup_within_site(df, ("seq",)).select("seq")
+
+
 @query(
     "dedup_by_normalized_url",
     pst_sql("""SELECT seq, k FROM (SELECT seq, k, row_number() OVER (PARTITION BY k ORDER BY seq) AS rn FROM
@@ -478,7 +506,7 @@ def dedup_by_normalized_url(spark, sf):
 
 @query(
     "dedup_by_prefix",
-    """SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY left(text, 80) ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
+    """SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY left(text, 80), CASE WHEN text IS NULL THEN doc_id END ORDER BY doc_id) AS rn FROM documents) WHERE rn = 1""",
 )
 def dedup_by_prefix(spark, sf):
     """The key is the first 80 characters: that is the rule of this operator."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vacancia.functions.text import first_match, let, rx, strip, title_case
+from vacancia.functions.text import first_match, let, non_empty, rx, strip, title_case
 from vacancia.lookups import (
     EMBEDDED_HOSTS, ID_PREFIX, NON_JOB_TITLES, PLATFORM_HOSTS, POSTING_URL, SEEK_SITES,
     SKIP_LINK_PARTS, SKIP_LINK_TITLES, TRACKER_HOST_PARTS, TWO_PART_TLDS, country_records, lookup,
@@ -212,14 +212,38 @@ def apply_code(url: Column) -> Column:
     return F.coalesce(first_match(url, r"/apply/([A-Za-z0-9]+)/"), last)
 
 
+def _without_dots(full_path: Column) -> Column:
+    """A path with its ``.`` and ``..`` parts carried out."""
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.array_append(done, part))
+
+    parts = F.split(F.substr(full_path, F.lit(2)), "/", -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    open_end = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(open_end, "/").otherwise(""))
+    return F.when(full_path.rlike(r"/\.\.?(?:/|$)"), joined).otherwise(full_path)
+
+
 def absolute_url(href: Column, base: Column) -> Column:
-    """A link resolved against the origin of its page."""
-    return (
-        F.when(F.startswith(href, F.lit("http")), href)
-        .when(F.startswith(href, F.lit("//")), F.concat(F.substring_index(base, "//", 1), href))
-        .when(F.startswith(href, F.lit("/")), F.concat(origin(base), href))
-        .otherwise(F.concat(origin(base), F.lit("/"), href))
-    )
+    """A link resolved against its page as a browser does; null for links that are no web addresses."""
+
+    def of(link: Column) -> Column:
+        scheme = F.lower(F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+        folder = F.coalesce(non_empty(F.regexp_extract(path(base), r"^(.*/)", 1)), F.lit("/"))
+        own, rest = F.regexp_extract(link, r"^([^?#]*)", 1), F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+        rooted = F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own))
+        return (
+            F.when(scheme.isin("http", "https"), F.concat(scheme, F.substr(link, F.length(scheme) + 1)))
+            .when(scheme != "", F.lit(None).cast("string"))
+            .when(F.startswith(link, F.lit("//")), F.concat(F.substring_index(base, "//", 1), link))
+            .when(F.startswith(link, F.lit("#")) | (link == ""), F.concat(F.substring_index(base, "#", 1), link))
+            .when(F.startswith(link, F.lit("?")), F.concat(origin(base), path(base), link))
+            .otherwise(F.concat(origin(base), _without_dots(rooted), rest))
+        )
+
+    return let(strip(href), of)
 
 
 def unquote_direct_url(text: Column) -> Column:
@@ -229,8 +253,8 @@ def unquote_direct_url(text: Column) -> Column:
 
 
 def url_hash(url: Column) -> Column:
-    """Stable short id of a URL."""
-    return F.left(F.sha2(url, 256), F.lit(12))
+    """Stable id of a URL: its whole digest, so that no two URLs share one."""
+    return F.sha2(url, 256)
 
 
 def _per_site(site: Column, make, otherwise: Column, table: dict) -> Column:

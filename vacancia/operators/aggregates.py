@@ -28,23 +28,23 @@ def distinct_postings_count(df: DataFrame, key: str = "id", approximate: bool =
     return df.groupBy("site").agg(count.alias("distinct_postings"))
 
 
-def min_support(df: DataFrame, keys: Sequence[str], at_least: int = 2, **options) -> DataFrame:
+def min_support(df: DataFrame, keys: Sequence[str], at_least: int = 2) -> DataFrame:
     """Rows of the groups that have enough of them."""
     counts = count_keys(df, keys)
-    return keep_groups(df, counts.where(F.col("n") >= at_least), keys, **options)
+    return keep_groups(df, counts.where(F.col("n") >= at_least), keys)
 
 
 def strategy_cascade(
-    df: DataFrame, keys: Sequence[str], rank: str = "strategy_rank", **options
+    df: DataFrame, keys: Sequence[str], rank: str = "strategy_rank"
 ) -> DataFrame:
     """Rows of the best strategy that found anything, per group."""
     keys = list(keys)
     best = df.groupBy(*keys).agg(F.min(rank).alias(rank))
-    return keep_groups(df, best, [*keys, rank], **options)
+    return keep_groups(df, best, [*keys, rank])
 
 
 def largest_array_wins(
-    df: DataFrame, keys: Sequence[str], candidate: str = "candidate", **options
+    df: DataFrame, keys: Sequence[str], candidate: str = "candidate"
 ) -> DataFrame:
     """Rows of the candidate with most rows, per group; the earliest one wins a tie."""
     keys = list(keys)
@@ -52,4 +52,4 @@ def largest_array_wins(
     best = counts.groupBy(*keys).agg(
         F.max_by(candidate, F.struct(F.col("n"), -F.col(candidate))).alias(candidate)
     )
-    return keep_groups(df, best, [*keys, candidate], **options)
+    return keep_groups(df, best, [*keys, candidate])

@@ -20,7 +20,10 @@ def posting_key() -> Column:
 
 
 def _first_by(df: DataFrame, key: Column, scope: Sequence[str], order: Sequence[str]) -> DataFrame:
-    return first_per_key(df.withColumn("__key", key), [*scope, "__key"], order).drop("__key")
+    """First row of every key. Rows without a key are all kept: nothing says that they are the same."""
+    alone = F.when(F.col("__key").isNull(), F.struct(*[F.col(c) for c in order]))
+    keyed = df.withColumn("__key", key).withColumn("__alone", alone)
+    return first_per_key(keyed, [*scope, "__key", "__alone"], order).drop("__key", "__alone")
 
 
 def dedup_within_site(df: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -48,7 +51,7 @@ def dedup_ordered_list(values: Column) -> Column:
 
 
 def seen_anti_join(
-    new: DataFrame, published: DataFrame, on: Sequence[str] = ("site", "id"), **options
+    new: DataFrame, published: DataFrame, on: Sequence[str] = ("site", "id"), hot: Sequence[int] = ()
 ) -> DataFrame:
     """Rows whose key was not published before."""
-    return salted_join(new, published.select(*on).distinct(), on, "left_anti", **options)
+    return salted_join(new, published.select(*on).distinct(), on, "left_anti", hot)

@@ -29,7 +29,7 @@ def enrich_with_details(
     override: Sequence[str] = ("description",),
     fill: Sequence[str] = (),
     job_type: str = "replace",
-    **options,
+    hot: Sequence[int] = (),
 ) -> DataFrame:
     """Left join of the detail record of each posting.
 
@@ -55,7 +55,7 @@ def enrich_with_details(
                 "__new_types": extract_job_type(fresh),
             }
         )
-    joined = salted_join(listing, prefixed, on, "left", **options)
+    joined = salted_join(listing, prefixed, on, "left", hot)
 
     new: dict[str, Column] = {}
     for name in wanted:

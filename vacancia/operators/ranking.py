@@ -8,20 +8,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ARRIVAL = ("seq", "pos")
-# Up to this rank Spark trims every group before the shuffle (its window group limit).
-EARLY_LIMIT = 1_000
-BUCKET_WIDTH = 1_000_000
+# Parts into which a group is cut before its rows are numbered.
+SLOTS = 16
 
-_RANK = "__rank"
+_RANK, _SLOT = "__rank", "__slot"
 
 
-def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _numbered(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RANK, F.row_number().over(window))
 
 
 def first_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str] = ARRIVAL
+    df: DataFrame, keys: Sequence[str], order: Sequence = ARRIVAL
 ) -> DataFrame:
     """First row of every key. Each map task passes on at most one row per key."""
     return _numbered(df, keys, order).where(F.col(_RANK) == 1).drop(_RANK)
@@ -33,36 +32,20 @@ def rows_per_group(
     offset: int = 0,
     keys: Sequence[str] = ("site",),
     order: Sequence[str] = ARRIVAL,
-    bucket_width: int = BUCKET_WIDTH,
+    slots: int = SLOTS,
 ) -> DataFrame:
-    """Rows ``offset+1 .. offset+wanted`` of every group.
+    """Rows ``offset+1 .. offset+wanted`` of every group; rows without arrival number come first.
 
-    Small ranks are cut before the shuffle. Deep ones would send a whole group to one task, so there
-    the arrival numbers are cut into ranges: the ranges are counted, those that can hold wanted rows
-    are found from the running total, and only their rows are numbered, range by range.
+    A row that is wanted is among the first ``offset+wanted`` of its slot, a part of its group that
+    follows from the arrival number. So every slot is cut to that many rows in a task of its own, and
+    what one task numbers in the end is bounded by the request, not by the size of a group. Small
+    requests are cut before each shuffle (Spark's window group limit); the input is read once.
     """
-    last = offset + wanted
-    if last <= EARLY_LIMIT:
-        ranked = _numbered(df, keys, order).where(F.col(_RANK) <= last)
-        return ranked.where(F.col(_RANK) > offset).drop(_RANK)
-
-    keys = list(keys)
-    lead = order[0]
-    bucketed = df.withColumn("__bucket", F.floor(F.col(lead) / bucket_width))
-    counts = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        counts.withColumn("__before", F.coalesce(F.sum("__n").over(running), F.lit(0)))
-        .where((F.col("__before") < last) & (F.col("__before") + F.col("__n") > offset))
-        .select(*keys, "__bucket", "__before")
-    )
-    window = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    return (
-        bucketed.join(ranges, keys + ["__bucket"])
-        .withColumn(_RANK, F.row_number().over(window) + F.col("__before"))
-        .where(F.col(_RANK).between(offset + 1, last))
-        .drop(_RANK, "__bucket", "__before")
-    )
+    last, keys = offset + wanted, list(keys)
+    slot = F.pmod(F.xxhash64(*order), F.lit(slots))
+    early = _numbered(df.withColumn(_SLOT, slot), [*keys, _SLOT], order).where(F.col(_RANK) <= last)
+    ranked = _numbered(early.drop(_SLOT, _RANK), keys, order).where(F.col(_RANK) <= last)
+    return ranked.where(F.col(_RANK) > offset).drop(_RANK)
 
 
 def results_wanted(df: DataFrame, wanted: int) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancia.functions.urls import detect_platform
-from vacancia.operators.aggregates import strategy_cascade
 from vacancia.operators.assemble import union_sites
 from vacancia.operators.enrich import enrich_with_details
-from vacancia.session import cut_lineage
 from vacancia.sources import career_pages, careers_json
 from vacancia.sources.payloads import ParseOptions
 
@@ -61,9 +59,12 @@ def career_postings(pages: DataFrame, detail_pages: DataFrame | None = None, **i
 
     Link and sitemap rows have no text; ``detail_pages`` (posting URL as ``url``) supply it.
     """
-    # Parsing is the costly part and the choice reads its result more than once.
-    found = cut_lineage(page_strategies(pages, **inputs), "career-strategies")
-    best = strategy_cascade(found, ["source_url"], spread=("seq", "pos")).drop("strategy_rank")
+    # Pages of unknown URL are told apart by their number. Ranking reads the postings once, and each
+    # map task passes on only the rows of a page's best strategy there.
+    page = [F.col("source_url"), F.when(F.col("source_url").isNull(), F.col("seq"))]
+    place = F.rank().over(Window.partitionBy(*page).orderBy("strategy_rank"))
+    found = page_strategies(pages, **inputs).withColumn("__place", place)
+    best = found.where(F.col("__place") == 1).drop("__place", "strategy_rank")
     if detail_pages is None:
         return best
     # One page per URL: the first that arrived.

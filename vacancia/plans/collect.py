@@ -10,19 +10,44 @@ from pyspark.sql import functions as F
 
 from vacancia.lookups import SITES, SYNONYM_TO_JOB_TYPE
 from vacancia.operators import filters
+from vacancia.operators.enrich import enrich_with_details
 from vacancia.operators.assemble import normalize_postings, union_sites
 from vacancia.operators.dedup import dedup_within_site
 from vacancia.operators.ranking import rows_per_group
-from vacancia.sources import boards_html, boards_json, careers_json
+from vacancia.sources import boards_html, boards_json, careers_json, social
 from vacancia.sources.payloads import ParseOptions
 
 
+#: Career platforms that can be named like boards; without names, a request is for the boards.
+PLATFORMS = (*careers_json.CAREER_PLATFORMS, "jazzhr")
+#: What is appended to a site's name where its detail payloads have landed.
+DETAIL = "_detail"
+
+
+def site_names(names: str | Sequence[str] | None) -> list[str]:
+    """Known sites in the order given, in any letter case; all boards by default."""
+    if names is None:
+        return list(SITES)
+    wanted = [n.strip().lower() for n in ([names] if isinstance(names, str) else names)]
+    unknown = sorted(set(wanted) - {*SITES, *PLATFORMS})
+    if unknown:
+        raise ValueError(f"unknown sites: {unknown}")
+    return list(dict.fromkeys(wanted))
+
+
 @dataclass(frozen=True)
 class SearchSpec:
-    """A request. Filters combine freely; ``None`` leaves one out."""
+    """A request. Filters combine freely; ``None`` leaves one out.
+
+    ``google_search_term`` takes the place of ``search_term`` on that board, ``linkedin_company_ids``
+    narrows that board alone, and ``linkedin_fetch_description`` says whether its detail pages count.
+    """
 
     site_name: str | Sequence[str] | None = None
     search_term: str | None = None
+    google_search_term: str | None = None
+    linkedin_company_ids: Sequence[int] | None = None
+    linkedin_fetch_description: bool = True
     location: str | None = None
     is_remote: bool = False
     job_type: str | None = None
@@ -39,6 +64,7 @@ class SearchSpec:
     def __post_init__(self) -> None:
         if self.job_type is not None and self.job_type not in SYNONYM_TO_JOB_TYPE:
             raise ValueError(f"unknown job type: {self.job_type}")
+        site_names(self.site_name)
 
     def options(self) -> ParseOptions:
         return ParseOptions(
@@ -53,21 +79,78 @@ def parsers(options: ParseOptions) -> dict[str, Callable[[DataFrame], DataFrame]
         table[name] = lambda raw, source=source: source.parse(raw, options)
     for name, parse in boards_html.HTML_BOARDS.items():
         table[name] = lambda raw, parse=parse: parse(raw, options)
-    table["google"] = lambda raw: boards_json.parse_google_page(raw, options)
+    table["google"] = lambda raw: union_sites(  # the first page differs from those that follow
+        [boards_json.parse_google_initial(raw, options), boards_json.parse_google_page(raw, options)]
+    )
+    table["irish_jobs"] = lambda raw: union_sites(  # linked data where a page has no cards
+        [boards_html.parse_irishjobs_cards(raw, options), boards_html.parse_irishjobs_jsonld(raw, options)]
+    )
+    table["twitter"] = lambda raw: social.parse_tweets(social.read_tweets(raw))
+    table["linkedin_posts"] = lambda raw: social.parse_linkedin_posts(
+        social.split_social_post_lines(raw), options
+    )
     return table
 
 
+@dataclass(frozen=True)
+class Details:
+    """How a site's detail payloads complete its listings."""
+
+    parse: Callable[[DataFrame, ParseOptions], DataFrame]
+    override: tuple[str, ...] = ("description",)
+    fill: tuple[str, ...] = ()
+    on: tuple[str, ...] = ("id",)
+    job_type: str = "keep"
+
+
+DETAILS = {
+    "linkedin": Details(
+        boards_html.parse_linkedin_detail,
+        ("description", "job_level", "job_function", "job_type", "company_industry", "company_logo", "job_url_direct"),
+    ),
+    "zip_recruiter": Details(boards_html.parse_ziprecruiter_detail, ("description", "job_url_direct")),
+    "seek": Details(boards_html.parse_seek_detail),
+    "bdjobs": Details(boards_html.parse_bdjobs_detail, ("description", "job_type", "company_industry")),
+    "smartrecruiters": Details(
+        lambda raw, o: careers_json.smartrecruiters_details(raw), ("description", "job_url"), job_type="fill"
+    ),
+    "workable": Details(lambda raw, o: careers_json.workable_details(raw), job_type="fill"),
+    "bamboohr": Details(lambda raw, o: careers_json.bamboohr_details(raw), fill=("date_posted",), job_type="fill"),
+    "jazzhr": Details(boards_html.parse_jazzhr_detail, on=("job_url",), job_type="fill"),
+}
+
+
+def with_details(raw: DataFrame, site: str, listing: DataFrame, options: ParseOptions) -> DataFrame:
+    """A site's listings with what its landed detail payloads (site name and ``_detail``) say."""
+    landed = raw.where(F.col("site") == site + DETAIL)
+    if site == "reed":
+        return boards_json.parse_reed(raw.where(F.col("site") == site), landed, options)
+    if site not in DETAILS:
+        return listing
+    d = DETAILS[site]
+    return enrich_with_details(listing, d.parse(landed, options), d.on, d.override, d.fill, d.job_type)
+
+
 def parse_landed(
     raw: DataFrame, sites: Sequence[str], options: ParseOptions | None = None
 ) -> DataFrame:
     """Posting records of the named sites. Each branch reads only its own ``site`` partition."""
     table = parsers(options or ParseOptions())
-    return union_sites([table[s](raw.where(F.col("site") == s)) for s in sites])
+    return union_sites([table[s](raw.where(F.col("site") == s)) for s in site_names(sites)])
+
+
+def complete_landed(raw: DataFrame, sites: Sequence[str], options: ParseOptions, without: Sequence[str] = ()) -> DataFrame:
+    """``parse_landed`` with the details that have landed, but for the sites named in ``without``."""
+    table = parsers(options)
+    listed = {s: table[s](raw.where(F.col("site") == s)) for s in site_names(sites)}
+    return union_sites(
+        [rows if s in without else with_details(raw, s, rows, options) for s, rows in listed.items()]
+    )
 
 
 def select_postings(postings: DataFrame, spec: SearchSpec) -> DataFrame:
     """Request filters, duplicates, offset and limit; narrow predicates come before the shuffle."""
-    df = filters.site_selection(postings, spec.site_name)
+    df = postings.where(F.col("site").isin(*site_names(spec.site_name)))
     if spec.is_remote:
         df = filters.filter_remote(df)
     if spec.job_type:
@@ -78,8 +161,15 @@ def select_postings(postings: DataFrame, spec: SearchSpec) -> DataFrame:
         df = filters.filter_hours_old(df, spec.hours_old, spec.options().today)
     if spec.location:
         df = filters.filter_location(df, spec.location)
-    if spec.search_term:
+    if spec.google_search_term:
+        on_google = F.col("site") == "google"
+        fields = F.col("title"), F.col("description")
+        others = filters.search_predicate(spec.search_term or "", *fields)
+        df = df.where(F.when(on_google, filters.search_predicate(spec.google_search_term, *fields)).otherwise(others))
+    elif spec.search_term:
         df = filters.filter_search_terms(df, spec.search_term)
+    if spec.linkedin_company_ids:
+        df = df.where((F.col("site") != "linkedin") | F.col("company_id").isin(*spec.linkedin_company_ids))
     if spec.company_name:
         df = filters.filter_company(df, spec.company_name)
     df = dedup_within_site(df)
@@ -99,10 +189,7 @@ def collect_postings(postings: DataFrame, spec: SearchSpec | None = None) -> Dat
 def collect_landed(raw: DataFrame, spec: SearchSpec | None = None) -> DataFrame:
     """Landed payloads straight to the output table."""
     spec = spec or SearchSpec()
-    table = parsers(spec.options())
-    wanted = SITES if spec.site_name is None else (
-        [spec.site_name] if isinstance(spec.site_name, str) else list(spec.site_name)
-    )
+    without = () if spec.linkedin_fetch_description else ("linkedin",)
     return collect_postings(
-        parse_landed(raw, [s for s in wanted if s in table], spec.options()), spec
+        complete_landed(raw, site_names(spec.site_name), spec.options(), without), spec
     )

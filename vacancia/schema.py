@@ -17,6 +17,7 @@ POSTING_FIELDS: dict[str, str] = {
     "id": "string",
     "title": "string",
     "company_name": "string",
+    "company_id": "bigint",  # the board's own number, where it gives one
     "job_url": "string",
     "job_url_direct": "string",
     "location": LOCATION_DDL,

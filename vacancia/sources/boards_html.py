@@ -90,6 +90,7 @@ def parse_linkedin_cards(raw: DataFrame, options: ParseOptions | None = None) ->
             id=F.concat(F.lit("li-"), native),
             title=title,
             company_name=F.coalesce(c["company"], F.lit("N/A")),
+            company_id=first_match(F.col("url"), r"[?&]f_C=(\d+)(?:[&#]|$)"),  # a search for one company
             company_url=F.coalesce(urls.strip_query(c["company_href"]), F.lit("")),
             location=place,
             is_remote=remote.remote_keywords3(title, locations.display_location(place)),

@@ -130,6 +130,7 @@ def _glassdoor_fields(r: Column, d: Column, o: ParseOptions) -> dict[str, Column
         "id": F.concat(F.lit("gd-"), listing),
         "title": job["jobTitleText"],
         "company_name": header["employerNameFromSearch"],
+        "company_id": header["employer"]["id"],
         "company_url": F.concat(
             F.lit(f"{base}Overview/W-EI_IE"), header["employer"]["id"].cast("string"), F.lit(".htm")
         ),

@@ -20,10 +20,9 @@ from vacancia.functions.text import extract_emails, first_match, let, non_empty,
 from vacancia.lookups import (
     DATE_KEYS, DESCRIPTION_KEYS, ID_KEYS, LOCATION_KEYS, REMOTE_KEYS, TITLE_KEYS, URL_KEYS,
 )
-from vacancia.operators.aggregates import largest_array_wins
 from vacancia.operators.filters import MIN_JSON, MIN_PAGE_DESCRIPTION
+from vacancia.operators.ranking import first_per_key
 from vacancia.schema import location, posting_columns
-from vacancia.session import cut_lineage
 from vacancia.sources.payloads import has_text
 
 LD_JSON = "application/ld+json"
@@ -65,10 +64,9 @@ def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
     ).otherwise(place)
     organization, identifier = F.col("p.hiringOrganization"), F.col("p.identifier")
     page = F.coalesce(non_empty(F.col("p.url")), F.col("url"))
-    native = F.when(
-        F.startswith(identifier, F.lit("{")),
-        F.coalesce(F.get_json_object(identifier, "$.value"), F.lit("")),
-    ).otherwise(urls.url_hash(page))
+    # An identifier without a value would be shared by all postings that have such a one.
+    given = F.when(F.startswith(identifier, F.lit("{")), F.get_json_object(identifier, "$.value"))
+    native = F.coalesce(non_empty(given), urls.url_hash(page))
     name = F.when(
         F.startswith(organization, F.lit("{")), F.get_json_object(organization, "$.name")
     )
@@ -177,8 +175,8 @@ def _loose_title(item: Column) -> Column:
     return F.coalesce(first_field(item, TITLE_KEYS), F.lit(""))
 
 
-def best_job_array(bodies: DataFrame) -> DataFrame:
-    """``seq, url, company, pos, item``: rows of each body's array with most usable titles."""
+def largest_job_array(bodies: DataFrame) -> DataFrame:
+    """``seq, url, company, items``: each body's array with most usable titles, null without one."""
 
     def usable(found: Column) -> Column:
         items = F.filter(found["items"], lambda i: urls.is_loose_title(_loose_title(i)))
@@ -192,18 +190,21 @@ def best_job_array(bodies: DataFrame) -> DataFrame:
     return (
         bodies.withColumn("arrays", job_arrays(F.col("body")))
         .withColumn("arrays", F.transform("arrays", usable))
-        .select("seq", "url", "company", F.posexplode(largest(F.col("arrays"))).alias("pos", "item"))
+        .select("seq", "url", "company", largest(F.col("arrays")).alias("items"))
     )
 
 
+def best_job_array(bodies: DataFrame) -> DataFrame:
+    """``seq, url, company, pos, item``: rows of each body's array with most usable titles."""
+    return largest_job_array(bodies).select("seq", "url", "company", F.posexplode("items").alias("pos", "item"))
+
+
 def parse_loose_job(items: DataFrame) -> DataFrame:
     """``seq, url, company, pos, item`` to postings: the first key of each kind decides."""
     item = F.col("item")
     title = _loose_title(item)
     link = F.coalesce(non_empty(first_field(item, URL_KEYS)), F.col("url"))
-    full = F.when(F.startswith(link, F.lit("http")), link).otherwise(
-        F.concat(urls.origin(F.col("url")), link)
-    )
+    full = urls.absolute_url(link, F.col("url"))
     read = with_once(
         items, title=title, job_url=full, raw_text=first_field(item, DESCRIPTION_KEYS)
     ).where(urls.is_loose_title(F.col("title")))
@@ -237,13 +238,16 @@ def parse_next_data(pages: DataFrame) -> DataFrame:
     return parse_loose_job(best_job_array(next_data(pages)))
 
 
-def parse_captured(responses: DataFrame, **options) -> DataFrame:
-    """Captured responses of a page: the one with most usable rows stands for the page."""
-    items = cut_lineage(
-        best_job_array(captured_bodies(responses)).withColumn("candidate", F.col("seq")), "captured"
-    )
-    best = largest_array_wins(items, ["url"], "candidate", spread=("seq", "pos"), **options)
-    return parse_loose_job(best.drop("candidate"))
+def parse_captured(responses: DataFrame) -> DataFrame:
+    """Captured responses of a page: the one with most usable rows stands for the page.
+
+    Responses are compared whole, before their arrays are exploded, so each map task passes on at most
+    one of a page. A response of no known page stands for itself.
+    """
+    arrays = largest_job_array(captured_bodies(responses)).where(F.size("items") > 0)
+    arrays = arrays.withColumns({"n": F.size("items"), "alone": F.when(F.col("url").isNull(), F.col("seq"))})
+    best = first_per_key(arrays, ["url", "alone"], [F.desc("n"), "seq"])
+    return parse_loose_job(best.select("seq", "url", "company", F.posexplode("items").alias("pos", "item")))
 
 
 # ---- links ------------------------------------------------------------------------------------

@@ -267,7 +267,7 @@ def _sections(*pieces: Column) -> Column:
 
 
 def smartrecruiters_details(raw: DataFrame) -> DataFrame:
-    """``id, job_url, description`` of detail payloads (the id ends the payload's URL)."""
+    """``seq, id, job_url, description`` of detail payloads (the id ends the payload's URL)."""
     d = F.from_json(
         "payload",
         """struct<postingUrl:string,jobAd:struct<sections:struct<jobDescription:struct<text:string>,
@@ -276,6 +276,7 @@ def smartrecruiters_details(raw: DataFrame) -> DataFrame:
     s = F.col("d.jobAd.sections")
     company = F.get(F.split(F.col("url"), "/companies/"), F.lit(1))
     return raw.withColumn("d", d).select(
+        "seq",
         F.concat_ws(
             ":", F.lit("smartrecruiters"), F.substring_index(company, "/", 1),
             F.element_at(F.split("url", "/"), -1),
@@ -288,9 +289,10 @@ def smartrecruiters_details(raw: DataFrame) -> DataFrame:
 
 
 def workable_details(raw: DataFrame) -> DataFrame:
-    """``id, description``; the URL holds ``/accounts/<slug>/jobs/<code>``."""
+    """``seq, id, description``; the URL holds ``/accounts/<slug>/jobs/<code>``."""
     d = F.from_json("payload", "struct<description:string,requirements:string,benefits:string>")
     return raw.withColumn("d", d).select(
+        "seq",
         F.concat_ws(
             ":", F.lit("workable"), F.regexp_extract("url", "/accounts/([^/]+)", 1),
             F.element_at(F.split("url", "/"), -1),
@@ -301,7 +303,7 @@ def workable_details(raw: DataFrame) -> DataFrame:
 
 
 def bamboohr_details(raw: DataFrame) -> DataFrame:
-    """``id, description, date_posted, country``; the URL ends in ``/careers/<id>/detail``."""
+    """``seq, id, description, date_posted, country``; the URL ends in ``/careers/<id>/detail``."""
     d = F.from_json(
         "payload",
         """struct<result:struct<jobOpening:struct<description:string,datePosted:string,
@@ -309,6 +311,7 @@ def bamboohr_details(raw: DataFrame) -> DataFrame:
     )
     j = F.col("d.result.jobOpening")
     return raw.withColumn("d", d).select(
+        "seq",
         F.concat_ws(
             ":", F.lit("bamboohr"), _slug("bamboohr"), F.regexp_extract("url", "/careers/([^/]+)", 1)
         ).alias("id"),

@@ -9,6 +9,7 @@ from vacancia.functions import dates, job_types, remote, social
 from vacancia.functions.arrays import with_once
 from vacancia.functions.country import detect_country
 from vacancia.functions.text import let, non_empty, strip
+from vacancia.functions.urls import url_hash
 from vacancia.schema import location, posting_columns
 from vacancia.sources.payloads import ParseOptions
 
@@ -103,6 +104,19 @@ def _place(city: Column, country: Column) -> Column:
     return F.when(city.isNotNull() | country.isNotNull(), location(city, None, country, True))
 
 
+TWEET_DDL = (
+    "array<struct<id:string,handle:string,name:string,text:string,iso:string,permalink:string,"
+    "links:array<struct<href:string,text:string>>>>"
+)
+
+
+def read_tweets(raw: DataFrame) -> DataFrame:
+    """``seq, pos, id, handle, name, text, iso, permalink, links`` of landed posts (one, or a list)."""
+    return raw.select("seq", F.posexplode(F.from_json("payload", TWEET_DDL)).alias("pos", "t")).select(
+        "seq", "pos", "t.*"
+    )
+
+
 def parse_tweets(posts: DataFrame) -> DataFrame:
     """``seq, id, handle, name, text, iso, permalink, links`` to postings."""
     text = F.col("text")
@@ -119,6 +133,7 @@ def parse_tweets(posts: DataFrame) -> DataFrame:
     return kept.where(F.length("title") > 0).select(
         *posting_columns(
             seq=F.col("seq"),
+            pos=F.col("pos") if "pos" in posts.columns else F.lit(0),
             site=F.lit("twitter"),
             id=F.col("id"),
             title=F.col("title"),
@@ -145,7 +160,9 @@ def parse_linkedin_posts(posts: DataFrame, options: ParseOptions | None = None)
     return kept.where(F.length("title") > 0).select(
         *posting_columns(
             seq=F.col("seq"),
+            pos=F.lit(0),
             site=F.lit("linkedin_posts"),
+            id=F.concat(F.lit("lp-"), url_hash(text)),  # posts have no number; their text tells them apart
             title=F.col("title"),
             company_name=social.post_company(text, F.col("author"), F.col("subtitle")),
             job_url=F.col("url"),
