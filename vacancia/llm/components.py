@@ -12,7 +12,7 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the smallest one of the node and its neighbours."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

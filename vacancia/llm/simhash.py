@@ -150,12 +150,52 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     return source.mapInArrow(run, schema)
 
 
+def _star(prints: np.ndarray, pivots: Pivots, cut: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Links from each fingerprint to the smallest-numbered one that it reaches in its work unit.
+
+    With ``cut`` the unit is a pair of slots, the first of which has so many, and only pairs across
+    them are compared.
+    """
+    if cut is None:
+        found = list(pivots.near(prints, prints, True))
+    else:
+        found = [(i, j + cut) for i, j in pivots.near(prints[:cut], prints[cut:], False)]
+    i, j = (np.concatenate(x) if found else np.zeros(0, dtype=np.int64) for x in (zip(*found) if found else ((), ())))
+    roots = _roots(len(prints), i, j)
+    tied = np.nonzero(roots != np.arange(len(prints)))[0]
+    return prints[tied].view(np.int64), prints[roots[tied]].view(np.int64)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], unit: list[str], most: int) -> Iterator[list[np.ndarray]]:
+    """The columns of each work unit of sorted rows, units of one row left out.
+
+    No more than ``most`` + 1 rows of a unit are held: of a larger one only its beginning is given.
+    """
+    rest: list[np.ndarray] | None = None
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in range(batch.num_columns)]
+        if rest is not None:
+            columns = [np.concatenate(x) for x in zip(rest, columns)]
+        changed = np.zeros(max(0, len(columns[0]) - 1), dtype=bool)
+        for c in range(len(unit)):
+            changed |= columns[c][1:] != columns[c][:-1]
+        ends = np.append(np.nonzero(changed)[0] + 1, len(columns[0]))
+        starts = np.append(0, ends[:-1])
+        for lo, hi in zip(starts[:-1][np.diff(starts) > 1], ends[:-1][np.diff(starts) > 1]):
+            yield [x[lo:min(hi, lo + most + 1)] for x in columns]
+        # The last unit may go on in the next batch.
+        rest = [x[starts[-1]:starts[-1] + most + 1].copy() for x in columns]
+    if rest is not None and len(rest[0]) > 1:
+        yield rest
+
+
 def near_links(distinct: DataFrame, pivots: Pivots, tile: int = TILE) -> DataFrame:
     """(a, b) for distinct fingerprints ``fp``: links that connect what lies near in some bucket.
 
-    Within a bucket, what is connected gets a star of links instead of all pairs. A bucket of more
-    than ``tile`` fingerprints is cut into slots, and each pair of slots is a work unit of its own, so
-    no task compares more than two slots at a time and no pair is left out.
+    Buckets are streamed in their order. Within one, what is connected gets a star of links instead of
+    all pairs. A bucket of more than ``tile`` fingerprints is only noted there; all noted ones are then
+    cut into slots, and each pair of slots is a work unit of its own, so no task holds more than two
+    slots at a time and no pair is left out.
     """
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,65 +207,42 @@ def near_links(distinct: DataFrame, pivots: Pivots, tile: int = TILE) -> DataFra
                 ["bucket", "fp"],
             )
 
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, fp in _runs(batches, ["bucket"], tile):
+            if len(fp) > tile:
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array(bucket[:1])], ["a", "b", "large"])
+                continue
+            a, b = _star(fp.view(np.uint64), pivots)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], ["a", "b", "large"])
+
     rows = distinct.select("fp").mapInArrow(keyed, "bucket long, fp long")
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    slots = F.ceil(F.col("n") / tile).cast("long")
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+    found = keep(dealt.mapInArrow(linked, "a long, b long, large long"), "near")
+    links = found.where("large is null").select("a", "b")
+    large = found.where("large is not null").select(F.col("large").alias("bucket"))
+    if large.isEmpty():
+        return links
+
+    held = rows.join(large, "bucket")
+    sizes = held.groupBy("bucket").agg(F.ceil(F.count("*") / tile).cast("long").alias("slots"))
     slot = F.pmod(F.xxhash64("fp"), F.col("slots"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
+    unit = ["bucket", "low", "high"]
     units = (
-        rows.join(shared, "bucket").withColumn("slots", slots).withColumn("slot", slot).withColumn("other", other)
+        held.join(sizes, "bucket").withColumn("slot", slot).withColumn("other", other)
         .select("bucket", F.least("slot", "other").alias("low"), F.greatest("slot", "other").alias("high"), "slot", "fp")
     )
-    unit = ["bucket", "low", "high"]
-    units = units.repartition(*unit).sortWithinPartitions(*unit)
-
-    def star(run: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        prints = run.column("fp").to_numpy().view(np.uint64)
-        low, high = run.column("low")[0].as_py(), run.column("high")[0].as_py()
-        if low == high:
-            parts = pivots.near(prints, prints, True)
-            shift = None
-        else:
-            first = run.column("slot").to_numpy() == low
-            where = np.concatenate([np.nonzero(first)[0], np.nonzero(~first)[0]])
-            prints = prints[where]
-            shift = int(first.sum())
-            parts = pivots.near(prints[:shift], prints[shift:], False)
-        found = list(parts)
-        i = np.concatenate([f[0] for f in found]) if found else np.zeros(0, int)
-        j = np.concatenate([f[1] for f in found]) if found else np.zeros(0, int)
-        if shift is not None:
-            j = j + shift
-        roots = _roots(len(prints), i, j)
-        tied = np.nonzero(roots != np.arange(len(prints)))[0]
-        return prints[tied].view(np.int64), prints[roots[tied]].view(np.int64)
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def runs(table: pa.Table, last: bool) -> tuple[list[pa.Table], pa.Table]:
-            """Whole work units, and what may go on in the next batch."""
-            keys = np.stack([table.column(c).to_numpy() for c in unit], axis=1)
-            cuts = np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0] + 1
-            bounds = [0, *cuts.tolist(), table.num_rows]
-            parts = [table.slice(lo, hi - lo) for lo, hi in zip(bounds, bounds[1:])]
-            return (parts, table.slice(0, 0)) if last else (parts[:-1], parts[-1])
-
-        def out(parts: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-            for part in parts:
-                if part.num_rows > 1:
-                    a, b = star(part)
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-        for batch in batches:
-            if batch.num_rows:
-                table = pa.Table.from_batches([batch])
-                whole, rest = runs(pa.concat_tables([rest, table]) if rest is not None else table, False)
-                yield from out(whole)
-        if rest is not None and rest.num_rows:
-            yield from out(runs(rest, True)[0])
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Slots follow from a hash, so a unit has about two tiles of rows.
+        for _, low, high, slot, fp in _runs(batches, unit, 1 << 62):
+            first = slot == low
+            prints = np.concatenate([fp[first], fp[~first]]).view(np.uint64)
+            a, b = _star(prints, pivots, None if low[0] == high[0] else int(first.sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return units.mapInArrow(linked, "a long, b long")
+    return links.unionByName(units.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(crossed, "a long, b long"))
 
 
 def near_groups(prints: DataFrame, pivots: Pivots | None = None) -> DataFrame:
@@ -242,9 +259,11 @@ def near_groups(prints: DataFrame, pivots: Pivots | None = None) -> DataFrame:
     known = members.join(first, members["node"] == first["fp"]).select("fp", "root", "least")
     lowest = known.groupBy("root").agg(F.min("least").alias("lowest"))
     named = known.join(lowest, "root").select("fp", "root", "lowest")
-    return first.join(named, "fp", "left").select(
+    every = first.join(named, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("lowest", "least").alias("component_id")
     )
+    # Written, so that joins of documents with it have nothing below but a shuffle that can be split.
+    return keep(every, "groups", prints.count())
 
 
 def near_duplicates(
