@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.operators.spread import spread
-
 AS_OF = "2024-02-15"
 
 PST_SQL = """
@@ -58,6 +56,11 @@ FROM lineitem l
 SOURCE_TABLES = ("orders", "customer", "nation", "lineitem")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a test table over all cores: it comes in one file, and parsing costs far more than this."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

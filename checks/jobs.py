@@ -11,7 +11,7 @@ from checks import payloads_json as j
 from checks import social as posts
 from checks.inputs import AS_OF, pst_sql
 from checks.registry import ORACLES, query
-from vacancia.plans.collect import SearchSpec, collect_landed, complete_landed, select_postings
+from vacancia.plans.collect import SearchSpec, collect_landed, complete_landed, quarantine_landed, select_postings
 from vacancia.session import cut_lineage
 from vacancia.sources.payloads import ParseOptions
 
@@ -108,6 +108,22 @@ def request_terms(spark, sf):
     return select_postings(df, spec).groupBy("site").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "quarantine_every_site",
+    # A post is plain text, so only the shorter payload is none.
+    f"SELECT * FROM (VALUES {', '.join(f"('{s}', {2 - (s == 'linkedin_posts')})" for s in LANDED)}) AS t(site, broken)",
+)
+def quarantine_every_site(spark, sf):
+    """Two payloads of each site that nothing can read, among all the good ones; one is nested deeply."""
+    rows = landed(spark, sf)
+    deep = "[" * 5000 + "]" * 5000
+    broken = spark.createDataFrame(
+        [(-1 - i, s, None, "https://a.test/x", None, p) for s in LANDED for i, p in enumerate(('{"x": [', deep))], rows.schema
+    )
+    found = quarantine_landed(rows.unionByName(broken), list(LANDED), OPTIONS).where("seq < 0")
+    return found.groupBy("site").agg(F.count(F.lit(1)).alias("broken"))
+
+
 @query(
     "collect_platform",
     f"SELECT id, title FROM ({ORACLES['parse_greenhouse']})",

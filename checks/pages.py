@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.inputs import plain, pst, pst_sql, raw, table
+from checks.inputs import plain, pst, pst_sql, raw, spread, table
 from checks.registry import query
 from checks.selection import _CAREER_URL, career_urls
 from vacancia.functions import markdown, markup, text, urls
-from vacancia.operators.spread import spread
 from vacancia.plans import careers
 from vacancia.sources import career_pages
 

@@ -8,13 +8,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vacancia.functions.arrays import distinct_by
+from vacancia.functions.markup import scan_html
 from vacancia.operators import aggregates, assemble, dedup, filters, ranking
 from vacancia.operators.enrich import enrich_with_details
 from vacancia.operators.skew import hot_keys, salted_join
 from vacancia.plans import careers
-from vacancia.plans.collect import SearchSpec, collect_postings
+from vacancia.plans.collect import SearchSpec, collect_postings, site_names
 from vacancia.schema import OUTPUT_COLUMNS, POSTING_DDL, as_postings
-from vacancia.session import cut_lineage, work_folder
+from vacancia.session import clear_work, cut_lineage, work_folder
 from vacancia.sources import RAW_DDL, boards_json, career_pages, careers_json, social
 from vacancia.sources.payloads import ParseOptions
 from vacancia.streaming.postings import read_landed, stream_dedup, stream_normalize, write_available
@@ -269,3 +270,75 @@ def test_cut_lineage_uses_the_shared_folder(spark):
     assert work_folder(spark, "x") == f"{shared}/x"
     cut = cut_lineage(spark.range(5), "five")
     assert cut.count() == 5 and shared in cut.inputFiles()[0]
+
+
+def test_clear_work_deletes_what_was_written(spark):
+    import os
+
+    path = cut_lineage(spark.range(3), "three").inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    clear_work(spark)
+    assert not os.path.exists(path)
+
+
+def test_odd_json_fails_no_job(spark):
+    deep = '{"a":' * 20_000 + "1" + "}" * 20_000
+    page = ('<script type="application/ld+json">%s</script><script type="application/ld+json">'
+            '{"@type":"JobPosting","title":"Cook \\ud800","identifier":{"value":""},"url":"https://a.test/%d"}</script>')
+    pages = raw(spark, [("https://a.test/jobs", "A", page % (deep, i)) for i in range(3)])
+    found = career_pages.parse_jsonld_postings(pages).collect()
+    assert [r["title"] for r in found] == ["Cook �"] * 3
+    assert len({r["id"] for r in found}) == 3  # an empty identifier is no identifier
+    bodies = pages.select("seq", "url", "company", F.lit(deep).alias("body"))
+    assert career_pages.find_job_arrays(bodies).count() == 0
+    google = raw(spark, [(None, None, "[[[" * 30_000), (None, None, None)])
+    assert boards_json.parse_google_page(google).count() == 0
+
+
+def test_rows_without_a_key_are_kept(spark):
+    rows = postings(spark, [{"seq": i, "pos": 0, "site": "reed"} for i in range(5)])
+    assert dedup.dedup_within_site(rows).count() == 5
+    ranked = rows.withColumn("strategy_rank", F.lit(1))
+    assert aggregates.strategy_cascade(ranked, ["job_url"]).count() == 5
+    assert aggregates.min_support(rows, ["job_url"], 2).count() == 5
+    none = rows.withColumn("seq", F.when(F.col("seq") > 0, F.col("seq")))
+    assert {ranking.rows_per_group(none, n).count() for n in (5, 1000, 1001)} == {5}
+    texts = spark.createDataFrame([(i, f"Now hiring a PHP developer number {i}, apply here please") for i in range(5)], "seq bigint, text string")
+    posts = texts.select("seq", F.lit("a").alias("author"), F.lit("").alias("subtitle"), F.lit("").alias("time"), "text", F.lit(None).cast("string").alias("url"))
+    assert dedup.dedup_within_site(social.parse_linkedin_posts(posts)).count() == 5
+
+
+def test_pages_of_unknown_url_keep_their_postings(spark):
+    body = '<script type="application/ld+json">{"@type":"JobPosting","title":"Cook"}</script>'
+    pages = raw(spark, [(None, "A", body), (None, "B", body)])
+    assert careers.career_postings(pages).count() == 2
+
+
+def test_site_names():
+    assert site_names(" LinkedIn") == ["linkedin"] and site_names(["SEEK", "greenhouse", "seek"]) == ["seek", "greenhouse"]
+    assert len(site_names(None)) == 13
+    for wrong in ("monster", ["indeed", "nowhere"]):
+        with pytest.raises(ValueError):
+            SearchSpec(site_name=wrong)
+
+
+def test_unmatched_end_tags_cost_no_search():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        scan_html("<div>" * n + "</b>" * n)
+        return time.process_time() - start
+
+    assert seconds(20_000) < 12 * max(seconds(4_000), 0.005)
+
+
+def test_no_job_runs_while_a_plan_is_built(spark):
+    body = '<script type="application/ld+json">{"@type":"JobPosting","title":"Cook"}</script>'
+    pages = raw(spark, [("https://a.test/", "A", body)])
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup()
+    careers.career_postings(pages)
+    career_pages.parse_captured(pages.withColumn("response_url", F.col("url")))
+    enrich_with_details(postings(spark, [{"seq": 1, "id": "a"}]), postings(spark, [{"seq": 1, "id": "a"}]))
+    assert tracker.getJobIdsForGroup() == before

@@ -319,3 +319,17 @@ def test_markdown():
 def test_markdown_shortcut_agrees_with_the_converter(values):
     samples = ["plain text, $5", " trimmed ", "a & b", "line\nbreak", "two  blanks", "x_y*z", "<b>k</b>", "", None]
     assert values(markdown.markdown, *samples) == [None if t is None else markdown.to_markdown(t) for t in samples]
+
+
+def test_links_resolve_as_in_a_browser(values):
+    cases = [
+        ("role-1", "https://a.com/x/jobs/", "https://a.com/x/jobs/role-1"), ("role-1", "https://a.com/x/jobs", "https://a.com/x/role-1"),
+        ("../b", "https://a.com/", "https://a.com/b"), ("../../b?c=../d", "https://a.com/x/y/z", "https://a.com/b?c=../d"),
+        ("?p=2", "https://a.com/x?p=1#f", "https://a.com/x?p=2"), ("#top", "https://a.com/x?p=1#f", "https://a.com/x?p=1#top"),
+        ("", "https://a.com/x#f", "https://a.com/x"), ("/r", "https://a.com", "https://a.com/r"), ("r", "https://a.com", "https://a.com/r"),
+        ("mailto:hr@a.com", "https://a.com/", None), ("javascript:void(0)", "https://a.com/", None), ("tel:+1", "https://a.com/", None),
+        ("HTTP://B.com/C", "https://a.com/", "http://B.com/C"), ("//c.com/d", "https://a.com/", "https://c.com/d"),
+        (" /s ", "https://a.com/x", "https://a.com/s"), ("a/..", "https://a.com/x/", "https://a.com/x/"), ("/a/./b/..", "https://a.com/", "https://a.com/a/"),
+        (None, "https://a.com/", None), ("x", None, None),
+    ]
+    assert values(urls.absolute_url, *[c[:2] for c in cases]) == [c[2] for c in cases]

@@ -56,6 +56,7 @@ def scan_html(html: str) -> tuple[list, ...]:
     """
     stops, parents, tags, attributes, texts, starts, ends = ([] for _ in range(7))
     stack: list[int] = []
+    opened: dict[str, list[int]] = {}  # of each name, what is open; so an end tag costs no search
 
     def add(tag: str, attrs: dict | None, text: str | None, start: int, end: int) -> int:
         index = len(tags)
@@ -71,6 +72,7 @@ def scan_html(html: str) -> tuple[list, ...]:
     def close(index: int, end: int) -> None:
         while stack:
             top = stack.pop()
+            opened[tags[top]].pop()
             stops[top], ends[top] = len(tags), end
             if top == index:
                 return
@@ -89,9 +91,8 @@ def scan_html(html: str) -> tuple[list, ...]:
             continue
         name = name.lower()
         if closing:
-            opened = next((i for i in reversed(stack) if tags[i] == name), None)
-            if opened is not None:
-                close(opened, at)
+            if opened.get(name):
+                close(opened[name][-1], at)
             continue
         attrs = {
             k.lower(): unescape(v[1:-1] if v[:1] in ("'", '"') else v)
@@ -106,6 +107,7 @@ def scan_html(html: str) -> tuple[list, ...]:
             at = ends[index] = ending.end() if ending else size
             continue
         stack.append(index)
+        opened.setdefault(name, []).append(index)
     if stack:
         close(stack[0], size)
     return stops, parents, tags, attributes, texts, starts, ends

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from vacancia.operators.assemble import normalize_postings, union_sites
 from vacancia.operators.dedup import dedup_within_site
 from vacancia.operators.ranking import rows_per_group
 from vacancia.sources import boards_html, boards_json, careers_json, social
-from vacancia.sources.payloads import ParseOptions
+from vacancia.sources.payloads import ParseOptions, unread
 
 
 #: Career platforms that can be named like boards; without names, a request is for the boards.
@@ -148,6 +149,24 @@ def complete_landed(raw: DataFrame, sites: Sequence[str], options: ParseOptions,
     )
 
 
+def quarantine_landed(
+    raw: DataFrame, sites: Sequence[str] | None = None, options: ParseOptions | None = None
+) -> DataFrame:
+    """``site, seq, pos, reason, payload`` of what could not be read, for every site asked for.
+
+    JSON boards and platforms tell unreadable payloads from records that lack a field. Pages, linked
+    data and posts are listed whole when nothing was read of them.
+    """
+    table = parsers(options or ParseOptions())
+    by_record = {**boards_json.JSON_BOARDS, **careers_json.CAREER_PLATFORMS}
+    found = []
+    for site in site_names(sites):
+        part = raw.where(F.col("site") == site)
+        bad = by_record[site].quarantine(part) if site in by_record else unread(part, table[site](part))
+        found.append(bad.select(F.lit(site).alias("site"), "seq", "pos", "reason", "payload"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def select_postings(postings: DataFrame, spec: SearchSpec) -> DataFrame:
     """Request filters, duplicates, offset and limit; narrow predicates come before the shuffle."""
     df = postings.where(F.col("site").isin(*site_names(spec.site_name)))

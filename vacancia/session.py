@@ -49,8 +49,21 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     For results that several later steps read: they are computed once, and a lost executor costs a
-    read instead of the computation.
+    read instead of the computation. The files stay until :func:`clear_work`.
     """
-    path = work_folder(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    application = df.sparkSession.sparkContext.applicationId
+    path = work_folder(df.sparkSession, f"{application}/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application's :func:`cut_lineage` calls have written to the shared folder.
+
+    To be called when no frame that was read back is needed any more.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

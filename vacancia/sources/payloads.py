@@ -105,6 +105,14 @@ class JsonSource:
         return broken.unionByName(lacking)
 
 
+def unread(raw: DataFrame, postings: DataFrame) -> DataFrame:
+    """Payloads of which no posting was read, for sources whose payloads have no schema."""
+    read = postings.select("seq").distinct()
+    return raw.join(read, "seq", "left_anti").select(
+        "seq", F.lit(None).cast("int").alias("pos"), F.lit("no posting read").alias("reason"), "payload"
+    )
+
+
 def has_text(*columns: Column) -> Column:
     result = F.length(columns[0]) > 0
     for c in columns[1:]:
