@@ -23,9 +23,12 @@ def remote_keywords3(*texts: Column) -> Column:
     return contains_any(_joined(*texts), BASIC_WORDS)
 
 
-def remote_reed(title: Column, place: Column, description: Column) -> Column:
-    """Only the first 500 characters of the description count; that is this board's rule."""
-    return remote_keywords3(title, place, F.left(description, F.lit(500)))
+REED_CHARS = 500  # fixed value: beginning of a description in which this board's rule looks
+
+
+def remote_reed(title: Column, place: Column, description: Column, cut: int = REED_CHARS) -> Column:
+    """Only the beginning of the description counts; that is this board's rule."""
+    return remote_keywords3(title, place, F.left(description, F.lit(cut)))
 
 
 def remote_indeed(labels: Column, description: Column, place: Column) -> Column:

@@ -62,6 +62,8 @@ SUBTITLE_COMPANY = r"\bat\s+(.+?)(?:\s*[|·•]|$)"
 OWN_HOSTS = ("twitter.com", "x.com", "t.co")
 MIN_TWEET_LENGTH = 50
 MIN_POST_LENGTH = 30
+# Characters that are kept of what a post's text is read for, by default.
+TITLE_CHARS, LINE_TITLE_CHARS, COMPANY_CHARS, PLACE_CHARS = 150, 100, 100, 100
 
 
 def _without_hashtags(text: Column) -> Column:
@@ -79,54 +81,54 @@ def _first_good(text: Column, rules, clean, min_length: int, cut: int) -> Column
     return let(F.lower(text), lambda low: F.coalesce(*[candidate(low, *r) for r in rules]))
 
 
-def _first_line(text: Column, leading: str, min_length: int) -> Column:
+def _first_line(text: Column, leading: str, min_length: int, cut: int) -> Column:
     """First line of more than ten characters, without its leading symbols."""
     lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: F.length(x) > 10)
     cleaned = F.transform(lines, lambda x: strip(F.regexp_replace(x, rx(f"^[{leading}]+"), "")))
     good = F.filter(cleaned, lambda x: F.length(x) > min_length)
-    return F.left(F.get(good, F.lit(0)), F.lit(100))
+    return F.left(F.get(good, F.lit(0)), F.lit(cut))
 
 
-def tweet_title(text: Column) -> Column:
+def tweet_title(text: Column, cut: int = TITLE_CHARS, line_cut: int = LINE_TITLE_CHARS) -> Column:
     return F.coalesce(
-        _first_good(text, TWEET_TITLES, _without_hashtags, 10, 150),
-        _first_line(text, r"#@\x{1F300}-\x{1FAFF}\s", 0),
+        _first_good(text, TWEET_TITLES, _without_hashtags, 10, cut),
+        _first_line(text, r"#@\x{1F300}-\x{1FAFF}\s", 0, line_cut),
     )
 
 
-def post_title(text: Column) -> Column:
+def post_title(text: Column, cut: int = TITLE_CHARS, line_cut: int = LINE_TITLE_CHARS) -> Column:
     def clean(found: Column) -> Column:
         plain = _without_hashtags(F.regexp_replace(found, r"\*{2}", ""))
         return strip(F.rtrim(plain, F.lit("*:")))
 
     return F.coalesce(
-        _first_good(text, POST_TITLES, clean, 5, 150),
-        _first_line(text, r"\x{1F300}-\x{1FAFF}#@*\s", 5),
+        _first_good(text, POST_TITLES, clean, 5, cut),
+        _first_line(text, r"\x{1F300}-\x{1FAFF}#@*\s", 5, line_cut),
     )
 
 
-def tweet_company(text: Column, author: Column) -> Column:
-    return F.coalesce(_first_good(text, COMPANIES, _without_hashtags, 1, 100), author)
+def tweet_company(text: Column, author: Column, cut: int = COMPANY_CHARS) -> Column:
+    return F.coalesce(_first_good(text, COMPANIES, _without_hashtags, 1, cut), author)
 
 
-def post_company(text: Column, author: Column, subtitle: Column) -> Column:
+def post_company(text: Column, author: Column, subtitle: Column, cut: int = COMPANY_CHARS) -> Column:
     """The employer named in the author's line wins over the text."""
     employer = F.left(
-        strip(first_match(subtitle, rx(SUBTITLE_COMPANY, ignore_case=True))), F.lit(100)
+        strip(first_match(subtitle, rx(SUBTITLE_COMPANY, ignore_case=True))), F.lit(cut)
     )
-    return F.coalesce(employer, tweet_company(text, author))
+    return F.coalesce(employer, tweet_company(text, author, cut))
 
 
-def tweet_location(text: Column, place: Column | None = None) -> Column:
-    found = _first_good(text, TWEET_LOCATIONS, _without_hashtags, 0, 100)
+def tweet_location(text: Column, place: Column | None = None, cut: int = PLACE_CHARS) -> Column:
+    found = _first_good(text, TWEET_LOCATIONS, _without_hashtags, 0, cut)
     return found if place is None else F.coalesce(found, non_empty(place))
 
 
-def post_location(text: Column) -> Column:
+def post_location(text: Column, cut: int = PLACE_CHARS) -> Column:
     def clean(found: Column) -> Column:
         return strip(F.regexp_replace(F.rtrim(found, F.lit(",. ")), r"\*+", ""))
 
-    return F.coalesce(_first_good(text, POST_LOCATIONS, clean, 0, 100), tweet_location(text))
+    return F.coalesce(_first_good(text, POST_LOCATIONS, clean, 0, cut), tweet_location(text, cut=cut))
 
 
 def resolve_links(links: Column) -> Column:

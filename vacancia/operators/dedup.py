@@ -15,6 +15,10 @@ from vacancia.operators.skew import salted_join
 URL_KEYED_SITES = ("indeed", "glassdoor", "zip_recruiter", "google", "irish_jobs")
 
 
+# Fixed value: beginning of a post by which it is told from others.
+PREFIX_CHARS = 80
+
+
 def posting_key() -> Column:
     return F.when(F.col("site").isin(*URL_KEYED_SITES), F.col("job_url")).otherwise(F.col("id"))
 
@@ -39,7 +43,7 @@ def dedup_by_normalized_url(
 
 
 def dedup_by_prefix(
-    df: DataFrame, text: str = "text", length: int = 80, order: Sequence[str] = ARRIVAL
+    df: DataFrame, text: str = "text", length: int = PREFIX_CHARS, order: Sequence[str] = ARRIVAL
 ) -> DataFrame:
     """One row per beginning of a post's body."""
     return _first_by(df, F.left(F.col(text), F.lit(length)), [], order)
