@@ -114,11 +114,28 @@ def test_mix_draws_each_document_with_its_chance(spark):
     df = spark.createDataFrame([(i, "one two three", "en", s, 1) for i, s in enumerate("a" * 40 + "b" * 40)], DOCS)
     weights = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "source string, weight double")
     taken = np.zeros(80)
-    for seed in range(12):
+    for seed in range(6):
         for x in mixing.mix_sizes(df, weights, share=0.5, seed=seed).collect():
             taken[x.doc_id] += x.copies
-    assert taken.sum() == 12 * 40
-    assert 1 <= taken.min() and taken.max() <= 11
+    assert taken.sum() == 6 * 40
+    assert taken[:40].std() > 0.8 and (taken == 6).sum() <= 8 and (taken == 0).sum() <= 8
+
+
+def test_mix_follows_worth(spark):
+    """Chances are unequal within a source: documents of twice the worth come about twice as often."""
+    made = [(i, "one two three four", "en", "a", 1 + i % 2) for i in range(300)] + [(900, "x", "en", "a", None), (901, "x", "en", "a", 500)]
+    df = spark.createDataFrame(made, DOCS)
+    taken = np.zeros(1000)
+    for seed in range(4):
+        found = mixing.mix_sizes(df, (1,), share=0.5, seed=seed, worth="n_chars").collect()
+        assert abs(sum(x.taken for x in found) - 0.5 * 1202) <= 4
+        for x in found:
+            taken[x.doc_id] += x.copies
+    light, heavy = taken[:300:2].mean() / 4, taken[1:300:2].mean() / 4
+    assert light == pytest.approx(1 / 3, abs=0.07) and heavy == pytest.approx(2 / 3, abs=0.07)
+    assert taken[900] == 0 and taken[901] == 8  # no worth, none; at most two copies
+    whole = mixing.mix_sizes(df, (1,), share=0.5, worth="n_chars").agg(F.sum("copies")).first()[0]
+    assert mixing.mix(df, (1,), share=0.5, worth="n_chars").count() == whole
 
 
 def test_targets_stop_at_twice_the_source(spark):

@@ -66,38 +66,85 @@ def source_targets(totals: DataFrame, weights: DataFrame, share: float, most_cop
     return known.select("source", "n", "source_size", dealt.alias("target"))
 
 
-def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """One row per source that says which of its documents the mix takes, and how often.
+def with_levels(sized: DataFrame, targets: DataFrame, most_copies: float, equal: bool) -> DataFrame:
+    """``targets`` with each source's ``level``: a document's expected copies are level times ``worth``.
 
-    ``sized`` has (source, size, u); ``targets`` is from ``source_targets``. Every document gets the
-    whole copies of target / source_size for certain; the fraction left is its inclusion probability.
+    Levels are such that expected copies times sizes add up to the target. Copies stop at
+    ``most_copies``, and what documents above it leave over is dealt again by worth, until no further
+    document is above; each turn is a sum by source. If all worths are ``equal`` (to 1), there is
+    nothing to deal again, as no target is above that limit.
+    """
+    if equal:
+        level = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+        return targets.withColumn("level", level)
+    sources, full, levels = targets.count(), -1, None
+    while True:
+        if levels is None:
+            at, joined = F.lit(False), sized
+        else:
+            known = small_side(levels.select(F.col("source").alias("ls"), "level"), sources)
+            joined = sized.join(known, F.col("source").eqNullSafe(F.col("ls")))
+            at = F.col("level") * F.col("worth") >= most_copies
+        sums = keep(joined.groupBy("source").agg(
+            F.sum(F.when(at, F.col("size")).otherwise(0)).alias("above"), F.count_if(at).alias("n_above"),
+            F.sum(F.when(~at, F.col("worth") * F.col("size")).otherwise(0.0)).alias("below"),
+        ), "levels", sources)
+        now = sums.agg(F.coalesce(F.sum("n_above"), F.lit(0))).first()[0]
+        if now == full:
+            return levels
+        full = now
+        left = F.greatest(F.col("target") - most_copies * F.col("above"), F.lit(0.0))
+        level = F.when(F.col("below") > 0, left / F.col("below")).otherwise(F.lit(float("inf")))
+        levels = keep(targets.join(sums.withColumnRenamed("source", "ss"), F.col("source").eqNullSafe(F.col("ss"))).select(
+            *targets.columns, level.alias("level")), "levels", sources)
+
+
+def expected_copies(most_copies: float) -> Column:
+    """Of a document, from its ``worth`` and its source's ``level``; none without worth."""
+    return F.when(F.col("worth") > 0, F.least(F.lit(float(most_copies)), F.col("level") * F.col("worth"))).otherwise(0.0)
+
+
+def _shared(most_copies: float) -> tuple[Column, Column]:
+    """A document's certain copies, and the chance of one more."""
+    expected = expected_copies(most_copies)
+    return F.floor(expected).cast("long"), expected - F.floor(expected)
+
+
+def plan(sized: DataFrame, targets: DataFrame, most_copies: float, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """One row per source that says which of its documents the mix takes.
+
+    ``sized`` has (source, size, worth, u); ``targets`` is from ``with_levels``. A document gets the
+    whole part of its expected copies for certain; the fraction left is its inclusion probability.
     Documents are ranked by the odds of ``u`` divided by the odds of inclusion, and taken in that order
     as long as their words fit what is left of the target; the bucket in which it is used up is gone
     through to its end for what still fits. A last place goes to the document whose size is nearest to
     the words still missing, if that brings the source nearer to its target. The sample's size is thus
-    fixed in words. Documents with equal ``u`` (repeated rows) are taken together.
+    fixed in words. Documents with equal ``u`` and chance (repeated rows) are taken together.
 
-    No source is ordered in one task: ranks fall into buckets of about ``bucket_rows`` documents, and
-    as many neighbouring buckets form a group as there are groups. Sums of the groups show in which
-    group the sample ends, sums of its buckets in which bucket, and only that bucket is ordered. No
-    window holds more than the square root of a source's number of buckets.
+    No source is ordered in one task: ranks fall into buckets, of about ``bucket_rows`` documents where
+    samples end (at odds near one), and as many neighbouring buckets form a group as there are groups.
+    Sums of the groups show in which group the sample ends, sums of its buckets in which bucket, and
+    only that bucket is ordered. No window holds more than the square root of a source's number of
+    buckets.
     """
-    copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    shares = targets.select(
-        "source", "source_size", "target", copies.cast("long").alias("copies"),
-        F.greatest(F.ceil(F.sqrt(F.col("n") / bucket_rows)), F.lit(1)).cast("long").alias("side"),
-    ).withColumn("buckets", F.col("side") * F.col("side")).withColumn("rest", F.col("target") - F.col("copies") * F.col("source_size")).withColumn(
-        "chance", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0)
-    )
     sources = targets.count()
-    shares = keep(shares, "shares", sources)
-    drawn = shares.where("chance > 0").select("source", "rest", "chance", "side", "buckets")
-    units = sized.groupBy("source", "u").agg(F.sum("size").alias("size"))
-    units = units.withColumnRenamed("source", "s").join(
-        small_side(drawn, sources), F.col("s").eqNullSafe(F.col("source"))
-    ).withColumn("rank", rank("u", "chance")).withColumn("bucket", bucket("u", "buckets"))
+    shares = targets.withColumn("side", F.greatest(F.ceil(F.sqrt(F.col("n") / bucket_rows)), F.lit(1)).cast("long"))
+    shares = shares.withColumn("buckets", F.col("side") * F.col("side"))
+    copies, chance = _shared(most_copies)
+    known = small_side(shares.select(F.col("source").alias("s"), "level", "side", "buckets"), sources)
+    units = sized.join(known, F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", "u", "size", "side", "buckets", copies.alias("copies"), chance.alias("chance")
+    )
+    units = units.groupBy("source", "u", "chance", "copies", "side", "buckets").agg(F.sum("size").alias("size"))
+    units = units.withColumn("rank", F.when(F.col("chance") > 0, rank("u", "chance"))).withColumn("bucket", bucket("rank", "buckets"))
     units = units.withColumn("part", F.floor(F.col("bucket") / F.col("side")).cast("long"))
-    units = keep(units.select("source", "u", "size", "rank", "part", "bucket", "rest"), "units", sized.count())
+    units = keep(units.select("source", "u", "size", "copies", "rank", "part", "bucket"), "units", sized.count())
+    sure = units.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("sure"))
+    rests = keep(shares.join(sure.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", (F.col("target") - F.col("sure")).alias("rest")), "rests", sources)
+    units = units.where("rank is not null").join(
+        small_side(rests.withColumnRenamed("source", "s"), sources), F.col("source").eqNullSafe(F.col("s"))
+    ).drop("s", "copies")
 
     parts = keep(_ends(units.withColumn("start", F.lit(0.0)), "part"), "parts", sources)
     ends = keep(_ends(_within(units, parts, sources, "part"), "bucket"), "ends", sources)
@@ -120,7 +167,7 @@ def plan(sized: DataFrame, targets: DataFrame, bucket_rows: int = BUCKET_ROWS) -
         F.when(F.col("nearest").isNull(), F.col("extras")).otherwise(F.array_append("extras", F.col("nearest"))).alias("extras"),
     )
     return shares.join(cuts, F.col("source").eqNullSafe(F.col("cs")), "left").select(
-        "source", "source_size", "target", "copies", "chance", "buckets", "end", "cut", "extras"
+        "source", "source_size", "target", "level", "buckets", "end", "cut", "extras"
     )
 
 
@@ -167,60 +214,73 @@ def rank(u: str, chance: str) -> Column:
     return (u / (1 - u)) / (chance / (1 - chance))
 
 
-def bucket(u: str, buckets: str) -> Column:
-    return F.floor(F.col(u) * F.col(buckets)).cast("long")
+def bucket(rank: str, buckets: str) -> Column:
+    """Ranks go from none to any number; odds r lie at r / (1 + r) of the way."""
+    return F.floor(F.col(rank) / (1 + F.col(rank)) * F.col(buckets)).cast("long")
+
+
+def copies_taken(df: DataFrame, most_copies: float) -> DataFrame:
+    """``df`` with ``copies``: how often a document is taken, from its ``u``, ``worth`` and source's ``plan``."""
+    copies, chance = _shared(most_copies)
+    df = df.withColumn("sure", copies).withColumn("chance", chance)
+    df = df.withColumn("rank", F.when(F.col("chance") > 0, rank("u", "chance"))).withColumn("place", bucket("rank", "buckets"))
+    early = (F.col("place") < F.col("end")) | ((F.col("place") == F.col("end")) & (F.col("rank") <= F.col("cut")))
+    drawn = F.coalesce(early, F.lit(False)) | F.coalesce(F.array_contains("extras", F.col("u")), F.lit(False))
+    return df.withColumn("copies", F.col("sure") + (F.col("rank").isNotNull() & drawn).cast("long"))
 
 
-def copies_taken() -> Column:
-    """How often a document is taken, from its ``u`` and the columns of ``plan``."""
-    place = bucket("u", "buckets")
-    drawn = (place < F.col("end")) | ((place == F.col("end")) & (rank("u", "chance") <= F.col("cut")))
-    drawn = F.coalesce(drawn, F.lit(False)) | F.coalesce(F.array_contains("extras", F.col("u")), F.lit(False))
-    return F.col("copies") + ((F.col("chance") > 0) & drawn).cast("long")
+def _worth(worth: Column | None) -> Column:
+    return F.lit(1.0) if worth is None else F.greatest(F.coalesce(worth.cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
-def _with_plan(sized: DataFrame, weights: DataFrame | Sequence[float], share: float, most_copies: float) -> DataFrame:
+def _with_plan(sized: DataFrame, weights: DataFrame | Sequence[float], share: float, most_copies: float, equal: bool) -> DataFrame:
     totals = keep(sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), "totals")
     if not isinstance(weights, DataFrame):
         weights = cyclic_weights(totals.select("source"), weights)
-    return keep(plan(sized, source_targets(totals, weights, share, most_copies)), "plan", totals.count())
+    targets = keep(with_levels(sized, source_targets(totals, weights, share, most_copies), most_copies, equal), "levels", totals.count())
+    return keep(plan(sized, targets, most_copies), "plan", totals.count())
 
 
 def mix_sizes(
     docs: DataFrame, weights: DataFrame | Sequence[float], key: str = "doc_id", text: str = "text",
-    source: str = "source", share: float = 1.5, most_copies: float = 2.0, seed: int = SEED,
+    source: str = "source", share: float = 1.5, most_copies: float = 2.0, seed: int = SEED, worth: str | None = None,
 ) -> DataFrame:
     """(key, source, size, source_size, target, copies, taken) for every document.
 
-    ``weights`` is a frame (source, weight), or numbers dealt to the sources in turn. Sizes are words; a
-    null or empty text has none and is taken as often as its neighbours in the order. A null source is
-    a source. Ties and repeated rows are taken together. Reruns agree, as the draw follows from seed,
-    key and text. An empty table gives an empty result.
+    ``weights`` is a frame (source, weight), or numbers dealt to the sources in turn. Within a source,
+    expected copies are proportional to the column ``worth`` (none: all alike; null or negative: zero).
+    Sizes are words; a null or empty text has none and is taken as often as its neighbours in the
+    order. A null source is a source. Ties and repeated rows are taken together. Reruns agree, as the
+    draw follows from seed, key and text. An empty table gives an empty result.
     """
-    picked = pick(docs, key=key, source=source, text=text)
+    given = {"worth": worth} if worth else {}
+    picked = pick(docs, key=key, source=source, text=text, **given)
     sized = keep(picked.select(
-        "key", "source", _size(F.col("text")).alias("size"), _uniform(seed, F.col("key"), F.col("text")).alias("u")
+        "key", "source", _size(F.col("text")).alias("size"), _uniform(seed, F.col("key"), F.col("text")).alias("u"),
+        _worth(F.col("worth") if worth else None).alias("worth"),
     ), "sized")
-    plans = _with_plan(sized, weights, share, most_copies).withColumnRenamed("source", "s")
+    plans = _with_plan(sized, weights, share, most_copies, worth is None).withColumnRenamed("source", "s")
     joined = sized.join(small_side(plans, plans.count()), F.col("source").eqNullSafe(F.col("s")))
-    return joined.select(
+    return copies_taken(joined, most_copies).select(
         F.col("key").alias(key), F.col("source").alias("source"), "size", "source_size", "target",
-        copies_taken().alias("copies"), (copies_taken() * F.col("size")).alias("taken"),
+        "copies", (F.col("copies") * F.col("size")).alias("taken"),
     )
 
 
 def mix(
     docs: DataFrame, weights: DataFrame | Sequence[float], key: str = "doc_id", text: str = "text",
-    source: str = "source", share: float = 1.5, most_copies: float = 2.0, seed: int = SEED,
+    source: str = "source", share: float = 1.5, most_copies: float = 2.0, seed: int = SEED, worth: str | None = None,
 ) -> DataFrame:
     """The mixed documents with their columns, each row as often as the mix takes it."""
     names = docs.columns
     df = hidden(docs)
     own = [F.col(f"in_{names.index(c)}") for c in (key, source, text)]
-    sized = keep(df.select(own[1].alias("source"), _size(own[2]).alias("size"), _uniform(seed, own[0], own[2]).alias("u")), "sized")
-    plans = _with_plan(sized, weights, share, most_copies).withColumnRenamed("source", "s")
-    joined = df.withColumn("u", _uniform(seed, own[0], own[2])).join(
+    value = _worth(F.col(f"in_{names.index(worth)}") if worth else None)
+    u = _uniform(seed, own[0], own[2])
+    sized = keep(df.select(own[1].alias("source"), _size(own[2]).alias("size"), u.alias("u"), value.alias("worth")), "sized")
+    plans = _with_plan(sized, weights, share, most_copies, worth is None).withColumnRenamed("source", "s")
+    joined = df.withColumn("u", u).withColumn("worth", value).join(
         small_side(plans, plans.count()), own[1].eqNullSafe(F.col("s"))
     )
-    times = copies_taken()
-    return shown(joined.where(times > 0).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), times))), names)
+    taken = copies_taken(joined, most_copies).where("copies > 0")
+    return shown(taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), names)

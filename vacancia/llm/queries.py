@@ -28,10 +28,10 @@ p AS (SELECT *, (1.5::DOUBLE * sum(z) OVER () - coalesce(sum(lim) OVER (ORDER BY
       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS mu FROM r),
 t AS (SELECT source, z, least(lim, (SELECT max(mu) FROM p WHERE mu <= r) * w) AS target FROM p),
 c AS (SELECT *, CASE WHEN z > 0 THEN floor(target / z) ELSE 0 END::BIGINT AS copies FROM t),
-f AS (SELECT *, target - copies * z AS rest, CASE WHEN z > 0 THEN (target - copies * z) / z ELSE 0 END AS chance FROM c),
+f AS (SELECT *, target - copies * z AS rest, CASE WHEN z > 0 THEN target / z - floor(target / z) ELSE 0 END AS chance FROM c),
 k AS (SELECT source, greatest(ceil(sqrt(count(*) / 100)), 1)::BIGINT ** 2 AS buckets FROM d GROUP BY source),
-units AS (SELECT d.source, u, floor(u * buckets)::BIGINT AS b, sum(size)::DOUBLE AS size, rest,
-    (u / (1 - u)) / (chance / (1 - chance)) AS q
+units AS (SELECT d.source, u, (u / (1 - u)) / (chance / (1 - chance)) AS q, floor(q / (1 + q) * buckets)::BIGINT AS b,
+    sum(size)::DOUBLE AS size, rest
   FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source JOIN k ON d.source IS NOT DISTINCT FROM k.source
   WHERE chance > 0 GROUP BY ALL),
 sums AS (SELECT source, b, rest, sum(sum(size)) OVER (PARTITION BY source ORDER BY b) - sum(size) AS before
