@@ -41,12 +41,12 @@ def _luhn(value: Column) -> Column:
     return F.when((n >= 16) & (n <= 19), check).otherwise(False)
 
 
-#: Pattern, and what a match has to meet.
+#: Pattern, a string that every match has, and what a match has to meet.
 BASE = {
-    "email": (EMAIL, lambda v: F.lit(True)),
-    "ip": (IP, lambda v: v.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")),
-    "card": (CARD, _luhn),
-    "phone": (PHONE, lambda v: F.length(_digits(v)).between(8, 15)),
+    "email": (EMAIL, "@", lambda v: F.lit(True)),
+    "ip": (IP, ".", lambda v: v.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$")),
+    "card": (CARD, None, _luhn),
+    "phone": (PHONE, "+", lambda v: F.length(_digits(v)).between(8, 15)),
 }
 
 
@@ -81,8 +81,15 @@ def instances(docs: DataFrame, key: str, text: str) -> DataFrame:
     Each has a mark of its value and its patterns, not the text itself.
     """
     df = pick(docs, key=key, text=text).withColumn("text", clean(F.col("text")))
-    pieces = {kind: pattern for kind, (pattern, _) in BASE.items()} | {"unknown": NUMBERED}
-    df = df.select("key", "text", *[parts(F.col("text"), p).alias(k) for k, p in pieces.items()])
+    # A text without digits has nothing but e-mail addresses.
+    numbered = F.col("text").rlike("[0-9]")
+
+    def cut(kind, pattern, needs):
+        found = parts(F.col("text"), pattern, needs)
+        return found if kind == "email" else F.when(F.col("numbered"), found).otherwise(F.array("text"))
+
+    pieces = {kind: (pattern, needs) for kind, (pattern, needs, _) in BASE.items()} | {"unknown": (NUMBERED, None)}
+    df = df.withColumn("numbered", numbered).select("key", "text", *[cut(k, *p).alias(k) for k, p in pieces.items()])
     df = df.select("key", "text", *[matches(F.col(k)).alias(k) for k in pieces])
 
     def valid(kind, ok):
@@ -99,7 +106,7 @@ def instances(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.transform(F.filter(short, lambda s: F.length(_digits(s["value"])) >= LEAST_DIGITS), trimmed),
         lambda s: (s["end"] - s["start"]).between(LEAST_CHARS, MOST_CHARS),
     )
-    df = df.select("key", "text", F.array_sort(F.concat(*[valid(k, ok) for k, (_, ok) in BASE.items()])).alias("base"), long_enough.alias("unknown"))
+    df = df.select("key", "text", F.array_sort(F.concat(*[valid(k, ok) for k, (_, _, ok) in BASE.items()])).alias("base"), long_enough.alias("unknown"))
     df = df.withColumn("unknown", F.when(F.size("unknown") > 0, apart(F.col("unknown"), F.col("base"))).otherwise(F.col("unknown")))
     with_patterns = lambda c: F.transform(c, lambda s: s.withField("patterns", _patterns(F.col("text"), s)))
     return df.select("key", *[F.when(F.size(c) > 0, with_patterns(c)).otherwise(

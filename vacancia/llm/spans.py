@@ -16,9 +16,13 @@ def clean(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), MARK, STAND_IN)
 
 
-def parts(text: Column, pattern: str) -> Column:
-    """A clean text cut at its leftmost non-overlapping matches, which are the odd elements."""
-    return F.split(F.regexp_replace(text, f"(?:{pattern})", f"{MARK}$0{MARK}"), MARK, -1)
+def parts(text: Column, pattern: str, needs: str | None = None) -> Column:
+    """A clean text cut at its leftmost non-overlapping matches, which are the odd elements.
+
+    A text without the string ``needs``, which every match has, isn't searched.
+    """
+    cut = F.split(F.regexp_replace(text, f"(?:{pattern})", f"{MARK}$0{MARK}"), MARK, -1)
+    return cut if needs is None else F.when(F.contains(text, F.lit(needs)), cut).otherwise(F.array(text))
 
 
 def matches(parts: Column) -> Column:
