@@ -33,8 +33,8 @@ def _spans(spans: Column, kind: str, value=lambda s: s["value"]) -> Column:
 def candidates(docs: DataFrame, key: str, text: str, owner: str, repository: str) -> DataFrame:
     """(row, key, owner, repository, base, loose): spans of each text, with a mark of their secrets."""
     df = pick(docs, key=key, owner=owner, repository=repository, text=text).withColumn("text", clean(F.col("text")))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "loose": LOOSE}
-    df = df.select("key", "owner", "repository", *[parts(F.col("text"), p).alias(k) for k, p in patterns.items()])
+    patterns = {"assign": (ASSIGN, None), "access": (ACCESS, "AKIA"), "hex": (HEX, None), "loose": (LOOSE, None)}
+    df = df.select("key", "owner", "repository", *[parts(F.col("text"), *p).alias(k) for k, p in patterns.items()])
     df = df.select("key", "owner", "repository", *[matches(F.col(k)).alias(k) for k in patterns])
     secret = lambda s: F.regexp_extract(s["value"], ASSIGN, 2)
     df = df.withColumn("assign", F.filter("assign", lambda s: F.length(secret(s)) >= 12))
