@@ -126,7 +126,9 @@ def learn(found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,
     computed, both pre-aggregated; no pattern's or instance's neighbours are gathered.
     """
     edges = found.groupBy("pattern", "h", "g").agg(F.max("seed").alias("seed"))
-    wide = edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_instances)
+    edges = keep(edges, "edges")
+    # Written first, so that the join has nothing but shuffles below, which can be split by pattern.
+    wide = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_instances), "wide")
     edges = keep(edges.join(wide.select("pattern"), "pattern"), "edges")
     scores = edges.groupBy("h", "g").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
     for turn in range(rounds):
