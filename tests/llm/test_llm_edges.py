@@ -223,7 +223,7 @@ def test_pii_bootstraps_from_seeds(spark):
 
 @pytest.mark.parametrize("text", [
     "a" * 50_000, "a." * 30_000 + "@" + ".b" * 20_000, "1" * 60_000, "1." * 30_000, "+1" + " " * 50_000, "+1" * 20_000,
-    "token" * 10_000, "abcdef0123456789" * 3_000, "a@b.c," * 2_000,
+    "token" * 10_000, "abcdef0123456789" * 3_000, "a@b.c," * 2_000, "1.2.3.4 567890 " * 4_000,
 ])
 def test_long_texts_take_time_in_proportion(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string").withColumn("source", F.lit("s"))

@@ -24,7 +24,8 @@ _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 ROUNDS, CONFIDENT, LEAST_INSTANCES = 3, 0.75, 3
 #: Characters and digits of an unseen identifier.
 LEAST_CHARS, MOST_CHARS, LEAST_DIGITS = 5, 64, 4
-#: Characters before and after an instance among which the words of its patterns are looked for.
+#: Characters before and after an instance among which the words of its patterns are looked for; its
+#: left context goes back over three words with digits at most.
 CONTEXT_CHARS = 120
 
 
@@ -50,11 +51,8 @@ BASE = {
 }
 
 
-def _patterns(text: Column, span: Column) -> Column:
+def _patterns(left: Column, right: Column) -> Column:
     """The lexical patterns around a span: three words before it; two before and one after; a label."""
-    width = F.least(span["start"], F.lit(CONTEXT_CHARS)).cast("int")
-    left = F.substring(text, (span["start"] - width + 1).cast("int"), width)
-    right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(CONTEXT_CHARS))
     word = F.lit(r"[^\x20\x09-\x0D]+")
     before, after = (F.regexp_extract_all(F.lower(side), word, 0) for side in (left, right))
     last = F.coalesce(F.get(before, F.size(before) - 1), F.lit(""))
@@ -67,11 +65,11 @@ def _patterns(text: Column, span: Column) -> Column:
     return F.filter(found, lambda p: p.isNotNull())
 
 
-def _span(s: Column, kind: str, start=None, value=None) -> Column:
-    start, value = s["start"] if start is None else start, s["value"] if value is None else value
+def _span(kind: str, start: Column, value: Column, left: Column, right: Column) -> Column:
     return F.struct(
         F.lit(KINDS.index(kind)).alias("rank"), start.alias("start"), (start + F.length(value)).alias("end"),
         F.lit(kind).alias("kind"), F.xxhash64(value).alias("h"), F.xxhash64(F.lit(1), value).alias("g"),
+        left.alias("left"), right.alias("right"),
     )
 
 
@@ -90,28 +88,34 @@ def instances(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     pieces = {kind: (pattern, needs) for kind, (pattern, needs, _) in BASE.items()} | {"unknown": (NUMBERED, None)}
     df = df.withColumn("numbered", numbered).select("key", "text", *[cut(k, *p).alias(k) for k, p in pieces.items()])
-    df = df.select("key", "text", *[matches(F.col(k)).alias(k) for k in pieces])
+    df = df.select("key", *[matches(F.col(k), CONTEXT_CHARS).alias(k) for k in pieces])
 
     def valid(kind, ok):
-        return F.transform(F.filter(kind, lambda s: ok(s["value"])), lambda s: _span(s, kind))
+        return F.transform(F.filter(kind, lambda s: ok(s["value"])),
+                           lambda s: _span(kind, s["start"], s["value"], s["left"], s["right"]))
 
     short = F.filter("unknown", lambda s: F.length(s["value"]) <= 2 * MOST_CHARS)
 
     def trimmed(s):
+        """A word without the symbols around it, which belong to its context."""
         bare = F.regexp_replace(s["value"], "^[^A-Za-z0-9+]++", "")
-        start = s["start"] + F.length(s["value"]) - F.length(bare)
-        return _span(s, "id", start, F.regexp_replace(bare, "[^A-Za-z0-9]+$", ""))
+        value = F.regexp_replace(bare, "[^A-Za-z0-9]+$", "")
+        cut = F.length(s["value"]) - F.length(bare)
+        left = F.concat(s["left"], F.left(s["value"], cut.cast("int")))
+        right = F.concat(F.substr(bare, F.length(value) + 1), s["right"])
+        return _span("id", s["start"] + cut, value, left, right)
 
     long_enough = F.filter(
         F.transform(F.filter(short, lambda s: F.length(_digits(s["value"])) >= LEAST_DIGITS), trimmed),
         lambda s: (s["end"] - s["start"]).between(LEAST_CHARS, MOST_CHARS),
     )
-    df = df.select("key", "text", F.array_sort(F.concat(*[valid(k, ok) for k, (_, _, ok) in BASE.items()])).alias("base"), long_enough.alias("unknown"))
+    df = df.select("key", F.array_sort(F.concat(*[valid(k, ok) for k, (_, _, ok) in BASE.items()])).alias("base"), long_enough.alias("unknown"))
     df = df.withColumn("unknown", F.when(F.size("unknown") > 0, apart(F.col("unknown"), F.col("base"))).otherwise(F.col("unknown")))
-    with_patterns = lambda c: F.transform(c, lambda s: s.withField("patterns", _patterns(F.col("text"), s)))
-    return df.select("key", *[F.when(F.size(c) > 0, with_patterns(c)).otherwise(
-        F.array().cast("array<struct<rank:int,start:bigint,end:bigint,kind:string,h:bigint,g:bigint,patterns:array<string>>>")
-    ).alias(c) for c in ("base", "unknown")]).withColumn("row", F.monotonically_increasing_id())
+
+    def with_patterns(spans):
+        return F.transform(spans, lambda s: s.withField("patterns", _patterns(s["left"], s["right"])).dropFields("left", "right"))
+
+    return df.select("key", *[with_patterns(c).alias(c) for c in ("base", "unknown")]).withColumn("row", F.monotonically_increasing_id())
 
 
 def learn(found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,

@@ -25,42 +25,66 @@ def parts(text: Column, pattern: str, needs: str | None = None) -> Column:
     return cut if needs is None else F.when(F.contains(text, F.lit(needs)), cut).otherwise(F.array(text))
 
 
-def matches(parts: Column) -> Column:
-    """(start, end, value) of each match; ``parts`` should be a column, as it is used often.
+def matches(parts: Column, context: int = 0) -> Column:
+    """(start, end, value) of each match, and with ``context`` so many characters ``left`` and ``right`` of it.
 
-    Lengths are added up in blocks, so that a text with very many matches takes time in proportion.
+    ``parts`` should be a column, as it is used often. Lengths are added up in blocks and contexts are
+    put together from the neighbouring parts, so that a text with very many matches takes time in
+    proportion. A context reaches three matches back at most.
     """
-    def total(lengths):
-        return F.aggregate(lengths, F.lit(0).cast("long"), lambda a, n: a + n)
+    def total(some):
+        return F.aggregate(some, F.lit(0).cast("long"), lambda a, p: a + F.length(p))
 
-    lengths = F.transform(parts, lambda p: F.length(p).cast("long"))
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / _BLOCK).cast("int")),
-                         lambda b: total(F.slice(lengths, b * _BLOCK + 1, _BLOCK)))
+                         lambda b: total(F.slice(parts, b * _BLOCK + 1, _BLOCK)))
     starts = F.aggregate(
         blocks, F.array(F.lit(0).cast("long")), lambda a, n: F.array_append(a, F.element_at(a, -1) + n)
     )
 
-    def match(k, table, starts):
+    def match(k, starts):
         at = 2 * k + 1
         block = F.floor(at / _BLOCK).cast("int")
-        start = F.get(starts, block) + total(F.transform(
-            F.slice(table, block * _BLOCK + 1, F.pmod(at, F.lit(_BLOCK))), lambda p: F.length(p).cast("long")))
-        value = F.get(table, at)
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
+        start = F.get(starts, block) + total(F.slice(parts, block * _BLOCK + 1, F.pmod(at, F.lit(_BLOCK))))
+        value = F.get(parts, at)
+        fields = [start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value")]
+        if context:
+            size, first = F.lit(context), F.greatest(at - 7, F.lit(0))
+            before = F.transform(F.slice(parts, first + 1, at - first), lambda p: F.right(p, size))
+            after = F.transform(F.slice(parts, at + 2, 2), lambda p: F.left(p, size))
+            fields += [F.right(F.array_join(before, ""), size).alias("left"), F.left(F.array_join(after, ""), size).alias("right")]
+        return F.struct(*fields)
 
     numbers = F.sequence(F.lit(0), F.floor((F.size(parts) - 3) / 2).cast("int"))
     # The block starts are bound once, as the element of an array of one.
-    found = F.flatten(F.transform(F.array(starts), lambda s: F.transform(numbers, lambda k: match(k, parts, s))))
-    return F.when(F.size(parts) > 1, found).otherwise(none())
+    found = F.flatten(F.transform(F.array(starts), lambda s: F.transform(numbers, lambda k: match(k, s))))
+    return F.when(F.size(parts) > 1, found).otherwise(none(context))
 
 
-def none() -> Column:
-    return F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
+def none(context: int = 0) -> Column:
+    more = ",left:string,right:string" if context else ""
+    return F.array().cast(f"array<struct<start:bigint,end:bigint,value:string{more}>>")
 
 
-def apart(spans: Column, others: Column) -> Column:
-    """Those ``spans`` that overlap none of ``others``."""
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+def apart(spans: Column, others: Column, width: int = 4096) -> Column:
+    """Those ``spans`` that overlap none of ``others``, both of one text.
+
+    They are compared window by window of the text, so that many of both don't meet in all pairs.
+    """
+    def free(mine, near):
+        return F.filter(mine, lambda s: ~F.exists(near, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+
+    def window(w):
+        mine = F.filter(spans, lambda s: F.floor(s["start"] / width) == w)
+
+        def within(own):
+            reach = F.coalesce(F.array_max(F.transform(own, lambda s: s["end"])), F.lit(0))
+            near = F.transform(F.array(reach), lambda r: F.filter(others, lambda o: (o["end"] > w * width) & (o["start"] < r)))
+            return F.get(F.transform(near, lambda n: free(own, n)), 0)
+
+        return F.get(F.transform(F.array(mine), within), 0)
+
+    last = F.coalesce(F.array_max(F.transform(spans, lambda s: s["start"])), F.lit(0))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.floor(last / width).cast("int")), window))
 
 
 def text_of(spans: Column) -> Column:
