@@ -234,7 +234,7 @@ def _worth(worth: Column | None) -> Column:
 
 
 def _with_plan(sized: DataFrame, weights: DataFrame | Sequence[float], share: float, most_copies: float, equal: bool) -> DataFrame:
-    totals = keep(sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), "totals")
+    totals = keep(sized.groupBy("source").agg(F.count("*").alias("n"), F.sum("size").alias("source_size")), "totals", sized.count())
     if not isinstance(weights, DataFrame):
         weights = cyclic_weights(totals.select("source"), weights)
     targets = keep(with_levels(sized, source_targets(totals, weights, share, most_copies), most_copies, equal), "levels", totals.count())

@@ -119,7 +119,7 @@ def instances(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def learn(found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,
-          least_instances: int = LEAST_INSTANCES) -> DataFrame:
+          least_instances: int = LEAST_INSTANCES, rows: int | None = None) -> DataFrame:
     """(pattern, score): patterns that are confident after ``rounds`` of scoring the graph ``found``.
 
     ``found`` has a row (pattern, h, g, seed) per occurrence; an instance is a distinct value. Seeds
@@ -127,25 +127,27 @@ def learn(found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,
     ``least_instances`` of them are confident; an instance that is no seed scores as its best confident
     pattern, so what a pattern discovers supports further patterns. Patterns with fewer instances can't
     become confident and leave the graph first. Only sums by pattern and maxima by instance are
-    computed, both pre-aggregated; no pattern's or instance's neighbours are gathered.
+    computed, both pre-aggregated; no pattern's or instance's neighbours are gathered. ``rows`` is about
+    the number of edges, if it is known.
     """
     edges = found.groupBy("pattern", "h", "g").agg(F.max("seed").alias("seed"))
-    edges = keep(edges, "edges")
+    edges = keep(edges, "edges", rows)
+    n = edges.count()
     # Written first, so that the join has nothing but shuffles below, which can be split by pattern.
-    wide = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_instances), "wide")
-    edges = keep(edges.join(wide.select("pattern"), "pattern"), "edges")
+    wide = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_instances), "wide", n)
+    edges = keep(edges.join(wide.select("pattern"), "pattern"), "edges", n)
     scores = edges.groupBy("h", "g").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
     for turn in range(rounds):
         patterns = edges.join(scores.select("h", "g", "score"), ["h", "g"]).groupBy("pattern").agg(
             F.sum("score").alias("sum"), F.count("*").alias("n"), F.count_if(F.col("score") >= confident).alias("sure")
         ).select("pattern", F.when(F.col("sure") >= least_instances, F.round(F.col("sum") / (F.col("n") + 1), 9)).otherwise(0.0).alias("score"))
-        patterns = keep(patterns.where(F.col("score") >= confident), "patterns")
+        patterns = keep(patterns.where(F.col("score") >= confident), "patterns", n)
         if turn < rounds - 1:
             best = edges.join(patterns, "pattern").groupBy("h", "g").agg(F.max("score").alias("best"))
             scores = scores.join(best, ["h", "g"], "left").select(
                 "h", "g", "seed", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score")
             )
-            scores = keep(scores, "scores")
+            scores = keep(scores, "scores", n)
     return patterns
 
 
@@ -162,7 +164,7 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", roun
     seen = rows.select("row", F.explode(F.concat("base", "unknown")).alias("s")).select("row", "s.*")
     each = seen.select("row", "start", "end", "kind", "h", "g", F.explode("patterns").alias("pattern"))
     seed = F.when(F.col("kind") == "id", 0).otherwise(1)
-    patterns = learn(each.select("pattern", "h", "g", seed.alias("seed")), rounds, confident, least_instances)
+    patterns = learn(each.select("pattern", "h", "g", seed.alias("seed")), rounds, confident, least_instances, rows.count())
     new = each.where("kind = 'id'").join(patterns.select("pattern"), "pattern").groupBy("row").agg(F.array_sort(F.collect_set(
         F.struct(F.lit(KINDS.index("id")).alias("rank"), "start", "end", "kind"))).alias("new"))
     slim = F.transform("base", lambda s: F.struct(s["rank"], s["start"], s["end"], s["kind"]))

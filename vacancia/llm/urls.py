@@ -42,7 +42,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _places(h: np.ndarray, g: np.ndarray, level: int, bits: int) -> np.ndarray:
     """The ``HASHES`` bits of each key in a level's filter: (keys, HASHES)."""
-    first = _mixed(h + np.uint64(2 * level + 1) * np.uint64(0x9E3779B97F4A7C15))
+    first = _mixed(h + np.uint64((2 * level + 1) * 0x9E3779B97F4A7C15 % 2**64))
     step = _mixed(g ^ np.uint64(level)) | np.uint64(1)
     return (first[:, None] + np.arange(HASHES, dtype=np.uint64) * step[:, None]) % np.uint64(bits)
 
@@ -102,9 +102,10 @@ def build_cascade(universe: DataFrame, listed: DataFrame, most_bits: int = MOST_
     a filter would need more than ``most_bits``. Keys listed twice, null, or absent from the universe
     change nothing.
     """
+    size = universe.count()
     marked = keep(
         universe.join(listed.select("key").distinct().withColumn("listed", F.lit(True)), "key", "left")
-        .select("h", "g", F.coalesce("listed", F.lit(False)).alias("listed")), "universe",
+        .select("h", "g", F.coalesce("listed", F.lit(False)).alias("listed")), "universe", size,
     )
     ours, others = marked.where("listed"), marked.where("not listed")
     levels: list[tuple[np.ndarray, int]] = []
@@ -121,7 +122,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame, most_bits: int = MOST_
         def passing(h, g, now=now, at=at):
             return pd.Series(now.passes(at, *(x.to_numpy(dtype=np.int64).view(np.uint64) for x in (h, g))))
 
-        ours, others = keep(others.where(passing("h", "g")), "passing"), ours
+        ours, others = keep(others.where(passing("h", "g")), "passing", size), ours
     raise ValueError("two keys have the same 128-bit hash")
 
 
@@ -171,7 +172,7 @@ def judge_urls(
     host, path = host_and_path(F.col("url"))
     split = pick(pages, key=key, url=url).select("key", host.alias("host"), path.alias("path"))
     asked = split.withColumn("keys", _keys(F.col("host"), F.col("path"), labels, lengths))
-    universe = keep(asked.select(F.explode("keys").alias("k")).select("k.key", "k.h", "k.g").distinct(), "keys")
+    universe = keep(asked.select(F.explode("keys").alias("k")).select("k.key", "k.h", "k.g").distinct(), "keys", split.count())
     cascades = {name: build_cascade(universe, keys, most_bits) for name, keys in sets.items()}
     if any(c is None for c in cascades.values()):
         asked = _joined(asked, sets)
