@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vacancia.session import cut_lineage
 
-#: Rows of a file that ``keep`` writes for a narrow frame.
+#: Rows of a partition of a narrow frame.
 FILE_ROWS = 500_000
 #: Rows of a batch that are turned into Python values at once.
 CHUNK_ROWS = 256
@@ -53,10 +53,17 @@ def keep(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     stays the same. Where the number of ``rows`` is known (or a bound), there are as many files as
     they fill, instead of one for each partition of the last shuffle.
     """
-    if rows is not None:
-        least = df.sparkSession.sparkContext.defaultParallelism
-        df = df.coalesce(max(least, -(-rows // FILE_ROWS)))
-    return cut_lineage(df, f"llm-{name}")
+    return cut_lineage(df if rows is None else packed(df, rows), f"llm-{name}")
+
+
+def packed(df: DataFrame, rows: int) -> DataFrame:
+    """A narrow frame of known (or bounded) length in as many partitions as its rows fill.
+
+    There are as many as tasks run at once at least. Without it a small result has a partition, and a
+    file when it's written, for each partition of the shuffle before.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(least, -(-rows // FILE_ROWS)))
 
 
 def small_side(df: DataFrame, rows: int, most: int = 100_000) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import keep, pick
+from vacancia.llm.common import keep, packed, pick
 from vacancia.llm.spans import apart, clean, matches, parts
 
 # Each pattern starts only where a run does (or where the match before ended), and gives nothing back,
@@ -169,7 +169,8 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", roun
         F.struct(F.lit(KINDS.index("id")).alias("rank"), "start", "end", "kind"))).alias("new"))
     slim = F.transform("base", lambda s: F.struct(s["rank"], s["start"], s["end"], s["kind"]))
     slim = slim.cast("array<struct<rank:int,start:bigint,end:bigint,kind:string>>")
-    return rows.select("row", "key", slim.alias("base")).join(new, "row", "left").select(
+    found = rows.select("row", "key", slim.alias("base")).join(new, "row", "left").select(
         F.col("key").alias(key), "base",
         F.when(F.col("new").isNull(), F.col("base")).otherwise(F.concat("base", "new")).alias("spans"),
     )
+    return packed(found, rows.count())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import keep, pick
+from vacancia.llm.common import keep, packed, pick
 from vacancia.llm.spans import apart, clean, matches, parts
 
 ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -80,6 +80,7 @@ def secrets(
     span = F.struct("start", "rank", "kind", "end", "owners", "repositories", "copied")
     spans = judged.where("kind != 'loose' or not copied").groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
-    return rows.select("row", "key", "base").join(spans, "row", "left").select(
+    found = rows.select("row", "key", "base").join(spans, "row", "left").select(
         F.col("key").alias(key), "base", F.coalesce("spans", empty).alias("spans")
     )
+    return packed(found, rows.count())

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import chunks, hidden, keep, never_null, pick, shown
+from vacancia.llm.common import chunks, hidden, keep, never_null, packed, pick, shown
 from vacancia.llm.components import components
 
 BITS = 64
@@ -218,7 +218,9 @@ def near_links(distinct: DataFrame, pivots: Pivots, tile: int = TILE) -> DataFra
 
     rows = distinct.select("fp").mapInArrow(keyed, "bucket long, fp long")
     dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
-    found = keep(dealt.mapInArrow(linked, "a long, b long, large long"), "near")
+    # What is found is small: a shuffle of it spares a file for each task that looked.
+    near = dealt.mapInArrow(linked, "a long, b long, large long")
+    found = keep(near.repartition(distinct.sparkSession.sparkContext.defaultParallelism), "near")
     links = found.where("large is null").select("a", "b")
     large = found.where("large is not null").select(F.col("large").alias("bucket"))
     if large.isEmpty():
@@ -277,9 +279,10 @@ def near_duplicates(
     """
     prints = keep(fingerprints(docs, key, text, shingle), "prints")
     groups = near_groups(prints, pivots)
-    return prints.join(groups, "fp").select(
+    named = prints.join(groups, "fp").select(
         F.col("key").alias(key), "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+    return packed(named, prints.count())
 
 
 def drop_near_duplicates(
