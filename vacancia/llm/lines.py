@@ -41,7 +41,8 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio
 
 def _stripped(df: DataFrame, text: Column, host: Column, marks: DataFrame) -> DataFrame:
     """``df`` with ``lines`` and, where its host has boilerplate, ``left``: the lines that stay."""
-    marks = keep(marks, "boilerplate").withColumnRenamed("host", "marks_host")
+    few = df.sparkSession.sparkContext.defaultParallelism  # a row per host that has any
+    marks = keep(marks.repartition(few), "boilerplate").withColumnRenamed("host", "marks_host")
     entries = marks.agg(F.coalesce(F.sum(F.size("marks")), F.lit(0))).first()[0]
     # Whole texts stay where they are as long as the lists are few enough to be sent to them.
     joined = df.join(small_side(marks, entries), host == F.col("marks_host"), "left").withColumn("lines", _lines(text))
