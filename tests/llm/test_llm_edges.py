@@ -345,6 +345,13 @@ def test_boilerplate_is_relative_to_its_site(spark):
     assert got[200].text == "All rights reserved" and got[201].text == ""
 
 
+def test_a_page_of_very_many_lines(spark):
+    text = "\n".join(f"line {i}" for i in range(60_000))
+    df = spark.createDataFrame([(1, text, "en", "a", 1), (2, "line 7\nx", "en", "a", 1)], DOCS)
+    got = {r.doc_id: r for r in lines.line_report(df, ratio=0.5, least_pages=2).collect()}
+    assert (got[1].n_lines, got[1].n_dropped, got[2].text) == (60_000, 1, "x")
+
+
 RULES = (urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("block", "net"))
 
 

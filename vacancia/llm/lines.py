@@ -16,9 +16,12 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _mark(line: Column) -> Column:
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\n\x0b\f\r"))
+
+
+def _mark(bare: Column) -> Column:
     """128 bits that stand for a line without the space around it; null for a blank line."""
-    bare = F.btrim(line, F.lit(" \t\n\x0b\f\r"))
     return F.when(bare != "", F.struct(F.xxhash64(bare).alias("h"), F.xxhash64(F.lit(1), bare).alias("g")))
 
 
@@ -32,7 +35,8 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio
     which bounds its list.
     """
     pages = pick(docs, host=host, text=text).where("host is not null")
-    marks = F.array_distinct(F.filter(F.transform(_lines(F.col("text")), _mark), lambda m: m.isNotNull()))
+    different = F.filter(F.array_distinct(F.transform(_lines(F.col("text")), _bare)), lambda x: x != "")
+    marks = F.transform(different, _mark)
     seen = pages.select("host", F.explode(marks).alias("m")).groupBy("host", "m.h", "m.g").agg(F.count("*").alias("n"))
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
     common = seen.where(F.col("n") >= least_pages).join(totals, "host").where(F.col("n") > ratio * F.col("pages"))
@@ -46,7 +50,7 @@ def _stripped(df: DataFrame, text: Column, host: Column, marks: DataFrame) -> Da
     entries = marks.agg(F.coalesce(F.sum(F.size("marks")), F.lit(0))).first()[0]
     # Whole texts stay where they are as long as the lists are few enough to be sent to them.
     joined = df.join(small_side(marks, entries), host == F.col("marks_host"), "left").withColumn("lines", _lines(text))
-    clean = F.filter("lines", lambda x: ~F.coalesce(F.array_contains(F.col("marks"), _mark(x)), F.lit(False)))
+    clean = F.filter("lines", lambda x: ~F.coalesce(F.array_contains(F.col("marks"), _mark(_bare(x))), F.lit(False)))
     return joined.withColumn("left", F.when(F.col("marks").isNotNull(), clean))
 
 
