@@ -206,6 +206,19 @@ def test_score_of_texts_without_tokens_is_null(spark, docs):
     assert got[1].difference == got[2].difference
 
 
+def test_rare_bytes_are_told_apart(spark):
+    """Digits and other scripts, in a corpus whose commonest bytes are Latin letters and symbols."""
+    common = "abcdefghijklmnopqrstuvwxyz .,;:!?()-+*/=<>" * 20
+    pairs = [("111 111 222 ", "777 777 888 "), ("снег снег ", "хлеб хлеб "), ("漢字漢字", "日本日本")]
+    made = [(i, common) for i in range(50)]
+    for i, (ours, others) in enumerate(pairs):
+        made += [(100 + i, ours * 9), (200 + i, others * 9), (300 + i, ours * 5), (400 + i, others * 5)]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    labels = spark.createDataFrame([(100 + i,) for i in range(len(pairs))], LABELS)
+    got = {r.doc_id: r.difference for r in scoring.score_against(df, labels).collect()}
+    assert all(got[300 + i] < got[400 + i] for i in range(len(pairs)))
+
+
 def test_pii_bootstraps_from_seeds(spark):
     r = random.Random(2)
     made = [(i, f"{prose(20, i)} please contact agent {r.randrange(100)}.{i}@mail.org now {prose(9, i + 99)}") for i in range(6)]
