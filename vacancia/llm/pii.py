@@ -19,11 +19,10 @@ NUMBERED = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 KINDS = ("email", "ip", "card", "phone", "id")
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
-#: Rounds of scoring, score from which on a pattern or an instance counts, and confident instances
-#: that a pattern needs.
-ROUNDS, CONFIDENT, LEAST_INSTANCES = 3, 0.75, 3
-#: Characters and digits of an unseen identifier.
-LEAST_CHARS, MOST_CHARS, LEAST_DIGITS = 5, 64, 4
+#: Score from which on a pattern or an instance counts, and confident instances that a pattern needs.
+CONFIDENT, LEAST_INSTANCES = 0.75, 3
+#: Characters and digits that an unseen identifier has at least.
+LEAST_CHARS, LEAST_DIGITS = 5, 4
 #: Characters before and after an instance among which the words of its patterns are looked for; its
 #: left context goes back over three words with digits at most.
 CONTEXT_CHARS = 120
@@ -94,20 +93,18 @@ def instances(docs: DataFrame, key: str, text: str) -> DataFrame:
         return F.transform(F.filter(kind, lambda s: ok(s["value"])),
                            lambda s: _span(kind, s["start"], s["value"], s["left"], s["right"]))
 
-    short = F.filter("unknown", lambda s: F.length(s["value"]) <= 2 * MOST_CHARS)
-
     def trimmed(s):
         """A word without the symbols around it, which belong to its context."""
         bare = F.regexp_replace(s["value"], "^[^A-Za-z0-9+]++", "")
-        value = F.regexp_replace(bare, "[^A-Za-z0-9]+$", "")
+        value = F.regexp_replace(bare, "(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
         cut = F.length(s["value"]) - F.length(bare)
         left = F.concat(s["left"], F.left(s["value"], cut.cast("int")))
         right = F.concat(F.substr(bare, F.length(value) + 1), s["right"])
         return _span("id", s["start"] + cut, value, left, right)
 
     long_enough = F.filter(
-        F.transform(F.filter(short, lambda s: F.length(_digits(s["value"])) >= LEAST_DIGITS), trimmed),
-        lambda s: (s["end"] - s["start"]).between(LEAST_CHARS, MOST_CHARS),
+        F.transform(F.filter("unknown", lambda s: F.length(_digits(s["value"])) >= LEAST_DIGITS), trimmed),
+        lambda s: s["end"] - s["start"] >= LEAST_CHARS,
     )
     df = df.select("key", F.array_sort(F.concat(*[valid(k, ok) for k, (_, _, ok) in BASE.items()])).alias("base"), long_enough.alias("unknown"))
     df = df.withColumn("unknown", F.when(F.size("unknown") > 0, apart(F.col("unknown"), F.col("base"))).otherwise(F.col("unknown")))
@@ -118,15 +115,16 @@ def instances(docs: DataFrame, key: str, text: str) -> DataFrame:
     return df.select("key", *[with_patterns(c).alias(c) for c in ("base", "unknown")]).withColumn("row", F.monotonically_increasing_id())
 
 
-def learn(found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,
-          least_instances: int = LEAST_INSTANCES, rows: int | None = None) -> DataFrame:
-    """(pattern, score): patterns that are confident after ``rounds`` of scoring the graph ``found``.
+def learn(found: DataFrame, confident: float = CONFIDENT, least_instances: int = LEAST_INSTANCES,
+          rows: int | None = None) -> DataFrame:
+    """(pattern, score): patterns that become confident in however many rounds of scoring the graph ``found``.
 
     ``found`` has a row (pattern, h, g, seed) per occurrence; an instance is a distinct value. Seeds
     score 1. A pattern scores the sum of its instances' scores over their number plus one, if at least
     ``least_instances`` of them are confident; an instance that is no seed scores as its best confident
     pattern, so what a pattern discovers supports further patterns. Patterns with fewer instances can't
-    become confident and leave the graph first. Only sums by pattern and maxima by instance are
+    become confident and leave the graph first. No score ever falls, so rounds end when none has risen, or
+    when no pattern is new and no other could become confident if all that was found scored 1. Only sums by pattern and maxima by instance are
     computed, both pre-aggregated; no pattern's or instance's neighbours are gathered. ``rows`` is about
     the number of edges, if it is known.
     """
@@ -137,22 +135,30 @@ def learn(found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT,
     wide = keep(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= least_instances), "wide", n)
     edges = keep(edges.join(wide.select("pattern"), "pattern"), "edges", n)
     scores = edges.groupBy("h", "g").agg(F.max("seed").alias("seed")).withColumn("score", F.col("seed").cast("double"))
-    for turn in range(rounds):
+    before = None
+    while True:
         patterns = edges.join(scores.select("h", "g", "score"), ["h", "g"]).groupBy("pattern").agg(
             F.sum("score").alias("sum"), F.count("*").alias("n"), F.count_if(F.col("score") >= confident).alias("sure")
-        ).select("pattern", F.when(F.col("sure") >= least_instances, F.round(F.col("sum") / (F.col("n") + 1), 9)).otherwise(0.0).alias("score"))
-        patterns = keep(patterns.where(F.col("score") >= confident), "patterns", n)
-        if turn < rounds - 1:
-            best = edges.join(patterns, "pattern").groupBy("h", "g").agg(F.max("score").alias("best"))
-            scores = scores.join(best, ["h", "g"], "left").select(
-                "h", "g", "seed", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score")
-            )
-            scores = keep(scores, "scores", n)
+        ).where(F.col("sure") >= least_instances)
+        patterns = patterns.select("pattern", *[F.round(F.col(c) / (F.col("n") + 1), 9).alias(a) for c, a in (("sum", "score"), ("sure", "most"))])
+        patterns = keep(patterns.where(F.col("most") >= confident), "patterns", n)
+        # Exact decimals, so that equal scores have equal sums in any order.
+        certain = F.col("score") >= confident
+        now = patterns.agg(F.count_if(certain), F.count("*"), F.sum(F.col("score").cast("decimal(20,9)"))).first()
+        patterns = patterns.where(certain).select("pattern", "score")
+        if now == before or before and now[0] == before[0] == now[1]:
+            break
+        before = now
+        best = edges.join(patterns, "pattern").groupBy("h", "g").agg(F.max("score").alias("best"))
+        scores = scores.join(best, ["h", "g"], "left").select(
+            "h", "g", "seed", F.when(F.col("seed") == 1, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score")
+        )
+        scores = keep(scores, "scores", n)
     return patterns
 
 
-def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS,
-                  confident: float = CONFIDENT, least_instances: int = LEAST_INSTANCES) -> DataFrame:
+def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", confident: float = CONFIDENT,
+                  least_instances: int = LEAST_INSTANCES) -> DataFrame:
     """(key, base, spans) for every document; a span has rank, start, end, kind.
 
     ``base`` are validated e-mail addresses, IP addresses, card and phone numbers, by kind, then start.
@@ -164,7 +170,7 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text", roun
     seen = rows.select("row", F.explode(F.concat("base", "unknown")).alias("s")).select("row", "s.*")
     each = seen.select("row", "start", "end", "kind", "h", "g", F.explode("patterns").alias("pattern"))
     seed = F.when(F.col("kind") == "id", 0).otherwise(1)
-    patterns = learn(each.select("pattern", "h", "g", seed.alias("seed")), rounds, confident, least_instances, rows.count())
+    patterns = learn(each.select("pattern", "h", "g", seed.alias("seed")), confident, least_instances, rows.count())
     new = each.where("kind = 'id'").join(patterns.select("pattern"), "pattern").groupBy("row").agg(F.array_sort(F.collect_set(
         F.struct(F.lit(KINDS.index("id")).alias("rank"), "start", "end", "kind"))).alias("new"))
     slim = F.transform("base", lambda s: F.struct(s["rank"], s["start"], s["end"], s["kind"]))
