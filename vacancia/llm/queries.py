@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import chat, lines, mixing, pii, quality, scoring, secrets, simhash, urls, winnow
+from vacancia.llm import chat, hilbert, lines, mixing, pii, quality, scoring, secrets, simhash, urls, winnow
 from vacancia.llm.common import table
 from vacancia.llm.registry import ORACLES, QUERIES, query
 from vacancia.llm.spans import text_of
@@ -298,3 +298,66 @@ FROM p LEFT JOIN f ON p.i = f.i LEFT JOIN b ON p.i = b.i
 @query("op10_bloom_cascade", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf, "pages"), URL_RULES, BLOCKED_HOSTS)
+
+
+#: The checksums of single bytes, as a list ``crcs``, from which ``_crc_sql`` makes that of a text.
+_CRC_SQL = """crc_bits(i, k, c) AS (SELECT i, 0, i::BIGINT FROM range(256) r(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM crc_bits WHERE k = 8)"""
+_ALL_ONES = "4294967295::BIGINT"
+
+
+def _crc_sql(text: str) -> str:
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    step = "lambda a, x: xor(a >> 8, crcs[(xor(a, x) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend({_ALL_ONES}, {octets}), {step}), {_ALL_ONES})"
+
+
+def _curve_sql(source: str, axes: int, bits: int) -> tuple[str, str]:
+    """Steps from coordinates x0, x1, ... of a relation to ``curve``, and the name of the last."""
+    steps, now = [], source
+
+    def step(**changed: str) -> None:
+        nonlocal now
+        new = f"curve_{len(steps)}"
+        steps.append(f"{new} AS (SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in changed.items())}) FROM {now})")
+        now = new
+
+    for bit in range(bits - 1, 0, -1):
+        low = (1 << bit) - 1
+        step(x0=f"CASE WHEN (x0 >> {bit}) & 1 = 1 THEN xor(x0, {low}) ELSE x0 END")
+        for i in range(1, axes):
+            up, swap = f"(x{i} >> {bit}) & 1 = 1", f"xor(x0, x{i}) & {low}"
+            step(x0=f"CASE WHEN {up} THEN xor(x0, {low}) ELSE xor(x0, {swap}) END",
+                 **{f"x{i}": f"CASE WHEN {up} THEN x{i} ELSE xor(x{i}, {swap}) END"})
+    for i in range(1, axes):
+        step(**{f"x{i}": f"xor(x{i}, x{i - 1})"})
+    odd = "0::BIGINT"
+    for bit in range(bits - 1, 0, -1):
+        odd = f"xor({odd}, CASE WHEN (x{axes - 1} >> {bit}) & 1 = 1 THEN {(1 << bit) - 1}::BIGINT ELSE 0 END)"
+    step(**{f"x{i}": f"xor(x{i}, {odd})" for i in range(axes)})
+    digits = [f"(((x{i} >> {bit}) & 1) << {bit * axes + axes - 1 - i})" for bit in range(bits) for i in range(axes)]
+    steps.append(f"curve AS (SELECT *, {' + '.join(digits)} AS curve FROM {now})")
+    return ",\n".join(steps), "curve"
+
+
+def _cell_sql(column: str) -> str:
+    return f"((rank() OVER (ORDER BY {column} NULLS FIRST) - 1) * {1 << hilbert.BITS} // count(*) OVER ())::BIGINT"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE {_CRC_SQL},
+d AS (SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size, {_crc_sql("coalesce(text, '')")} AS text_crc32,
+    {", ".join(f"{_cell_sql(c)} AS x{i}" for i, c in enumerate(hilbert.DIMENSIONS))} FROM documents, crc_table),
+{_curve_sql("d", len(hilbert.DIMENSIONS), hilbert.BITS)[0]},
+o AS (SELECT *, coalesce(sum(size) OVER (ORDER BY curve, text_crc32, doc_id NULLS FIRST, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(size) OVER () AS total FROM curve),
+s AS (SELECT *, ((2 * before + size) * 24 // (2 * total))::INTEGER AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard
+    ORDER BY curve, text_crc32, doc_id NULLS FIRST, size) - 1 AS slot, NULL::INTEGER AS grown_shard, curve::BIGINT AS curve FROM s
+"""
+
+
+@query("op11_hilbert_shards", OP11_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return hilbert.shard_documents(table(spark, sf, "documents"), shards=24)
