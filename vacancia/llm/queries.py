@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import chat, hilbert, lines, mixing, pii, quality, scoring, secrets, simhash, urls, winnow
+from vacancia.llm import chat, collocations, hilbert, lines, mixing, pii, quality, scoring, secrets, simhash, spelling, urls, winnow
 from vacancia.llm.common import table
 from vacancia.llm.registry import ORACLES, QUERIES, query
 from vacancia.llm.spans import text_of
@@ -361,3 +361,66 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard, row_numb
 @query("op11_hilbert_shards", OP11_SQL)
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return hilbert.shard_documents(table(spark, sf, "documents"), shards=24)
+
+
+def _slip(key: Column, word: Column) -> Column:
+    """One in 97 runs loses a letter; which run and which letter follow from a checksum."""
+    h = F.crc32(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), word).cast("binary"))
+    at = (h % F.length(word)).cast("int")
+    cut = F.concat(F.left(word, at), F.substr(word, at + F.lit(2)))
+    return F.when(h % 97 == 0, cut).otherwise(word)
+
+
+OP12_SQL = f"""
+WITH RECURSIVE {_CRC_SQL},
+r AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times FROM (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+  WHERE length(run) >= 5 GROUP BY ALL),
+h AS (SELECT run, times, {_crc_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, crc_table),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+    sum(times)::BIGINT AS n FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3),
+c AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT x.word, y.word AS near, y.n AS near_n FROM c x JOIN c y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT c.word, w.word, w.n FROM c JOIN w ON c.a || c.b = w.word
+  UNION SELECT w.word, c.word, c.n FROM c JOIN w ON c.a || c.b = w.word),
+b AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM p GROUP BY word),
+f AS (SELECT w.word, CASE WHEN near_n >= 2 * n THEN near END AS form, n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN near_n >= 2 * n THEN near_n END::BIGINT AS form_n FROM w LEFT JOIN b ON w.word = b.word),
+z AS (SELECT word, word AS root, form AS next FROM f UNION ALL
+  SELECT z.word, z.next, f.form FROM z JOIN f ON z.next = f.word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON f.word = z.word WHERE next IS NULL
+"""
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf, "documents"), change=_slip)
+    return spelling.spelling_forms(words)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\v\f\r]') AS pieces FROM documents),
+w AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, k, array_to_string(w[s:s + k - 1], ' ') AS phrase, w[s:s + k - 1] AS v
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM w, (VALUES (1), (2), (3)) t(k))),
+f AS MATERIALIZED (SELECT lang, k, phrase, any_value(v) AS v, count(*)::BIGINT AS a FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+y AS MATERIALIZED (SELECT *, array_to_string(v[1:j], ' ') AS front, array_to_string(v[j + 1:], ' ') AS back
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+x AS (SELECT y.lang, y.k, y.phrase, y.v, y.a, j, l.a AS l, r.a AS r, (1000000 * y.a::HUGEINT * y.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM y JOIN f l ON l.lang = y.lang AND l.phrase = front JOIN f r ON r.lang = y.lang AND r.phrase = back),
+m AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT lang, array_to_string(v[s:s + 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest([1, 2]) AS s FROM c WHERE k = 3) GROUP BY ALL)
+SELECT m.lang, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, m.a DESC, m.phrase) AS rank, m.phrase, m.a, l, r, n.n, score
+FROM m JOIN n ON m.lang = n.lang LEFT JOIN i ON i.lang = m.lang AND i.phrase = m.phrase AND m.k = 2
+WHERE most IS NULL OR 100 * most < 50 * m.a QUALIFY rank <= 2000
+"""
+
+
+@query("op13_phrase_tries", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"), longest=3, least=10, top=2000, inside_percent=50)
