@@ -145,6 +145,13 @@ def test_targets_stop_at_twice_the_source(spark):
     assert got == {"a": 20.0, "b": 200.0, "c": pytest.approx(1.5 * 1110 - 220), None: 0.0}
 
 
+def test_rows_of_one_key_and_text_leave_the_same_one(spark):
+    made = [(1, "the same words of a text", "en", f"s{i}", i) for i in range(9)] + [(2, "something else altogether here", "en", None, 1)]
+    df = spark.createDataFrame(made, DOCS)
+    kept = {tuple(rows(simhash.drop_near_duplicates(df.repartition(n, "source")))) for n in (1, 3, 7)}
+    assert len(kept) == 1 and len(kept.pop()) == 2
+
+
 def test_near_copies_are_one_and_repeats_go(spark, docs):
     left = simhash.drop_near_duplicates(docs).collect()
     ids = sorted((r.doc_id is None, r.doc_id or 0) for r in left)
@@ -353,14 +360,22 @@ def test_order_of_rules_changes_no_verdict(spark, docs):
     assert sorted(m.rule.name for m in order) == sorted(r.name for r in quality.RULES)
     assert len(quality.order_rules([])) == len(quality.RULES)
     for text in texts:
-        verdicts = {quality.first_rejection(quality.Document(text), o) is None
-                    for o in ([m.rule for m in order], quality.RULES, quality.RULES[::-1])}
-        assert len(verdicts) == 1
+        reasons = {quality.first_rejection(quality.Document(text), o, quality.RULES)
+                   for o in ([m.rule for m in order], quality.RULES, quality.RULES[::-1])}
+        assert len(reasons) == 1
+        assert reasons.pop() == next((r.name for r in quality.RULES if r.rejects(quality.Document(text))), None)
+
+
+def test_order_of_rules_is_the_same_every_time(spark, docs):
+    texts = [r.text for r in docs.collect()] + [prose(30 * i, i) for i in range(20)]
+    orders = {tuple(m.rule.name for m in quality.order_rules(texts)) for _ in range(10)}
+    assert len(orders) == 1
+    for order in (quality.RULES, quality.RULES[::-1]):
+        assert rows(quality.judge(docs, order=order)) == rows(quality.judge(docs))
 
 
 def test_cheap_rules_that_reject_go_first():
-    from time import sleep
-    slow = quality.Rule("slow", lambda d: sleep(0.001) or d.n_words > 1)
+    slow = quality.Rule("slow", lambda d: d.n_repeat_words >= 0 and d.n_words > 1)
     never = quality.Rule("never", lambda d: False)
     fast = quality.Rule("fast", lambda d: d.n_words > 1)
     order = [m.rule.name for m in quality.order_rules([prose(5, i) for i in range(20)], [slow, never, fast])]
@@ -371,11 +386,20 @@ def test_boilerplate_is_relative_to_its_site(spark):
     made = [(i, f"{prose(5, i)}\n  All rights reserved \n\nlast {i}", "en", "big" if i < 40 else "small", 1) for i in range(44)]
     made += [(100 + i, f"{prose(5, 200 + i)}\nrare on big", "en", "big", 1) for i in range(3)]
     made += [(200, "All rights reserved", "en", None, 1), (201, "All rights reserved\nAll rights reserved", "en", "small", 1)]
+    # Pages without a host are one site; two pages are the least that repetition means.
+    made += [(300 + i, f"{prose(4, 400 + i)}\n{prose(3, 500 + i)}\nfooter of none\nodd {i}", None, None, None) for i in range(2)]
+    made += [(310 + i, f"{prose(4, 410 + i)}\nonce more\nodd {i}", "en", f"tiny{i // 2}", 1) for i in range(3)]
+    # Copies are made of repeated lines: which of them to keep isn't decided here.
+    made += [(320 + i, f"{prose(6, 900)}\n{prose(6, 901)}\nown {i}", "en", "copied", 1) for i in range(4)]
     df = spark.createDataFrame(made, DOCS)
-    got = {r.doc_id: r for r in lines.line_report(df, ratio=0.1, least_pages=3).collect()}
+    got = {r.doc_id: r for r in lines.line_report(df, ratio=0.1).collect()}
     assert got[0].text == made[0][1].replace("  All rights reserved \n", "") and got[0].n_dropped == 1
     assert got[41].n_dropped == 1 and got[100].n_dropped == 0
-    assert got[200].text == "All rights reserved" and got[201].text == ""
+    assert got[200].text == "All rights reserved" and got[201].n_dropped == 0
+    assert [got[i].n_dropped for i in (300, 301, 310, 311, 312)] == [1, 1, 1, 1, 0]
+    assert [got[i].n_dropped for i in range(320, 324)] == [0] * 4
+    alone = {r.doc_id: r for r in lines.line_report(df, ratio=0.1, copy=1.0).collect()}
+    assert alone[201].text == "" and alone[320].text == "own 0"
 
 
 def test_a_page_of_very_many_lines(spark):
@@ -391,13 +415,15 @@ RULES = (urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/
 @pytest.mark.parametrize("most_bits", [urls.MOST_BITS, 0])
 def test_urls_by_filters_and_by_joins(spark, most_bits):
     made = [(1, "http://WWW.Example.com/en/x?y"), (2, "https://a.net"), (3, "http://b.com"), (4, None), (5, "no scheme"), (6, "x://bad.org#f"),
-            (7, "http://sub.bad.org/p"), (8, "http://notbad.org/"), (8, "http://notbad.org/"), (9, "http://" + "a." * 5000 + "com/"), (10, "://")]
+            (7, "http://sub.bad.org/p"), (8, "http://notbad.org/"), (8, "http://notbad.org/"), (9, "http://" + "a." * 5000 + "com/"), (10, "://"),
+            (11, "http://good.org/bad/page?x"), (12, "http://good.org/bad/page/2"), (13, "http://sub.good.org/bad/page")]
     pages = crowded(spark.createDataFrame(made, "page_id long, url string"))
-    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(pages, RULES, ["bad.org", "bad.org", "absent.org"], most_bits=most_bits).collect()]
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(pages, RULES, ["bad.org", "bad.org", "absent.org", "good.org/bad/page"], most_bits=most_bits).collect()]
     assert sorted(got, key=str) == sorted([
         (1, "www.example.com", "/en/x", "example.com/en/", "block"), (2, "a.net", "", "net", "block"), (3, "b.com", "", None, "allow"),
         (4, "", "", None, "allow"), (5, "", "", None, "allow"), (6, "bad.org", "", None, "block"), (7, "sub.bad.org", "/p", None, "block"),
         (8, "notbad.org", "/", None, "allow"), (8, "notbad.org", "/", None, "allow"), (9, "a." * 5000 + "com", "/", "com/", "allow"), (10, "", "", None, "allow"),
+        (11, "good.org", "/bad/page", None, "block"), (12, "good.org", "/bad/page/2", None, "allow"), (13, "sub.good.org", "/bad/page", None, "allow"),
     ], key=str)
     assert urls.judge_urls(pages.limit(0), RULES, ["bad.org"], most_bits=most_bits).count() == 0
 

@@ -27,8 +27,15 @@ def without_boilerplate(rows):
     pages, seen = Counter(r[3] for r in rows), Counter()
     for r in rows:
         seen.update({(r[3], bare(x)) for x in r[1].split("\n") if bare(x)})
-    bad = {k for k, n in seen.items() if n >= 5 and n > 0.05 * pages[k[0]]}
-    return [(r[0], "\n".join(x for x in r[1].split("\n") if (r[3], bare(x)) not in bad), *r[2:]) for r in rows]
+    bad = {k for k, n in seen.items() if n >= 2 and n > 0.01 * pages[k[0]]}
+
+    def cleaned(host, text):
+        filled = [x for x in text.split("\n") if bare(x)]
+        if sum((host, bare(x)) in bad for x in filled) > 0.5 * len(filled):
+            return text
+        return "\n".join(x for x in text.split("\n") if (host, bare(x)) not in bad)
+
+    return [(r[0], cleaned(r[3], r[1]), *r[2:]) for r in rows]
 
 
 def test_pipeline_against_plain_python(spark):

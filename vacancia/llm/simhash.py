@@ -291,7 +291,7 @@ def drop_near_duplicates(
     """One document of each group, the one with the smallest key (null last), with all its columns.
 
     Rows that have the smallest key in common are told apart by the hash of their text; of rows that
-    have both in common, one stays.
+    have both in common, the one with the smallest hash of all columns (maps aside) stays.
     """
     names = docs.columns
     prints = keep(fingerprints(docs, key, text, shingle), "prints")
@@ -302,6 +302,7 @@ def drop_near_duplicates(
     )
     df = hidden(docs)
     df = df.withColumn("k", never_null(f"in_{names.index(key)}")).withColumn("h", F.xxhash64(f"in_{names.index(text)}"))
-    once = Window.partitionBy("k", "h").orderBy(F.lit(1))  # as the join deals them
+    every = [F.col(f.name) for f in hidden(docs).schema if "map<" not in f.dataType.simpleString()]
+    once = Window.partitionBy("k", "h").orderBy(F.xxhash64(*every), F.xxhash64(F.lit(1), *every))
     kept = df.join(chosen, ["k", "h"], "left_semi").withColumn("r", F.row_number().over(once))
     return shown(kept.where("r = 1"), names)

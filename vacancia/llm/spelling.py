@@ -19,9 +19,9 @@ LEAST_CHARS, LEAST_COUNT = 5, 3
 LATIN, AXES = 26, 64
 #: Letters of the words that one work unit indexes, about, and vectors of a leaf of its own tree.
 UNIT_CHARS, LEAF = 1 << 18, 64
-#: Words, those with the smallest hashes, by which the upper levels of the trees are laid out. They
+#: Words, about so many of the smallest hashes, by which the upper levels of the trees are laid out. They
 #: decide where words are looked for together, never what is found.
-SAMPLE_WORDS = 1 << 18
+SAMPLE_WORDS = 1 << 16
 #: Letters of word pairs that are compared at once.
 CHUNK_CHARS = 1 << 22
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -264,7 +264,9 @@ def near_words(words: DataFrame, rows: int) -> DataFrame:
     that turn out too large, as of equal vectors, are dealt into tiles, each of which all that is looked
     for there visits. ``rows`` is the number of words.
     """
-    sample = [r[0] for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS).collect()]
+    part = min(1.0, SAMPLE_WORDS / max(rows, 1))
+    small = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < part * (1 << 20)
+    sample = sorted(r[0] for r in words.where(small).select("word").collect())
     layout = Layout(sample, len(sample) / max(rows, 1))
     homes = _routed(words, layout, (INDEXED,)).groupBy("leaf").agg(F.sum(F.length("word")).alias("chars"))
     tiles = keep(homes.select("leaf", F.ceil(F.col("chars") / UNIT_CHARS).cast("int").alias("tiles")).where("tiles > 1"), "tiles", rows)

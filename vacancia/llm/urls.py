@@ -134,8 +134,8 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def _keys(host: Column, path: Column, labels: int, lengths: Sequence[int]) -> Column:
-    """All keys that a rule fitting the URL can have: host endings of up to ``labels`` labels, with the
-    beginnings of the path that are as long as some rule's path."""
+    """All keys that a rule fitting the URL or a list can have: host endings of up to ``labels`` labels, with
+    the beginnings of the path that are as long as some rule's path; and the host with its whole path."""
     parts = F.slice(F.reverse(F.split(host, r"\.", -1)), 1, labels)
     ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.reverse(F.slice(parts, F.lit(1), n)), "."))
     starts = [F.when(F.length(path) >= n, F.substring(path, 1, n) if n else F.lit("")) for n in lengths]
@@ -144,7 +144,8 @@ def _keys(host: Column, path: Column, labels: int, lengths: Sequence[int]) -> Co
         F.concat(e, p).alias("key"), F.length(e).alias("host"),
         F.xxhash64(F.concat(e, p)).alias("h"), F.xxhash64(F.lit(1), F.concat(e, p)).alias("g"),
     )
-    return F.flatten(F.transform(ends, lambda e: F.transform(starts, lambda p: entry(e, p))))
+    found = F.flatten(F.transform(ends, lambda e: F.transform(starts, lambda p: entry(e, p))))
+    return F.array_append(found, entry(host, path))
 
 
 def judge_urls(
@@ -155,7 +156,8 @@ def judge_urls(
 
     A rule fits its host and all subdomains if the path starts with the rule's. The longest fitting
     rule decides (of equally long ones, that with the longer host); without one, a page is blocked if
-    its host or a parent domain is ``listed`` (hosts, or a frame of ``key``), and else allowed.
+    its host, a parent domain, or its host with its whole path is ``listed`` (texts, or a frame of
+    ``key``), and else allowed.
 
     Rules and listed keys are looked up in Bloom filter cascades over all keys that the pages can ask
     for, so no page is shuffled or joined. A list too long for that is joined by key.
@@ -167,7 +169,7 @@ def judge_urls(
     sets = {v: _frame(spark, [r.key for r in rules if r.verdict == v]) for v in ("allow", "block")}
     sets["listed"] = listed if isinstance(listed, DataFrame) else _frame(spark, listed)
     lengths = sorted({0, *(len(r.path) for r in rules)})
-    widest = sets["listed"].agg(F.max(F.size(F.split("key", r"\.", -1)))).first()[0]
+    widest = sets["listed"].agg(F.max(F.size(F.split(F.substring_index("key", "/", 1), r"\.", -1)))).first()[0]
     labels = max([widest or 1, *(r.host.count(".") + 1 for r in rules)])
     host, path = host_and_path(F.col("url"))
     split = pick(pages, key=key, url=url).select("key", host.alias("host"), path.alias("path"))
