@@ -16,7 +16,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without the boilerplate lines of their source."""
-    clean = lines.drop_boilerplate(docs, host="source", ratio=0.05, least_pages=5)
+    clean = lines.drop_boilerplate(docs, host="source", ratio=0.01)
     kind = clean.schema["n_chars"].dataType
     return clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
 
