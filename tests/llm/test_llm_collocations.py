@@ -84,6 +84,12 @@ def test_small_chunks_little_memory_and_full_tables(spark, rows, monkeypatch):
     assert found(frame(spark, rows), least=3) == expected(rows, least=3)
 
 
+def test_phrases_of_one_hash_go_to_the_tries(spark, rows, monkeypatch):
+    plain = c.Chunk.hashes
+    monkeypatch.setattr(c.Chunk, "hashes", lambda self, k, which=0: plain(self, k, which) & np.uint64(2**64 - 1 if which else 63))
+    assert found(frame(spark, rows), least=3, most_phrases=0) == expected(rows, least=3)
+
+
 def test_equal_first_hashes_are_told_apart(rows):
     """With one first hash for all, only the second tells phrases apart."""
     names, data = [r[0] or "und" for r in rows], [r[1] for r in rows]

@@ -18,7 +18,7 @@ UNKNOWN = "und"
 CHUNK_BYTES, HELD = 1 << 20, 1 << 21
 #: Limits of what is sent to all tasks: bits of a table of hashes, phrases of the tries and bytes of each.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
-MOST_PHRASES, PHRASE_BYTES = 1 << 18, 128
+MOST_PHRASES, PHRASE_BYTES = 1 << 17, 128
 #: Bytes of a trie that come to the driver in one row.
 SLICE = 1 << 22
 
@@ -215,8 +215,8 @@ def hashed_counts(texts: DataFrame, k: int, tables: Sequence[np.ndarray]) -> Dat
     return texts.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def head_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarray], heads: np.ndarray) -> DataFrame:
-    """(gram, lang, phrase): the distinct possible phrases of 2 to ``longest`` words that pass the table ``heads``.
+def possible_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarray]) -> DataFrame:
+    """(gram, lang, phrase): the distinct phrases of 2 to ``longest`` words that can be frequent.
 
     A task gives each phrase out once, as long as it can remember those it has given.
     """
@@ -227,7 +227,6 @@ def head_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarray], h
             fresh = [known]
             for k in range(2, longest + 1):
                 at = _frequent(chunk, k, tables)
-                at = at[_passes(heads, chunk.hashes(k)[at])]
                 own = np.stack([chunk.hashes(k, which)[at] for which in (0, 1)])
                 place = np.minimum(np.searchsorted(known[0], own[0]), known.shape[1] - 1)
                 at, _ = chunk.distinct(at[(known[:, place] != own).any(axis=0)], k)
@@ -239,7 +238,6 @@ def head_phrases(texts: DataFrame, longest: int, tables: Sequence[np.ndarray], h
                 known = np.concatenate(fresh, axis=1)
                 known = known[:, np.argsort(known[0], kind="stable")]
 
-    # Dealt by hash, for the comparison of texts and for a join with the hashes.
     return texts.mapInArrow(run, "gram long, lang string, phrase string").repartition("gram").distinct()
 
 
@@ -402,29 +400,18 @@ def _built(heads: DataFrame) -> Tries:
     return Tries(words, phrases, langs)
 
 
-def _counted(texts: DataFrame, tries: Tries | None, size: int, tables: Sequence[np.ndarray], longest: int) -> DataFrame:
-    """(id, lang, phrase, a): occurrences of the ``size`` phrases of the tries, by id, and of the others that can be frequent.
-
-    Each task adds up its own texts' accepting states. What no trie takes is summed up by Spark.
-    """
+def trie_counts(texts: DataFrame, tries: Tries, size: int, longest: int) -> DataFrame:
+    """(id, a): occurrences of the ``size`` phrases of the tries. Each task adds up its own texts' accepting states."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, dtype=np.int64)
         for chunk in _chunks(batches):
-            taken = dict(tries.accepted(chunk, longest)) if tries else {}
-            if taken:
-                total += np.bincount(np.concatenate([ids[ids >= 0] for ids in taken.values()]), minlength=size)
-            for k in range(2, longest + 1):
-                at = _frequent(chunk, k, tables)
-                at, n = chunk.distinct(at[taken[k][at] < 0] if taken else at, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(at), pa.int64()), chunk.names(at), chunk.texts(at, k), pa.array(n)], ["id", "lang", "phrase", "n"])
+            found = np.concatenate([ids[ids >= 0] for _, ids in tries.accepted(chunk, longest)])
+            total += np.bincount(found, minlength=size)
         ids = np.nonzero(total)[0]
-        none = pa.nulls(len(ids), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(ids), none, none, pa.array(total[ids])], ["id", "lang", "phrase", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
-    found = texts.mapInArrow(run, "id long, lang string, phrase string, n long")
-    return found.groupBy("id", "lang", "phrase").agg(F.sum("n").alias("a"))
+    return texts.mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("a"))
 
 
 def phrase_counts(texts: DataFrame, words: DataFrame, longest: int, least: int, most_phrases: int = MOST_PHRASES) -> DataFrame:
@@ -433,7 +420,9 @@ def phrase_counts(texts: DataFrame, words: DataFrame, longest: int, least: int,
     A phrase can only be that frequent if its parts of one word less are. So level by level, the hashes
     of the runs whose parts passed are counted, and those that reach ``least`` pass: equal hashes only add
     up, so no frequent phrase is missed. The most frequent phrases, ``most_phrases`` at most, become two
-    double-array tries that are sent to all tasks. What passes but is in no trie is counted by a shuffle.
+    double-array tries that are sent to all tasks, which count them. What passed beyond that bound keeps
+    the count of its hash, which is exact as every other phrase of that hash would have passed too; where
+    several have, they go to the tries.
     """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,17 +443,18 @@ def phrase_counts(texts: DataFrame, words: DataFrame, longest: int, least: int,
         if room < 0:
             break
         floor = row.power
-    top = hashes.where(power >= floor).select("gram")
-    heads = head_phrases(texts, longest, tables, bit_table(top)).join(top, "gram", "left_semi")
-    short = keep(heads.where(F.octet_length("phrase") <= PHRASE_BYTES).select("lang", "phrase"), "short")
-    # Numbers of one partition: 0, 1, 2, ...
-    heads = keep(short.coalesce(1).withColumn("id", F.monotonically_increasing_id()), "heads")
+    same = F.count("*").over(Window.partitionBy("gram"))
+    # Dealt by hash once, for the comparison of texts, the join and the count of phrases of one hash.
+    named = keep(possible_phrases(texts, longest, tables).join(hashes, "gram").withColumn("same", same), "possible")
+    in_tries = (F.col("same") > 1) | (power >= floor) & (F.octet_length("phrase") <= PHRASE_BYTES)
+    number = F.monotonically_increasing_id()  # of one partition: 0, 1, 2, ...
+    heads = keep(named.where(in_tries).select("lang", "phrase").coalesce(1).withColumn("id", number), "heads")
     size = heads.count()
-    tries = _built(heads.select("id", "lang", "phrase")) if size else None
-    found = keep(_counted(texts, tries, size, tables, longest), "counted").where(F.col("a") >= least)
-    named = heads.withColumnsRenamed({"id": "i", "lang": "head_lang", "phrase": "head_phrase"})
-    return found.join(named, F.col("id") == F.col("i"), "left").select(
-        F.coalesce("head_lang", "lang").alias("lang"), F.coalesce("head_phrase", "phrase").alias("phrase"), "a")
+    found = named.where(~in_tries).select("lang", "phrase", F.col("n").alias("a"))
+    if size:
+        counted = trie_counts(texts, _built(heads.select("id", "lang", "phrase")), size, longest)
+        found = found.unionByName(counted.join(heads, "id").select("lang", "phrase", "a").where(F.col("a") >= least))
+    return found
 
 
 def _part(phrase: Column, first: int, last: int) -> Column:
