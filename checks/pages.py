@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.inputs import plain, pst, pst_sql, raw, spread, table
@@ -411,6 +414,40 @@ def sitemap_children(spark, sf):
     ).select("seq", "child")
 
 
+_ROOT = "'https://h' || CAST(page_id AS VARCHAR) || '.test/'"
+
+
+@query(
+    "reached_postings",
+    f"""SELECT {_ROOT} || 'robots.txt' AS source_url, {_ROOT} || 'jobs/role-' || k || '-' || CAST(page_id AS VARCHAR) AS job_url
+    FROM pages, (VALUES ('one', 1), ('two', 1), ('three', 2), ('four', 2), ('five', 3), ('six', 3)) AS t(k, part)
+    WHERE part < 3 OR page_id % 2 = 0""",
+)
+def reached_postings(spark, sf):
+    """Robots files that lead to an index, that to another and to itself, and these to sitemaps; one is linked to nowhere."""
+    df = table(spark, sf, "pages").select("page_id")
+    root = F.concat(F.lit("https://h"), F.col("page_id").cast("string"), F.lit(".test/"))
+
+    def index(*names):
+        return F.concat(F.lit("<sitemapindex>"), *[F.concat(F.lit("<sitemap><loc>"), root, F.lit(f"{n}</loc></sitemap>")) for n in names], F.lit("</sitemapindex>"))
+
+    def entries(*names):
+        each = [F.concat(F.lit("<url><loc>"), root, F.lit(f"jobs/role-{n}-"), F.col("page_id").cast("string"), F.lit("</loc></url>")) for n in names]
+        return F.concat(F.lit("<urlset>"), *each, F.lit("</urlset>"))
+
+    even = F.col("page_id") % 2 == 0
+    files = {
+        "robots.txt": F.concat(F.lit("User-agent: *\nSitemap: "), root, F.lit("index.xml\nSitemap: "), root, F.lit("missing.xml")),
+        "index.xml": F.when(even, index("index.xml", "more.xml", "a.xml")).otherwise(index("more.xml", "a.xml")),
+        "more.xml": F.when(even, index("index.xml", "b.xml", "deep.xml")).otherwise(index("b.xml", "a.xml")),
+        "deep.xml": index("more.xml", "c.xml"),
+        "a.xml": entries("one", "two"), "b.xml": entries("three", "four"), "c.xml": entries("five", "six"), "nowhere.xml": entries("seven", "eight"),
+    }
+    landed = reduce(DataFrame.unionByName, [
+        raw(df, payload, "custom", F.concat(root, F.lit(name)), seq="page_id") for name, payload in files.items()])
+    return career_pages.reached_postings(landed).select("source_url", "job_url")
+
+
 # ---- linked data and embedded state -----------------------------------------------------------
 
 

@@ -761,9 +761,24 @@ def sink_csv(spark, sf):
     )
 
 
-@query("sink_table", pst_sql("SELECT site, count(*) AS n FROM pst GROUP BY site"))
+@query("sink_table", pst_sql("SELECT seq, site, CASE WHEN site = 'reed' THEN upper(title) ELSE title END AS title, comp_min FROM pst"))
 def sink_table(spark, sf):
-    """Written by site and read back."""
+    """Written by site, one site written again with other titles, and read back."""
     path = work_folder(spark, f"postings-table-{uuid.uuid4().hex}")
-    sinks.sink_table(pst(spark, sf), path)
-    return spark.read.parquet(path).groupBy("site").agg(F.count(F.lit(1)).alias("n"))
+    df = pst(spark, sf).select("seq", "site", "title", "comp_min")
+    sinks.sink_table(df, path)
+    sinks.sink_table(df.where(F.col("site") == "reed").withColumn("title", F.upper("title")), path, "overwrite")
+    return spark.read.schema(df.schema).parquet(path).select("seq", "site", "title", "comp_min")
+
+
+@query("upsert_table", pst_sql("SELECT seq, site, CASE WHEN seq % 3 = 0 THEN upper(title) ELSE title END AS title FROM pst"))
+def upsert_table(spark, sf):
+    """Two batches that have rows in common, the second tried again: later rows replace earlier ones of their key."""
+    path = work_folder(spark, f"postings-upsert-{uuid.uuid4().hex}")
+    df = pst(spark, sf).select("seq", "site", "title")
+    write = sinks.table_writer(path, ["seq"])
+    write(df.where("seq % 3 != 1"), 0)
+    later = df.where("seq % 3 != 2").withColumn("title", F.when(F.col("seq") % 3 == 0, F.upper("title")).otherwise(F.col("title")))
+    write(later, 1)
+    write(later, 1)
+    return spark.read.schema(df.schema).parquet(path).select("seq", "site", "title")

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.assembly import postings, rec_sql
 from checks.inputs import plain, pst, pst_sql, soc, soc_sql, table
-from checks.registry import query
+from checks.registry import ORACLES, query
 from vacancia import lookups
 from vacancia.functions import urls
 from vacancia.functions.text import join_present
 from vacancia.operators import aggregates, dedup, enrich, filters, ranking
 from vacancia.operators.assemble import union_sites
 from vacancia.operators.skew import hot_keys, salted_join
+from vacancia.session import work_folder
 
 # ---- filters ----------------------------------------------------------------------------------
 
@@ -175,6 +180,10 @@ def site_selection(spark, sf):
 )
 def enrich_with_details(spark, sf):
     """Documents as detail records; several listings share one, some details are empty."""
+    return enriched(enrich.enrich_with_details(*listings_and_details(spark, sf)))
+
+
+def listings_and_details(spark, sf):
     listing = postings(spark, sf).withColumn(
         "id", F.concat(F.lit("d"), (F.col("seq") % 4000).cast("string"))
     )
@@ -184,7 +193,10 @@ def enrich_with_details(spark, sf):
     details = table(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), text.alias("description")
     )
-    done = enrich.enrich_with_details(listing, details)
+    return listing, details
+
+
+def enriched(done):
     return done.select(
         "seq", "id", "description",
         F.when(F.size("emails") > 0, F.array_join("emails", ", ")).alias("emails"),
@@ -297,6 +309,35 @@ def seen_anti_join(spark, sf):
     return dedup.seen_anti_join(df, published).select("seq")
 
 
+@query("unpublished", ORACLES["seen_anti_join"])
+def unpublished(spark, sf):
+    """The same rows, of a published table that grew over two runs and lies in buckets of its key."""
+    df = pst(spark, sf)
+    other = F.concat("id", F.lit("-elsewhere"))
+    name = f"published_{uuid.uuid4().hex}"
+    path = work_folder(spark, name)
+    for run in range(2):
+        part = df.where(F.col("seq") % 2 == run)
+        part = part.withColumn("id", F.when(F.col("seq") % 5 == 0, F.col("id")).otherwise(other))
+        dedup.publish(part.select("site", "id"), name, path, buckets=8)
+    return dedup.unpublished(df, name).select("seq")
+
+
+@query(
+    "distinct_over_runs",
+    pst_sql("SELECT site, count(DISTINCT id) AS distinct_postings, true AS near FROM pst GROUP BY site"),
+)
+def distinct_over_runs(spark, sf):
+    """Sketches of three runs that have postings in common, merged, beside the exact count of all."""
+    df = pst(spark, sf)
+    runs = [aggregates.postings_sketch(df.where(F.col("seq") % 4 != run)) for run in range(3)]
+    merged = aggregates.distinct_from_sketches(reduce(DataFrame.unionByName, runs))
+    exact = aggregates.distinct_postings_count(df)
+    off = F.abs(merged["distinct_postings"] - exact["distinct_postings"])
+    return exact.join(merged, exact["site"] == merged["site"]).select(
+        exact["site"], exact["distinct_postings"], (off <= 4 * 1.04 / 64 * exact["distinct_postings"]).alias("near"))
+
+
 @query(
     "site_config_lookup",
     """SELECT n_nationkey, CASE WHEN n_name = 'NEW ZEALAND' THEN 'https://www.seek.co.nz' ELSE 'https://www.seek.com.au' END AS base_url,

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 import uuid
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
+from checks import selection
 from checks.assembly import aligned
 from checks.inputs import AS_OF, plain, pst, pst_sql, table
 from checks.payloads_json import day_text, key, s
-from checks.registry import query
+from checks.registry import ORACLES, query
 from vacancia.session import work_folder
 from vacancia.sources import RAW_DDL, careers_json
 from vacancia.sources.payloads import ParseOptions
-from vacancia.streaming.postings import read_landed, stream_dedup, stream_normalize, write_available
+from vacancia.streaming.postings import (
+    judge_repeats, read_landed, stream_dedup, stream_enrich, stream_normalize, write_available,
+)
 
 
 def _folder(spark, name):
@@ -64,3 +69,50 @@ def stream_normalize_query(spark, sf):
     write_available(flat, path, f"{path}-checkpoint", ["site"])
     back = spark.read.schema(flat.schema).parquet(path)
     return plain(back.select(*flat.columns))
+
+
+@query(
+    "judge_repeats",
+    """SELECT user_id, event_type, count(*) AS n_rows, 1 AS n_kept FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
+)
+def judge_repeats_query(spark, sf):
+    """Events that land in four files, each with all times: kept, repeated and late rows add up to all of them."""
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts").where("ts is not null")
+    landed = _folder(spark, "events")
+    for part in range(4):  # one after another, as files are taken by their times
+        events.where(F.pmod("event_id", F.lit(4)) == part).coalesce(1).write.mode("append").parquet(landed)
+    stream = read_landed(spark, landed, events.schema, files=1)
+    # The delay is longer than the table's times reach, so a key is held from its first row to the end.
+    judged = judge_repeats(stream, ["user_id", "event_type"], timedelta(days=4000))
+    path = _folder(spark, "judged")
+    write_available(judged, path, f"{path}-checkpoint")
+    kept = F.count_if(F.col("status") == "kept").cast("int")
+    return spark.read.parquet(path).groupBy("user_id", "event_type").agg(F.count("*").alias("n_rows"), kept.alias("n_kept"))
+
+
+@query("stream_enrich", ORACLES["enrich_with_details"])
+def stream_enrich_query(spark, sf):
+    """Listings and details that land as files of two streams: the same rows as from the join of the tables.
+
+    A listing without a detail is given out when later files have moved both watermarks past it.
+    """
+    hour = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.pmod("n", F.lit(24)).cast("int"))
+    listing, details = selection.listings_and_details(spark, sf)
+    frames = {
+        "listings": listing.withColumn("n", F.col("seq")).withColumn("fetched_at", hour).drop("n"),
+        "details": details.withColumn("n", F.xxhash64("id")).withColumn("fetched_at", hour).drop("n"),
+    }
+    streams = []
+    for name, frame in frames.items():
+        folder = _folder(spark, name)
+        frame.coalesce(1).write.parquet(folder)
+        for day in (30, 60):  # nothing but the time is of interest
+            tick = spark.range(1).select(*[F.lit("tick" if f.name == "id" else None).cast(f.dataType).alias(f.name) for f in frame.schema])
+            later = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=F.lit(day))
+            tick.withColumn("fetched_at", later).coalesce(1).write.mode("append").parquet(folder)
+        streams.append(read_landed(spark, folder, frame.schema, files=1))
+    done = stream_enrich(*streams, delay=timedelta(days=2))
+    path = _folder(spark, "enriched")
+    write_available(selection.enriched(done), path, f"{path}-checkpoint")
+    back = spark.read.schema("seq bigint, id string, description string, emails string, job_type string").parquet(path)
+    return back.where("seq is not null")  # a filter of the stream would hide the ticks from its watermark

@@ -25,9 +25,9 @@ def posting_key() -> Column:
 
 def _first_by(df: DataFrame, key: Column, scope: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First row of every key. Rows without a key are all kept: nothing says that they are the same."""
-    alone = F.when(F.col("__key").isNull(), F.struct(*[F.col(c) for c in order]))
-    keyed = df.withColumn("__key", key).withColumn("__alone", alone)
-    return first_per_key(keyed, [*scope, "__key", "__alone"], order).drop("__key", "__alone")
+    keyed = df.withColumn("__key", key)
+    once = first_per_key(keyed.where(F.col("__key").isNotNull()), [*scope, "__key"], order)
+    return once.unionByName(keyed.where(F.col("__key").isNull())).drop("__key")
 
 
 def dedup_within_site(df: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -54,8 +54,28 @@ def dedup_ordered_list(values: Column) -> Column:
     return F.array_distinct(values)
 
 
+def publish(
+    df: DataFrame, table: str, path: str, on: Sequence[str] = ("site", "id"), buckets: int = 64,
+) -> None:
+    """Append postings to a table that is bucketed by its key, at ``path``.
+
+    The number of buckets is fixed by the first call. Files of a bucket hold a key's rows of all runs,
+    so that a join by key reads them where they lie.
+    """
+    df.write.mode("append").bucketBy(buckets, *on).sortBy(*on).option("path", path).saveAsTable(table)
+
+
 def seen_anti_join(
     new: DataFrame, published: DataFrame, on: Sequence[str] = ("site", "id"), hot: Sequence[int] = ()
 ) -> DataFrame:
-    """Rows whose key was not published before."""
-    return salted_join(new, published.select(*on).distinct(), on, "left_anti", hot)
+    """Rows whose key was not published before.
+
+    A key that was published often is only looked for, so the published side is neither made distinct
+    nor, if it is a table of :func:`publish`, shuffled: only the new rows move.
+    """
+    return salted_join(new, published.select(*on), on, "left_anti", hot)
+
+
+def unpublished(new: DataFrame, table: str, on: Sequence[str] = ("site", "id")) -> DataFrame:
+    """``seen_anti_join`` with a table of :func:`publish`, whatever its size: no side is sent to all tasks."""
+    return seen_anti_join(new, new.sparkSession.table(table).hint("merge"), on)

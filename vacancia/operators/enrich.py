@@ -42,36 +42,41 @@ def enrich_with_details(
     if "seq" in details.columns:
         details = first_per_key(details, on, ("seq",))
     kinds = dict(details.dtypes)
-    wanted = [c for c in (*override, *fill) if c in kinds]
-    prefixed = details.select(*on, *[F.col(c).alias(f"__d_{c}") for c in wanted])
-    renew = "description" in override
-    if renew:
-        # Read once per detail record, not once per listing that shares it.
-        fresh = _present(F.col("__d_description"), "string")
-        prefixed = prefixed.withColumns(
-            {
-                "__new": fresh.isNotNull(),
-                "__new_emails": extract_emails(fresh),
-                "__new_types": extract_job_type(fresh),
-            }
-        )
-    joined = salted_join(listing, prefixed, on, "left", hot)
+    joined = salted_join(listing, detail_side(details, on, override, fill), on, "left", hot)
+    return completed(joined, listing.columns, kinds, override, fill, job_type)
+
+
+def detail_side(details: DataFrame, keep: Sequence[str], override: Sequence[str], fill: Sequence[str]) -> DataFrame:
+    """The columns ``keep`` of detail records, and what they give to a listing, under names of their own."""
+    wanted = [c for c in (*override, *fill) if c in details.columns]
+    prefixed = details.select(*keep, *[F.col(c).alias(f"__d_{c}") for c in wanted])
+    if "description" not in override:
+        return prefixed
+    # Read once per detail record, not once per listing that shares it.
+    fresh = _present(F.col("__d_description"), "string")
+    return prefixed.withColumns(
+        {"__new": fresh.isNotNull(), "__new_emails": extract_emails(fresh), "__new_types": extract_job_type(fresh)}
+    )
+
 
+def completed(
+    joined: DataFrame, columns: Sequence[str], kinds: dict[str, str], override: Sequence[str], fill: Sequence[str], job_type: str
+) -> DataFrame:
+    """The listing's ``columns`` of rows joined with ``detail_side``; ``kinds`` are the types of the details."""
+    renew = "description" in override
     new: dict[str, Column] = {}
-    for name in wanted:
+    for name in [c for c in (*override, *fill) if c in kinds]:
         given = _present(F.col(f"__d_{name}"), kinds[name])
         mine = F.col(name)
         new[name] = F.coalesce(given, mine) if name in override else F.coalesce(mine, given)
-    if renew and "emails" in listing.columns:
+    if renew and "emails" in columns:
         new["emails"] = F.when(F.col("__new"), F.col("__new_emails")).otherwise(F.col("emails"))
-    if renew and "job_type" in listing.columns and job_type != "keep":
+    if renew and "job_type" in columns and job_type != "keep":
         due = F.col("__new")
         if job_type == "fill":
             due = due & F.coalesce(F.size("job_type") <= 0, F.lit(True))
         new["job_type"] = F.when(due, F.col("__new_types")).otherwise(F.col("job_type"))
-    return joined.select(
-        *[(new[c] if c in new else F.col(c)).alias(c) for c in listing.columns]
-    )
+    return joined.select(*[(new[c] if c in new else F.col(c)).alias(c) for c in columns])
 
 
 def country_lookup(df: DataFrame, column: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.functions.text import strip
-from vacancia.lookups import HASHTAG_GROUPS, JOB_TYPE_SYNONYMS, SITES, SYNONYM_TO_JOB_TYPE
+from vacancia.lookups import HASHTAG_GROUPS, JOB_TYPE_SYNONYMS, SYNONYM_TO_JOB_TYPE
+from vacancia.registry import site_names
 
 # Shortest texts taken for a posting.
 MIN_TWEET, MIN_POST, MIN_BODY, MIN_JSON, MIN_PAGE_DESCRIPTION = 50, 30, 20, 200, 51
@@ -128,10 +129,5 @@ def filter_required_fields(
 
 
 def site_selection(df: DataFrame, sites: str | Sequence[str] | None = None) -> DataFrame:
-    """Rows of the named boards (all by default). Prunes a table partitioned by site."""
-    names = SITES if sites is None else ([sites] if isinstance(sites, str) else list(sites))
-    names = [n.lower() for n in names]
-    unknown = sorted(set(names) - set(SITES))
-    if unknown:
-        raise ValueError(f"unknown sites: {unknown}")
-    return df.where(F.col("site").isin(*names))
+    """Rows of the named sites (all boards by default). Prunes a table partitioned by site."""
+    return df.where(F.col("site").isin(*site_names(sites)))

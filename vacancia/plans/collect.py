@@ -9,31 +9,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.lookups import SITES, SYNONYM_TO_JOB_TYPE
+from vacancia.lookups import SYNONYM_TO_JOB_TYPE
 from vacancia.operators import filters
 from vacancia.operators.enrich import enrich_with_details
 from vacancia.operators.assemble import normalize_postings, union_sites
 from vacancia.operators.dedup import dedup_within_site
 from vacancia.operators.ranking import rows_per_group
+from vacancia.registry import DETAIL, Details, added, checked, site_names
 from vacancia.sources import boards_html, boards_json, careers_json, social
 from vacancia.sources.payloads import ParseOptions, unread
 
 
-#: Career platforms that can be named like boards; without names, a request is for the boards.
-PLATFORMS = (*careers_json.CAREER_PLATFORMS, "jazzhr")
-#: What is appended to a site's name where its detail payloads have landed.
-DETAIL = "_detail"
-
-
-def site_names(names: str | Sequence[str] | None) -> list[str]:
-    """Known sites in the order given, in any letter case; all boards by default."""
-    if names is None:
-        return list(SITES)
-    wanted = [n.strip().lower() for n in ([names] if isinstance(names, str) else names)]
-    unknown = sorted(set(wanted) - {*SITES, *PLATFORMS})
-    if unknown:
-        raise ValueError(f"unknown sites: {unknown}")
-    return list(dict.fromkeys(wanted))
+#: Platforms whose payloads have a parser here.
+PLATFORMS_WITH_PARSERS = (*careers_json.CAREER_PLATFORMS, "jazzhr")
 
 
 @dataclass(frozen=True)
@@ -90,20 +78,11 @@ def parsers(options: ParseOptions) -> dict[str, Callable[[DataFrame], DataFrame]
     table["linkedin_posts"] = lambda raw: social.parse_linkedin_posts(
         social.split_social_post_lines(raw), options
     )
+    for name, board in added().items():
+        table[name] = lambda raw, board=board: checked(board, board.parse(raw, options))
     return table
 
 
-@dataclass(frozen=True)
-class Details:
-    """How a site's detail payloads complete its listings."""
-
-    parse: Callable[[DataFrame, ParseOptions], DataFrame]
-    override: tuple[str, ...] = ("description",)
-    fill: tuple[str, ...] = ()
-    on: tuple[str, ...] = ("id",)
-    job_type: str = "keep"
-
-
 DETAILS = {
     "linkedin": Details(
         boards_html.parse_linkedin_detail,
@@ -126,9 +105,10 @@ def with_details(raw: DataFrame, site: str, listing: DataFrame, options: ParseOp
     landed = raw.where(F.col("site") == site + DETAIL)
     if site == "reed":
         return boards_json.parse_reed(raw.where(F.col("site") == site), landed, options)
-    if site not in DETAILS:
+    own = added().get(site)
+    d = own.details if own else DETAILS.get(site)
+    if d is None:
         return listing
-    d = DETAILS[site]
     return enrich_with_details(listing, d.parse(landed, options), d.on, d.override, d.fill, d.job_type)
 
 
@@ -162,7 +142,11 @@ def quarantine_landed(
     found = []
     for site in site_names(sites):
         part = raw.where(F.col("site") == site)
-        bad = by_record[site].quarantine(part) if site in by_record else unread(part, table[site](part))
+        by_site = by_record.get(site) or added().get(site)
+        if by_site and by_site.quarantine:
+            bad = by_site.quarantine(part)
+        else:
+            bad = unread(part, table[site](part))
         found.append(bad.select(F.lit(site).alias("site"), "seq", "pos", "reason", "payload"))
     return reduce(DataFrame.unionByName, found)
 

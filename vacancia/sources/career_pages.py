@@ -22,6 +22,7 @@ from vacancia.lookups import (
 )
 from vacancia.operators.filters import MIN_JSON, MIN_PAGE_DESCRIPTION
 from vacancia.operators.ranking import first_per_key
+from vacancia.session import cut_lineage
 from vacancia.schema import location, posting_columns
 from vacancia.sources.payloads import has_text
 
@@ -391,6 +392,34 @@ def sitemap_children(raw: DataFrame) -> DataFrame:
     )
 
 
+def reached_sitemaps(files: DataFrame) -> DataFrame:
+    """``root, url, depth``: the landed files that each robots file leads to, over any number of indexes.
+
+    ``files`` are landed robots files and sitemaps (``url``, ``payload``). A file is reached from the
+    robots file of its root directly (depth 1) or through index files; ``depth`` is its shortest way.
+    Every round follows the links of what the round before has reached for the first time, so files that
+    name each other come to an end. Files that haven't landed are reached, but lead no further.
+    """
+    declared = parse_robots_sitemaps(files).select("url", F.col("sitemap").alias("child"))
+    listed = sitemap_children(files).select("url", "child")
+    links = cut_lineage(declared.unionByName(listed).distinct(), "sitemap-links")
+    new = declared.select(F.col("url").alias("root"), F.col("child").alias("url")).distinct().withColumn("depth", F.lit(1))
+    new = cut_lineage(new, "sitemaps")
+    reached = new
+    while not new.isEmpty():
+        onward = new.join(links, "url").select("root", F.col("child").alias("url"), (F.col("depth") + 1).alias("depth")).distinct()
+        new = cut_lineage(onward.join(reached.select("root", "url"), ["root", "url"], "left_anti"), "sitemaps")
+        reached = reached.unionByName(new)
+    return reached
+
+
+def reached_postings(files: DataFrame, at_least: int = 2) -> DataFrame:
+    """Postings of all sitemaps that robots files lead to, with the root as ``source_url``."""
+    ways = reached_sitemaps(files).select("root", F.col("url").alias("__url"))
+    rows = sitemap_postings(files, at_least)
+    return rows.join(ways, F.col("source_url") == F.col("__url")).withColumn("source_url", F.col("root")).drop("root", "__url")
+
+
 def sitemap_postings(raw: DataFrame, at_least: int = 2) -> DataFrame:
     """Postings from the entries of a sitemap: titles come from the URLs."""
 

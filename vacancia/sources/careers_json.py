@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -266,7 +268,7 @@ def _sections(*pieces: Column) -> Column:
     return join_present(html_list_to_markdown(F.array(*pieces)))
 
 
-def smartrecruiters_details(raw: DataFrame) -> DataFrame:
+def smartrecruiters_details(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``seq, id, job_url, description`` of detail payloads (the id ends the payload's URL)."""
     d = F.from_json(
         "payload",
@@ -277,6 +279,7 @@ def smartrecruiters_details(raw: DataFrame) -> DataFrame:
     company = F.get(F.split(F.col("url"), "/companies/"), F.lit(1))
     return raw.withColumn("d", d).select(
         "seq",
+        *keep,
         F.concat_ws(
             ":", F.lit("smartrecruiters"), F.substring_index(company, "/", 1),
             F.element_at(F.split("url", "/"), -1),
@@ -288,11 +291,12 @@ def smartrecruiters_details(raw: DataFrame) -> DataFrame:
     )
 
 
-def workable_details(raw: DataFrame) -> DataFrame:
+def workable_details(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``seq, id, description``; the URL holds ``/accounts/<slug>/jobs/<code>``."""
     d = F.from_json("payload", "struct<description:string,requirements:string,benefits:string>")
     return raw.withColumn("d", d).select(
         "seq",
+        *keep,
         F.concat_ws(
             ":", F.lit("workable"), F.regexp_extract("url", "/accounts/([^/]+)", 1),
             F.element_at(F.split("url", "/"), -1),
@@ -302,7 +306,7 @@ def workable_details(raw: DataFrame) -> DataFrame:
     )
 
 
-def bamboohr_details(raw: DataFrame) -> DataFrame:
+def bamboohr_details(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``seq, id, description, date_posted, country``; the URL ends in ``/careers/<id>/detail``."""
     d = F.from_json(
         "payload",
@@ -312,6 +316,7 @@ def bamboohr_details(raw: DataFrame) -> DataFrame:
     j = F.col("d.result.jobOpening")
     return raw.withColumn("d", d).select(
         "seq",
+        *keep,
         F.concat_ws(
             ":", F.lit("bamboohr"), _slug("bamboohr"), F.regexp_extract("url", "/careers/([^/]+)", 1)
         ).alias("id"),

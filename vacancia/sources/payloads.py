@@ -6,7 +6,7 @@ to records, one projection. There is no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -64,12 +64,12 @@ class JsonSource:
     def _records(self, raw: DataFrame) -> DataFrame:
         return raw.withColumn("records", self.records(F.from_json("payload", self.schema)))
 
-    def parse(self, raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
-        """Posting records of all readable payloads."""
+    def parse(self, raw: DataFrame, options: ParseOptions | None = None, keep: Sequence[str] = ()) -> DataFrame:
+        """Posting records of all readable payloads, with the columns ``keep`` of the payload's row."""
         options = options or ParseOptions()
         rows = (
             self._records(raw)
-            .select("seq", "url", "company", F.posexplode("records").alias("pos", "record"))
+            .select("seq", "url", "company", *keep, F.posexplode("records").alias("pos", "record"))
             .where(F.coalesce(self.required(F.col("record")), F.lit(False)))
             .withColumn("description", self.description(F.col("record"), options))
         )
@@ -84,7 +84,8 @@ class JsonSource:
                     "source_url": F.col("url"),
                     **given,
                 }
-            )
+            ),
+            *keep,
         )
 
     def quarantine(self, raw: DataFrame) -> DataFrame:
@@ -107,8 +108,8 @@ class JsonSource:
 
 def unread(raw: DataFrame, postings: DataFrame) -> DataFrame:
     """Payloads of which no posting was read, for sources whose payloads have no schema."""
-    read = postings.select("seq").distinct()
-    return raw.join(read, "seq", "left_anti").select(
+    read = postings.select(F.col("seq").alias("__read")).distinct()
+    return raw.join(read, F.col("seq").eqNullSafe(F.col("__read")), "left_anti").select(
         "seq", F.lit(None).cast("int").alias("pos"), F.lit("no posting read").alias("reason"), "payload"
     )
 
