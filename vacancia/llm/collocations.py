@@ -19,6 +19,8 @@ CHUNK_BYTES, HELD = 1 << 20, 1 << 21
 #: Limits of what is sent to all tasks: bits of a table of hashes, phrases of the tries and bytes of each.
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 MOST_PHRASES, PHRASE_BYTES = 1 << 17, 128
+#: Splits of the texts that one task looks through for phrases, at most.
+SPLITS = 4
 #: Bytes of a trie that come to the driver in one row.
 SLICE = 1 << 22
 
@@ -444,8 +446,11 @@ def phrase_counts(texts: DataFrame, words: DataFrame, longest: int, least: int,
             break
         floor = row.power
     same = F.count("*").over(Window.partitionBy("gram"))
+    # A task gives a phrase out once, so a few splits a task make fewer rows of the same phrases.
+    splits = texts.rdd.getNumPartitions()
+    few = texts.coalesce(max(2 * texts.sparkSession.sparkContext.defaultParallelism, -(-splits // SPLITS)))
     # Dealt by hash once, for the comparison of texts, the join and the count of phrases of one hash.
-    named = keep(possible_phrases(texts, longest, tables).join(hashes, "gram").withColumn("same", same), "possible")
+    named = keep(possible_phrases(few, longest, tables).join(hashes, "gram").withColumn("same", same), "possible")
     in_tries = (F.col("same") > 1) | (power >= floor) & (F.octet_length("phrase") <= PHRASE_BYTES)
     number = F.monotonically_increasing_id()  # of one partition: 0, 1, 2, ...
     heads = keep(named.where(in_tries).select("lang", "phrase").coalesce(1).withColumn("id", number), "heads")
