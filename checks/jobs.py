@@ -117,18 +117,36 @@ def quarantined(spark, sf):
     return rows, quarantine_landed(rows.unionByName(broken), list(LANDED), OPTIONS)
 
 
-@query(
-    "quarantine_every_site",
-    # A post is plain text, so only the shorter payload is none.
-    f"SELECT * FROM (VALUES {', '.join(f"('{s}', {2 - (s == 'linkedin_posts')})" for s in LANDED)}) AS t(site, broken)",
-)
-def quarantine_every_site(spark, sf):
-    """The planted payloads of each site that nothing can read, counted among all that is quarantined.
+# What the builders make unreadable: every 13th JSON payload, and by site cards or records without a link or title.
+_JSON = ("indeed", "zip_recruiter", "glassdoor", "naukri", "seek", "reed", "greenhouse", "lever", "ashby", "smartrecruiters",
+         "workable", "bamboohr")
+_LACKING = {
+    "seek": "seq % 10 = 0 AND seq % 13 > 0",
+    "linkedin": "true",  # the last card of every page is empty
+    "jazzhr": "true",
+    "bayt": "seq % 7 = 0",
+}
 
-    A sum over all rows, as a filter would be pushed below the parsers, and the good payloads wouldn't be read.
-    """
+
+def _quarantined_sql():
+    # A post is plain text, so only the shorter of the planted payloads is none.
+    planted = [(s, "unreadable payload" if s in _JSON else "no posting read", 2 - (s == "linkedin_posts")) for s in LANDED]
+    parts = [f"SELECT * FROM (VALUES {', '.join(map(str, planted))}) AS t(site, reason, n)"]
+    parts += [f"SELECT '{s}', 'unreadable payload', count(*) FROM pst WHERE seq % 13 = 0" for s in (*_JSON, "google")]
+    parts += [f"SELECT '{s}', 'missing field', count(*) FROM pst WHERE {rule}" for s, rule in _LACKING.items()]
+    # Two records on Google's first page, of which every 13th first one is no JSON, and one on the page after.
+    parts.append("SELECT 'google', 'missing field', sum(CASE WHEN seq % 13 = 0 THEN 2 ELSE 3 END) FROM pst WHERE seq % 10 = 0")
+    # Cards, and linked data on pages without cards.
+    parts.append("SELECT 'irish_jobs', 'missing field', count(*) FILTER (seq % 5 = 0) + count(*) FILTER (seq % 4 = 3) FROM pst")
+    parts.append(f"""SELECT 'twitter', 'missing field', (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM ({ORACLES['parse_tweets']}))""")
+    return pst_sql(f"SELECT site, reason, CAST(sum(n) AS BIGINT) AS n FROM ({' UNION ALL '.join(parts)}) GROUP BY site, reason")
+
+
+@query("quarantine_every_site", _quarantined_sql())
+def quarantine_every_site(spark, sf):
+    """What cannot be read of all landed rows, by site and reason, with two planted payloads for each site among them."""
     found = quarantined(spark, sf)[1]
-    return found.groupBy("site").agg(F.sum((F.col("seq") < 0).cast("long")).alias("broken"))
+    return found.groupBy("site", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from vacancia import registry
 from vacancia.operators import dedup, filters
-from vacancia.plans.collect import PLATFORMS_WITH_PARSERS, SearchSpec, collect_landed, quarantine_landed
+from vacancia.plans.collect import (
+    PLATFORMS_WITH_PARSERS, SearchSpec, collect_landed, parse_landed, parsers, quarantine_landed, quarantines,
+)
 from vacancia.schema import POSTING_DDL, posting_columns
 from vacancia.session import work_folder
 from vacancia.sources import RAW_DDL, boards_json, sinks
@@ -175,3 +177,61 @@ def test_rows_without_key_and_arrival_are_all_kept(spark):
 def test_a_page_without_arrival_number_is_no_reject(spark, acme):
     raw = spark.createDataFrame([(None, "acme", None, None, None, '{"title": "Cook"}'), (None, "acme", None, None, None, '{"title": "Chef"}')], RAW_DDL)
     assert quarantine_landed(raw, ["acme"], ParseOptions()).count() == 0
+
+
+CARDS = {
+    "linkedin": ('<div class="base-search-card"><a class="base-card__full-link" href="https://x.test/jobs/view/a-1">a</a></div>',
+                 '<div class="base-search-card"><span class="sr-only">Lost</span></div>'),
+    "bayt": ('<li data-js-job=""><h2><a href="/en/job-1">Cook</a></h2></li>', '<li data-js-job=""><h2>Lost</h2></li>'),
+    "bdjobs": ('<div class="job-item"><a href="/jobdetails/1">Cook</a></div>', '<div class="job-item"><h2>Lost</h2></div>'),
+    "jazzhr": ('<li class="list-group-item"><h3 class="list-group-item-heading"><a href="/apply/AbC1/Cook">Cook</a></h3></li>',
+               '<li class="list-group-item"><h3 class="list-group-item-heading">Lost</h3></li>'),
+    "irish_jobs": ('<article data-testid="job-item"><a data-testid="job-item-title" href="/job1">Cook</a></article>',
+                   '<article data-testid="job-item"><a data-testid="job-item-title">Lost</a></article>'),
+}
+
+
+@pytest.mark.parametrize("site", sorted(CARDS))
+def test_a_good_card_hides_no_unreadable_one(spark, site):
+    good, bad = CARDS[site]
+    pages = [f"<ul>{good}{bad}</ul>", f"<ul>{bad}{good}{bad}</ul>", f"<ul>{good}</ul>", "<p>nothing</p>", "", None]
+    url = "https://acme.applytojob.com/apply"
+    raw = spark.createDataFrame([(i, site, None, url, "Acme", p) for i, p in enumerate(pages)], RAW_DDL)
+    found = quarantine_landed(raw, [site])
+    got = sorted((r.seq, -1 if r.pos is None else r.pos, r.reason) for r in found.collect())
+    whole = [(i, -1, "no posting read") for i in (3, 4, 5)]
+    assert got == [(0, 1, "missing field"), (1, 0, "missing field"), (1, 2, "missing field"), *whole]
+    kept = parse_landed(raw, [site]).select("seq", "pos").collect()
+    assert sorted((r.seq, r.pos) for r in kept) == [(0, 0), (1, 1), (2, 0)]
+
+
+def test_rejects_of_posts_linked_data_and_google_have_their_place(spark):
+    tweet = '{"id": "%d", "handle": "h", "text": "%s"}'
+    text = "Now hiring: Senior PHP Developer #php in Berlin, write to us today"
+    ld = '<script type="application/ld+json">%s</script>'
+    item = '{"@type": "JobPosting", "title": "Cook", "url": "/job1"}'
+    record = '["Cook","Acme","Cork",[["https://x.test/1","x"]]]'
+    rows = [
+        (0, "twitter", f"[{tweet % (1, text)}, {tweet % (2, 'hello')}]"), (1, "twitter", "[]"), (2, "twitter", '{"x": ['),
+        (3, "irish_jobs", ld % f'[{item}, {{"@type": "JobPosting", "title": "Lost"}}]'), (4, "irish_jobs", ld % "{oops"),
+        (5, "google", f'<script>[[[[[{{"520084652":{record}}}]]]]]</script>'),
+        (6, "google", '<script>[[[[[{"520084652":["Cook","Acme","Cork",[]]}]]]]]</script>'), (7, "google", "7"),
+        (8, "linkedin_posts", "short"),
+    ]
+    raw = spark.createDataFrame([(i, s, None, None, None, p) for i, s, p in rows], RAW_DDL)
+    found = quarantine_landed(raw, ["twitter", "irish_jobs", "google", "linkedin_posts"])
+    got = {(r.seq, r.pos): r.reason for r in found.collect()}
+    assert got == {
+        (0, 1): "missing field", (1, None): "no posting read", (2, None): "no posting read", (3, 1): "missing field",
+        (4, None): "no posting read", (6, 0): "missing field", (7, None): "no posting read", (8, None): "no posting read",
+    }
+
+
+def test_rejects_take_one_scan_of_a_site_and_no_shuffle(spark):
+    path = folder(spark, "scanned")
+    spark.createDataFrame([(0, "bayt", None, None, None, "<p>")], RAW_DDL).write.parquet(path)
+    raw = spark.read.parquet(path)
+    for site in quarantines():
+        plan = quarantine_landed(raw, [site])._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("FileScan") == 1, site
+    assert set(quarantines()) == set(parsers(ParseOptions()))

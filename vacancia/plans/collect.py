@@ -129,24 +129,35 @@ def complete_landed(raw: DataFrame, sites: Sequence[str], options: ParseOptions,
     )
 
 
+def quarantines() -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """What lists the unreadable payloads and records of every site that tells them apart."""
+    table = {n: s.quarantine for n, s in {**boards_json.JSON_BOARDS, **careers_json.CAREER_PLATFORMS}.items()}
+    table |= boards_html.HTML_QUARANTINE
+    table |= {
+        "google": boards_json.quarantine_google,
+        "twitter": social.quarantine_tweets,
+        "linkedin_posts": social.quarantine_linkedin_posts,
+    }
+    return table | {n: b.quarantine for n, b in added().items() if b.quarantine}
+
+
 def quarantine_landed(
     raw: DataFrame, sites: Sequence[str] | None = None, options: ParseOptions | None = None
 ) -> DataFrame:
     """``site, seq, pos, reason, payload`` of what could not be read, for every site asked for.
 
-    JSON boards and platforms tell unreadable payloads from records that lack a field. Pages, linked
-    data and posts are listed whole when nothing was read of them.
+    Unreadable payloads are listed whole, and each record, card or post that lacks what a posting needs by
+    its place, whatever else its payload holds. Added boards without a quarantine of their own have their
+    payloads listed when no posting was read of them.
     """
-    table = parsers(options or ParseOptions())
-    by_record = {**boards_json.JSON_BOARDS, **careers_json.CAREER_PLATFORMS}
+    by_record = quarantines()
     found = []
     for site in site_names(sites):
         part = raw.where(F.col("site") == site)
-        by_site = by_record.get(site) or added().get(site)
-        if by_site and by_site.quarantine:
-            bad = by_site.quarantine(part)
+        if site in by_record:
+            bad = by_record[site](part)
         else:
-            bad = unread(part, table[site](part))
+            bad = unread(part, parsers(options or ParseOptions())[site](part))
         found.append(bad.select(F.lit(site).alias("site"), "seq", "pos", "reason", "payload"))
     return reduce(DataFrame.unionByName, found)
 

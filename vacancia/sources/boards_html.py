@@ -7,6 +7,7 @@ reduced to small structs before the explode, so the node array is never copied p
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,18 +24,33 @@ from vacancia.functions.text import (
 )
 from vacancia.lookups import POSTING_URL
 from vacancia.schema import location, posting_columns
-from vacancia.sources.payloads import ParseOptions, has_text
+from vacancia.sources.payloads import ParseOptions, has_text, rejects
 
-def _cards(
-    raw: DataFrame,
-    card: Callable[[Column], Column],
-    fields: Callable[[Column, Column], Column],
-) -> DataFrame:
-    """One row ``seq, pos, company, card<...>`` per card of a page."""
-    pages = raw.withColumn("nodes", html_nodes(F.col("payload")))
-    nodes = F.col("nodes")
-    structs = F.transform(card(nodes), lambda c: fields(nodes, c))
-    return pages.select("seq", "url", "company", F.posexplode(structs).alias("pos", "card"))
+@dataclass(frozen=True)
+class CardSource:
+    """How to read one kind of page. Good and unreadable cards come out of the same expression."""
+
+    card: Callable[[Column], Column]  # node array -> array of card nodes
+    fields: Callable[[Column, Column], Column]  # (node array, card) -> what the card says
+    required: Callable[[Column], Column]  # what a card says -> has what a posting needs
+
+    def _read(self, nodes: Column) -> Column:
+        return F.transform(self.card(nodes), lambda c: self.fields(nodes, c))
+
+    def cards(self, raw: DataFrame) -> DataFrame:
+        """One row ``seq, url, company, pos, card<...>`` per card that has what a posting needs."""
+        pages = raw.withColumn("nodes", html_nodes(F.col("payload")))
+        read = F.posexplode(self._read(F.col("nodes"))).alias("pos", "card")
+        return pages.select("seq", "url", "company", read).where(self.required(F.col("card")))
+
+    def rejects(self, nodes: Column, payload: Column) -> Column:
+        """The page's cards that lack a field, or the page where it has no card."""
+        return rejects(payload, self._read(nodes), self.required)
+
+    def quarantine(self, raw: DataFrame) -> DataFrame:
+        """``seq, pos, reason, payload`` of unreadable cards and of pages without any."""
+        pages = raw.withColumn("nodes", html_nodes(F.col("payload")))
+        return pages.select("seq", F.inline(self.rejects(F.col("nodes"), F.col("payload"))))
 
 
 def _struct(**fields: Column) -> Column:
@@ -43,38 +59,40 @@ def _struct(**fields: Column) -> Column:
 
 # ---- LinkedIn ---------------------------------------------------------------------------------
 
+def _linkedin_card(nodes: Column, card: Column) -> Column:
+    def read(inner: Column) -> Column:
+        link = find(inner, both(tag("a"), has_class("base-card__full-link")))
+        subtitle = find(inner, both(tag("h4"), has_class("base-search-card__subtitle")))
+        company = find(inside(nodes, subtitle), tag("a"))
+        meta = find(inner, both(tag("div"), has_class("base-search-card__metadata")))
+        below = inside(nodes, meta)
+        place = find(below, both(tag("span"), has_class("job-search-card__location")))
+        day = find(below, both(tag("time"), has_class("job-search-card__listdate")))
+        new_day = find(below, both(tag("time"), has_class("job-search-card__listdate--new")))
+        pay = find(inner, both(tag("span"), has_class("job-search-card__salary-info")))
+        title = find(inner, both(tag("span"), has_class("sr-only")))
+        return _struct(
+            href=attr_of(link, "href"),
+            title=text_of(nodes, title),
+            company=text_of(nodes, company),
+            company_href=attr_of(company, "href"),
+            has_meta=meta.isNotNull(),
+            place=text_of(nodes, place, " "),
+            day=F.coalesce(attr_of(day, "datetime"), attr_of(new_day, "datetime")),
+            pay=text_of(nodes, pay, " "),
+        )
+
+    return let(inside(nodes, card), read)
+
+
+LINKEDIN = CardSource(lambda n: find_all(n, both(tag("div"), has_class("base-search-card"))), _linkedin_card, lambda c: has_text(c["href"]))
+
+
 def parse_linkedin_cards(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
     """Search cards. Details come from :func:`parse_linkedin_detail` by a join on the id."""
     o = options or ParseOptions()
 
-    def fields(nodes: Column, card: Column) -> Column:
-        def read(inner: Column) -> Column:
-            link = find(inner, both(tag("a"), has_class("base-card__full-link")))
-            subtitle = find(inner, both(tag("h4"), has_class("base-search-card__subtitle")))
-            company = find(inside(nodes, subtitle), tag("a"))
-            meta = find(inner, both(tag("div"), has_class("base-search-card__metadata")))
-            below = inside(nodes, meta)
-            place = find(below, both(tag("span"), has_class("job-search-card__location")))
-            day = find(below, both(tag("time"), has_class("job-search-card__listdate")))
-            new_day = find(below, both(tag("time"), has_class("job-search-card__listdate--new")))
-            pay = find(inner, both(tag("span"), has_class("job-search-card__salary-info")))
-            title = find(inner, both(tag("span"), has_class("sr-only")))
-            return _struct(
-                href=attr_of(link, "href"),
-                title=text_of(nodes, title),
-                company=text_of(nodes, company),
-                company_href=attr_of(company, "href"),
-                has_meta=meta.isNotNull(),
-                place=text_of(nodes, place, " "),
-                day=F.coalesce(attr_of(day, "datetime"), attr_of(new_day, "datetime")),
-                pay=text_of(nodes, pay, " "),
-            )
-
-        return let(inside(nodes, card), read)
-
-    cards = _cards(
-        raw, lambda n: find_all(n, both(tag("div"), has_class("base-search-card"))), fields
-    )
+    cards = LINKEDIN.cards(raw)
     c = F.col("card")
     native = urls.job_id_of_href(c["href"])
     title = F.coalesce(c["title"], F.lit("N/A"))
@@ -82,7 +100,7 @@ def parse_linkedin_cards(raw: DataFrame, options: ParseOptions | None = None) ->
     place = F.when(c["has_meta"], locations.loc_linkedin(c["place"], home)).otherwise(
         location(None, None, F.lit(home))
     )
-    return cards.where(has_text(c["href"])).select(
+    return cards.select(
         *posting_columns(
             seq=F.col("seq"),
             pos=F.col("pos"),
@@ -195,25 +213,29 @@ def parse_seek_detail(raw: DataFrame, options: ParseOptions | None = None) -> Da
 
 # ---- Bayt -------------------------------------------------------------------------------------
 
+def _bayt_card(nodes: Column, card: Column) -> Column:
+    def read(inner: Column) -> Column:
+        head = find(inner, tag("h2"))
+        firm = find(inner, both(tag("div"), has_class("t-nowrap p10l")))
+        place = find(inner, both(tag("div"), has_class("t-mute t-small")))
+        return _struct(
+            title=text_of(nodes, head),
+            href=strip(attr_of(find(inside(nodes, head), tag("a")), "href")),
+            company=text_of(nodes, find(inside(nodes, firm), tag("span"))),
+            place=text_of(nodes, place),
+        )
+
+    return let(inside(nodes, card), read)
+
+
+BAYT = CardSource(lambda n: find_all(n, both(tag("li"), attr("data-js-job", ""))), _bayt_card, lambda c: has_text(c["href"]))
+
+
 def parse_bayt(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
-    def fields(nodes: Column, card: Column) -> Column:
-        def read(inner: Column) -> Column:
-            head = find(inner, tag("h2"))
-            firm = find(inner, both(tag("div"), has_class("t-nowrap p10l")))
-            place = find(inner, both(tag("div"), has_class("t-mute t-small")))
-            return _struct(
-                title=text_of(nodes, head),
-                href=strip(attr_of(find(inside(nodes, head), tag("a")), "href")),
-                company=text_of(nodes, find(inside(nodes, firm), tag("span"))),
-                place=text_of(nodes, place),
-            )
-
-        return let(inside(nodes, card), read)
-
-    cards = _cards(raw, lambda n: find_all(n, both(tag("li"), attr("data-js-job", ""))), fields)
+    cards = BAYT.cards(raw)
     c = F.col("card")
     url = F.concat(F.lit("https://www.bayt.com"), c["href"])
-    return cards.where(has_text(c["href"])).select(
+    return cards.select(
         *posting_columns(
             seq=F.col("seq"),
             pos=F.col("pos"),
@@ -253,37 +275,41 @@ def _bdjobs_cards(nodes: Column) -> Column:
     return F.coalesce(first_matching_selector(nodes, BDJOBS_CARDS)["cards"], parents)
 
 
-def parse_bdjobs_cards(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
+def _bdjobs_card(nodes: Column, card: Column) -> Column:
     box = tag("span", "div")
 
-    def fields(nodes: Column, card: Column) -> Column:
-        def read(inner: Column) -> Column:
-            def by_class(*names: str) -> Column:
-                return text_of(nodes, find(inner, both(box, class_like(*names))))
-
-            link = find(inner, both(tag("a"), attr_like("href", "jobdetail")))
-            heading = find(
-                inner, both(tag("h2", "h3", "h4", "strong", "div"), has_class("job-title-text"))
-            )
-            return _struct(
-                href=attr_of(link, "href"),
-                title=F.coalesce(
-                    filled(text_of(nodes, link)), text_of(nodes, heading), F.lit("N/A")
-                ),
-                company=F.coalesce(
-                    by_class("comp-name-text"), by_class("company", "org", "comp-name"), F.lit("N/A")
-                ),
-                place=F.coalesce(
-                    by_class("locon-text-d"),
-                    by_class("location", "area", "locon"),
-                    F.lit("Dhaka, Bangladesh"),
-                ),
-                day=by_class("date", "deadline", "published"),
-            )
-
-        return let(inside(nodes, card), read)
-
-    cards = _cards(raw, _bdjobs_cards, fields)
+    def read(inner: Column) -> Column:
+        def by_class(*names: str) -> Column:
+            return text_of(nodes, find(inner, both(box, class_like(*names))))
+
+        link = find(inner, both(tag("a"), attr_like("href", "jobdetail")))
+        heading = find(
+            inner, both(tag("h2", "h3", "h4", "strong", "div"), has_class("job-title-text"))
+        )
+        return _struct(
+            href=attr_of(link, "href"),
+            title=F.coalesce(
+                filled(text_of(nodes, link)), text_of(nodes, heading), F.lit("N/A")
+            ),
+            company=F.coalesce(
+                by_class("comp-name-text"), by_class("company", "org", "comp-name"), F.lit("N/A")
+            ),
+            place=F.coalesce(
+                by_class("locon-text-d"),
+                by_class("location", "area", "locon"),
+                F.lit("Dhaka, Bangladesh"),
+            ),
+            day=by_class("date", "deadline", "published"),
+        )
+
+    return let(inside(nodes, card), read)
+
+
+BDJOBS = CardSource(_bdjobs_cards, _bdjobs_card, lambda c: has_text(c["href"]))
+
+
+def parse_bdjobs_cards(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
+    cards = BDJOBS.cards(raw)
     c = F.col("card")
     url = urls.absolute_url(c["href"], F.lit("https://jobs.bdjobs.com"))
     native = F.when(
@@ -291,7 +317,7 @@ def parse_bdjobs_cards(raw: DataFrame, options: ParseOptions | None = None) -> D
         F.substring_index(F.substring_index(url, "jobid=", -1), "&", 1),
     ).otherwise(F.concat(F.lit("bdjobs-"), urls.url_hash(url)))
     place = locations.loc_two_parts(c["place"], "bangladesh")
-    return cards.where(has_text(c["href"])).select(
+    return cards.select(
         *posting_columns(
             seq=F.col("seq"),
             pos=F.col("pos"),
@@ -392,43 +418,50 @@ def _irish_row(rows: DataFrame, o: ParseOptions) -> DataFrame:
     )
 
 
+def _irish_card(nodes: Column, card: Column) -> Column:
+    def read(inner: Column) -> Column:
+        def by_attr(name: str) -> Column:
+            return text_of(nodes, find(inner, attr("data-at", f"job-item-{name}")))
+
+        link = F.coalesce(
+            find(inner, both(tag("a"), attr("data-testid", "job-item-title"))),
+            find(inner, both(tag("a"), attr("data-at", "job-item-title"))),
+        )
+        kind = F.coalesce(
+            find(inner, attr("data-at", "job-item-type")),
+            find(inner, both(tag("span"), class_like("job-type"))),
+        )
+        return _struct(
+            title=text_of(nodes, link),
+            url=urls.absolute_url(non_empty(attr_of(link, "href")), F.lit(IRISH_HOME)),
+            company=by_attr("company-name"),
+            place=by_attr("location"),
+            pay=by_attr("salary-info"),
+            day=by_attr("timeago"),
+            kind=text_of(nodes, kind),
+            description=F.lit(None).cast("string"),
+        )
+
+    return let(inside(nodes, card), read)
+
+
+IRISH = CardSource(lambda n: find_all(n, attr("data-testid", "job-item")), _irish_card, lambda c: has_text(c["title"], c["url"]))
+
+
 def parse_irishjobs_cards(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
     """Search cards with a title and a link."""
     o = options or ParseOptions()
 
-    def fields(nodes: Column, card: Column) -> Column:
-        def read(inner: Column) -> Column:
-            def by_attr(name: str) -> Column:
-                return text_of(nodes, find(inner, attr("data-at", f"job-item-{name}")))
-
-            link = F.coalesce(
-                find(inner, both(tag("a"), attr("data-testid", "job-item-title"))),
-                find(inner, both(tag("a"), attr("data-at", "job-item-title"))),
-            )
-            kind = F.coalesce(
-                find(inner, attr("data-at", "job-item-type")),
-                find(inner, both(tag("span"), class_like("job-type"))),
-            )
-            return _struct(
-                title=text_of(nodes, link),
-                url=urls.absolute_url(non_empty(attr_of(link, "href")), F.lit(IRISH_HOME)),
-                company=by_attr("company-name"),
-                place=by_attr("location"),
-                pay=by_attr("salary-info"),
-                day=by_attr("timeago"),
-                kind=text_of(nodes, kind),
-                description=F.lit(None).cast("string"),
-            )
-
-        return let(inside(nodes, card), read)
-
-    cards = _cards(raw, lambda n: find_all(n, attr("data-testid", "job-item")), fields)
+    cards = IRISH.cards(raw)
     return _irish_row(cards, o)
 
 
-def parse_irishjobs_jsonld(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
-    """Linked data of pages without cards: an item list, or a list of postings."""
-    o = options or ParseOptions()
+def _irish_without_cards(payload: Column) -> Column:
+    return ~F.coalesce(payload.rlike(r"data-testid=[\"']job-item[\"']"), F.lit(False))
+
+
+def _irish_items(payload: Column) -> Column:
+    """JSON texts of a page's linked data: the entries of an item list, or postings."""
 
     def items(body: Column) -> Column:
         listed = F.from_json(F.get_json_object(body, "$.itemListElement"), "array<string>")
@@ -442,10 +475,27 @@ def parse_irishjobs_jsonld(raw: DataFrame, options: ParseOptions | None = None)
             F.array().cast("array<string>"),
         )
 
-    bodies = script_bodies(F.col("payload"), "application/ld+json")
-    no_cards = ~F.col("payload").rlike(r"data-testid=[\"']job-item[\"']")
-    rows = raw.where(no_cards).select(
-        "seq", F.posexplode(F.flatten(F.transform(bodies, items))).alias("pos", "item")
+    return F.flatten(F.transform(script_bodies(payload, "application/ld+json"), items))
+
+
+def quarantine_irishjobs(raw: DataFrame) -> DataFrame:
+    """Unreadable cards, or entries of linked data where a page has no cards."""
+
+    def named(item: Column) -> Column:
+        inner = F.coalesce(F.get_json_object(item, "$.item"), item)
+        return has_text(F.get_json_object(inner, "$.title"), F.get_json_object(inner, "$.url"))
+
+    payload = F.col("payload")
+    linked = rejects(payload, _irish_items(payload), named, text=lambda item: item)
+    found = F.when(_irish_without_cards(payload), linked).otherwise(IRISH.rejects(F.col("nodes"), payload))
+    return raw.withColumn("nodes", html_nodes(payload)).select("seq", F.inline(found))
+
+
+def parse_irishjobs_jsonld(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
+    """Linked data of pages without cards: an item list, or a list of postings."""
+    o = options or ParseOptions()
+    rows = raw.where(_irish_without_cards(F.col("payload"))).select(
+        "seq", F.posexplode(_irish_items(F.col("payload"))).alias("pos", "item")
     )
     item = F.coalesce(F.get_json_object("item", "$.item"), F.col("item"))
 
@@ -513,28 +563,30 @@ def build_irishjobs_row(rows: DataFrame, options: ParseOptions | None = None) ->
 
 # ---- JazzHR career pages ----------------------------------------------------------------------
 
+def _jazzhr_card(nodes: Column, card: Column) -> Column:
+    def read(inner: Column) -> Column:
+        head = find(inner, has_class("list-group-item-heading"))
+        link = find(inside(nodes, head), tag("a"))
+        marker = find(inner, both(tag("i"), has_class("fa-map-marker")))
+        return _struct(
+            title=text_of(nodes, link),
+            href=attr_of(link, "href"),
+            place=F.coalesce(
+                F.when(marker.isNotNull(), text_of(nodes, F.get(nodes, marker["parent"]))),
+                F.lit(""),
+            ),
+        )
+
+    return let(inside(nodes, card), read)
+
+
+JAZZHR = CardSource(lambda n: find_all(n, both(tag("li"), has_class("list-group-item"))), _jazzhr_card, lambda c: has_text(c["title"], c["href"], urls.apply_code(c["href"])))
+
+
 def parse_jazzhr(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
     """Listing page of a company's board; the company handle is its sub-domain."""
 
-    def fields(nodes: Column, card: Column) -> Column:
-        def read(inner: Column) -> Column:
-            head = find(inner, has_class("list-group-item-heading"))
-            link = find(inside(nodes, head), tag("a"))
-            marker = find(inner, both(tag("i"), has_class("fa-map-marker")))
-            return _struct(
-                title=text_of(nodes, link),
-                href=attr_of(link, "href"),
-                place=F.coalesce(
-                    F.when(marker.isNotNull(), text_of(nodes, F.get(nodes, marker["parent"]))),
-                    F.lit(""),
-                ),
-            )
-
-        return let(inside(nodes, card), read)
-
-    cards = _cards(
-        raw, lambda n: find_all(n, both(tag("li"), has_class("list-group-item"))), fields
-    )
+    cards = JAZZHR.cards(raw)
     c = F.col("card")
     handle = urls.career_slug(F.col("url"), F.lit("jazzhr"))
     code = urls.apply_code(c["href"])
@@ -543,7 +595,7 @@ def parse_jazzhr(raw: DataFrame, options: ParseOptions | None = None) -> DataFra
         F.concat(F.lit("https://"), handle, F.lit(".applytojob.com"), c["href"]),
     ).otherwise(c["href"])
     said = F.lower(F.concat_ws(" ", c["title"], c["place"]))
-    return cards.where(has_text(c["title"], c["href"], code)).select(
+    return cards.select(
         *posting_columns(
             seq=F.col("seq"),
             pos=F.col("pos"),
@@ -577,3 +629,11 @@ HTML_BOARDS = {
     "irish_jobs": parse_irishjobs_cards,
     "jazzhr": parse_jazzhr,
 }
+
+HTML_QUARANTINE = {
+    "linkedin": LINKEDIN.quarantine,
+    "bayt": BAYT.quarantine,
+    "bdjobs": BDJOBS.quarantine,
+    "irish_jobs": quarantine_irishjobs,
+    "jazzhr": JAZZHR.quarantine,
+}

@@ -14,7 +14,7 @@ from vacancia.functions.text import (
 from vacancia.operators.ranking import first_per_key
 from vacancia.operators.skew import salted_join
 from vacancia.schema import location, posting_columns
-from vacancia.sources.payloads import JsonSource, ParseOptions, has_text
+from vacancia.sources.payloads import JsonSource, ParseOptions, has_text, rejects
 
 _PAY = "struct<unitOfWork:string,range:struct<min:double,max:double>>"
 
@@ -395,13 +395,14 @@ def google_positional_job(records: DataFrame, options: ParseOptions | None = Non
     )
 
 
+def _initial_records(payload: Column) -> Column:
+    pattern = r"(?d)520084652\":(\[.*?\]\s*])\s*}\s*]\s*]\s*]\s*]\s*]"
+    return F.regexp_extract_all(payload, F.lit(pattern), F.lit(1))
+
+
 def google_initial_records(raw: DataFrame) -> DataFrame:
     """Record texts embedded in the first result page."""
-    pattern = r"(?d)520084652\":(\[.*?\]\s*])\s*}\s*]\s*]\s*]\s*]\s*]"
-    return raw.select(
-        "seq",
-        F.posexplode(F.regexp_extract_all("payload", F.lit(pattern), F.lit(1))).alias("pos", "record"),
-    )
+    return raw.select("seq", F.posexplode(_initial_records(F.col("payload"))).alias("pos", "record"))
 
 
 def google_page_records(raw: DataFrame) -> DataFrame:
@@ -417,16 +418,30 @@ def parse_google_page(raw: DataFrame, options: ParseOptions | None = None) -> Da
     return google_positional_job(google_page_records(raw), options)
 
 
+def _google_named(record: Column) -> Column:
+    v = F.try_parse_json(record)
+    return has_text(F.try_variant_get(v, "$[0]", "string"), F.try_variant_get(v, "$[3][0][0]", "string"))
+
+
+def _google_reason(record: Column) -> Column:
+    return F.when(F.try_parse_json(record).isNull(), "unreadable payload").otherwise("missing field")
+
+
 def google_quarantine(records: DataFrame) -> DataFrame:
     """Record texts that are no JSON, or lack a title or URL."""
-    v = F.try_parse_json("record")
-    url = F.try_variant_get(v, "$[3][0][0]", "string")
-    title = F.try_variant_get(v, "$[0]", "string")
-    return records.where(~F.coalesce(has_text(title, url), F.lit(False))).select(
-        "seq", "pos",
-        F.when(v.isNull(), "unreadable payload").otherwise("missing field").alias("reason"),
-        F.col("record").alias("payload"),
+    record = F.col("record")
+    return records.where(~F.coalesce(_google_named(record), F.lit(False))).select(
+        "seq", "pos", _google_reason(record).alias("reason"), record.alias("payload")
     )
 
 
+def quarantine_google(raw: DataFrame) -> DataFrame:
+    """Bad records of first and following result pages, and pages without any record."""
+    pages = raw.withColumn("later", google_records(F.col("payload")))
+    none = F.array().cast("array<string>")
+    records = F.concat(F.coalesce(_initial_records(F.col("payload")), none), F.coalesce(F.col("later"), none))
+    found = rejects(F.col("payload"), records, _google_named, text=lambda r: r, reason=_google_reason)
+    return pages.select("seq", F.inline(found))
+
+
 JSON_BOARDS = {s.site: s for s in (INDEED, ZIP_RECRUITER, GLASSDOOR, NAUKRI, SEEK, REED)}

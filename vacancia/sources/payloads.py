@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.functions.markdown import FORMATS
+from vacancia.functions.text import let
 from vacancia.lookups import ALIAS_TO_COUNTRY, country_records
 from vacancia.schema import posting_columns
 
@@ -89,31 +90,49 @@ class JsonSource:
         )
 
     def quarantine(self, raw: DataFrame) -> DataFrame:
-        """Payloads and records that could not be read, with the reason."""
-        read = self._records(raw)
-        broken = read.where(F.col("records").isNull()).select(
-            "seq", F.lit(None).cast("int").alias("pos"), F.lit("unreadable payload").alias("reason"),
-            "payload",
-        )
-        lacking = (
-            read.select("seq", F.posexplode("records").alias("pos", "record"))
-            .where(~F.coalesce(self.required(F.col("record")), F.lit(False)))
-            .select(
-                "seq", "pos", F.lit("missing field").alias("reason"),
-                F.to_json("record").alias("payload"),
-            )
-        )
-        return broken.unionByName(lacking)
+        """Payloads and records that could not be read, with the reason; one scan."""
+
+        def judged(records: Column) -> Column:
+            broken = F.array(reject(F.lit(None), F.lit("unreadable payload"), F.col("payload")))
+            return F.when(records.isNull(), broken).otherwise(lacking(records, self.required))
+
+        return raw.select("seq", F.inline(let(self.records(F.from_json("payload", self.schema)), judged)))
 
 
 def unread(raw: DataFrame, postings: DataFrame) -> DataFrame:
-    """Payloads of which no posting was read, for sources whose payloads have no schema."""
+    """Payloads of which no posting was read, for boards that list no records of their own."""
     read = postings.select(F.col("seq").alias("__read")).distinct()
     return raw.join(read, F.col("seq").eqNullSafe(F.col("__read")), "left_anti").select(
         "seq", F.lit(None).cast("int").alias("pos"), F.lit("no posting read").alias("reason"), "payload"
     )
 
 
+def reject(pos: Column, reason: Column, payload: Column) -> Column:
+    return F.struct(pos.cast("int").alias("pos"), reason.alias("reason"), payload.alias("payload"))
+
+
+def lacking(
+    records: Column,
+    required: Callable[[Column], Column],
+    text: Callable[[Column], Column] = F.to_json,
+    reason: Callable[[Column], Column] = lambda r: F.lit("missing field"),
+) -> Column:
+    """``array<struct<pos, reason, payload>>`` of the records that lack what a posting needs."""
+    placed = F.transform(records, lambda r, i: F.struct(i.alias("pos"), r.alias("record")))
+    bad = F.filter(placed, lambda p: ~F.coalesce(required(p["record"]), F.lit(False)))
+    return F.transform(bad, lambda p: reject(p["pos"], reason(p["record"]), text(p["record"])))
+
+
+def rejects(payload: Column, records: Column, required: Callable[[Column], Column], **how) -> Column:
+    """``lacking`` for sources whose payloads have no schema: a payload without any record is listed whole.
+
+    All is decided inside the payload's row, so rejects take one scan and no join, and a good record
+    hides no unreadable one beside it.
+    """
+    whole = F.array(reject(F.lit(None), F.lit("no posting read"), payload))
+    return let(records, lambda found: F.when(F.size(found) > 0, lacking(found, required, **how)).otherwise(whole))
+
+
 def has_text(*columns: Column) -> Column:
     result = F.length(columns[0]) > 0
     for c in columns[1:]:

@@ -11,7 +11,7 @@ from vacancia.functions.country import detect_country
 from vacancia.functions.text import let, non_empty, strip
 from vacancia.functions.urls import url_hash
 from vacancia.schema import location, posting_columns
-from vacancia.sources.payloads import ParseOptions
+from vacancia.sources.payloads import ParseOptions, rejects
 
 # Line rules of a post's inner text.
 HEADER_LINES = r"^(?:Публикация в ленте|Feed post|Promoted|Рекламируется)"
@@ -173,3 +173,24 @@ def parse_linkedin_posts(posts: DataFrame, options: ParseOptions | None = None)
             job_type=job_types.extract_job_type(text),
         )
     )
+
+
+def quarantine_tweets(raw: DataFrame) -> DataFrame:
+    """Posts too short or without a title, and payloads that hold no list of posts."""
+
+    def usable(tweet: Column) -> Column:
+        return (F.length(tweet["text"]) >= social.MIN_TWEET_LENGTH) & (F.length(social.tweet_title(tweet["text"])) > 0)
+
+    payload = F.col("payload")
+    return raw.select("seq", F.inline(rejects(payload, F.from_json(payload, TWEET_DDL), usable)))
+
+
+def quarantine_linkedin_posts(raw: DataFrame) -> DataFrame:
+    """Posts too short or without a title, and texts that are no post."""
+
+    def usable(post: Column) -> Column:
+        return (F.length(post["text"]) >= social.MIN_POST_LENGTH) & (F.length(social.post_title(post["text"])) > 0)
+
+    payload = F.col("payload")
+    posts = F.filter(F.array(split_post_lines(payload)), lambda p: p.isNotNull())
+    return raw.select("seq", F.inline(rejects(payload, posts, usable)))
