@@ -11,6 +11,8 @@ from checks.registry import query
 from checks.scalars import _TYPED
 from vacancia import lookups
 from vacancia.functions import country, remote, social
+from vacancia.lookups import CITIES
+from vacancia.operators.dictionary import first_names
 from vacancia.sources import social as source
 from vacancia.sources.payloads import ParseOptions
 
@@ -93,6 +95,32 @@ def signal_lookup(spark, sf):
     return df.select("id", *[f(F.col("t")).alias(f"by_{k}") for k, f in FUNCTIONS.items()])
 
 
+@query("dictionary_cities", soc_sql(f"SELECT id, {SIGNALS['city']} AS code FROM s", s="SELECT id, text AS t FROM soc"))
+def dictionary_cities(spark, sf):
+    """The cities as a table: the same answer as the pattern's."""
+    cities = spark.createDataFrame(list(CITIES.items()), "name string, value string")
+    said = soc(spark, sf).select("id", "text")  # ids repeat
+    found = first_names(said, cities, ["id", "text"])
+    return said.join(found, ["id", "text"], "left").select("id", F.col("value").alias("code"))
+
+
+@query(
+    "dictionary_customers",
+    """SELECT CAST(o_orderkey AS BIGINT) AS seq, lower(c_name) AS name, c_mktsegment AS segment
+       FROM orders JOIN customer ON o_custkey = c_custkey""",
+)
+def dictionary_customers(spark, sf):
+    """Companies by a dictionary that grows with the data; a longer number that begins like a name is none."""
+    firms = spark.read.parquet(f"{sf}/customer.parquet")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    said = F.concat(F.lit("Ask "), "c_name", F.lit("0, work at "), "c_name", F.lit(" or CUSTOMER#000000001"))
+    texts = orders.join(firms, orders.o_custkey == firms.c_custkey).select(
+        F.col("o_orderkey").cast("long").alias("seq"), said.alias("text")
+    )
+    names = firms.select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("value"))
+    return first_names(texts, names, ["seq"]).select("seq", "name", F.col("value").alias("segment"))
+
+
 # ---- fields of running text -------------------------------------------------------------------
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vacancia.functions.arrays import distinct_by
 from vacancia.functions.markup import scan_html
 from vacancia.operators import aggregates, assemble, dedup, filters, ranking
+from vacancia.operators.dictionary import first_names
 from vacancia.operators.enrich import enrich_with_details
 from vacancia.operators.skew import hot_keys, salted_join
 from vacancia.plans import careers
@@ -342,3 +343,41 @@ def test_no_job_runs_while_a_plan_is_built(spark):
     career_pages.parse_captured(pages.withColumn("response_url", F.col("url")))
     enrich_with_details(postings(spark, [{"seq": 1, "id": "a"}]), postings(spark, [{"seq": 1, "id": "a"}]))
     assert tracker.getJobIdsForGroup() == before
+
+
+def test_a_dictionary_of_any_size_finds_the_first_and_longest_name(spark):
+    import random
+    import re
+
+    rng = random.Random(7)
+    parts = ["al", "be", "ça", "do", "e1", "fu", "st", "x"]
+    names = {}
+    while len(names) < 100_000:
+        name = rng.choice(("", " ", "-", ". ")).join("".join(rng.choices(parts, k=rng.randint(1, 5))) for _ in range(rng.randint(1, 3)))
+        names[name] = str(len(names) % 97)
+    names |= {"d.c.": "dc", "new york": "ny", "new york city": "nyc", "new": "n"}
+    known = list(names)
+    texts = ["", None, "...", "New  York", "in NEW YORK CITY!", "in New York Cityx", "d.c.", "d.c.a", "(d.c.) new"]
+    for _ in range(200):
+        words = [rng.choice(known) if rng.random() < 0.3 else rng.choice(parts) + "q" for _ in range(rng.randint(1, 6))]
+        texts.append(rng.choice((" ", ", ", "-", "")).join(words).title())
+
+    def brute(text):
+        low = (text or "").lower()
+        edges = [m.start() for m in re.finditer(r"\b", low)]
+        for start in edges:
+            if low[start:start + 1].isalnum():
+                hits = [low[start:end] for end in edges if end > start and low[start:end] in names]
+                if hits:
+                    return max(hits, key=len)
+        return None
+
+    table = spark.createDataFrame(list(names.items()) + [("New", "z")], "name string, value string")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r.id: (r.name, r.value) for r in first_names(df, table, ["id"]).collect()}
+    want = {i: (brute(t), names[brute(t)]) for i, t in enumerate(texts) if brute(t)}
+    assert got == want and len(want) > 100
+    assert got[4] == ("new york city", "nyc") and got[5] == ("new york", "ny") and got[7] == ("d.c.", "dc") and 6 not in got
+    assert first_names(df.where("false"), table, ["id"]).count() == 0
+    with pytest.raises(Exception, match="more than 4 words"):
+        first_names(df, table.unionByName(spark.createDataFrame([("a b c d e", "1")], table.schema)), ["id"]).collect()
