@@ -1,5 +1,6 @@
 """Properties of the operators: skew, ranks, duplicates, salary rules, sources, streams."""
 
+import itertools
 import json
 from datetime import date
 
@@ -244,6 +245,46 @@ def test_cascade_and_detail_pages(spark):
     assert rows == {("A", "Linked"): None, ("B", "One two three"): text.strip(), ("B", "Four five six"): None}
 
 
+def mixed_pages(spark):
+    """Pages with any of embedded state, linked data and links, in all combinations, and odd ones."""
+    state = ('<script id="__NEXT_DATA__">{"props":{"pageProps":{"jobs":[{"id":"1","title":"Data Engineer","url":"/jobs/a","description":"<b>a</b>"},'
+             '{"id":"2","title":"Site Engineer","url":"/jobs/b","workType":"Remote"},{"id":"3","title":"Head Cook","url":"/jobs/c"}]}}}</script>')
+    menu = '<script id="__NEXT_DATA__">{"props":{"pageProps":{"items":[{"id":"1","name":"x"},{"id":"2","name":"y"},{"id":"3","name":"z"}]}}}</script>'
+    linked = '<script type="application/ld+json">{"@type":"JobPosting","title":"Cook","description":"<i>c</i>","identifier":{"value":"7"}}</script>'
+    untitled = '<script type="application/ld+json">{"@type":"JobPosting","title":""}</script>'
+    links = '<a href="/jobs/one-two-three">One two three</a><a href="/jobs/four-five-six">Four five six</a>'
+    one = '<a href="/jobs/one-two-three">One two three</a>'
+    bodies = ["".join(p) for p in itertools.product(("", state, menu), ("", linked, untitled), ("", links, one))]
+    rows = [(f"https://{i}.test/careers", "A", b) for i, b in enumerate(bodies)]
+    same = [("https://same.test/careers", "A", b) for b in (links, state, linked)]
+    return raw(spark, [*rows, *same, (None, "B", links + linked), (None, "B", linked), ("https://n.test/", "N", None), ("https://e.test/", "E", "")])
+
+
+def test_page_cascade_is_the_best_of_all_strategies(spark):
+    pages = mixed_pages(spark)
+    every = careers.page_strategies(pages).withColumn("page", F.coalesce("source_url", F.col("seq").cast("string")))
+    best = every.groupBy("page").agg(F.min("strategy_rank").alias("strategy_rank"))
+    wanted = every.join(best, ["page", "strategy_rank"], "left_semi").drop("page", "strategy_rank")
+    found = careers.career_postings(pages)
+    assert found.schema == wanted.schema and found.count() > 40
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    assert {r[0] for r in career_pages.page_cascade(pages).select("strategy_rank").distinct().collect()} == {1, 2, 6}
+    assert careers.career_postings(pages.limit(0)).count() == 0
+
+
+def test_career_pages_are_scanned_once(spark):
+    folder = work_folder(spark, "t-pages")
+    mixed_pages(spark).write.parquet(folder)
+    pages = spark.read.schema(RAW_DDL).parquet(folder)
+    plan = careers.career_postings(pages)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1
+    more = careers.career_postings(pages, platform_rows=postings(spark, [
+        {"seq": 1, "title": "Own", "source_url": "https://2.test/careers"}, {"seq": 2, "title": "None", "source_url": "https://9.test/careers"},
+    ]))
+    assert [r["title"] for r in more.where("source_url like '%//2.test%'").collect()] == ["Own"]
+    assert more.where("title = 'None'").count() == 0
+
+
 def test_batch_equals_stream(spark):
     rows = [(f"https://boards.greenhouse.io/acme{i}", "Acme", json.dumps({"jobs": [{"id": i, "title": f"T{i}", "content": "$50k - $80k"}]})) for i in range(20)]
     df = raw(spark, rows)

@@ -41,19 +41,42 @@ def page_strategies(
     their "all jobs" links; both carry the career page as ``source_url`` / ``url``.
     """
     ranked = [
-        (1, career_pages.parse_next_data(pages)),
-        (2, career_pages.parse_jsonld_postings(pages)),
+        (career_pages.STATE, career_pages.parse_next_data(pages)),
+        (career_pages.LINKED, career_pages.parse_jsonld_postings(pages)),
+        *_given_strategies(platform_rows, sitemaps, responses),
+        (career_pages.LINKS, career_pages.extract_job_links(pages)),
+        (7, None if listing_pages is None else career_pages.extract_job_links(listing_pages)),
+    ]
+    return _ranked(ranked)
+
+
+def _given_strategies(platform_rows=None, sitemaps=None, responses=None) -> list:
+    return [
         (3, platform_rows),
         (4, None if sitemaps is None else career_pages.sitemap_postings(sitemaps)),
         (5, None if responses is None else career_pages.parse_captured(responses)),
-        (6, career_pages.extract_job_links(pages)),
-        (7, None if listing_pages is None else career_pages.extract_job_links(listing_pages)),
     ]
+
+
+def _ranked(strategies: list) -> DataFrame:
     return union_sites(
-        [df.withColumn("strategy_rank", F.lit(rank)) for rank, df in ranked if df is not None]
+        [df.withColumn("strategy_rank", F.lit(rank)) for rank, df in strategies if df is not None]
     )
 
 
+def first_strategies(pages: DataFrame, listing_pages: DataFrame | None = None, **inputs) -> DataFrame:
+    """``page_strategies`` without what a better strategy of the same page's row makes superfluous.
+
+    The pages are scanned once, whatever the number of strategies that read their HTML.
+    """
+    own = career_pages.page_cascade(pages)
+    others = [*_given_strategies(**inputs),
+              (7, None if listing_pages is None else career_pages.extract_job_links(listing_pages))]
+    if all(df is None for _, df in others):
+        return own
+    return union_sites([own, _ranked(others)])
+
+
 def career_postings(pages: DataFrame, detail_pages: DataFrame | None = None, **inputs) -> DataFrame:
     """Postings of the best strategy of every career page.
 
@@ -63,7 +86,7 @@ def career_postings(pages: DataFrame, detail_pages: DataFrame | None = None, **i
     # map task passes on only the rows of a page's best strategy there.
     page = [F.col("source_url"), F.when(F.col("source_url").isNull(), F.col("seq"))]
     place = F.rank().over(Window.partitionBy(*page).orderBy("strategy_rank"))
-    found = page_strategies(pages, **inputs).withColumn("__place", place)
+    found = first_strategies(pages, **inputs).withColumn("__place", place)
     best = found.where(F.col("__place") == 1).drop("__place", "strategy_rank")
     if detail_pages is None:
         return best

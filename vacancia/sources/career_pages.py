@@ -52,6 +52,56 @@ def _words(text: Column) -> Column:
     ).otherwise(text)
 
 
+def _linked_url() -> Column:
+    return F.coalesce(non_empty(F.col("p.url")), F.col("url"))
+
+
+def _linked_parts() -> dict[str, Column]:
+    """What is read from the members of ``p`` whose shape varies."""
+    place, organization = F.col("p.jobLocation"), F.col("p.hiringOrganization")
+    first_place = F.when(
+        _is_list(place), F.get(F.from_json(place, "array<string>"), F.lit(0))
+    ).otherwise(place)
+    return {
+        "address": F.from_json(first_place, LD_PLACE)["address"],
+        "pay": F.from_json(F.col("p.baseSalary"), LD_PAY),
+        "name": F.when(F.startswith(organization, F.lit("{")), F.get_json_object(organization, "$.name")),
+        "types": _words(F.col("p.employmentType")),
+    }
+
+
+def _linked_fields() -> dict[str, Column]:
+    """Posting fields of a row with ``p``, ``job_url``, ``description`` and ``_linked_parts``."""
+    identifier = F.col("p.identifier")
+    # An identifier without a value would be shared by all postings that have such a one.
+    given = F.when(F.startswith(identifier, F.lit("{")), F.get_json_object(identifier, "$.value"))
+    native = F.coalesce(non_empty(given), urls.url_hash(F.col("job_url")))
+    text, types = F.col("description"), F.col("types")
+    return dict(
+        seq=F.col("seq"),
+        pos=F.col("pos"),
+        site=F.lit("custom"),
+        source_url=F.col("url"),
+        id=F.concat(F.lit("custom:jsonld:"), native),
+        title=F.col("p.title"),
+        company_name=F.coalesce(non_empty(F.col("name")), F.col("company")),
+        job_url=F.col("job_url"),
+        location=location(
+            F.col("address.addressLocality"), F.col("address.addressRegion"),
+            F.col("address.addressCountry"), True,
+        ),
+        description=text,
+        is_remote=F.contains(
+            F.upper(F.coalesce(_words(F.col("p.jobLocationType")), F.lit(""))),
+            F.lit("TELECOMMUTE"),
+        ),
+        date_posted=dates.iso_date(F.col("p.datePosted")),
+        compensation=salary.jsonld_compensation(F.col("pay")),
+        job_type=F.when(F.length(types) > 0, job_types.extract_job_type(types)),
+        emails=F.when(F.length(text) > 0, extract_emails(text)),
+    )
+
+
 def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
     """JobPosting objects of a page, wherever they sit in its linked data."""
     found = pages.select(
@@ -59,51 +109,11 @@ def parse_jsonld_postings(pages: DataFrame) -> DataFrame:
         F.posexplode(jsonld_postings(script_bodies(F.col("payload"), LD_JSON))).alias("pos", "posting"),
     )
     read = with_once(found, p=F.from_json("posting", LD_POSTING)).where(has_text(F.col("p.title")))
-    place = F.col("p.jobLocation")
-    first_place = F.when(
-        _is_list(place), F.get(F.from_json(place, "array<string>"), F.lit(0))
-    ).otherwise(place)
-    organization, identifier = F.col("p.hiringOrganization"), F.col("p.identifier")
-    page = F.coalesce(non_empty(F.col("p.url")), F.col("url"))
-    # An identifier without a value would be shared by all postings that have such a one.
-    given = F.when(F.startswith(identifier, F.lit("{")), F.get_json_object(identifier, "$.value"))
-    native = F.coalesce(non_empty(given), urls.url_hash(page))
-    name = F.when(
-        F.startswith(organization, F.lit("{")), F.get_json_object(organization, "$.name")
-    )
     parts = with_once(
         read.withColumn("description", convert_if_html(F.col("p.description"))),
-        address=F.from_json(first_place, LD_PLACE)["address"],
-        pay=F.from_json(F.col("p.baseSalary"), LD_PAY),
-        name=name,
-        types=_words(F.col("p.employmentType")),
-    )
-    text, types = F.col("description"), F.col("types")
-    return parts.select(
-        *posting_columns(
-            seq=F.col("seq"),
-            pos=F.col("pos"),
-            site=F.lit("custom"),
-            source_url=F.col("url"),
-            id=F.concat(F.lit("custom:jsonld:"), native),
-            title=F.col("p.title"),
-            company_name=F.coalesce(non_empty(F.col("name")), F.col("company")),
-            job_url=page,
-            location=location(
-                F.col("address.addressLocality"), F.col("address.addressRegion"),
-                F.col("address.addressCountry"), True,
-            ),
-            description=text,
-            is_remote=F.contains(
-                F.upper(F.coalesce(_words(F.col("p.jobLocationType")), F.lit(""))),
-                F.lit("TELECOMMUTE"),
-            ),
-            date_posted=dates.iso_date(F.col("p.datePosted")),
-            compensation=salary.jsonld_compensation(F.col("pay")),
-            job_type=F.when(F.length(types) > 0, job_types.extract_job_type(types)),
-            emails=F.when(F.length(text) > 0, extract_emails(text)),
-        )
+        job_url=_linked_url(), **_linked_parts(),
     )
+    return parts.select(*posting_columns(**_linked_fields()))
 
 
 def page_description(pages: DataFrame) -> DataFrame:
@@ -139,15 +149,17 @@ def page_description(pages: DataFrame) -> DataFrame:
 
 # ---- JSON of unknown shape --------------------------------------------------------------------
 
-def next_data(pages: DataFrame) -> DataFrame:
-    """``seq, url, company, body``: page properties embedded by the site's framework."""
+def _state_body(html: Column) -> Column:
     body = strip(
-        first_match(
-            F.col("payload"), r"(?is)<script\s+id=[\"']__NEXT_DATA__[\"'][^>]*>(.*?)</script>"
-        )
+        first_match(html, r"(?is)<script\s+id=[\"']__NEXT_DATA__[\"'][^>]*>(.*?)</script>")
     )
+    return F.get_json_object(body, "$.props.pageProps")
+
+
+def next_data(pages: DataFrame) -> DataFrame:
+    """``seq, url, company, body``: page properties embedded by the site's framework."""
     return pages.select(
-        "seq", "url", "company", F.get_json_object(body, "$.props.pageProps").alias("body")
+        "seq", "url", "company", _state_body(F.col("payload")).alias("body")
     ).where(F.length("body") > 0)
 
 
@@ -176,22 +188,25 @@ def _loose_title(item: Column) -> Column:
     return F.coalesce(first_field(item, TITLE_KEYS), F.lit(""))
 
 
-def largest_job_array(bodies: DataFrame) -> DataFrame:
-    """``seq, url, company, items``: each body's array with most usable titles, null without one."""
+def _largest(arrays: Column) -> Column:
+    """Items of the array with most usable titles; the earliest wins a tie; null without one."""
 
     def usable(found: Column) -> Column:
         items = F.filter(found["items"], lambda i: urls.is_loose_title(_loose_title(i)))
         return F.struct(F.size(items).alias("n"), items.alias("items"))
 
-    def largest(arrays: Column) -> Column:
-        most = F.array_max(F.transform(arrays, lambda a: a["n"]))
-        return F.get(F.filter(arrays, lambda a: a["n"] == most), F.lit(0))["items"]
+    def largest(judged: Column) -> Column:
+        most = F.array_max(F.transform(judged, lambda a: a["n"]))
+        return F.get(F.filter(judged, lambda a: a["n"] == most), F.lit(0))["items"]
+
+    return let(F.transform(arrays, usable), largest)
 
+
+def largest_job_array(bodies: DataFrame) -> DataFrame:
+    """``seq, url, company, items``: each body's array with most usable titles, null without one."""
     # The choice is made inside the row, before anything is exploded.
-    return (
-        bodies.withColumn("arrays", job_arrays(F.col("body")))
-        .withColumn("arrays", F.transform("arrays", usable))
-        .select("seq", "url", "company", largest(F.col("arrays")).alias("items"))
+    return bodies.withColumn("arrays", job_arrays(F.col("body"))).select(
+        "seq", "url", "company", _largest(F.col("arrays")).alias("items")
     )
 
 
@@ -200,41 +215,46 @@ def best_job_array(bodies: DataFrame) -> DataFrame:
     return largest_job_array(bodies).select("seq", "url", "company", F.posexplode("items").alias("pos", "item"))
 
 
-def parse_loose_job(items: DataFrame) -> DataFrame:
-    """``seq, url, company, pos, item`` to postings: the first key of each kind decides."""
-    item = F.col("item")
-    title = _loose_title(item)
+def _loose_url(item: Column) -> Column:
     link = F.coalesce(non_empty(first_field(item, URL_KEYS)), F.col("url"))
-    full = urls.absolute_url(link, F.col("url"))
-    read = with_once(
-        items, title=title, job_url=full, raw_text=first_field(item, DESCRIPTION_KEYS)
-    ).where(urls.is_loose_title(F.col("title")))
-    read = read.withColumn("description", convert_if_html(F.col("raw_text")))
-    text = F.col("description")
+    return urls.absolute_url(link, F.col("url"))
+
+
+def _loose_fields() -> dict[str, Column]:
+    """Posting fields of a row with ``item``, ``title``, ``job_url`` and ``description``."""
+    item, text = F.col("item"), F.col("description")
     native = F.coalesce(
         non_empty(first_field(item, ID_KEYS)),
         urls.url_hash(F.concat(F.col("title"), F.col("job_url"))),
     )
-    return read.select(
-        *posting_columns(
-            seq=F.col("seq"),
-            pos=F.col("pos"),
-            site=F.lit("custom"),
-            source_url=F.col("url"),
-            id=F.concat(F.lit("custom:xhr:"), native),
-            title=F.col("title"),
-            company_name=F.col("company"),
-            job_url=F.col("job_url"),
-            location=locations.loc_loose(first_field(item, LOCATION_KEYS)),
-            description=text,
-            is_remote=any_remote(item, REMOTE_KEYS),
-            date_posted=dates.iso_date(first_text_entry(item, DATE_KEYS)),
-            emails=F.when(F.length(text) > 0, extract_emails(text)),
-            job_type=job_types.extract_job_type(F.coalesce(non_empty(text), F.col("title"))),
-        )
+    return dict(
+        seq=F.col("seq"),
+        pos=F.col("pos"),
+        site=F.lit("custom"),
+        source_url=F.col("url"),
+        id=F.concat(F.lit("custom:xhr:"), native),
+        title=F.col("title"),
+        company_name=F.col("company"),
+        job_url=F.col("job_url"),
+        location=locations.loc_loose(first_field(item, LOCATION_KEYS)),
+        description=text,
+        is_remote=any_remote(item, REMOTE_KEYS),
+        date_posted=dates.iso_date(first_text_entry(item, DATE_KEYS)),
+        emails=F.when(F.length(text) > 0, extract_emails(text)),
+        job_type=job_types.extract_job_type(F.coalesce(non_empty(text), F.col("title"))),
     )
 
 
+def parse_loose_job(items: DataFrame) -> DataFrame:
+    """``seq, url, company, pos, item`` to postings: the first key of each kind decides."""
+    item = F.col("item")
+    read = with_once(
+        items, title=_loose_title(item), job_url=_loose_url(item), raw_text=first_field(item, DESCRIPTION_KEYS)
+    ).where(urls.is_loose_title(F.col("title")))
+    read = read.withColumn("description", convert_if_html(F.col("raw_text")))
+    return read.select(*posting_columns(**_loose_fields()))
+
+
 def parse_next_data(pages: DataFrame) -> DataFrame:
     return parse_loose_job(best_job_array(next_data(pages)))
 
@@ -279,11 +299,8 @@ def site_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def extract_job_links(pages: DataFrame, at_least: int = 2) -> DataFrame:
-    """Postings from links alone; only for pages that have enough of them.
-
-    A page's links are judged, freed of repeats and counted inside its row: no shuffle.
-    """
+def _job_links(html: Column, page: Column, at_least: int = 2) -> Column:
+    """Links that look like postings, without repeats; null for a page with fewer than ``at_least``."""
 
     def judged(links: Column) -> Column:
         found = F.filter(
@@ -296,23 +313,96 @@ def extract_job_links(pages: DataFrame, at_least: int = 2) -> DataFrame:
         titled = F.filter(once, lambda x: urls.is_link_title(x["text"]))
         return let(titled, lambda t: F.when(F.size(t) >= at_least, t))
 
-    rows = pages.select(
-        "seq", "url", "company", F.inline(judged(_own_links(F.col("payload"), F.col("url"))))
+    return judged(_own_links(html, page))
+
+
+def _link_fields() -> dict[str, Column]:
+    """Posting fields of a row with ``title`` and ``job_url`` of a link."""
+    return dict(
+        seq=F.col("seq"),
+        pos=F.col("pos"),
+        site=F.lit("custom"),
+        source_url=F.col("url"),
+        id=F.concat(F.lit("custom:link:"), urls.url_hash(F.col("job_url"))),
+        title=F.col("title"),
+        company_name=F.col("company"),
+        job_url=F.col("job_url"),
+        location=location(None, None, None, True),
+        is_remote=F.lit(False),
     )
-    return rows.select(
-        *posting_columns(
-            seq=F.col("seq"),
-            pos=F.col("pos"),
-            site=F.lit("custom"),
-            source_url=F.col("url"),
-            id=F.concat(F.lit("custom:link:"), urls.url_hash(F.col("href"))),
-            title=F.col("text"),
-            company_name=F.col("company"),
-            job_url=F.col("href"),
-            location=location(None, None, None, True),
-            is_remote=F.lit(False),
+
+
+def extract_job_links(pages: DataFrame, at_least: int = 2) -> DataFrame:
+    """Postings from links alone; only for pages that have enough of them.
+
+    A page's links are judged, freed of repeats and counted inside its row: no shuffle.
+    """
+    rows = pages.select(
+        "seq", "url", "company", F.inline(_job_links(F.col("payload"), F.col("url"), at_least))
+    ).withColumnsRenamed({"href": "job_url", "text": "title"})
+    return rows.select(*posting_columns(**_link_fields()))
+
+
+# ---- the strategies of a page, in one scan ----------------------------------------------------
+
+#: Ranks of what a page's own HTML offers, in the order in which it is tried.
+STATE, LINKED, LINKS = 1, 2, 6
+
+
+def page_cascade(pages: DataFrame) -> DataFrame:
+    """Postings of the first strategy that finds any in a page's HTML, with its ``strategy_rank``.
+
+    Embedded state, linked data and links are tried in this order inside the page's row, and what comes
+    after the first that is enough isn't read. One scan and no shuffle. A page without payload, or in
+    which no strategy finds anything, has no rows.
+    """
+
+    def some(found: Column) -> Column:
+        return F.coalesce(F.size(found) > 0, F.lit(False))
+
+    html, page = F.col("payload"), F.col("url")
+    state = with_once(pages.select("seq", "url", "company", "payload"), body=_state_body(html))
+    state = state.withColumn("arrays", job_arrays(non_empty(F.col("body"))))
+    state = with_once(state, items=_largest(F.col("arrays"))).drop("body", "arrays")
+    linked = state.withColumn("scripts", F.when(~some(F.col("items")), script_bodies(html, LD_JSON)))
+    linked = linked.withColumn("scripts", jsonld_postings(F.col("scripts")))
+    read = F.transform("scripts", lambda p, i: F.struct(i.alias("pos"), F.from_json(p, LD_POSTING).alias("p")))
+    linked = with_once(linked, linked=F.filter(read, lambda x: has_text(x["p"]["title"]))).drop("scripts")
+
+    items, found = F.col("items"), F.col("linked")
+    links = F.when(~some(items) & ~some(found), _job_links(html, page))
+    kinds = {"item": "array<struct<key:string,kind:string,text:string,remote:boolean>>", "p": LD_POSTING,
+             "link": "struct<href:string,text:string>"}
+
+    def offer(rank: int, pos: Column, **given: Column) -> Column:
+        """One candidate; all kinds have the same layout."""
+        return F.struct(
+            F.lit(rank).alias("strategy_rank"), pos.cast("int").alias("pos"),
+            *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()],
         )
+
+    chosen = (
+        F.when(some(items), F.transform(items, lambda x, i: offer(STATE, i, item=x)))
+        .when(some(found), F.transform(found, lambda x: offer(LINKED, x["pos"], p=x["p"])))
+        .otherwise(F.transform(links, lambda x: offer(LINKS, x["pos"], link=F.struct(x["href"], x["text"]))))
+    )
+    rows = linked.select("seq", "url", "company", F.inline(chosen))
+    rank, item = F.col("strategy_rank"), F.col("item")
+
+    def by_rank(state: Column, linked: Column, link: Column) -> Column:
+        return F.when(rank == STATE, state).when(rank == LINKED, linked).otherwise(link)
+
+    rows = with_once(
+        rows,
+        title=by_rank(_loose_title(item), F.col("p.title"), F.col("link.text")),
+        job_url=by_rank(_loose_url(item), _linked_url(), F.col("link.href")),
+        raw_text=by_rank(first_field(item, DESCRIPTION_KEYS), F.col("p.description"), F.lit(None)),
+        **_linked_parts(),
     )
+    rows = rows.withColumn("description", convert_if_html(F.col("raw_text")))
+    each = [posting_columns(**fields()) for fields in (_loose_fields, _linked_fields, _link_fields)]
+    names = rows.select(*each[0]).columns
+    return rows.select(*[by_rank(*c).alias(name) for name, *c in zip(names, *each)], "strategy_rank")
 
 
 def find_listing_link(pages: DataFrame) -> DataFrame:
