@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,13 @@ BEGIN = 0xFF
 PRIOR = 8.0
 #: Bytes of the texts that get their n-grams' losses together.
 CHUNK_BYTES = 1 << 22
+#: Chunks of a task that scores them, on average.
+TASK_CHUNKS = 2
+#: What a document is part of: the background, or a half of the target.
+BACKGROUND, EVEN, ODD = range(3)
+#: The halves of the target in which n-grams are counted, and the models that come of the counts.
+COUNTED = ("even", "odd", "background")
+MODELS = ("target", *COUNTED)
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[ord("A"):ord("Z") + 1] += 32
 
@@ -61,30 +69,33 @@ def _grams(data: np.ndarray, offsets: np.ndarray, order: int) -> np.ndarray:
 
 
 def prepared(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(chunk, key, is_target, n_tokens, packed) of all documents, written; labelled ones are the target.
+    """(chunk, key, part, mark, n_tokens, packed) of all documents, written; labelled ones are the target.
 
     A chunk is some documents of one partition, of about ``CHUNK_BYTES``. Labels (key) grow with the
-    documents, so the join deals both by key at every size.
+    documents, so the join deals both by key at every size. Which half of the target a document is in
+    follows from its text, so copies are in the same one.
     """
     wanted = pick(labels, label=key).where("label is not null").distinct().withColumn("is_target", F.lit(True))
     own = _packed(pick(docs, key=key, text=text))
     joined = own.join(wanted.hint("merge"), F.col("key") == F.col("label"), "left")
-    joined = joined.select("key", F.coalesce("is_target", F.lit(False)).alias("is_target"), "n_tokens", "packed")
+    joined = joined.withColumn("mark", F.xxhash64("packed"))
+    half = F.when(F.col("mark") % 2 == 0, EVEN).otherwise(ODD)
+    joined = joined.select("key", F.when(F.col("is_target"), half).otherwise(BACKGROUND).alias("part"), "mark", "n_tokens", "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, before = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            upto = before + np.cumsum(batch.column(2).to_numpy(zero_copy_only=False))
+            upto = before + np.cumsum(batch.column(3).to_numpy(zero_copy_only=False))
             number = first + np.concatenate([[before], upto])[:-1] // CHUNK_BYTES
             before = int(upto[-1]) if len(upto) else before
             yield pa.RecordBatch.from_arrays([pa.array(number), *batch.columns], ["chunk", *batch.schema.names])
 
     kind = joined.schema["key"].dataType.simpleString()
-    return keep(joined.mapInArrow(run, f"chunk long, key {kind}, is_target boolean, n_tokens long, packed binary"), "texts")
+    return keep(joined.mapInArrow(run, f"chunk long, key {kind}, part int, mark long, n_tokens long, packed binary"), "texts")
 
 
 def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(chunk, gram, target, background): occurrences of each n-gram of ``prepared`` texts in both parts.
+    """(chunk, gram, even, odd, background): occurrences of each n-gram of ``prepared`` texts in each part.
 
     A chunk that is read in two batches gives an n-gram of both twice.
     """
@@ -99,28 +110,31 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 data, offsets = _bytes(part.column(2), part.column(3))
                 grams = _grams(data, offsets, order)
-                ours = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
+                parts = np.repeat(part.column(1).to_numpy(), np.diff(offsets))
                 seen, n = np.unique(grams, return_counts=True)
-                mine, m = np.unique(grams[ours], return_counts=True)
-                target = np.zeros(len(seen), dtype=np.int64)
-                target[np.searchsorted(seen, mine)] = m
-                found = [np.full(len(seen), number[lo]), seen.astype(np.int64), target, n - target]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["chunk", "gram", "target", "background"])
+                halves = []
+                for half in (EVEN, ODD):
+                    mine, m = np.unique(grams[parts == half], return_counts=True)
+                    halves.append(np.zeros(len(seen), dtype=np.int64))
+                    halves[-1][np.searchsorted(seen, mine)] = m
+                found = [np.full(len(seen), number[lo]), seen.astype(np.int64), *halves, n - sum(halves)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["chunk", "gram", *COUNTED])
 
-    schema = "chunk long, gram long, target long, background long"
-    return texts.select("chunk", "is_target", "n_tokens", "packed").mapInArrow(run, schema)
+    schema = "chunk long, gram long, " + ", ".join(f"{c} long" for c in COUNTED)
+    return texts.select("chunk", "part", "n_tokens", "packed").mapInArrow(run, schema)
 
 
 def token_losses(counts: DataFrame, order: int = ORDER, prior: float = PRIOR) -> DataFrame:
-    """(gram, target, background): -log p of the last token of every n-gram, given the tokens before it.
+    """(gram, target, even, odd, background): -log p of the last token of every n-gram, given those before it.
 
-    ``counts`` are whole numbers for each distinct (gram). The estimate of each order is drawn towards
-    the next shorter one's, as if that had been seen ``prior`` times; the shortest towards all symbols
-    alike. The background's counts are scaled to the target's number of tokens, so that the prior weighs
-    alike in both. Without target or background texts, that model knows nothing.
+    ``counts`` are whole numbers (gram, even, odd, background) for each distinct n-gram; the target is
+    both halves. The estimate of each order is drawn towards the next shorter one's, as if that had been
+    seen ``prior`` times; the shortest towards all symbols alike. All models' counts are scaled to the
+    target's number of tokens, so that the prior weighs alike in them. A model without texts knows nothing.
     """
-    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("target", "background")]).first()
-    scale = {"target": 1.0, "background": total.target / total.background if total.target and total.background else 1.0}
+    counts = counts.select("gram", (F.col("even") + F.col("odd")).alias("target"), *COUNTED)
+    total = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in MODELS]).first()
+    scale = {c: total.target / total[c] if total.target and total[c] else 1.0 for c in MODELS}
 
     def summed(df: DataFrame, gram: Column, *names: str) -> DataFrame:
         return df.groupBy(gram.alias("g")).agg(*[F.sum(c).alias(n) for c, n in zip(scale, names)])
@@ -132,7 +146,7 @@ def token_losses(counts: DataFrame, order: int = ORDER, prior: float = PRIOR) ->
         levels.insert(0, shorter)
     losses = None
     for own in levels:
-        contexts = summed(own, F.shiftright("gram", 8), "in_target", "in_background")
+        contexts = summed(own, F.shiftright("gram", 8), *[f"in_{c}" for c in scale])
         found = own.join(contexts, F.shiftright("gram", 8) == F.col("g")).drop("g")
         if losses is None:
             found = found.withColumns({f"p_{c}": F.lit(1.0 / SYMBOLS) for c in scale})
@@ -149,37 +163,58 @@ def token_losses(counts: DataFrame, order: int = ORDER, prior: float = PRIOR) ->
 def cross_entropy_difference(texts: DataFrame, needed: DataFrame, order: int = ORDER) -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, difference) of ``prepared`` texts, in nats for a token.
 
-    ``needed`` are the losses (chunk, gram, target, background) of the n-grams of each chunk.
+    ``needed`` are the losses (chunk, gram and a column per model) of the n-grams of each chunk. A document
+    whose text is in one half of the target is scored by the model of the other one.
     """
+    # The marks of the target's texts come to the chunks that hold such a text as rows without losses.
+    target = texts.where(F.col("part") != BACKGROUND).select("mark").distinct()
+    held = texts.select("chunk", "mark").distinct().join(target, "mark", "left_semi")
+    needed = needed.unionByName(held.select("chunk", F.col("mark").alias("gram")), allowMissingColumns=True)
     kind = texts.schema["key"].dataType.simpleString()
 
     def run(own: pa.Table, given: pa.Table) -> pa.Table:
         own, given = own.combine_chunks(), given.combine_chunks()
+        marked = pc.is_null(given.column("background"))
+        mark, held = own.column("mark").to_numpy(), given.filter(marked).column("gram").to_numpy()
+        given = given.filter(pc.invert(marked))
+        half = np.where(np.isin(mark, held), np.where(mark % 2 == 0, EVEN, ODD), BACKGROUND)
         grams = given.column("gram").to_numpy()
         by = np.argsort(grams)
         data, offsets = _bytes(own.column("n_tokens"), own.column("packed"))
         at = by[np.searchsorted(grams[by], _grams(data, offsets, order).astype(np.int64))]
         n = np.diff(offsets)
         some = n > 0
-        losses = []
-        for name in ("target", "background"):
+        def mean(name: str) -> np.ndarray:
             sums = np.zeros(len(n))
             if some.any():
                 sums[some] = np.add.reduceat(given.column(name).to_numpy()[at].astype(np.float64), offsets[:-1][some])
-            losses.append(np.round(sums / np.maximum(n, 1), 9))
+            return np.round(sums / np.maximum(n, 1), 9)
+
+        target = mean("target")
+        for mine, other in ((EVEN, "odd"), (ODD, "even")):
+            if (half == mine).any():
+                target = np.where(half == mine, mean(other), target)
+        losses = [target, mean("background")]
         losses.append(np.round(losses[0] - losses[1], 9))
         return pa.table([own.column("key"), own.column("n_tokens"), *[pa.array(x, mask=~some) for x in losses]],
                         ["key", "n_tokens", "target_loss", "background_loss", "difference"])
 
     schema = f"key {kind}, n_tokens long, target_loss double, background_loss double, difference double"
-    return texts.groupBy("chunk").cogroup(needed.groupBy("chunk")).applyInArrow(run, schema)
+    # Both sides are dealt to tasks whose number grows with the chunks.
+    tasks = -(-texts.select("chunk").distinct().count() // TASK_CHUNKS)
+    tasks = max(tasks, texts.sparkSession.sparkContext.defaultParallelism)
+    own, given = (df.repartition(tasks, "chunk").groupBy("chunk") for df in (texts, needed))
+    return own.cogroup(given).applyInArrow(run, schema)
 
 
 def score_against(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", order: int = ORDER,
                   prior: float = PRIOR) -> DataFrame:
     """(key, n_tokens, target_loss, background_loss, difference) per document, the labelled ones being the target.
 
-    A lower difference is nearer to the target. All n-grams of all texts are counted in written tables,
+    A lower difference is nearer to the target. No text is scored by a target model that holds it: the
+    target falls into two halves by text, each of which is scored by the other's model (so are copies that
+    aren't labelled), all other texts by the model of both. Equal texts score alike. Where the other half
+    has no text, its model knows nothing. All n-grams of all texts are counted in written tables,
     and a chunk of texts is joined with the losses of its distinct n-grams, so nothing is bounded by a
     table's size and nothing but two totals comes to the driver. Counts are whole numbers, so reruns
     agree. A null or empty text has no tokens and null losses; repeated rows come repeated; an empty
@@ -187,6 +222,6 @@ def score_against(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """
     texts = prepared(docs, labels, key, text)
     found = keep(gram_counts(texts, order), "grams")
-    counts = keep(found.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background")), "counts")
+    counts = keep(found.groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTED]), "counts")
     needed = found.select("chunk", "gram").join(token_losses(counts, order, prior), "gram")
     return cross_entropy_difference(texts, needed, order).withColumnRenamed("key", key)
