@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import selection
 from checks.assembly import aligned
-from checks.inputs import AS_OF, plain, pst, pst_sql, table
+from checks.inputs import AS_OF, pieces, plain, pst, pst_sql, table
 from checks.payloads_json import day_text, key, s
 from checks.registry import ORACLES, query
 from vacancia.session import work_folder
@@ -103,14 +103,15 @@ def stream_enrich_query(spark, sf):
         "details": details.withColumn("n", F.xxhash64("id")).withColumn("fetched_at", hour).drop("n"),
     }
     streams = []
+    files = max(pieces(table(spark, sf, name)) for name in ("orders", "documents"))  # of one batch
     for name, frame in frames.items():
         folder = _folder(spark, name)
-        frame.coalesce(1).write.parquet(folder)
-        for day in (30, 60):  # nothing but the time is of interest
-            tick = spark.range(1).select(*[F.lit("tick" if f.name == "id" else None).cast(f.dataType).alias(f.name) for f in frame.schema])
+        (frame.repartition(files) if name == "details" else frame).write.parquet(folder)  # postings are dealt out already
+        for day in (30, 60):  # nothing but the time is of interest; as many files, so each day has a batch of its own
+            tick = spark.range(0, files, 1, files).select(*[F.lit("tick" if f.name == "id" else None).cast(f.dataType).alias(f.name) for f in frame.schema])
             later = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=F.lit(day))
-            tick.withColumn("fetched_at", later).coalesce(1).write.mode("append").parquet(folder)
-        streams.append(read_landed(spark, folder, frame.schema, files=1))
+            tick.withColumn("fetched_at", later).write.mode("append").parquet(folder)
+        streams.append(read_landed(spark, folder, frame.schema, files=files))
     done = stream_enrich(*streams, delay=timedelta(days=2))
     path = _folder(spark, "enriched")
     write_available(selection.enriched(done), path, f"{path}-checkpoint")
