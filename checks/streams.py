@@ -76,12 +76,13 @@ def stream_normalize_query(spark, sf):
     """SELECT user_id, event_type, count(*) AS n_rows, 1 AS n_kept FROM events WHERE ts IS NOT NULL GROUP BY ALL""",
 )
 def judge_repeats_query(spark, sf):
-    """Events that land in four files, each with all times: kept, repeated and late rows add up to all of them."""
+    """Events that land in four lots of files, each with all times: kept, repeated and late rows add up to all of them."""
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts").where("ts is not null")
     landed = _folder(spark, "events")
+    files = pieces(table(spark, sf, "events"))  # of one batch
     for part in range(4):  # one after another, as files are taken by their times
-        events.where(F.pmod("event_id", F.lit(4)) == part).coalesce(1).write.mode("append").parquet(landed)
-    stream = read_landed(spark, landed, events.schema, files=1)
+        events.where(F.pmod("event_id", F.lit(4)) == part).repartition(files).write.mode("append").parquet(landed)
+    stream = read_landed(spark, landed, events.schema, files=files)
     # The delay is longer than the table's times reach, so a key is held from its first row to the end.
     judged = judge_repeats(stream, ["user_id", "event_type"], timedelta(days=4000))
     path = _folder(spark, "judged")

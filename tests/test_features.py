@@ -261,3 +261,20 @@ def test_larger_tables_are_dealt_into_more_parts(spark, tmp_path):
         streams.read_landed = real
     per_file = [r["n"] for r in spark.read.parquet(landed[0]).where("seq is not null").groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert len(per_file) > 1 and max(per_file) < 5_000
+
+
+def test_repeats_are_judged_by_buckets_of_keys(spark):
+    def lot(first, hour):
+        return [(first + i, None if i == 9 else float(i), at(hour)) for i in range(10)] + [(first + 10, -0.0, at(hour)), (first + 11, 0.0, at(hour))]
+
+    stream = landed_files(spark, "n int, k double, ts timestamp", lot(0, 0), lot(100, 1), lot(200, 9), lot(300, 10))
+    path = folder(spark, "out")
+    query = write_available(judge_repeats(stream, ["k"], timedelta(hours=2), buckets=2), path, f"{path}-checkpoint")
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 2
+    rows = spark.read.parquet(path).collect()
+    got = {r.n: r.status for r in rows}
+    assert len(rows) == len(got) == 48
+    kept = sorted(n for n, status in got.items() if status == "kept")
+    zeros = [n for n in kept if n % 100 in (0, 10, 11)]
+    assert [n for n in kept if n not in zeros] == [*range(1, 10), *range(301, 310)] and [n // 100 for n in zeros] == [0, 3]
+    assert {status for n, status in got.items() if n not in kept} == {"repeated"}

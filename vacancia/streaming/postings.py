@@ -9,7 +9,7 @@ from datetime import timedelta
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -52,12 +52,25 @@ def stream_dedup(
     return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def judge_repeats(stream: DataFrame, keys: Sequence[str], delay: timedelta = timedelta(days=1), ts: str = "ts") -> DataFrame:
+def _exact_key(df: DataFrame, keys: Sequence[str]) -> Column:
+    """One text per key, equal where grouping takes keys as equal; a null is a value of its own."""
+    kinds = dict(df.dtypes)
+    parts = [(F.col(k) + F.lit(0).cast(kinds[k])).alias(k) if kinds[k] in ("float", "double") else F.col(k) for k in keys]  # -0.0 is 0.0
+    day = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return F.to_json(F.struct(*parts), {"timestampFormat": f"{day}XXX", "timestampNTZFormat": day})
+
+
+def judge_repeats(
+    stream: DataFrame, keys: Sequence[str], delay: timedelta = timedelta(days=1), ts: str = "ts", buckets: int = 1024
+) -> DataFrame:
     """Every row of a stream with a ``status``: ``kept``, ``repeated`` or ``late``. Nothing is lost.
 
     A key's first row is kept and holds the key until the watermark has passed its time by ``delay``;
     what comes meanwhile is repeated. A row older than the watermark is late, whether it is a first one or
     a repeat, and so is one without a time. A timer frees a key when the watermark has left it behind.
+
+    Python is called once per bucket of keys and batch, and a bucket's state holds its keys. So ``buckets``
+    is to grow with the keys that are held at a time; it stays the same for a checkpoint.
     """
     keys, hold, columns = list(keys), max(_millis(delay), 1), stream.columns
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{hold} milliseconds")
@@ -65,29 +78,32 @@ def judge_repeats(stream: DataFrame, keys: Sequence[str], delay: timedelta = tim
     # sees them. So another column bears its mark there, by which no row of this century is late.
     never_late = (F.col(ts) + F.expr("INTERVAL 100 YEARS")).alias("__clock", metadata={_WATERMARK: hold})
     timed = timed.select(*[F.col(c).alias(c, metadata={}) if c == ts else F.col(c) for c in columns],
-                         F.unix_millis(ts).alias("__ms"), never_late)
+                         F.unix_millis(ts).alias("__ms"), never_late, _exact_key(timed, keys).alias("__key"))
+    timed = timed.withColumn("__bucket", F.pmod(F.xxhash64("__key"), F.lit(buckets)).cast("int"))
 
-    def judged(key: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def judged(bucket: tuple, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.getCurrentWatermarkMs()
-        until = state.get[0] if state.exists else None
-        if state.hasTimedOut or until is not None and now > until:
-            state.remove()
-            until = None
+        held = {k: until for k, until in zip(*state.get) if until >= now} if state.exists else {}
         for rows in pieces:
             ms = rows["__ms"].to_numpy(dtype=float)
             late = np.isnan(ms) | (now > 0) & (ms < now)
             status = np.where(late, LATE, REPEATED).astype(object)
             on_time = np.nonzero(~late)[0]
-            if until is None and len(on_time):
-                status[on_time[0]] = KEPT
-                until = int(ms[on_time[0]]) + hold
-                state.update((until,))
+            names = rows["__key"].iloc[on_time]
+            for i, key in zip(on_time[~names.duplicated().to_numpy()], names.drop_duplicates()):
+                if key not in held:
+                    status[i] = KEPT
+                    held[key] = int(ms[i]) + hold
             yield rows[columns].assign(status=status)
-        if until is not None:
-            state.setTimeoutTimestamp(until)
+        if held:
+            state.update((list(held), list(held.values())))
+            state.setTimeoutTimestamp(min(held.values()))
+        elif state.exists:
+            state.remove()
 
     schema = T.StructType([*timed.select(*columns).schema, T.StructField("status", T.StringType())])
-    return timed.groupBy(*keys).applyInPandasWithState(judged, schema, "until bigint", "append", "EventTimeTimeout")
+    held_ddl = "keys array<string>, until array<bigint>"
+    return timed.groupBy("__bucket").applyInPandasWithState(judged, schema, held_ddl, "append", "EventTimeTimeout")
 
 
 def stream_enrich(
