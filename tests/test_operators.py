@@ -476,3 +476,12 @@ def test_post_lines_are_told_apart_without_expressions_per_line(spark):
     assert got[2][:3] == ("Cy", "line number 0", "") and got[2][3].endswith("line number 12\n3d\nLike us")
     assert got[3] == ("Anna", "Terms", "", texts[3]) and set(got) == {0, 1, 2, 3}
     assert "transform(" not in posts._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_page_state_is_read_once(spark):
+    page = '<script id="__NEXT_DATA__">{"props":{"pageProps":%s}}</script>'
+    rows = [(1, "u", "c", page % '{"a":[1]}'), (2, "u", "c", page % '""'), (3, "u", "c", "<p>none</p>"), (4, "u", "c", None)]
+    found = career_pages.next_data(spark.createDataFrame(rows, "seq int, url string, company string, payload string"))
+    assert found.columns == ["seq", "url", "company", "body"]
+    assert [tuple(r) for r in found.collect()] == [(1, "u", "c", '{"a":[1]}')]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("__NEXT_DATA__") == 1

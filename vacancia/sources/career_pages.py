@@ -16,7 +16,7 @@ from vacancia.functions.json_tree import (
 )
 from vacancia.functions.markdown import convert_if_html, html_list_to_markdown
 from vacancia.functions.markup import meta_content, page_links, script_bodies
-from vacancia.functions.text import extract_emails, first_match, let, non_empty, strip
+from vacancia.functions.text import extract_emails, filled, first_match, let, non_empty, strip
 from vacancia.lookups import (
     DATE_KEYS, DESCRIPTION_KEYS, ID_KEYS, LOCATION_KEYS, REMOTE_KEYS, TITLE_KEYS, URL_KEYS,
 )
@@ -158,9 +158,7 @@ def _state_body(html: Column) -> Column:
 
 def next_data(pages: DataFrame) -> DataFrame:
     """``seq, url, company, body``: page properties embedded by the site's framework."""
-    return pages.select(
-        "seq", "url", "company", _state_body(F.col("payload")).alias("body")
-    ).where(F.length("body") > 0)
+    return with_once(pages, body=_state_body(F.col("payload"))).where(F.length("body") > 0).select("seq", "url", "company", "body")
 
 
 def captured_bodies(responses: DataFrame) -> DataFrame:
@@ -192,7 +190,7 @@ def _largest(arrays: Column) -> Column:
     """Items of the array with most usable titles; the earliest wins a tie; null without one."""
 
     def usable(found: Column) -> Column:
-        items = F.filter(found["items"], lambda i: urls.is_loose_title(_loose_title(i)))
+        items = F.filter(found["items"], lambda i: let(_loose_title(i), urls.is_loose_title))
         return F.struct(F.size(items).alias("n"), items.alias("items"))
 
     def largest(judged: Column) -> Column:
@@ -216,7 +214,7 @@ def best_job_array(bodies: DataFrame) -> DataFrame:
 
 
 def _loose_url(item: Column) -> Column:
-    link = F.coalesce(non_empty(first_field(item, URL_KEYS)), F.col("url"))
+    link = F.coalesce(filled(first_field(item, URL_KEYS)), F.col("url"))
     return urls.absolute_url(link, F.col("url"))
 
 
@@ -224,7 +222,7 @@ def _loose_fields() -> dict[str, Column]:
     """Posting fields of a row with ``item``, ``title``, ``job_url`` and ``description``."""
     item, text = F.col("item"), F.col("description")
     native = F.coalesce(
-        non_empty(first_field(item, ID_KEYS)),
+        filled(first_field(item, ID_KEYS)),
         urls.url_hash(F.concat(F.col("title"), F.col("job_url"))),
     )
     return dict(
