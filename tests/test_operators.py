@@ -463,8 +463,8 @@ def test_post_lines_are_told_apart_without_expressions_per_line(spark):
     body = "We are looking for a cook\nin our kitchen"
     texts = [
         f"Feed post\nAnna\n• 2nd\nChef at Foo\n5 Д •\n{body}\n… SEE MORE\nſhare\nnot read",
-        f"　 Follow \nBo\n\n12 mo\n Follow me on {body}\n3 Reactions\nnot read",
-        "\n".join(["Cy", *[f"line number {i}" for i in range(13)], "3d", "Like us", "Like"]),
+        f"　 Follow \nBob\n\n12 mo\n Follow me on {body}\n3 Reactions\nnot read",
+        "\n".join(["Cyd", *[f"line number {i}" for i in range(13)], "3d", "Like us", "Like"]),
         f"Anna\nTerms\n٣d\n{body} of the new town hall",
         f" ABOUT the company\n{body} {body}", "Anna\n3d\nshort\nLike\n" + "x" * 60, "", None,
     ]
@@ -472,8 +472,8 @@ def test_post_lines_are_told_apart_without_expressions_per_line(spark):
     posts = social.split_social_post_lines(df)
     got = {r.seq: (r.author, r.subtitle, r.time, r.text) for r in posts.collect()}
     assert got[0] == ("Anna", "Chef at Foo", "5 Д", body)
-    assert got[1] == ("Bo", "", "12 mo", f"Follow me on {body}")
-    assert got[2][:3] == ("Cy", "line number 0", "") and got[2][3].endswith("line number 12\n3d\nLike us")
+    assert got[1] == ("Bob", "", "12 mo", f"Follow me on {body}")
+    assert got[2][:3] == ("Cyd", "line number 0", "") and got[2][3].endswith("line number 12\n3d\nLike us")
     assert got[3] == ("Anna", "Terms", "", texts[3]) and set(got) == {0, 1, 2, 3}
     assert "transform(" not in posts._jdf.queryExecution().optimizedPlan().toString()
 
