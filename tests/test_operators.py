@@ -3,11 +3,13 @@
 import itertools
 import json
 from datetime import date
+from functools import reduce
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from checks import inputs
 from vacancia.functions.arrays import distinct_by
 from vacancia.functions.markup import scan_html
 from vacancia.operators import aggregates, assemble, dedup, filters, ranking
@@ -485,3 +487,33 @@ def test_page_state_is_read_once(spark):
     assert found.columns == ["seq", "url", "company", "body"]
     assert [tuple(r) for r in found.collect()] == [(1, "u", "c", '{"a":[1]}')]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("__NEXT_DATA__") == 1
+
+
+def test_dedup_reads_its_input_once(spark):
+    """Rows that arrive together: one of a key, all without a key."""
+    rows = [(1, 0, "seek", "a"), (1, 0, "seek", "a"), (0, 0, "seek", "a"), (0, 0, "seek", "a"), (0, 0, "reed", "a"),
+            (None, 0, "seek", "b"), (5, 0, "seek", "b"), (7, 0, "seek", None), (7, 0, "seek", None), (None, None, "seek", None)]
+    df = as_postings(spark.createDataFrame(rows, "seq bigint, pos int, site string, id string"))
+    got = dedup.dedup_within_site(df)
+    assert got.columns == df.columns
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and plan.count("WindowGroupLimit") == 2
+    found = sorted(str((r["seq"], r["site"], r["id"])) for r in got.collect())
+    assert found == sorted(map(str, [
+        (0, "seek", "a"), (0, "reed", "a"), (None, "seek", "b"), (7, "seek", None), (7, "seek", None), (None, "seek", None)]))
+
+
+def test_a_json_payload_is_read_once(spark):
+    df = boards_json.NAUKRI.parse(raw(spark, [(None, None, '{"jobDetails":[{"jobId":"1"},{"jobId":""}]}'), (None, None, "<")]))
+    assert [r["id"] for r in df.select("id").collect()] == ["nk-1"]
+    assert df.select("id")._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+
+
+def test_payloads_of_other_sites_are_not_built(spark):
+    base = spark.range(3).withColumn("company_name", F.lit("A")).withColumnRenamed("id", "seq")
+    both = reduce(lambda a, b: a.unionByName(b), [
+        inputs.raw(base, F.concat(F.lit(mark), F.col("seq").cast("string")), site) for site, mark in (("indeed", "<in>"), ("seek", "<sk>"))])
+    one = both.where(F.col("site") == "seek")
+    assert sorted(r["payload"] for r in one.collect()) == ["<sk>0", "<sk>1", "<sk>2"]
+    # What is left of the other branch has no rows.
+    assert one._jdf.queryExecution().executedPlan().toString().count("Range (") == 1

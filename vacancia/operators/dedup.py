@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancia.functions.urls import normalized_url
-from vacancia.operators.ranking import ARRIVAL, first_per_key
+from vacancia.operators.ranking import ARRIVAL
 from vacancia.operators.skew import salted_join
 
 # Boards whose postings are the same when their URL is; all others compare ids.
@@ -24,10 +24,18 @@ def posting_key() -> Column:
 
 
 def _first_by(df: DataFrame, key: Column, scope: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row of every key. Rows without a key are all kept: nothing says that they are the same."""
-    keyed = df.withColumn("__key", key)
-    once = first_per_key(keyed.where(F.col("__key").isNotNull()), [*scope, "__key"], order)
-    return once.unionByName(keyed.where(F.col("__key").isNull())).drop("__key")
+    """First row of every key. Rows without a key are all kept: nothing says that they are the same.
+
+    The input is read once. Rows without a key tie for the first rank, and are dealt out by their values
+    so that no task gets all of them; each map task passes on only the first rank of a key.
+    """
+    has_key = F.col("__key").isNotNull()
+    dealt = [*order, *[c for c in ("id", "job_url") if c in df.columns]]
+    keyed = df.withColumn("__key", key).withColumn("__part", F.when(~has_key, F.xxhash64(*dealt)))
+    window = Window.partitionBy(*scope, "__key", "__part").orderBy(*[F.when(has_key, F.col(c)) for c in order])
+    ranked = keyed.withColumns({"__rank": F.rank().over(window), "__nth": F.row_number().over(window)})
+    first = (F.col("__rank") == 1) & ((F.col("__nth") == 1) | ~has_key)
+    return ranked.where(first).drop("__key", "__part", "__rank", "__nth")
 
 
 def dedup_within_site(df: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
