@@ -20,7 +20,7 @@ from vacancia.plans import careers
 from vacancia.plans.collect import SearchSpec, collect_postings, site_names
 from vacancia.schema import OUTPUT_COLUMNS, POSTING_DDL, as_postings
 from vacancia.session import clear_work, cut_lineage, work_folder
-from vacancia.sources import RAW_DDL, boards_json, career_pages, careers_json, social
+from vacancia.sources import RAW_DDL, boards_html, boards_json, career_pages, careers_json, social
 from vacancia.sources.payloads import ParseOptions
 from vacancia.streaming.postings import read_landed, stream_dedup, stream_normalize, write_available
 
@@ -517,3 +517,22 @@ def test_payloads_of_other_sites_are_not_built(spark):
     assert sorted(r["payload"] for r in one.collect()) == ["<sk>0", "<sk>1", "<sk>2"]
     # What is left of the other branch has no rows.
     assert one._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+
+
+def test_linked_data_is_asked_once_for_each_field(spark):
+    entries = [
+        {"@type": "JobPosting", "title": "Cook", "url": "/job/dev-job7", "baseSalary": {"value": {"minValue": 10, "maxValue": None}}},
+        {"@type": "JobPosting", "title": "Cook", "url": ""},
+        {"@type": "JobPosting", "title": None, "url": "/job/x"},
+        {"@type": "ListItem", "title": "no posting", "url": "/job/x"},
+    ]
+    listed = {"@type": "ItemList", "itemListElement": [{"item": {"title": "Baker", "url": "https://a.test/b", "datePosted": "2024-01-02"}}, entries[0]]}
+    rows = [(None, None, f'<script type="application/ld+json">{json.dumps(body)}</script>') for body in (entries, listed)]
+    df = boards_html.parse_irishjobs_jsonld(raw(spark, rows), ParseOptions(as_of="2024-02-15"))
+    shown = df.select("seq", "pos", "id", "title", "job_url", "compensation.min_amount", F.col("date_posted").cast("string"))
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("$.title") == plan.count("$.url") == plan.count("$.item)") == 1
+    got = sorted(map(tuple, shown.collect()))
+    assert [(g[0], g[1], g[3], g[5], g[6]) for g in got] == [
+        (0, 0, "Cook", 10.0, None), (1, 0, "Baker", None, "2024-01-02"), (1, 1, "Cook", 10.0, None)]
+    assert (got[0][2], got[0][4], got[1][4]) == ("ij-7", "https://www.irishjobs.ie/jobs/7", "https://a.test/b")

@@ -497,32 +497,36 @@ def parse_irishjobs_jsonld(raw: DataFrame, options: ParseOptions | None = None)
     rows = raw.where(_irish_without_cards(F.col("payload"))).select(
         "seq", F.posexplode(_irish_items(F.col("payload"))).alias("pos", "item")
     )
-    item = F.coalesce(F.get_json_object("item", "$.item"), F.col("item"))
+    rows = with_once(rows, entry=F.coalesce(F.get_json_object("item", "$.item"), F.col("item")))
 
     def get(path: str) -> Column:
-        return F.get_json_object(F.col("item"), path)
-
-    low, high = get("$.baseSalary.value.minValue"), get("$.baseSalary.value.maxValue")
+        return F.get_json_object(F.col("entry"), path)
+
+    # Each is read once: what a row needs is asked of these columns, not of the entry again.
+    rows = with_once(
+        rows.drop("item"),
+        title=get("$.title"),
+        link=get("$.url"),
+        company=get("$.hiringOrganization.name"),
+        place=get("$.jobLocation.address.addressLocality"),
+        low=get("$.baseSalary.value.minValue"),
+        high=get("$.baseSalary.value.maxValue"),
+        currency=get("$.baseSalary.currency"),
+        day=get("$.datePosted"),
+        kind=get("$.employmentType"),
+        description=get("$.description"),
+    )
+    low, high = F.col("low"), F.col("high")
     pay = F.when(
         has_text(F.concat_ws("", low, high)),
         F.concat(
-            F.coalesce(get("$.baseSalary.currency"), F.lit("EUR")), F.lit(" "),
+            F.coalesce("currency", F.lit("EUR")), F.lit(" "),
             F.coalesce(low, F.lit("")), F.lit(" - "), F.coalesce(high, F.lit("")),
         ),
     )
+    rows = with_once(rows, url=urls.absolute_url(non_empty(F.col("link")), F.lit(IRISH_HOME)), pay=pay)
     return build_irishjobs_row(
-        rows.withColumn("item", item).select(
-            "seq", "pos",
-            get("$.title").alias("title"),
-            urls.absolute_url(non_empty(get("$.url")), F.lit(IRISH_HOME)).alias("url"),
-            get("$.hiringOrganization.name").alias("company"),
-            get("$.jobLocation.address.addressLocality").alias("place"),
-            pay.alias("pay"),
-            get("$.datePosted").alias("day"),
-            get("$.employmentType").alias("kind"),
-            get("$.description").alias("description"),
-        ),
-        o,
+        rows.select("seq", "pos", "title", "url", "company", "place", "pay", "day", "kind", "description"), o
     )
 
 
