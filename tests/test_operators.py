@@ -536,3 +536,28 @@ def test_linked_data_is_asked_once_for_each_field(spark):
     assert [(g[0], g[1], g[3], g[5], g[6]) for g in got] == [
         (0, 0, "Cook", 10.0, None), (1, 0, "Baker", None, "2024-01-02"), (1, 1, "Cook", 10.0, None)]
     assert (got[0][2], got[0][4], got[1][4]) == ("ij-7", "https://www.irishjobs.ie/jobs/7", "https://a.test/b")
+
+
+def test_pages_of_linkedin_are_read_where_they_are_scanned(spark):
+    """No node of a page goes to Spark: its cards and fields do."""
+    card = (
+        '<DIV class=" x\tbase-search-card"><a class="base-card__full-link" href="/jobs/view/cook-7?a=1"><span class="sr-only"> Cook </span></a>'
+        '<h4 class="base-search-card__subtitle"><b></b><a href="https://c.test/?trk=1"> A <i>&amp; B</i></a></h4>{}</div>'
+    )
+    meta = '<div class="base-search-card__metadata"><time class="job-search-card__listdate--new" datetime="2024-01-02">now</time></div>'
+    pages = [card.format(meta) + '<div class="base-search-card">no link</div>' + card.format(""), None, "", "<p>"]
+    cards = boards_html.parse_linkedin_cards(raw(spark, [(None, None, p) for p in pages]))
+    shown = cards.select("seq", "pos", "id", "title", "company_name", "company_url", F.col("date_posted").cast("string"))
+    label = '<h3 class="description__job-criteria-subheader">{}</h3><p><span class="{}">not beside it</span></p><span class="{}"> {} </span>'
+    names = "description__job-criteria-text description__job-criteria-text--criteria"
+    job = (
+        '<div class="Show-More-less-html__markup"><b>Do</b></div>' + label.format("Seniority level", names, names, "Entry")
+        + label.format("Employment type", names, names.split()[1], "Full-time") + label.format("Job function", names, names, "IT") + '<code id="applyUrl">'
+    )
+    details = boards_html.parse_linkedin_detail(raw(spark, [("https://l.test/view/7", None, p) for p in (job, None)]))
+    for df in (shown, details):
+        assert "html_nodes" not in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, shown.collect())) == [
+        (0, 0, "li-7", "Cook", "A& B", "https://c.test/", "2024-01-02"), (0, 2, "li-7", "Cook", "A& B", "https://c.test/", None)]
+    got = [(r["id"], r["description"], r["job_level"], r["job_type"], r["job_function"]) for r in details.orderBy("seq").collect()]
+    assert got == [("li-7", "**Do**", "entry", [], "not beside it"), ("li-7", None, None, [], None)]

@@ -6,9 +6,11 @@ reduced to small structs before the explode, so the node array is never copied p
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from vacancia.functions import dates, job_types, locations, remote, salary, urls
 from vacancia.functions.arrays import with_once
 from vacancia.functions.markdown import convert_if_html, formatted
 from vacancia.functions.markup import (
-    Match, attr, attr_like, attr_of, both, class_like, find, find_all, following, has_class, html_nodes,
-    inside, outer_html, script_bodies, siblings_after, tag, text_of,
+    Page, attr, attr_like, attr_of, both, class_like, find, find_all, following, has_class, html_nodes,
+    inside, outer_html, page_records, script_bodies, siblings_after, tag, text_of,
 )
 from vacancia.functions.text import (
     extract_emails, filled, first_match, let, non_empty, rx, strip,
@@ -26,6 +28,9 @@ from vacancia.lookups import POSTING_URL
 from vacancia.schema import location, posting_columns
 from vacancia.sources.payloads import ParseOptions, has_text, rejects
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @dataclass(frozen=True)
 class CardSource:
     """How to read one kind of page. Good and unreadable cards come out of the same expression."""
@@ -33,13 +38,14 @@ class CardSource:
     card: Callable[[Column], Column]  # node array -> array of card nodes
     fields: Callable[[Column, Column], Column]  # (node array, card) -> what the card says
     required: Callable[[Column], Column]  # what a card says -> has what a posting needs
+    nodes: Callable[[Column], Column] = html_nodes  # page -> node array
 
     def _read(self, nodes: Column) -> Column:
         return F.transform(self.card(nodes), lambda c: self.fields(nodes, c))
 
     def cards(self, raw: DataFrame) -> DataFrame:
         """One row ``seq, url, company, pos, card<...>`` per card that has what a posting needs."""
-        pages = raw.withColumn("nodes", html_nodes(F.col("payload")))
+        pages = raw.withColumn("nodes", self.nodes(F.col("payload")))
         read = F.posexplode(self._read(F.col("nodes"))).alias("pos", "card")
         return pages.select("seq", "url", "company", read).where(self.required(F.col("card")))
 
@@ -49,7 +55,7 @@ class CardSource:
 
     def quarantine(self, raw: DataFrame) -> DataFrame:
         """``seq, pos, reason, payload`` of unreadable cards and of pages without any."""
-        pages = raw.withColumn("nodes", html_nodes(F.col("payload")))
+        pages = raw.withColumn("nodes", self.nodes(F.col("payload")))
         return pages.select("seq", F.inline(self.rejects(F.col("nodes"), F.col("payload"))))
 
 
@@ -59,33 +65,39 @@ def _struct(**fields: Column) -> Column:
 
 # ---- LinkedIn ---------------------------------------------------------------------------------
 
-def _linkedin_card(nodes: Column, card: Column) -> Column:
-    def read(inner: Column) -> Column:
-        link = find(inner, both(tag("a"), has_class("base-card__full-link")))
-        subtitle = find(inner, both(tag("h4"), has_class("base-search-card__subtitle")))
-        company = find(inside(nodes, subtitle), tag("a"))
-        meta = find(inner, both(tag("div"), has_class("base-search-card__metadata")))
-        below = inside(nodes, meta)
-        place = find(below, both(tag("span"), has_class("job-search-card__location")))
-        day = find(below, both(tag("time"), has_class("job-search-card__listdate")))
-        new_day = find(below, both(tag("time"), has_class("job-search-card__listdate--new")))
-        pay = find(inner, both(tag("span"), has_class("job-search-card__salary-info")))
-        title = find(inner, both(tag("span"), has_class("sr-only")))
-        return _struct(
-            href=attr_of(link, "href"),
-            title=text_of(nodes, title),
-            company=text_of(nodes, company),
-            company_href=attr_of(company, "href"),
-            has_meta=meta.isNotNull(),
-            place=text_of(nodes, place, " "),
-            day=F.coalesce(attr_of(day, "datetime"), attr_of(new_day, "datetime")),
-            pay=text_of(nodes, pay, " "),
-        )
-
-    return let(inside(nodes, card), read)
-
-
-LINKEDIN = CardSource(lambda n: find_all(n, both(tag("div"), has_class("base-search-card"))), _linkedin_card, lambda c: has_text(c["href"]))
+def _linkedin_cards(page: Page) -> list[tuple]:
+    """What each card of a page says."""
+    cards = []
+    for card in page.find_all(page.whole(), "div", "base-search-card"):
+        inner = page.inside(card)
+        link = page.find(inner, "a", "base-card__full-link")
+        subtitle = page.find(inner, "h4", "base-search-card__subtitle")
+        company = page.find(page.inside(subtitle), "a")
+        meta = page.find(inner, "div", "base-search-card__metadata")
+        below = page.inside(meta)
+        place = page.find(below, "span", "job-search-card__location")
+        day = page.attr(page.find(below, "time", "job-search-card__listdate"), "datetime")
+        if day is None:
+            day = page.attr(page.find(below, "time", "job-search-card__listdate--new"), "datetime")
+        pay = page.find(inner, "span", "job-search-card__salary-info")
+        title = page.find(inner, "span", "sr-only")
+        cards.append((
+            page.attr(link, "href"), page.text(title), page.text(company), page.attr(company, "href"),
+            meta is not None, page.text(place, " "), day, page.text(pay, " "),
+        ))
+    return cards
+
+
+# The cards themselves take the place of the nodes: no other part of a page leaves the helper.
+LINKEDIN = CardSource(
+    lambda cards: cards,
+    lambda cards, card: card,
+    lambda c: has_text(c["href"]),
+    page_records(
+        _linkedin_cards, href="string", title="string", company="string", company_href="string", has_meta="boolean",
+        place="string", day="string", pay="string",
+    ),
+)
 
 
 def parse_linkedin_cards(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
@@ -120,55 +132,52 @@ def parse_linkedin_cards(raw: DataFrame, options: ParseOptions | None = None) ->
     )
 
 
-def _heading(nodes: Column, match: Match, label: str) -> Column:
-    """First matching node whose text contains the label."""
-    return find(
-        nodes,
-        lambda n: match(n) & F.contains(F.coalesce(text_of(nodes, n), F.lit("")), F.lit(label)),
-    )
-
-
-def _criterion(nodes: Column, label: str) -> Column:
-    """Text of the criterion that follows a heading with the label."""
-    heading = both(tag("h3"), has_class("description__job-criteria-subheader"))
-    value = find(
-        siblings_after(nodes, _heading(nodes, heading, label)),
-        both(
-            tag("span"),
-            has_class("description__job-criteria-text description__job-criteria-text--criteria"),
-        ),
-    )
-    return filled(text_of(nodes, value))
+def _linkedin_job(page: Page) -> list[tuple]:
+    """What a detail page says: one record."""
+    whole = page.whole()
+    headings = [(n, page.text(n)) for n in page.find_all(whole, "h3")]
+    criteria = [h for h in headings if "description__job-criteria-subheader" in page.classes(h[0]).split(" ")]
+
+    def criterion(label: str) -> str | None:
+        """Text of the criterion that follows a heading with the label."""
+        head = next((n for n, text in criteria if label in text), None)
+        for n in page.siblings_after(head):
+            if page.tags[n] == "span" and page.classes(n) == "description__job-criteria-text description__job-criteria-text--criteria":
+                return page.text(n) or None
+        return None
+
+    below = page.following(next((n for n, text in headings if "Job function" in text), None))
+    bodies = (n for n in page.find_all(whole, "div") if "show-more-less-html__markup" in page.classes(n).lower())
+    codes = (n for n in page.find_all(whole, "code") if page.attr(n, "id") == "applyUrl")
+    return [(
+        page.outer_html(next(bodies, None)),
+        criterion("Seniority level"),
+        criterion("Industries"),
+        criterion("Employment type"),
+        page.text(page.find(below, "span", "description__job-criteria-text"), " "),
+        page.attr(page.find(whole, "img", "artdeco-entity-image"), "data-delayed-url"),
+        page.outer_html(next(codes, None)),
+    )]
+
+
+_linkedin_jobs = page_records(
+    _linkedin_job, body="string", level="string", company_industry="string", kind="string", job_function="string",
+    company_logo="string", apply="string",
+)
 
 
 def parse_linkedin_detail(raw: DataFrame, options: ParseOptions | None = None) -> DataFrame:
     """Detail fields by id (taken from the payload's URL)."""
     o = options or ParseOptions()
-    n, html = F.col("nodes"), F.col("payload")
-    body = find(n, both(tag("div"), class_like("show-more-less-html__markup")))
-    kind = F.lower(F.replace(_criterion(n, "Employment type"), F.lit("-"), F.lit("")))
-    function = find(
-        following(n, _heading(n, tag("h3"), "Job function")),
-        both(tag("span"), has_class("description__job-criteria-text")),
-    )
-    logo = find(n, both(tag("img"), has_class("artdeco-entity-image")))
-    fields = with_once(
-        raw.withColumn("nodes", html_nodes(html)),
-        body=outer_html(html, body),
-        job_level=F.lower(_criterion(n, "Seniority level")),
-        company_industry=_criterion(n, "Industries"),
-        kind=kind,
-        job_function=text_of(n, function, " "),
-        company_logo=attr_of(logo, "data-delayed-url"),
-        apply=outer_html(html, find(n, both(tag("code"), attr("id", "applyUrl")))),
-    )
+    fields = raw.withColumn("found", _linkedin_jobs(F.col("payload"))).select("*", F.inline(F.filter("found", lambda f: F.lit(True))))
+    kind = F.lower(F.replace("kind", F.lit("-"), F.lit("")))
     return fields.select(
         "seq",
         F.concat(F.lit("li-"), F.element_at(F.split("url", "/"), -1)).alias("id"),
         formatted(F.col("body"), o.description_format).alias("description"),
-        "job_level",
+        F.lower("level").alias("job_level"),
         "company_industry",
-        F.filter(F.array(job_types.job_type_of(F.col("kind"))), lambda t: t.isNotNull()).alias("job_type"),
+        F.filter(F.array(job_types.job_type_of(kind)), lambda t: t.isNotNull()).alias("job_type"),
         "job_function",
         "company_logo",
         urls.unquote_direct_url(F.col("apply")).alias("job_url_direct"),
