@@ -2,6 +2,7 @@
 
 import itertools
 import json
+import time
 from datetime import date
 from functools import reduce
 
@@ -10,6 +11,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import inputs
+from vacancia import session
+from vacancia.functions import social as social_text
 from vacancia.functions.arrays import distinct_by
 from vacancia.functions.markup import scan_html
 from vacancia.operators import aggregates, assemble, dedup, filters, ranking
@@ -561,3 +564,47 @@ def test_pages_of_linkedin_are_read_where_they_are_scanned(spark):
         (0, 0, "li-7", "Cook", "A& B", "https://c.test/", "2024-01-02"), (0, 2, "li-7", "Cook", "A& B", "https://c.test/", None)]
     got = [(r["id"], r["description"], r["job_level"], r["job_type"], r["job_function"]) for r in details.orderBy("seq").collect()]
     assert got == [("li-7", "**Do**", "entry", [], "not beside it"), ("li-7", None, None, [], None)]
+
+
+def test_pages_of_html_boards_are_read_where_they_are_scanned(spark):
+    """No node of a page goes to Spark, neither for postings nor for details nor for what can't be read."""
+    pages = [
+        ("https://x.test/?jobid=1", None, '<LI data-js-job=""><h2> Cook <a href=" /j ">&amp; Co</a></h2><div class="t-mute  t-small">Cork</div></li><li data-js-job></li>'),
+        ("https://x.test/?jobid=2", None, '<p><a href="/JobDetails/7">Smith</a><div class="x Org-name">Forge</div></p><div><span>Job Type</span><span>Full Time</span></div>'),
+        ("https://x.test/?jobid=3", None, '<div data-testid="job-item"><a data-at="job-item-title" href="/job-a-job9">Baker</a><span class="the-job-type">Contract</span></div>'),
+        ("https://x.test/?jobid=4", None, '<li class="list-group-item x"><b class="list-group-item-heading"><a href="/apply/k/r">Clerk</a></b><p><i class="fa-map-marker"></i> Cork </p></li>'),
+        ("https://x.test/?jobid=5", None, '<div class="jobcontent"><h5>Your responsibilities</h5>to <p>do <b>it</b></p><ul><li>so</li></ul><hr><p>not this</p></div>'),
+        ("https://x.test/?jobid=6", None, None),
+    ]
+    given = raw(spark, pages)
+    parsers = (boards_html.parse_bayt, boards_html.parse_bdjobs_cards, boards_html.parse_irishjobs_cards, boards_html.parse_jazzhr)
+    rows = [parse(given) for parse in parsers]
+    details = [parse(given) for parse in (boards_html.parse_bdjobs_detail, boards_html.parse_seek_detail, boards_html.parse_ziprecruiter_detail, boards_html.parse_jazzhr_detail)]
+    rejected = {name: listed(given) for name, listed in boards_html.HTML_QUARANTINE.items()}
+    for df in (*rows, *details, *rejected.values()):
+        assert "html_nodes" not in df._jdf.queryExecution().executedPlan().toString()
+    got = [[(r["seq"], r["title"], r["job_url"], r["location"]["city"]) for r in df.collect()] for df in rows]
+    assert got[:3] == [
+        [(0, "Cook& Co", "https://www.bayt.com/j", "Cork")],
+        [(1, "Smith", "https://jobs.bdjobs.com/JobDetails/7", "Dhaka")],
+        [(2, "Baker", "https://www.irishjobs.ie/jobs/9", None)],
+    ]
+    assert [(seq, title, city) for seq, title, _, city in got[3]] == [(3, "Clerk", "Cork")]
+    duties = details[0].orderBy("seq").select("id", "description", "job_type").collect()
+    assert [tuple(r) for r in duties][1] == ("2", "", ["fulltime"]) and duties[4]["description"] == "do it\nso"
+    assert [df.count() for df in details] == [len(pages)] * 4
+    assert {name: df.where("reason = 'no posting read'").count() for name, df in rejected.items()} == {
+        "linkedin": 6, "bayt": 5, "bdjobs": 5, "irish_jobs": 5, "jazzhr": 5}
+    assert [tuple(r) for r in rejected["bayt"].where("pos is not null").collect()] == [(0, 1, "missing field", "{}")]
+
+
+def test_rows_written_by_site_are_not_sorted_first(spark, tmp_path):
+    """A task keeps a file open for each site; the session's own setting stays what it was."""
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name)
+    df = spark.range(60).selectExpr("id", "concat('s', id % 40) AS site")
+    written = session.cut_lineage(df, "by-site", by=["site"])
+    with session._writers(spark, session.OPEN_FILES):
+        seen.append(spark.conf.get(name))
+    assert seen == [str(session.OPEN_FILES)] and spark.conf.get(name) == before
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, df.collect()))
