@@ -608,3 +608,21 @@ def test_rows_written_by_site_are_not_sorted_first(spark, tmp_path):
         seen.append(spark.conf.get(name))
     assert seen == [str(session.OPEN_FILES)] and spark.conf.get(name) == before
     assert sorted(map(tuple, written.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_the_largest_array_is_chosen_where_a_body_is_read(spark):
+    """Only the items of one array leave the helper, and of them only what a posting is read from."""
+    job = '{{"NAME": "{}", "title": "later", "uid": {}, "slug": "k", "Date": {}, "type": ["Remote"], "other": "x"}}'
+    few = ",".join([job.format("Cook at sea", 1, 5), '{"name": "About us"}', "7"])
+    many = ",".join(job.format(t, i, '"2024-01-02"') for i, t in enumerate(("Cook at sea", "Baker on land", "Blog")))
+    tie = ",".join(job.format(t, 8, "null") for t in ("Third of all", "Fourth of all", "x"))
+    bodies = ['{"a": [%s], "b": {"c": [%s]}, "d": [%s]}' % (few, many, tie), '{"a": [1, 2, 3]}', "<", None]
+    rows = spark.createDataFrame([(i, "https://c.test/p", "co", b) for i, b in enumerate(bodies)], "seq bigint, url string, company string, body string")
+    largest = career_pages.largest_job_array(rows)
+    plan = largest._jdf.queryExecution().executedPlan().toString()
+    assert "largest_items" in plan and "job_arrays" not in plan
+    items = {r["seq"]: r["items"] for r in largest.collect()}
+    assert [(i["title"], i["id"], i["date"], i["remote"], i["url"]) for i in items[0]] == [
+        ("Cook at sea", "k", "2024-01-02", True, None), ("Baker on land", "k", "2024-01-02", True, None)]
+    assert [items[n] for n in (1, 2, 3)] == [None] * 3
+    assert [r["title"] for r in career_pages.parse_loose_job(career_pages.best_job_array(rows)).orderBy("pos").collect()] == ["Cook at sea", "Baker on land"]

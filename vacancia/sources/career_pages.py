@@ -11,15 +11,10 @@ from pyspark.sql import functions as F
 
 from vacancia.functions import dates, job_types, locations, salary, urls
 from vacancia.functions.arrays import distinct_by, with_once
-from vacancia.functions.json_tree import (
-    any_remote, first_field, first_text_entry, job_arrays, jsonld_postings,
-)
+from vacancia.functions.json_tree import ITEM_DDL, job_arrays, jsonld_postings, largest_items
 from vacancia.functions.markdown import convert_if_html, html_list_to_markdown
 from vacancia.functions.markup import meta_content, page_links, script_bodies
 from vacancia.functions.text import extract_emails, filled, first_match, let, non_empty, strip
-from vacancia.lookups import (
-    DATE_KEYS, DESCRIPTION_KEYS, ID_KEYS, LOCATION_KEYS, REMOTE_KEYS, TITLE_KEYS, URL_KEYS,
-)
 from vacancia.operators.filters import MIN_JSON, MIN_PAGE_DESCRIPTION
 from vacancia.operators.ranking import first_per_key
 from vacancia.session import cut_lineage
@@ -183,29 +178,12 @@ def find_job_arrays(bodies: DataFrame) -> DataFrame:
 
 
 def _loose_title(item: Column) -> Column:
-    return F.coalesce(first_field(item, TITLE_KEYS), F.lit(""))
-
-
-def _largest(arrays: Column) -> Column:
-    """Items of the array with most usable titles; the earliest wins a tie; null without one."""
-
-    def usable(found: Column) -> Column:
-        items = F.filter(found["items"], lambda i: let(_loose_title(i), urls.is_loose_title))
-        return F.struct(F.size(items).alias("n"), items.alias("items"))
-
-    def largest(judged: Column) -> Column:
-        most = F.array_max(F.transform(judged, lambda a: a["n"]))
-        return F.get(F.filter(judged, lambda a: a["n"] == most), F.lit(0))["items"]
-
-    return let(F.transform(arrays, usable), largest)
+    return F.coalesce(item["title"], F.lit(""))
 
 
 def largest_job_array(bodies: DataFrame) -> DataFrame:
     """``seq, url, company, items``: each body's array with most usable titles, null without one."""
-    # The choice is made inside the row, before anything is exploded.
-    return bodies.withColumn("arrays", job_arrays(F.col("body"))).select(
-        "seq", "url", "company", _largest(F.col("arrays")).alias("items")
-    )
+    return bodies.select("seq", "url", "company", largest_items(F.col("body")).alias("items"))
 
 
 def best_job_array(bodies: DataFrame) -> DataFrame:
@@ -214,7 +192,7 @@ def best_job_array(bodies: DataFrame) -> DataFrame:
 
 
 def _loose_url(item: Column) -> Column:
-    link = F.coalesce(filled(first_field(item, URL_KEYS)), F.col("url"))
+    link = F.coalesce(filled(item["url"]), F.col("url"))
     return urls.absolute_url(link, F.col("url"))
 
 
@@ -222,7 +200,7 @@ def _loose_fields() -> dict[str, Column]:
     """Posting fields of a row with ``item``, ``title``, ``job_url`` and ``description``."""
     item, text = F.col("item"), F.col("description")
     native = F.coalesce(
-        filled(first_field(item, ID_KEYS)),
+        filled(item["id"]),
         urls.url_hash(F.concat(F.col("title"), F.col("job_url"))),
     )
     return dict(
@@ -234,10 +212,10 @@ def _loose_fields() -> dict[str, Column]:
         title=F.col("title"),
         company_name=F.col("company"),
         job_url=F.col("job_url"),
-        location=locations.loc_loose(first_field(item, LOCATION_KEYS)),
+        location=locations.loc_loose(item["location"]),
         description=text,
-        is_remote=any_remote(item, REMOTE_KEYS),
-        date_posted=dates.iso_date(first_text_entry(item, DATE_KEYS)),
+        is_remote=F.coalesce(item["remote"], F.lit(False)),
+        date_posted=dates.iso_date(item["date"]),
         emails=F.when(F.length(text) > 0, extract_emails(text)),
         job_type=job_types.extract_job_type(F.coalesce(non_empty(text), F.col("title"))),
     )
@@ -247,7 +225,7 @@ def parse_loose_job(items: DataFrame) -> DataFrame:
     """``seq, url, company, pos, item`` to postings: the first key of each kind decides."""
     item = F.col("item")
     read = with_once(
-        items, title=_loose_title(item), job_url=_loose_url(item), raw_text=first_field(item, DESCRIPTION_KEYS)
+        items, title=_loose_title(item), job_url=_loose_url(item), raw_text=item["description"]
     ).where(urls.is_loose_title(F.col("title")))
     read = read.withColumn("description", convert_if_html(F.col("raw_text")))
     return read.select(*posting_columns(**_loose_fields()))
@@ -354,23 +332,34 @@ def page_cascade(pages: DataFrame) -> DataFrame:
     after the first that is enough isn't read. One scan and no shuffle. A page without payload, or in
     which no strategy finds anything, has no rows.
     """
+    return _offered(pages, first=True)
+
+
+def page_offers(pages: DataFrame) -> DataFrame:
+    """Postings of every strategy that reads a page's HTML, with their ``strategy_rank``: one scan and no shuffle."""
+    return _offered(pages, first=False)
+
+
+def _offered(pages: DataFrame, first: bool) -> DataFrame:
+    """Postings with ``strategy_rank``: of a page's first strategy that finds any, or of all."""
 
     def some(found: Column) -> Column:
         return F.coalesce(F.size(found) > 0, F.lit(False))
 
+    def unless(enough: Column, read: Column) -> Column:
+        return F.when(~enough, read) if first else read
+
     html, page = F.col("payload"), F.col("url")
     state = with_once(pages.select("seq", "url", "company", "payload"), body=_state_body(html))
-    state = state.withColumn("arrays", job_arrays(non_empty(F.col("body"))))
-    state = with_once(state, items=_largest(F.col("arrays"))).drop("body", "arrays")
-    linked = state.withColumn("scripts", F.when(~some(F.col("items")), script_bodies(html, LD_JSON)))
+    state = with_once(state, items=largest_items(non_empty(F.col("body")))).drop("body")
+    linked = state.withColumn("scripts", unless(some(F.col("items")), script_bodies(html, LD_JSON)))
     linked = linked.withColumn("scripts", jsonld_postings(F.col("scripts")))
     read = F.transform("scripts", lambda p, i: F.struct(i.alias("pos"), F.from_json(p, LD_POSTING).alias("p")))
     linked = with_once(linked, linked=F.filter(read, lambda x: has_text(x["p"]["title"]))).drop("scripts")
 
     items, found = F.col("items"), F.col("linked")
-    links = F.when(~some(items) & ~some(found), _job_links(html, page))
-    kinds = {"item": "array<struct<key:string,kind:string,text:string,remote:boolean>>", "p": LD_POSTING,
-             "link": "struct<href:string,text:string>"}
+    links = unless(some(items) | some(found), _job_links(html, page))
+    kinds = {"item": ITEM_DDL, "p": LD_POSTING, "link": "struct<href:string,text:string>"}
 
     def offer(rank: int, pos: Column, **given: Column) -> Column:
         """One candidate; all kinds have the same layout."""
@@ -379,11 +368,15 @@ def page_cascade(pages: DataFrame) -> DataFrame:
             *[given.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in kinds.items()],
         )
 
-    chosen = (
-        F.when(some(items), F.transform(items, lambda x, i: offer(STATE, i, item=x)))
-        .when(some(found), F.transform(found, lambda x: offer(LINKED, x["pos"], p=x["p"])))
-        .otherwise(F.transform(links, lambda x: offer(LINKS, x["pos"], link=F.struct(x["href"], x["text"]))))
+    offers = (
+        F.transform(items, lambda x, i: offer(STATE, i, item=x)),
+        F.transform(found, lambda x: offer(LINKED, x["pos"], p=x["p"])),
+        F.transform(links, lambda x: offer(LINKS, x["pos"], link=F.struct(x["href"], x["text"]))),
     )
+    if first:
+        chosen = F.when(some(items), offers[0]).when(some(found), offers[1]).otherwise(offers[2])
+    else:
+        chosen = F.flatten(F.filter(F.array(*offers), lambda o: o.isNotNull()))
     rows = linked.select("seq", "url", "company", F.inline(chosen))
     rank, item = F.col("strategy_rank"), F.col("item")
 
@@ -394,7 +387,7 @@ def page_cascade(pages: DataFrame) -> DataFrame:
         rows,
         title=by_rank(_loose_title(item), F.col("p.title"), F.col("link.text")),
         job_url=by_rank(_loose_url(item), _linked_url(), F.col("link.href")),
-        raw_text=by_rank(first_field(item, DESCRIPTION_KEYS), F.col("p.description"), F.lit(None)),
+        raw_text=by_rank(item["description"], F.col("p.description"), F.lit(None)),
         **_linked_parts(),
     )
     rows = rows.withColumn("description", convert_if_html(F.col("raw_text")))
