@@ -626,3 +626,21 @@ def test_the_largest_array_is_chosen_where_a_body_is_read(spark):
         ("Cook at sea", "k", "2024-01-02", True, None), ("Baker on land", "k", "2024-01-02", True, None)]
     assert [items[n] for n in (1, 2, 3)] == [None] * 3
     assert [r["title"] for r in career_pages.parse_loose_job(career_pages.best_job_array(rows)).orderBy("pos").collect()] == ["Cook at sea", "Baker on land"]
+
+
+def test_strategies_of_a_page_scan_it_once(spark):
+    """All strategies of a page's HTML come out of one scan, each with what it finds alone."""
+    jobs = ",".join('{"title": "%s", "id": 1, "city": "Cork"}' % t for t in ("Cook at sea", "Baker on land", "Smith in town"))
+    html = (
+        '<script id="__NEXT_DATA__" type="x">{"props":{"pageProps":{"a":[%s]}}}</script><script type="application/ld+json">'
+        '{"@type": "JobPosting", "title": "Clerk"}</script><a href="/jobs/cook-wanted">Cook wanted</a><a href="/jobs/baker-wanted">Baker wanted</a>' % jobs
+    )
+    pages = raw(spark, [("https://c.test/p", "co", html), ("https://c.test/q", "co", "<p>"), ("https://c.test/r", "co", None)])
+    every = careers.page_strategies(pages)
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1
+    got = sorted((r["strategy_rank"], r["title"]) for r in every.collect())
+    assert got == [(1, "Baker on land"), (1, "Cook at sea"), (1, "Smith in town"), (2, "Clerk"), (6, "Baker wanted"), (6, "Cook wanted")]
+    alone = [career_pages.parse_next_data(pages), career_pages.parse_jsonld_postings(pages), career_pages.extract_job_links(pages)]
+    for rank, df in zip((1, 2, 6), alone):
+        assert sorted(map(str, every.where(F.col("strategy_rank") == rank).drop("strategy_rank").collect())) == sorted(map(str, df.collect()))

@@ -38,16 +38,10 @@ def page_strategies(
     """All strategies' postings with ``strategy_rank``; cheap and reliable ones rank first.
 
     ``platform_rows`` are postings of platforms the pages embed, ``listing_pages`` the pages behind
-    their "all jobs" links; both carry the career page as ``source_url`` / ``url``.
+    their "all jobs" links; both carry the career page as ``source_url`` / ``url``. The pages are scanned once.
     """
-    ranked = [
-        (career_pages.STATE, career_pages.parse_next_data(pages)),
-        (career_pages.LINKED, career_pages.parse_jsonld_postings(pages)),
-        *_given_strategies(platform_rows, sitemaps, responses),
-        (career_pages.LINKS, career_pages.extract_job_links(pages)),
-        (7, None if listing_pages is None else career_pages.extract_job_links(listing_pages)),
-    ]
-    return _ranked(ranked)
+    own = career_pages.page_offers(pages)
+    return _beside(own, listing_pages, platform_rows=platform_rows, sitemaps=sitemaps, responses=responses)
 
 
 def _given_strategies(platform_rows=None, sitemaps=None, responses=None) -> list:
@@ -69,7 +63,11 @@ def first_strategies(pages: DataFrame, listing_pages: DataFrame | None = None, *
 
     The pages are scanned once, whatever the number of strategies that read their HTML.
     """
-    own = career_pages.page_cascade(pages)
+    return _beside(career_pages.page_cascade(pages), listing_pages, **inputs)
+
+
+def _beside(own: DataFrame, listing_pages: DataFrame | None = None, **inputs) -> DataFrame:
+    """What the pages' own HTML offers, and the strategies that read something else."""
     others = [*_given_strategies(**inputs),
               (7, None if listing_pages is None else career_pages.extract_job_links(listing_pages))]
     if all(df is None for _, df in others):
