@@ -644,3 +644,13 @@ def test_strategies_of_a_page_scan_it_once(spark):
     alone = [career_pages.parse_next_data(pages), career_pages.parse_jsonld_postings(pages), career_pages.extract_job_links(pages)]
     for rank, df in zip((1, 2, 6), alone):
         assert sorted(map(str, every.where(F.col("strategy_rank") == rank).drop("strategy_rank").collect())) == sorted(map(str, df.collect()))
+
+
+def test_a_title_is_looked_for_once_per_run_of_letters(spark):
+    """A long run of words without a title costs one pass, not one for each of its letters."""
+    texts = ["a " * 20_000 + "lead @", "x 🏢 Senior Engineer\nmore", "Öl Manager", "is Lead: İ Head Chef Manager"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", social_text.post_title(F.col("text")).alias("title"))
+    started = time.monotonic()
+    got = dict(map(tuple, df.collect()))
+    assert time.monotonic() - started < 10
+    assert got[1] == "Senior Engineer" and got[2] == "l Manager" and got[0].startswith("a a a")
